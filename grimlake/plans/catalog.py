@@ -13,7 +13,7 @@ from functools import cached_property
 from pyspark.sql import DataFrame, SparkSession
 
 from grimlake.functions import rules as R
-from grimlake.plans import dims, facts, periods, staging
+from grimlake.plans import dims, facts, marts, periods, staging
 from grimlake.session import checkpoint_dir
 from grimlake.sources.adapter import raw_from_driver
 
@@ -50,10 +50,39 @@ class Catalog:
     def dim_bands(self) -> DataFrame:
         return dims.dim_bands(self.parsed, self.current_year)
 
+    @cached_property
+    def dim_albums_keyed(self) -> DataFrame:
+        return dims.dim_albums_keyed(self.stg_albums, self.dim_bands)
+
     @cached_property
     def dim_albums(self) -> DataFrame:
-        return dims.dim_albums(self.stg_albums, self.dim_bands)
+        return self.dim_albums_keyed.select(*dims.DIM_ALBUMS_COLUMNS)
+
+    @cached_property
+    def fct_reviews_keyed(self) -> DataFrame:
+        return facts.fct_reviews_keyed(self.stg_reviews, self.dim_albums)
 
     @cached_property
     def fct_reviews(self) -> DataFrame:
-        return facts.fct_reviews(self.stg_reviews, self.dim_albums)
+        return self.fct_reviews_keyed.select(*facts.FCT_COLUMNS)
+
+    # ---- marts (lazy views over the stored dims and fact) -------------------
+    @cached_property
+    def band_metrics(self) -> DataFrame:
+        return marts.band_metrics(self.dim_bands, self.dim_albums, self.fct_reviews)
+
+    @cached_property
+    def geographic_analysis(self) -> DataFrame:
+        return marts.geographic_analysis(self.dim_bands, self.dim_albums)
+
+    @cached_property
+    def career_analysis(self) -> DataFrame:
+        return marts.career_analysis(self.dim_albums_keyed, self.fct_reviews_keyed)
+
+    @cached_property
+    def temporal_analysis(self) -> DataFrame:
+        return marts.temporal_analysis(self.dim_bands, self.dim_albums, self.fct_reviews)
+
+    @cached_property
+    def subgenre_analysis(self) -> DataFrame:
+        return marts.subgenre_analysis(self.dim_bands, self.dim_albums, self.fct_reviews)

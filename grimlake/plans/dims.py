@@ -148,17 +148,23 @@ NUMBERING_OUTPUT = ["album_number_in_discography", "reverse_album_number",
                     "is_latest_album", "is_early_discography"]
 
 
-def dim_albums(stg_albums: DataFrame, dim_bands_df: DataFrame, audit: bool = False) -> DataFrame:
-    """Albums with band attributes, classes and discography numbers.
+def dim_albums_keyed(stg_albums: DataFrame, dim_bands_df: DataFrame) -> DataFrame:
+    """Albums with band attributes, classes and discography numbers, plus the
+    surrogate row key ``_ak``.
 
     The wide enriched rows are written once (``checkpoint`` into the
-    cluster's checkpoint folder) with a surrogate row key, which is stable
-    only because the rows are written once; the numbering runs on a
-    seven-column projection and is joined back once by that key.
+    cluster's checkpoint folder) with the surrogate key, which is stable only
+    because the rows are written once; the numbering runs on a seven-column
+    projection and is joined back once by that key.
     """
     enriched = albums_enriched(stg_albums, dim_bands_df)
     enriched = enriched.withColumn("_rk", F.monotonically_increasing_id())
     enriched = enriched.checkpoint(eager=True)
     numbers = album_numbers(enriched.select(*NUMBERING_INPUT))
-    out = enriched.join(numbers, "_rk", "inner").select(*DIM_ALBUMS_COLUMNS)
+    out = enriched.join(numbers, "_rk", "inner")
+    return out.select(*DIM_ALBUMS_COLUMNS, F.col("_rk").alias("_ak"))
+
+
+def dim_albums(stg_albums: DataFrame, dim_bands_df: DataFrame, audit: bool = False) -> DataFrame:
+    out = dim_albums_keyed(stg_albums, dim_bands_df).select(*DIM_ALBUMS_COLUMNS)
     return with_audit(out) if audit else out

@@ -139,13 +139,18 @@ def window_columns(narrow: DataFrame) -> DataFrame:
     )
 
 
-def fct_reviews(stg_reviews: DataFrame, dim_albums_df: DataFrame,
-                audit: bool = False) -> DataFrame:
+def fct_reviews_keyed(stg_reviews: DataFrame, dim_albums_df: DataFrame) -> DataFrame:
+    """``fct_reviews`` plus its surrogate row key ``_rk``."""
     base = reviews_base(stg_reviews, dim_albums_df)
     base = base.withColumn("_rk", F.monotonically_increasing_id()).checkpoint(eager=True)
     narrow = base.select(*NARROW, F.col("score_album").cast("double").alias("score_d"))
     windows = window_columns(narrow)
-    out = base.join(windows, "_rk", "inner").select(*FCT_COLUMNS)
+    return base.join(windows, "_rk", "inner").select(*FCT_COLUMNS, "_rk")
+
+
+def fct_reviews(stg_reviews: DataFrame, dim_albums_df: DataFrame,
+                audit: bool = False) -> DataFrame:
+    out = fct_reviews_keyed(stg_reviews, dim_albums_df).select(*FCT_COLUMNS)
     if audit:
         now = F.current_timestamp()
         out = out.withColumns({"created_at": now, "updated_at": now})

@@ -111,3 +111,29 @@ def _dim_albums(c: Catalog) -> DataFrame:
 @register("fct_reviews")
 def _fct_reviews(c: Catalog) -> DataFrame:
     return c.fct_reviews
+
+
+# ---- marts (M6-M10) ----------------------------------------------------------
+@register("band_metrics")
+def _band_metrics(c: Catalog) -> DataFrame:
+    return c.band_metrics
+
+
+@register("geographic_analysis")
+def _geographic(c: Catalog) -> DataFrame:
+    return c.geographic_analysis
+
+
+@register("career_analysis")
+def _career(c: Catalog) -> DataFrame:
+    return c.career_analysis
+
+
+@register("temporal_analysis")
+def _temporal(c: Catalog) -> DataFrame:
+    return c.temporal_analysis
+
+
+@register("subgenre_analysis")
+def _subgenre(c: Catalog) -> DataFrame:
+    return c.subgenre_analysis

@@ -58,18 +58,38 @@ class Catalog:
     def dim_albums(self) -> DataFrame:
         return self.dim_albums_keyed.select(*dims.DIM_ALBUMS_COLUMNS)
 
+    @cached_property
+    def fct_base(self) -> DataFrame:
+        """Stored fact rows (all non-window columns + ``_rk``)."""
+        return facts.fct_base(self.stg_reviews, self.dim_albums)
+
+    @cached_property
+    def fct_windows(self) -> DataFrame:
+        """The seventeen window columns per fact row, stored once (small:
+        numbers keyed by ``_rk``, plus the row's ids)."""
+        return facts.stored_windows(self.fct_base)
+
     @cached_property
     def fct_reviews_keyed(self) -> DataFrame:
-        return facts.fct_reviews_keyed(self.stg_reviews, self.dim_albums)
+        return facts.fct_reviews_keyed(base=self.fct_base, windows=self.fct_windows)
 
     @cached_property
     def fct_reviews(self) -> DataFrame:
         return self.fct_reviews_keyed.select(*facts.FCT_COLUMNS)
 
-    # ---- marts (lazy views over the stored dims and fact) -------------------
+    def models(self) -> dict[str, DataFrame]:
+        """Model name -> DataFrame, for the data-quality checks."""
+        return {"stg_metal_bands": self.stg_bands, "stg_metal_albums": self.stg_albums,
+                "stg_metal_reviews": self.stg_reviews, "int_metal_bands_parsed": self.parsed,
+                "dim_bands": self.dim_bands, "dim_albums": self.dim_albums,
+                "fct_reviews": self.fct_reviews}
+
+    # ---- marts: lazy views over the stored dims and the stored fact rows.
+    # They use only fact columns that exist before the window step (ids and
+    # score), so they read ``fct_base``: same rows as ``fct_reviews``.
     @cached_property
     def band_metrics(self) -> DataFrame:
-        return marts.band_metrics(self.dim_bands, self.dim_albums, self.fct_reviews)
+        return marts.band_metrics(self.dim_bands, self.dim_albums, self.fct_base)
 
     @cached_property
     def geographic_analysis(self) -> DataFrame:
@@ -77,12 +97,12 @@ class Catalog:
 
     @cached_property
     def career_analysis(self) -> DataFrame:
-        return marts.career_analysis(self.dim_albums_keyed, self.fct_reviews_keyed)
+        return marts.career_analysis(self.dim_albums_keyed, self.fct_base)
 
     @cached_property
     def temporal_analysis(self) -> DataFrame:
-        return marts.temporal_analysis(self.dim_bands, self.dim_albums, self.fct_reviews)
+        return marts.temporal_analysis(self.dim_bands, self.dim_albums, self.fct_base)
 
     @cached_property
     def subgenre_analysis(self) -> DataFrame:
-        return marts.subgenre_analysis(self.dim_bands, self.dim_albums, self.fct_reviews)
+        return marts.subgenre_analysis(self.dim_bands, self.dim_albums, self.fct_base)

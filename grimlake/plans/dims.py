@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 from grimlake.functions import exprs as X
 from grimlake.functions import rules as R
 from grimlake.operators import ranks
+from grimlake.sources.stage import stored_table
 
 AUDIT_COLUMNS = ["created_at", "updated_at", "is_current_record"]
 
@@ -152,17 +153,19 @@ def dim_albums_keyed(stg_albums: DataFrame, dim_bands_df: DataFrame) -> DataFram
     """Albums with band attributes, classes and discography numbers, plus the
     surrogate row key ``_ak``.
 
-    The wide enriched rows are written once (``checkpoint`` into the
+    The wide enriched rows are written once (a Parquet table in the
     cluster's checkpoint folder) with the surrogate key, which is stable only
     because the rows are written once; the numbering runs on a seven-column
     projection and is joined back once by that key.
     """
     enriched = albums_enriched(stg_albums, dim_bands_df)
-    enriched = enriched.withColumn("_rk", F.monotonically_increasing_id())
-    enriched = enriched.checkpoint(eager=True)
+    enriched = stored_table(enriched.withColumn("_rk", F.monotonically_increasing_id()),
+                            "albums_enriched")
     numbers = album_numbers(enriched.select(*NUMBERING_INPUT))
     out = enriched.join(numbers, "_rk", "inner")
-    return out.select(*DIM_ALBUMS_COLUMNS, F.col("_rk").alias("_ak"))
+    # Stored model (the source materialises it as a table): every reader
+    # (fact, marts) scans the written rows instead of re-running the numbering.
+    return stored_table(out.select(*DIM_ALBUMS_COLUMNS, F.col("_rk").alias("_ak")), "dim_albums")
 
 
 def dim_albums(stg_albums: DataFrame, dim_bands_df: DataFrame, audit: bool = False) -> DataFrame:

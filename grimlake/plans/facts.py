@@ -4,10 +4,10 @@
 Plan shape, chosen for a fact far larger than memory:
 
 1. ``base`` = scored reviews inner-joined to albums, row-local classes, and
-   a surrogate row key. It is written once (``checkpoint`` into the shared
-   checkpoint folder): the review text is shuffled at most once more, the
-   key is stable, and lineage is cut (lost executors recompute from the
-   checkpoint, not from the raw scan).
+   a surrogate row key. It is written once (a Parquet table in the shared
+   checkpoint folder): the key is stable, readers prune columns (marts read
+   three), and lineage is cut (lost executors re-read the files instead of
+   recomputing from the raw scan).
 2. All window columns run on an eight-column projection of ``base``:
    - ranks (overall, band, country, decade, subgenre): ``row_number_by``
      (exact, no single partition, hot scores split by review-id ranges);
@@ -26,6 +26,7 @@ from pyspark.sql import functions as F
 from grimlake.functions import exprs as X
 from grimlake.functions import rules as R
 from grimlake.operators import ranks
+from grimlake.sources.stage import stored_table
 
 FCT_COLUMNS = [
     "review_id", "album_id", "band_id", "review_title", "score_album", "content_review",
@@ -139,12 +140,33 @@ def window_columns(narrow: DataFrame) -> DataFrame:
     )
 
 
-def fct_reviews_keyed(stg_reviews: DataFrame, dim_albums_df: DataFrame) -> DataFrame:
-    """``fct_reviews`` plus its surrogate row key ``_rk``."""
+def fct_base(stg_reviews: DataFrame, dim_albums_df: DataFrame) -> DataFrame:
+    """Fact rows before the window columns, written once with the row key
+    ``_rk``. Marts read this (they need no window column), so they never
+    re-run the seventeen windows."""
     base = reviews_base(stg_reviews, dim_albums_df)
-    base = base.withColumn("_rk", F.monotonically_increasing_id()).checkpoint(eager=True)
+    return stored_table(base.withColumn("_rk", F.monotonically_increasing_id()), "fct_base")
+
+
+def stored_windows(base: DataFrame) -> DataFrame:
+    """Window columns of every fact row written once, keyed by ``_rk`` and
+    carrying the review's ids and score for direct window queries."""
     narrow = base.select(*NARROW, F.col("score_album").cast("double").alias("score_d"))
     windows = window_columns(narrow)
+    ids = narrow.select("_rk", "review_id", "album_id", "band_id", "score_d")
+    return stored_table(ids.join(windows, "_rk", "inner"), "fct_windows")
+
+
+def fct_reviews_keyed(stg_reviews: DataFrame = None, dim_albums_df: DataFrame = None,
+                      base: DataFrame | None = None,
+                      windows: DataFrame | None = None) -> DataFrame:
+    """``fct_reviews`` plus its surrogate row key ``_rk``."""
+    if base is None:
+        base = fct_base(stg_reviews, dim_albums_df)
+    if windows is None:
+        narrow = base.select(*NARROW, F.col("score_album").cast("double").alias("score_d"))
+        windows = window_columns(narrow)
+    windows = windows.select("_rk", *WINDOW_COLUMNS)
     return base.join(windows, "_rk", "inner").select(*FCT_COLUMNS, "_rk")
 
 

@@ -72,12 +72,17 @@ def band_metrics(dim_bands: DataFrame, dim_albums: DataFrame, fct: DataFrame) ->
 
 
 # ---- M7 geographic_analysis ----------------------------------------------------
-def geographic_analysis(dim_bands: DataFrame, dim_albums: DataFrame) -> DataFrame:
-    keys = ["country", "continent"]
+def geographic_base(dim_bands: DataFrame, dim_albums: DataFrame) -> DataFrame:
+    """bands LEFT JOIN albums (one row per band without albums)."""
     bands = dim_bands.select("band_id", "country", "continent", "formed_year", "formation_era",
                              "death_metal_subgenre", "is_active_flag", "is_veteran_band")
-    base = left_join_split(bands, dim_albums.select("band_id", "album_id", "release_decade"),
+    return left_join_split(bands, dim_albums.select("band_id", "album_id", "release_decade"),
                            ["band_id"])
+
+
+def geographic_analysis(dim_bands: DataFrame, dim_albums: DataFrame) -> DataFrame:
+    keys = ["country", "continent"]
+    base = geographic_base(dim_bands, dim_albums)
     d = F.col("release_decade")
     agg = base.groupBy(*keys).agg(
         F.count_distinct("band_id").alias("total_bands"),
@@ -149,16 +154,22 @@ def career_analysis(dim_albums_keyed: DataFrame, fct_keyed: DataFrame) -> DataFr
 
 
 # ---- M9 temporal_analysis ------------------------------------------------------
-def temporal_analysis(dim_bands: DataFrame, dim_albums: DataFrame, fct: DataFrame,
-                      first_year: int = R.TEMPORAL_FROM, last_year: int = R.TEMPORAL_TO,
-                      ordered: bool = True) -> DataFrame:
-    keys = ["album_year", "release_decade", "release_era"]
+def temporal_base(dim_bands: DataFrame, dim_albums: DataFrame, fct: DataFrame,
+                  first_year: int = R.TEMPORAL_FROM, last_year: int = R.TEMPORAL_TO) -> DataFrame:
+    """albums JOIN bands LEFT JOIN reviews, release years in range (the
+    range filter is pushed to the album scan)."""
     albums = (dim_albums.where(F.col("album_year").between(first_year, last_year))
               .select("album_year", "release_decade", "release_era", "album_id", "band_id",
                       "is_debut_album"))
     bands = dim_bands.select("band_id", "country", "death_metal_subgenre")
-    reviews = _reviews(fct)
-    base = left_join_split(albums.join(bands, "band_id", "inner"), reviews, ["album_id"])
+    return left_join_split(albums.join(bands, "band_id", "inner"), _reviews(fct), ["album_id"])
+
+
+def temporal_analysis(dim_bands: DataFrame, dim_albums: DataFrame, fct: DataFrame,
+                      first_year: int = R.TEMPORAL_FROM, last_year: int = R.TEMPORAL_TO,
+                      ordered: bool = True) -> DataFrame:
+    keys = ["album_year", "release_decade", "release_era"]
+    base = temporal_base(dim_bands, dim_albums, fct, first_year, last_year)
     s = F.col("score_album")
     debut = F.col("is_debut_album") == 1
     agg = base.groupBy(*keys).agg(

@@ -37,179 +37,142 @@ q("fct_reviews", """SELECT * REPLACE (round(score_percentile, 6) AS score_percen
   round(score_vs_decade_avg, 6) AS score_vs_decade_avg) FROM fct_reviews""")
 
 # ---- marts -------------------------------------------------------------------
-q("band_metrics", """
-SELECT b.band_id, b.band_name, b.country, b.continent, b.death_metal_subgenre, b.formation_era,
-  b.band_maturity, b.years_active,
-  count(DISTINCT a.album_id) AS total_albums,
-  min(a.album_year) AS first_album_year, max(a.album_year) AS latest_album_year,
-  max(a.album_year) - min(a.album_year) AS discography_span,
-  count(r.review_id) AS total_reviews,
-  round(avg(r.score_album), 6) AS avg_score,
-  round(min(r.score_album), 6) AS min_score, round(max(r.score_album), 6) AS max_score,
-  round(stddev_samp(r.score_album), 6) AS score_consistency,
-  round(CAST(sum(CASE WHEN r.score_album >= 80 THEN 1 ELSE 0 END) AS DOUBLE) * 100.0
-        / nullif(count(r.review_id), 0), 6) AS pct_high_quality,
-  round(CAST(sum(CASE WHEN r.score_album >= 90 THEN 1 ELSE 0 END) AS DOUBLE) * 100.0
-        / nullif(count(r.review_id), 0), 6) AS pct_excellent,
-  CASE WHEN count(r.review_id) >= 5 THEN 1 ELSE 0 END AS has_substantial_catalog,
-  CASE WHEN stddev_samp(r.score_album) <= 10 THEN 1 ELSE 0 END AS is_consistent_quality
-FROM dim_bands b
-LEFT JOIN dim_albums a ON b.band_id = a.band_id
-LEFT JOIN fct_reviews r ON a.album_id = r.album_id
-GROUP BY b.band_id, b.band_name, b.country, b.continent, b.death_metal_subgenre, b.formation_era,
-  b.band_maturity, b.years_active""")
-
-GEO = """
-geo_base AS (
-  SELECT b.country, b.continent, b.band_id, b.formed_year, b.formation_era, b.death_metal_subgenre,
-         b.is_active_flag, b.is_veteran_band, a.album_id, a.release_decade
-  FROM dim_bands b LEFT JOIN dim_albums a ON b.band_id = a.band_id),
-geo_agg AS (
-  SELECT country, continent,
-    count(DISTINCT band_id) AS total_bands, count(DISTINCT album_id) AS total_albums,
-    min(formed_year) AS first_band_formed, max(formed_year) AS latest_band_formed,
-    CAST(sum(is_active_flag) AS BIGINT) AS active_bands, CAST(sum(is_veteran_band) AS BIGINT) AS veteran_bands,
-    count(DISTINCT death_metal_subgenre) AS subgenres_count,
-    CAST(sum(CASE WHEN release_decade = '1990s' THEN 1 ELSE 0 END) AS BIGINT) AS albums_90s,
-    CAST(sum(CASE WHEN release_decade = '2000s' THEN 1 ELSE 0 END) AS BIGINT) AS albums_00s,
-    CAST(sum(CASE WHEN release_decade = '2010s' THEN 1 ELSE 0 END) AS BIGINT) AS albums_10s,
-    round(count(DISTINCT album_id) * 1.0 / nullif(count(DISTINCT band_id), 0), 6) AS albums_per_band
-  FROM geo_base GROUP BY country, continent),
-geo_era AS (
-  SELECT country, continent, formation_era AS dominant_era FROM (
-    SELECT country, continent, formation_era,
-      row_number() OVER (PARTITION BY country, continent ORDER BY cnt DESC, formation_era) AS rn
-    FROM (SELECT country, continent, formation_era, count(*) AS cnt FROM geo_base
-          WHERE formation_era IS NOT NULL GROUP BY ALL)) WHERE rn = 1),
-geo_sub AS (
-  SELECT country, continent, death_metal_subgenre AS dominant_subgenre FROM (
-    SELECT country, continent, death_metal_subgenre,
-      row_number() OVER (PARTITION BY country, continent ORDER BY cnt DESC, death_metal_subgenre) AS rn
-    FROM (SELECT country, continent, death_metal_subgenre, count(*) AS cnt FROM geo_base
-          WHERE death_metal_subgenre IS NOT NULL GROUP BY ALL)) WHERE rn = 1)"""
-
-q("geographic_analysis", f"""
-WITH {GEO.strip()}
-SELECT g.*, e.dominant_era, s.dominant_subgenre,
-  row_number() OVER (ORDER BY g.total_bands DESC, g.country NULLS LAST, g.continent) AS country_quantity_rank
-FROM geo_agg g LEFT JOIN geo_era e USING (country, continent) LEFT JOIN geo_sub s USING (country, continent)""")
-
-q("career_analysis", """
-SELECT band_id, band_name, band_career_phase, album_number_in_discography, years_since_formation,
-  album_title, album_year, score_album,
-  CASE WHEN album_number_in_discography = 1 THEN 'Debut' WHEN album_number_in_discography = 2 THEN 'Sophomore'
-       WHEN album_number_in_discography = 3 THEN 'Third' WHEN album_number_in_discography <= 5 THEN 'Early Career'
-       ELSE 'Mature Career' END AS album_career_position,
-  prev AS previous_album_score,
-  score_album - prev AS score_change,
-  round(band_avg, 6) AS band_avg_score,
-  round(score_album - band_avg, 6) AS score_vs_band_avg,
-  CASE WHEN years_since_formation <= 2 THEN 'Immediate' WHEN years_since_formation <= 5 THEN 'Early'
-       WHEN years_since_formation <= 10 THEN 'Mid' ELSE 'Late' END AS career_timing,
-  CASE WHEN album_number_in_discography = 2 AND score_album < prev THEN 1 ELSE 0 END AS has_sophomore_slump,
-  CASE WHEN score_album = band_max THEN 1 ELSE 0 END AS is_band_best_album
-FROM (
-  SELECT a.band_id, a.band_name, a.band_career_phase, a.album_number_in_discography, a.years_since_formation,
-    a.album_title, a.album_year, r.score_album,
-    lag(r.score_album, 1) OVER (PARTITION BY a.band_id ORDER BY a.album_year, a.album_id, r.review_id) AS prev,
-    avg(r.score_album) OVER (PARTITION BY a.band_id) AS band_avg,
-    max(r.score_album) OVER (PARTITION BY a.band_id) AS band_max
-  FROM dim_albums a JOIN fct_reviews r ON a.album_id = r.album_id
-  WHERE r.score_album IS NOT NULL)""")
-
-TEMPORAL = """
-t_base AS (
-  SELECT a.album_year, a.release_decade, a.release_era, a.album_id, a.band_id, b.country,
-         b.death_metal_subgenre, a.is_debut_album, r.review_id, r.score_album
-  FROM dim_albums a JOIN dim_bands b ON a.band_id = b.band_id
-  LEFT JOIN fct_reviews r ON a.album_id = r.album_id
-  WHERE a.album_year BETWEEN 1980 AND 2024),
-t_agg AS (
-  SELECT album_year, release_decade, release_era,
-    count(DISTINCT album_id) AS albums_released,
-    count(DISTINCT CASE WHEN review_id IS NOT NULL THEN band_id END) AS active_bands,
-    count(DISTINCT country) AS countries_represented,
-    count(DISTINCT CASE WHEN is_debut_album = 1 THEN album_id END) AS debut_albums,
-    avg(CASE WHEN is_debut_album = 1 THEN score_album END) AS avg_debut_score,
-    count(DISTINCT death_metal_subgenre) AS subgenres_active,
-    avg(score_album) AS avg_score, stddev_samp(score_album) AS score_variance,
-    CAST(sum(CASE WHEN score_album >= 90 THEN 1 ELSE 0 END) AS BIGINT) AS excellent_albums,
-    CAST(sum(CASE WHEN score_album >= 80 THEN 1 ELSE 0 END) AS BIGINT) AS high_quality_albums,
-    CAST(sum(CASE WHEN score_album < 50 THEN 1 ELSE 0 END) AS BIGINT) AS poor_albums
-  FROM t_base GROUP BY album_year, release_decade, release_era),
-t_med AS (
-  SELECT album_year, percentile_cont(0.5) WITHIN GROUP (ORDER BY score_album) AS median_score
-  FROM t_base WHERE score_album IS NOT NULL GROUP BY album_year),
-t_dom AS (
-  SELECT album_year, death_metal_subgenre AS dominant_subgenre FROM (
-    SELECT album_year, death_metal_subgenre,
-      row_number() OVER (PARTITION BY album_year ORDER BY cnt DESC, death_metal_subgenre) AS rn
-    FROM (SELECT album_year, death_metal_subgenre, count(*) AS cnt FROM t_base
-          WHERE death_metal_subgenre IS NOT NULL GROUP BY ALL)) WHERE rn = 1),
-t_final AS (
-  SELECT a.*, m.median_score, d.dominant_subgenre
-  FROM t_agg a LEFT JOIN t_med m USING (album_year) LEFT JOIN t_dom d USING (album_year)),
-temporal AS (
-  SELECT *, row_number() OVER (ORDER BY albums_released DESC, album_year) AS release_rank,
-            row_number() OVER (ORDER BY avg_score DESC NULLS LAST, album_year) AS quality_rank
-  FROM t_final)"""
-
-q("temporal_analysis", f"""
-WITH {TEMPORAL.strip()}
-SELECT * REPLACE (round(avg_debut_score, 6) AS avg_debut_score, round(avg_score, 6) AS avg_score,
-  round(score_variance, 6) AS score_variance, round(median_score, 6) AS median_score)
-FROM temporal ORDER BY album_year""")
-
-SUBGENRE = """
-s_base AS (
-  SELECT b.band_id, b.death_metal_subgenre, b.continent, b.country, b.formed_year, b.is_active_flag,
-         b.is_veteran_band, a.album_id, a.release_decade, r.review_id, r.score_album
-  FROM dim_bands b JOIN dim_albums a ON b.band_id = a.band_id
-  LEFT JOIN fct_reviews r ON a.album_id = r.album_id
-  WHERE b.death_metal_subgenre IS NOT NULL),
-s_agg AS (
-  SELECT death_metal_subgenre, continent,
-    count(DISTINCT album_id) AS total_albums, count(DISTINCT review_id) AS total_reviews,
-    count(DISTINCT band_id) AS total_bands, avg(score_album) AS avg_score,
-    stddev_samp(score_album) AS score_variance,
-    CAST(sum(CASE WHEN score_album >= 90 THEN 1 ELSE 0 END) AS BIGINT) AS excellent_count,
-    CAST(sum(CASE WHEN score_album >= 80 THEN 1 ELSE 0 END) AS BIGINT) AS high_quality_count,
-    CAST(sum(CASE WHEN score_album < 50 THEN 1 ELSE 0 END) AS BIGINT) AS poor_count,
-    CAST(sum(CASE WHEN score_album >= 90 THEN 1 ELSE 0 END) AS DOUBLE) * 100.0 / nullif(count(score_album), 0) AS pct_excellent,
-    CAST(sum(CASE WHEN score_album >= 80 THEN 1 ELSE 0 END) AS DOUBLE) * 100.0 / nullif(count(score_album), 0) AS pct_high_quality,
-    min(formed_year) AS earliest_band, max(formed_year) AS latest_band,
-    CAST(sum(is_active_flag) AS BIGINT) AS active_bands, CAST(sum(is_veteran_band) AS BIGINT) AS veteran_bands,
-    count(DISTINCT country) AS countries_count
-  FROM s_base GROUP BY death_metal_subgenre, continent),
-s_med AS (
-  SELECT death_metal_subgenre, continent,
-         percentile_cont(0.5) WITHIN GROUP (ORDER BY score_album) AS median_score
-  FROM s_base WHERE score_album IS NOT NULL GROUP BY death_metal_subgenre, continent),
-s_dec AS (
-  SELECT death_metal_subgenre, continent, release_decade AS dominant_decade FROM (
-    SELECT *, row_number() OVER (PARTITION BY death_metal_subgenre, continent ORDER BY cnt DESC, release_decade) AS rn
-    FROM (SELECT death_metal_subgenre, continent, release_decade, count(*) AS cnt FROM s_base GROUP BY ALL))
-  WHERE rn = 1),
-s_ctry AS (
-  SELECT death_metal_subgenre, continent, country AS dominant_country FROM (
-    SELECT *, row_number() OVER (PARTITION BY death_metal_subgenre, continent ORDER BY cnt DESC, country) AS rn
-    FROM (SELECT death_metal_subgenre, continent, country, count(*) AS cnt FROM s_base GROUP BY ALL))
-  WHERE rn = 1),
-s_final AS (
-  SELECT a.*, m.median_score, d.dominant_decade, c.dominant_country
-  FROM s_agg a LEFT JOIN s_med m USING (death_metal_subgenre, continent)
-  LEFT JOIN s_dec d USING (death_metal_subgenre, continent)
-  LEFT JOIN s_ctry c USING (death_metal_subgenre, continent)),
-subgenre AS (
-  SELECT *,
-    row_number() OVER (ORDER BY avg_score DESC NULLS LAST, death_metal_subgenre, continent) AS quality_rank,
-    row_number() OVER (ORDER BY total_bands DESC, death_metal_subgenre, continent) AS popularity_rank,
-    row_number() OVER (ORDER BY pct_excellent DESC NULLS LAST, death_metal_subgenre, continent) AS excellence_rank
-  FROM s_final)"""
-
-q("subgenre_analysis", f"""
-WITH {SUBGENRE.strip()}
-SELECT * REPLACE (round(avg_score, 6) AS avg_score, round(score_variance, 6) AS score_variance,
-  round(pct_excellent, 6) AS pct_excellent, round(pct_high_quality, 6) AS pct_high_quality,
-  round(median_score, 6) AS median_score)
+q("band_metrics", """SELECT * REPLACE (round(avg_score, 6) AS avg_score, round(min_score, 6) AS min_score,
+  round(max_score, 6) AS max_score, round(score_consistency, 6) AS score_consistency,
+  round(pct_high_quality, 6) AS pct_high_quality, round(pct_excellent, 6) AS pct_excellent)
+FROM band_metrics_m""")
+q("geographic_analysis", "SELECT * REPLACE (round(albums_per_band, 6) AS albums_per_band) FROM geo_m")
+q("career_analysis", """SELECT * REPLACE (round(band_avg_score, 6) AS band_avg_score,
+  round(score_vs_band_avg, 6) AS score_vs_band_avg) FROM career_m""")
+q("temporal_analysis", """SELECT * REPLACE (round(avg_debut_score, 6) AS avg_debut_score,
+  round(avg_score, 6) AS avg_score, round(score_variance, 6) AS score_variance,
+  round(median_score, 6) AS median_score) FROM temporal ORDER BY album_year""")
+q("subgenre_analysis", """SELECT * REPLACE (round(avg_score, 6) AS avg_score,
+  round(score_variance, 6) AS score_variance, round(pct_excellent, 6) AS pct_excellent,
+  round(pct_high_quality, 6) AS pct_high_quality, round(median_score, 6) AS median_score)
 FROM subgenre""")
+
+# ---- classifiers -----------------------------------------------------------------
+q("band_maturity_era", "SELECT band_id, years_active, formed_year, band_maturity, formation_era, "
+                       "formation_decade FROM dim_bands")
+q("continent_map", "SELECT band_id, country, continent FROM dim_bands")
+q("subgenre_rules", "SELECT band_id, genre, death_metal_subgenre FROM dim_bands")
+q("band_flags", "SELECT band_id, is_active_flag, has_name_change_flag, is_golden_age_band, "
+                "is_veteran_band, is_pure_death_metal, data_quality, total_career_span FROM dim_bands")
+q("album_phase", "SELECT album_id, album_year, formed_year, release_decade, release_era, "
+                 "band_career_phase, years_since_formation, is_debut_album, is_golden_age_release, "
+                 "is_modern_release, is_early_career_album, is_legacy_album FROM albums_enriched")
+q("album_theme", "SELECT album_id, album_title, title_theme_category FROM albums_enriched")
+q("title_length_bucket", "SELECT album_id, title_length, title_length_category FROM albums_enriched")
+q("score_bands", "SELECT review_id, album_id, score_d AS score_album, score_category, score_range, "
+                 "is_excellent_score, is_high_score, is_good_score, is_poor_score FROM reviews_base")
+q("text_length_bands", "SELECT review_id, album_id, review_title_length, review_title_category, "
+                       "review_content_length, review_content_category, has_review_title, "
+                       "has_review_content, is_substantial_review FROM reviews_base")
+q("score_deviation", "SELECT review_id, album_id, round(score_above_threshold, 6) AS score_above_threshold, "
+                     "round(score_deviation_from_average, 6) AS score_deviation_from_average "
+                     "FROM reviews_base")
+
+# ---- window operators ----------------------------------------------------------------
+q("album_numbering", "SELECT album_id, band_id, album_year, album_number_in_discography, "
+                     "reverse_album_number, album_number_in_decade, album_number_in_era, "
+                     "album_number_in_country_decade, is_first_album, is_latest_album, "
+                     "is_early_discography FROM dim_albums")
+q("score_ranks", "SELECT review_id, album_id, band_score_rank, country_score_rank, decade_score_rank, "
+                 "subgenre_score_rank FROM fct_reviews")
+q("global_rank", "SELECT review_id, album_id, score_album, overall_score_rank FROM fct_reviews")
+q("percent_ranks", "SELECT review_id, album_id, round(score_percentile, 6) AS score_percentile, "
+                   "round(decade_score_percentile, 6) AS decade_score_percentile, "
+                   "round(subgenre_score_percentile, 6) AS subgenre_score_percentile FROM fct_reviews")
+q("score_vs_avg", "SELECT review_id, album_id, round(score_vs_overall_avg, 6) AS score_vs_overall_avg, "
+                  "round(score_vs_band_avg, 6) AS score_vs_band_avg, "
+                  "round(score_vs_country_avg, 6) AS score_vs_country_avg, "
+                  "round(score_vs_decade_avg, 6) AS score_vs_decade_avg FROM fct_reviews")
+q("above_avg_flags", "SELECT review_id, album_id, is_above_overall_avg, is_above_band_avg, "
+                     "is_above_subgenre_avg FROM fct_reviews")
+q("partition_counts", "SELECT review_id, album_id, band_total_reviews, album_total_reviews FROM fct_reviews")
+q("lag_change", "SELECT band_id, album_year, album_title, score_album, previous_album_score, score_change, "
+                "round(band_avg_score, 6) AS band_avg_score, round(score_vs_band_avg, 6) AS score_vs_band_avg, "
+                "album_career_position, career_timing FROM career_m")
+q("sophomore_slump", "SELECT band_id, album_number_in_discography, score_album, previous_album_score, "
+                     "has_sophomore_slump FROM career_m")
+q("band_best", "SELECT band_id, album_title, score_album, is_band_best_album FROM career_m")
+
+# ---- aggregates ---------------------------------------------------------------------
+q("median_by_year", "SELECT album_year, round(median_score, 6) AS median_score FROM t_med")
+q("dominant_subgenre_by_year", "SELECT * FROM t_dom")
+q("dominant_era_by_country", "SELECT * FROM geo_era")
+q("conditional_distinct", """SELECT album_year,
+  count(DISTINCT CASE WHEN review_id IS NOT NULL THEN band_id END) AS active_bands,
+  count(DISTINCT CASE WHEN is_debut_album = 1 THEN album_id END) AS debut_albums,
+  round(avg(CASE WHEN is_debut_album = 1 THEN score_album END), 6) AS avg_debut_score
+FROM t_base GROUP BY album_year""")
+q("safe_percent", "SELECT band_id, total_reviews, round(pct_high_quality, 6) AS pct_high_quality, "
+                  "round(pct_excellent, 6) AS pct_excellent FROM band_metrics_m")
+q("safe_ratio", """SELECT band_id, round(CASE WHEN total_albums = 0 OR total_albums IS NULL THEN NULL
+  ELSE CAST(total_reviews AS DOUBLE) / total_albums END, 6) AS reviews_per_album FROM band_metrics_m""")
+q("mode_value", """SELECT band_id, album_year AS mode_album_year FROM (
+  SELECT band_id, album_year, row_number() OVER (PARTITION BY band_id ORDER BY cnt DESC, album_year) AS rn
+  FROM (SELECT band_id, album_year, count(*) AS cnt FROM dim_albums GROUP BY ALL)) WHERE rn = 1""")
+q("stddev_by_band", "SELECT band_id, count(score_album) AS n_scores, "
+                    "round(stddev_samp(score_album), 6) AS score_stddev FROM fct_reviews GROUP BY band_id")
+q("percentile_any", """SELECT release_decade,
+  round(quantile_cont(score_album, 0.25), 6) AS p25_score, round(quantile_cont(score_album, 0.5), 6) AS p50_score,
+  round(quantile_cont(score_album, 0.75), 6) AS p75_score, round(quantile_cont(score_album, 0.9), 6) AS p90_score
+FROM fct_reviews GROUP BY release_decade""")
+
+# ---- analyst queries -----------------------------------------------------------------
+q("top_bands", """SELECT band_name, total_albums, round(avg_score, 6) AS avg_score,
+  round(pct_excellent, 6) AS pct_excellent
+FROM band_metrics_m WHERE has_substantial_catalog = 1
+ORDER BY avg_score DESC NULLS LAST, band_id LIMIT 10""")
+q("country_list", """SELECT country, total_bands, dominant_subgenre FROM geo_m
+WHERE total_bands >= 10 ORDER BY total_bands DESC, country NULLS LAST""")
+q("career_pattern", """SELECT album_career_position, round(avg(score_album), 6) AS avg_score,
+  count(*) AS total_albums FROM career_m GROUP BY album_career_position ORDER BY avg_score DESC""")
+q("yearly_trend", """SELECT release_decade, albums_released, round(avg_score, 6) AS avg_score,
+  dominant_subgenre FROM temporal ORDER BY release_decade, album_year""")
+q("score_evolution", """
+SELECT b.band_name,
+  count(CASE WHEN bt.score_album > bt.prev_score THEN 1 END) AS improvements,
+  count(CASE WHEN bt.score_album < bt.prev_score THEN 1 END) AS declines
+FROM (SELECT band_id, album_year, score_album,
+        lag(score_album) OVER (PARTITION BY band_id ORDER BY album_year, album_id, review_id) AS prev_score
+      FROM fct_reviews) bt
+JOIN dim_bands b ON bt.band_id = b.band_id
+GROUP BY b.band_name HAVING count(*) >= 5""")
+
+
+# ---- data-quality checks: plain SQL counts generated from the declared list ----------
+def _check_sql(kind: str) -> str:
+    from grimlake.operators.quality import DECLARED_CHECKS
+    cte_of = {"stg_metal_bands": "stg_bands", "stg_metal_albums": "stg_albums",
+              "stg_metal_reviews": "stg_reviews", "int_metal_bands_parsed": "parsed",
+              "dim_bands": "dim_bands", "dim_albums": "dim_albums", "fct_reviews": "fct_reviews"}
+    parts = []
+    for ch in DECLARED_CHECKS:
+        if ch.kind != kind:
+            continue
+        m, col = cte_of[ch.model], ch.column
+        meta = (f"'{ch.check_id}' AS check_id, '{ch.model}' AS model, '{col}' AS column_name, "
+                f"'{ch.kind}' AS test, '{ch.severity}' AS severity")
+        if kind == "not_null":
+            n = f"(SELECT count(*) FROM {m} WHERE {col} IS NULL)"
+        elif kind == "unique":
+            n = (f"(SELECT count(*) FROM (SELECT {col} FROM {m} WHERE {col} IS NOT NULL "
+                 f"GROUP BY {col} HAVING count(*) > 1))")
+        elif kind == "accepted_values":
+            vals = ", ".join("'" + v.replace("'", "''") + "'" for v in ch.values)
+            n = f"(SELECT count(DISTINCT {col}) FROM {m} WHERE {col} NOT IN ({vals}))"
+        else:
+            p, pc = cte_of[ch.to_model], ch.to_column
+            n = (f"(SELECT count(*) FROM {m} c WHERE c.{col} IS NOT NULL AND NOT EXISTS "
+                 f"(SELECT 1 FROM {p} p WHERE p.{pc} = c.{col}))")
+        parts.append(f"SELECT {meta}, CAST({n} AS BIGINT) AS failures")
+    return "\nUNION ALL\n".join(parts)
+
+
+for _kind, _name in [("not_null", "check_not_null"), ("unique", "check_unique"),
+                     ("accepted_values", "check_accepted_values"),
+                     ("relationships", "check_relationships")]:
+    q(_name, _check_sql(_kind))

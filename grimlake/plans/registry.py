@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from grimlake.operators import quality
-from grimlake.plans import aggregates, analyst, marts, periods
+from grimlake.plans import aggregates, analyst, marts, periods, staging
 from grimlake.plans.catalog import Catalog
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
@@ -393,3 +393,28 @@ def _check_accepted_values(c: Catalog) -> DataFrame:
 @register("check_relationships")
 def _check_relationships(c: Catalog) -> DataFrame:
     return _checks(c, "relationships")
+
+
+# ---- sources and sinks (S1-S10, S13) ------------------------------------------------
+@register("csv_roundtrip")
+def _csv_roundtrip(c: Catalog) -> DataFrame:
+    """Write the raw reviews as CSV into the shared scratch folder,
+    scan them back with the declared schema, and stage them."""
+    import uuid
+
+    from grimlake.session import checkpoint_dir
+    from grimlake.sources import raw as raw_io
+    from grimlake.sources.schemas import RAW_REVIEWS
+
+    base = f"{checkpoint_dir(c.spark).rstrip('/')}/csv-roundtrip-{uuid.uuid4().hex}"
+    raw_io.write_csv(c.raw["reviews"], f"{base}/reviews")
+    scanned = raw_io.read_csv_table(c.spark, base, "reviews", RAW_REVIEWS,
+                                    null_value=raw_io.NULL_MARKER)
+    return staging.stg_reviews(scanned)
+
+
+@register("preview")
+def _preview(c: Catalog) -> DataFrame:
+    """First rows of a loaded table (the limit is the feature)."""
+    from grimlake.sources.raw import preview
+    return preview(c.stg_bands, 5)

@@ -176,3 +176,7 @@ for _kind, _name in [("not_null", "check_not_null"), ("unique", "check_unique"),
                      ("accepted_values", "check_accepted_values"),
                      ("relationships", "check_relationships")]:
     q(_name, _check_sql(_kind))
+
+# ---- sources -------------------------------------------------------------------------
+q("csv_roundtrip", "SELECT review_id, album_id, review_title, CAST(score_album AS DOUBLE) AS score_album, "
+                   "content_review FROM stg_reviews")

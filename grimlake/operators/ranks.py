@@ -38,6 +38,7 @@ are ever ordered without a partition key.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from dataclasses import dataclass
 
 from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame, Window
@@ -100,44 +101,222 @@ def add_tie_bucket(df: DataFrame, tie: str, n_buckets: int | None = None,
 
 
 def attach(df: DataFrame, table: DataFrame, keys: Sequence[str] | str | None,
-           how: str = "left") -> DataFrame:
+           how: str = "left", rows: int | None = None) -> DataFrame:
     """Join a per-key table onto rows with null-safe key equality (a null
-    group is one group, as in a window partition)."""
+    group is one group, as in a window partition). ``rows`` is the table's
+    measured row count: at or under the broadcast bound the table is
+    broadcast (the rows are not shuffled); otherwise it is a shuffle join."""
+    if rows is not None and rows <= broadcast_rows_limit(df.sparkSession):
+        table = F.broadcast(table)
     return _null_safe_join(df, table, _cols(keys), how)
 
 
+MAX_ROWS_CONF = "spark.grimlake.window.maxRowsPerTask"
+DEFAULT_MAX_ROWS_PER_TASK = 4_000_000
+
+
+def max_rows_per_task(spark) -> int:
+    """Largest group one task may sort for a window (session setting)."""
+    return int(spark.conf.get(MAX_ROWS_CONF, str(DEFAULT_MAX_ROWS_PER_TASK)))
+
+
+BROADCAST_ROWS_CONF = "spark.grimlake.broadcast.maxRows"
+DEFAULT_BROADCAST_ROWS = 1_000_000
+
+
+@dataclass(frozen=True)
+class Profile:
+    groups: int      # distinct partition values
+    cells: int       # distinct (partition, order value) pairs
+    max_group: int   # rows of the largest group
+    max_cell: int    # rows of the largest (partition, order value) pair
+
+
+def _profile_key(partition, order) -> tuple:
+    return (tuple(_cols(partition)), order)
+
+
+def group_profiles(df: DataFrame, sets: Sequence[tuple]) -> dict[tuple, Profile]:
+    """Profiles of several (partition, order) pairs from ONE aggregation job
+    (grouping sets over the union of their columns); memoised on ``df``."""
+    memo = df.__dict__.setdefault("_grimlake_profiles", {})
+    wanted = [_profile_key(p, o) for p, o in sets]
+    missing = list(dict.fromkeys(k for k in wanted if k not in memo))
+    if missing:
+        cols = list(dict.fromkeys(c for P, o in missing for c in (*P, o)))
+        gids = {}
+        for P, o in missing:
+            grouped = set(P) | {o}
+            gids[(P, o)] = sum(1 << (len(cols) - 1 - i) for i, c in enumerate(cols)
+                               if c not in grouped)
+        cells = (df.groupingSets([[*P, o] for P, o in missing], *cols)
+                 .agg(F.count(F.lit(1)).alias("_n"), F.grouping_id().alias("_gid")))
+        # For one set the columns outside it are constant null, so grouping by
+        # all of them and the set id gives that set's groups.
+        part_cols = [c for c in cols if any(c in P for P, _ in missing)]
+        per_group = cells.groupBy("_gid", *part_cols).agg(
+            F.sum("_n").alias("_g"), F.max("_n").alias("_m"), F.count(F.lit(1)).alias("_c"))
+        # The order column is not a group key here; only partition columns are.
+        rows = per_group.groupBy("_gid").agg(
+            F.count(F.lit(1)).alias("groups"), F.sum("_c").alias("cells"),
+            F.max("_g").alias("g"), F.max("_m").alias("m")).collect()
+        by_gid = {r["_gid"]: r for r in rows}
+        for k in missing:
+            r = by_gid.get(gids[k])
+            memo[k] = (Profile(0, 0, 0, 0) if r is None else
+                       Profile(int(r["groups"]), int(r["cells"]), int(r["g"]), int(r["m"])))
+    return {k: memo[k] for k in wanted}
+
+
+def group_profile(df: DataFrame, partition: Sequence[str] | str | None,
+                  order: str) -> Profile:
+    """Sizes that decide a plan (see ``Profile``); one aggregation job."""
+    return group_profiles(df, [(partition, order)])[_profile_key(partition, order)]
+
+
+def broadcast_rows_limit(spark) -> int:
+    return int(spark.conf.get(BROADCAST_ROWS_CONF, str(DEFAULT_BROADCAST_ROWS)))
+
+
+@dataclass(frozen=True)
+class RankSpec:
+    """``row_number() OVER (PARTITION BY partition ORDER BY order [DESC]
+    NULLS LAST, ties ASC NULLS LAST)`` written to column ``out``."""
+    partition: tuple
+    order: str
+    desc: bool
+    ties: tuple
+    out: str
+
+    @classmethod
+    def of(cls, partition, order, desc, ties, out) -> "RankSpec":
+        return cls(tuple(_cols(partition)), order, desc, tuple(_cols(ties)), out)
+
+    def window(self) -> Window:
+        return Window.partitionBy(*self.partition).orderBy(
+            _order(self.order, self.desc), *[F.col(t).asc_nulls_last() for t in self.ties])
+
+
+class Work:
+    """Everything computed over one partitioning: an optional row number
+    (``rank``) and aggregates over the whole partition (``aggs``)."""
+
+    def __init__(self, partition, order: str, rank: RankSpec | None = None,
+                 aggs: dict[str, Column] | None = None):
+        self.partition = tuple(_cols(partition))
+        self.order = order
+        self.rank = rank
+        self.aggs = dict(aggs or {})
+
+
+def partition_columns(df: DataFrame, works: Sequence[Work], key: str = "_rk",
+                      limit: int | None = None) -> DataFrame:
+    """Add the row numbers and partition aggregates of ``works`` to ``df``,
+    choosing each plan from measured sizes (one profiling job for all):
+
+    * aggregates only, few groups (at most the broadcast bound): a grouped
+      table broadcast onto the rows - the rows are not shuffled;
+    * largest group fits one task (``limit`` rows): ordinary windows; the
+      row number and the aggregates of one partitioning share one exchange;
+    * otherwise (and always for a global row number): ``row_number_frame``
+      joined on the unique row ``key``, aggregates as a grouped table joined
+      back (broadcast when small) - no task ever holds a whole group.
+    """
+    spark = df.sparkSession
+    limit = limit or max_rows_per_task(spark)
+    bcast = broadcast_rows_limit(spark)
+    profiles = group_profiles(df, [(w.partition, w.order) for w in works])
+    out, window_cols, frames, tables = df, {}, [], []
+    for w in works:
+        prof = profiles[_profile_key(w.partition, w.order)]
+        fits = bool(w.partition) and prof.max_group <= limit
+        if w.rank is None and w.aggs and (prof.groups <= bcast or not fits):
+            tables.append((w, prof))
+        elif fits:
+            if w.rank is not None:
+                window_cols[w.rank.out] = F.row_number().over(w.rank.window()).cast("bigint")
+            part = Window.partitionBy(*w.partition)
+            window_cols.update({n: c.over(part) for n, c in w.aggs.items()})
+        else:
+            if w.rank is not None:
+                frames.append((w, prof))
+            if w.aggs:
+                tables.append((w, prof))
+    if window_cols:
+        out = out.withColumns(window_cols)
+    for w, prof in frames:
+        buckets = 1 if prof.max_cell <= limit else min(4096, -(-prof.max_cell // limit) * 4)
+        r = w.rank
+        out = out.join(row_number_frame(df, r.partition, r.order, r.desc, r.ties, r.out,
+                                        key=key, n_buckets=buckets,
+                                        cell_rows=prof.cells * buckets), key, "inner")
+    for w, prof in tables:
+        out = attach(out, group_stats(df, w.partition, w.aggs), w.partition, rows=prof.groups)
+    return out
+
+
+def with_row_numbers(df: DataFrame, specs: Sequence[RankSpec], key: str = "_rk",
+                     limit: int | None = None) -> DataFrame:
+    """Row numbers only (see ``partition_columns``)."""
+    return partition_columns(df, [Work(s.partition, s.order, rank=s) for s in specs], key,
+                             limit)
+
+
 def row_number_frame(df: DataFrame, partition: Sequence[str] | str | None, order: str,
                      desc: bool, ties: Sequence[str] | str, out: str, key: str = "_rk",
-                     tie_bucket: str = TIE_BUCKET) -> DataFrame:
+                     n_buckets: int | None = None, cell_rows: int | None = None) -> DataFrame:
     """Exact ``row_number() OVER (PARTITION BY p ORDER BY order [DESC] NULLS
     LAST, ties ASC NULLS LAST)`` as a two-column frame (``key``, ``out``),
     without a whole group or a whole table in one task.
 
-    ``df`` must carry ``tie_bucket`` from ``add_tie_bucket`` on ``ties[0]``
-    and a unique row ``key``. Callers join the frames they need onto one
-    base; chaining helpers on their own output would double the plan each
-    step.
+    Rows are numbered inside cells (group, order value, tie range) by an
+    ordinary window, then shifted by the cell's offset: the rows of the
+    group with an earlier order value plus the rows of the same value in
+    earlier tie ranges, both running sums over the (small) cell table.
+    With ``n_buckets`` 1 a cell is a (group, order value) pair; more
+    buckets split hot values by ``approxQuantile`` ranges of ``ties[0]``.
+    ``key`` must be unique per row. ``cell_rows`` (an upper bound of the
+    cell count, when known) lets the offset table be broadcast.
     """
     P, T = _cols(partition), _cols(ties)
-    cell_keys = P + [order, tie_bucket]
-    cells = df.groupBy(*cell_keys).agg(F.count(F.lit(1)).alias("_cell_n"))
-    # Rows of the same (group, order value) in earlier tie ranges.
-    w_cell = (Window.partitionBy(*P, order).orderBy(F.col(tie_bucket).asc())
+    n_buckets = 1 if n_buckets is None else n_buckets
+    rows = df.select(key, *P, order, *[t for t in T if t not in P and t != order])
+    if n_buckets > 1:
+        rows = add_tie_bucket(rows, T[0], n_buckets)
+    else:
+        rows = rows.withColumn(TIE_BUCKET, F.lit(0))
+    cell_keys = P + [order, TIE_BUCKET]
+    w_local = Window.partitionBy(*cell_keys).orderBy(*[F.col(t).asc_nulls_last() for t in T])
+    local = rows.withColumn("_local", F.row_number().over(w_local))
+    cells = rows.groupBy(*cell_keys).agg(F.count(F.lit(1)).alias("_cell_n"))
+    w_cell = (Window.partitionBy(*P, order).orderBy(F.col(TIE_BUCKET).asc())
               .rowsBetween(Window.unboundedPreceding, -1))
     cells = cells.withColumn("_in_value", F.coalesce(F.sum("_cell_n").over(w_cell), F.lit(0)))
-    # Rows of the group with a strictly earlier order value: a histogram over
-    # distinct (group, order value), already aggregated.
+    # Rows of the group with a strictly earlier order value: a running sum
+    # over the (group, order value) histogram, which is already aggregated.
     hist = cells.groupBy(*P, order).agg(F.sum("_cell_n").alias("_value_n"))
     w_hist = (Window.partitionBy(*P).orderBy(_order(order, desc))
               .rowsBetween(Window.unboundedPreceding, -1))
     hist = hist.withColumn("_before", F.coalesce(F.sum("_value_n").over(w_hist), F.lit(0)))
     offsets = _null_safe_join(cells, hist.select(*P, order, "_before"), P + [order], "inner")
     offsets = offsets.select(*cell_keys, (F.col("_before") + F.col("_in_value")).alias("_off"))
-    rows = df.select(key, *cell_keys, *[t for t in T if t not in cell_keys])
-    joined = _null_safe_join(rows, offsets, cell_keys, "inner")
-    w_row = Window.partitionBy(*cell_keys).orderBy(*[F.col(t).asc_nulls_last() for t in T])
-    return joined.select(key, (F.col("_off") + F.row_number().over(w_row)).cast("bigint")
-                         .alias(out))
+    joined = attach(local, offsets, cell_keys, "inner", rows=cell_rows)
+    return joined.select(key, (F.col("_off") + F.col("_local")).cast("bigint").alias(out))
+
+
+def lag_over(df: DataFrame, spec: RankSpec, value: str, out: str, key: str = "_rk",
+             limit: int | None = None) -> DataFrame:
+    """``lag(value, 1) OVER (spec's window)`` added as ``out``: an ordinary
+    window when the largest group fits one task, otherwise row numbers from
+    ``row_number_frame`` and an equi-join to the previous row."""
+    limit = limit or max_rows_per_task(df.sparkSession)
+    prof = group_profile(df, spec.partition, spec.order)
+    if spec.partition and prof.max_group <= limit:
+        return df.withColumn(out, F.lag(F.col(value), 1).over(spec.window()))
+    buckets = 1 if prof.max_cell <= limit else min(4096, -(-prof.max_cell // limit) * 4)
+    rn = row_number_frame(df, spec.partition, spec.order, spec.desc, spec.ties, "_lag_rn",
+                          key=key, n_buckets=buckets, cell_rows=prof.cells * buckets)
+    return lag_by(df.join(rn, key, "inner"), spec.partition, "_lag_rn", value, out).drop("_lag_rn")
 
 
 def percent_rank_table(df: DataFrame, partition: Sequence[str] | str | None, order: str,

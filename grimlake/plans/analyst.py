@@ -47,11 +47,8 @@ def score_evolution(fct_base: DataFrame, dim_bands: DataFrame, min_rows: int = 5
     ``min_rows`` joined rows (HAVING)."""
     rows = fct_base.select("_rk", "band_id", "album_id", "review_id", "album_year",
                            F.col("score_album").cast("double").alias("score_album"))
-    tb = ranks.add_tie_bucket(rows, "album_id")
-    rn = ranks.row_number_frame(tb, "band_id", "album_year", False, ["album_id", "review_id"],
-                                "_rn")
-    timeline = ranks.lag_by(rows.join(rn, "_rk", "inner"), "band_id", "_rn", "score_album",
-                            "prev_score")
+    order = ranks.RankSpec.of("band_id", "album_year", False, ["album_id", "review_id"], "_")
+    timeline = ranks.lag_over(rows, order, "score_album", "prev_score")
     s, prev = F.col("score_album"), F.col("prev_score")
     joined = timeline.join(dim_bands.select("band_id", "band_name"), "band_id", "inner")
     return (joined.groupBy("band_name")

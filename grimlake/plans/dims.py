@@ -118,19 +118,23 @@ def albums_enriched(stg_albums: DataFrame, dim_bands_df: DataFrame) -> DataFrame
 
 def album_numbers(narrow: DataFrame) -> DataFrame:
     """W1-W3 on the album projection ``NUMBERING_INPUT``; returns ``_rk`` +
-    ``NUMBERING_OUTPUT``. Each number is a separate frame keyed by ``_rk``
-    (see ``ranks.row_number_frame``), joined once onto the projection."""
-    df = ranks.add_tie_bucket(narrow, "album_id")
-    specs = [("band_id", "album_number_in_discography"),
-             ("release_decade", "album_number_in_decade"),
-             ("release_era", "album_number_in_era"),
-             (["country", "release_decade"], "album_number_in_country_decade")]
-    out = narrow.select("_rk", "band_id")
-    for part, name in specs:
-        out = out.join(ranks.row_number_frame(df, part, "album_year", False, "album_id", name),
-                       "_rk", "inner")
-    out = ranks.attach(out, ranks.group_stats(narrow, "band_id",
-                                              {"_band_albums": F.count(F.lit(1))}), "band_id")
+    ``NUMBERING_OUTPUT``. ``ranks.partition_columns`` picks an ordinary
+    window or the distributed form per partitioning from measured group
+    sizes (release decade and era have a handful of groups); the band
+    number and the band's album count share one partitioning."""
+    def rank(part, name):
+        return ranks.RankSpec.of(part, "album_year", False, "album_id", name)
+
+    works = [
+        ranks.Work("band_id", "album_year", rank("band_id", "album_number_in_discography"),
+                   {"_band_albums": F.count(F.lit(1))}),
+        ranks.Work("release_decade", "album_year",
+                   rank("release_decade", "album_number_in_decade")),
+        ranks.Work("release_era", "album_year", rank("release_era", "album_number_in_era")),
+        ranks.Work(["country", "release_decade"], "album_year",
+                   rank(["country", "release_decade"], "album_number_in_country_decade")),
+    ]
+    out = ranks.partition_columns(narrow, works)
     n = F.col("album_number_in_discography")
     out = out.withColumns({
         "reverse_album_number": (F.col("_band_albums") - n + 1).cast("bigint"),

@@ -9,8 +9,9 @@ Plan shape, chosen for a fact far larger than memory:
    three), and lineage is cut (lost executors re-read the files instead of
    recomputing from the raw scan).
 2. All window columns run on an eight-column projection of ``base``:
-   - ranks (overall, band, country, decade, subgenre): ``row_number_by``
-     (exact, no single partition, hot scores split by review-id ranges);
+   - ranks (overall, band, country, decade, subgenre): ``with_row_numbers``
+     (exact; the overall rank and any group too big for one task use the
+     distributed cell form, hot scores split by review-id ranges);
    - percentiles (overall, decade, subgenre): score histograms;
    - averages and counts: ``groupBy`` + join back (partial aggregation).
 3. One join of the projection back to ``base`` on the row key.
@@ -102,34 +103,46 @@ NARROW = ["_rk", "review_id", "album_id", "band_id", "country", "release_decade"
 
 def window_columns(narrow: DataFrame) -> DataFrame:
     """W4-W11 on the projection (``NARROW`` + ``score_d``); returns ``_rk``
-    and the window columns. Every table below is computed from ``narrow``
-    itself and joined once, so the plan grows linearly."""
+    and the window columns.
+
+    ``ranks.partition_columns`` plans each partitioning from one profiling
+    job: per band / country / decade / subgenre the rank and the average
+    share one exchange when the largest group fits a task; the overall rank
+    (and any oversized group) uses the distributed cell form; per-album
+    counts are a grouped table. Percent ranks come from (group, score)
+    histograms, broadcast when their measured size is small.
+    """
     sd = F.col("score_d")
-    tb = ranks.add_tie_bucket(narrow, "review_id")
-    out = narrow
-    for part, name in [(None, "overall_score_rank"), ("band_id", "band_score_rank"),
-                       ("country", "country_score_rank"),
-                       ("release_decade", "decade_score_rank"),
-                       ("death_metal_subgenre", "subgenre_score_rank")]:
-        out = out.join(ranks.row_number_frame(tb, part, "score_d", True, "review_id", name),
-                       "_rk", "inner")
+    avg, cnt = F.avg(sd), F.count(F.lit(1))
+
+    def rank(part, name):
+        return ranks.RankSpec.of(part, "score_d", True, "review_id", name)
+
+    works = [
+        ranks.Work((), "score_d", rank(None, "overall_score_rank"), {"_avg_all": avg}),
+        ranks.Work("band_id", "score_d", rank("band_id", "band_score_rank"),
+                   {"_avg_band": avg, "band_total_reviews": cnt}),
+        ranks.Work("country", "score_d", rank("country", "country_score_rank"),
+                   {"_avg_country": avg}),
+        ranks.Work("release_decade", "score_d", rank("release_decade", "decade_score_rank"),
+                   {"_avg_decade": avg}),
+        ranks.Work("death_metal_subgenre", "score_d",
+                   rank("death_metal_subgenre", "subgenre_score_rank"), {"_avg_sub": avg}),
+        ranks.Work("album_id", "score_d", None, {"album_total_reviews": cnt}),
+    ]
+    out = ranks.partition_columns(narrow, works)
     for part, name in [(None, "score_percentile"), ("release_decade", "decade_score_percentile"),
                        ("death_metal_subgenre", "subgenre_score_percentile")]:
         keys = ([part] if part else []) + ["score_d"]
-        out = ranks.attach(out, ranks.percent_rank_table(narrow, part, "score_d", name), keys)
-    stats = [(None, {"_avg_all": F.avg(sd)}),
-             ("band_id", {"_avg_band": F.avg(sd), "band_total_reviews": F.count(F.lit(1))}),
-             ("country", {"_avg_country": F.avg(sd)}),
-             ("release_decade", {"_avg_decade": F.avg(sd)}),
-             ("death_metal_subgenre", {"_avg_sub": F.avg(sd)}),
-             ("album_id", {"album_total_reviews": F.count(F.lit(1))})]
-    for part, aggs in stats:
-        out = ranks.attach(out, ranks.group_stats(narrow, part, aggs), part)
+        cells = ranks.group_profile(narrow, part, "score_d").cells
+        out = ranks.attach(out, ranks.percent_rank_table(narrow, part, "score_d", name), keys,
+                           rows=cells)
     return out.select(
         "_rk", "overall_score_rank", "band_score_rank", "country_score_rank",
         "decade_score_rank", "subgenre_score_rank", "score_percentile",
-        "decade_score_percentile", "subgenre_score_percentile", "band_total_reviews",
-        "album_total_reviews",
+        "decade_score_percentile", "subgenre_score_percentile",
+        F.col("band_total_reviews").cast("bigint").alias("band_total_reviews"),
+        F.col("album_total_reviews").cast("bigint").alias("album_total_reviews"),
         X.flag(sd > F.col("_avg_all")).alias("is_above_overall_avg"),
         X.flag(sd > F.col("_avg_band")).alias("is_above_band_avg"),
         X.flag(sd > F.col("_avg_sub")).alias("is_above_subgenre_avg"),
@@ -145,7 +158,17 @@ def fct_base(stg_reviews: DataFrame, dim_albums_df: DataFrame) -> DataFrame:
     ``_rk``. Marts read this (they need no window column), so they never
     re-run the seventeen windows."""
     base = reviews_base(stg_reviews, dim_albums_df)
-    return stored_table(base.withColumn("_rk", F.monotonically_increasing_id()), "fct_base")
+    return stored_table(base.withColumn("_rk", F.monotonically_increasing_id()), "fct_base",
+                        bucket_by="_rk")
+
+
+def bucket_count(df: DataFrame) -> int | None:
+    """Bucket count of a bucketed table scan (None when not bucketed)."""
+    spec = df._jdf.queryExecution().analyzed().collectLeaves().head()
+    try:
+        return int(spec.catalogTable().get().bucketSpec().get().numBuckets())
+    except Exception:  # noqa: BLE001 - not a bucketed catalog table
+        return None
 
 
 def stored_windows(base: DataFrame) -> DataFrame:
@@ -154,7 +177,8 @@ def stored_windows(base: DataFrame) -> DataFrame:
     narrow = base.select(*NARROW, F.col("score_album").cast("double").alias("score_d"))
     windows = window_columns(narrow)
     ids = narrow.select("_rk", "review_id", "album_id", "band_id", "score_d")
-    return stored_table(ids.join(windows, "_rk", "inner"), "fct_windows")
+    return stored_table(ids.join(windows, "_rk", "inner"), "fct_windows", bucket_by="_rk",
+                        buckets=bucket_count(base))
 
 
 def fct_reviews_keyed(stg_reviews: DataFrame = None, dim_albums_df: DataFrame = None,

@@ -120,7 +120,8 @@ CAREER_COLUMNS = [
 
 def career_analysis(dim_albums_keyed: DataFrame, fct_keyed: DataFrame) -> DataFrame:
     """One row per (album, review). ``lag`` by band in (year, album_id,
-    review_id) order is a self-join on the band row number; band average and
+    review_id) order (``ranks.lag_over``: a window, or a self-join on the
+    band row number when a band is too big for one task); band average and
     best score are grouped aggregates joined back."""
     albums = dim_albums_keyed.select(
         "_ak", "album_id", "band_id", "band_name", "band_career_phase",
@@ -129,11 +130,8 @@ def career_analysis(dim_albums_keyed: DataFrame, fct_keyed: DataFrame) -> DataFr
         "_rk", "album_id", "review_id", _score().alias("score_album"))
     rows = albums.join(reviews, "album_id", "inner")
     rows = rows.withColumn("_ck", F.struct("_ak", "_rk"))
-    tb = ranks.add_tie_bucket(rows, "album_id")
-    rn = ranks.row_number_frame(tb, "band_id", "album_year", False, ["album_id", "review_id"],
-                                "_band_rn", key="_ck")
-    rows = rows.join(rn, "_ck", "inner")
-    rows = ranks.lag_by(rows, "band_id", "_band_rn", "score_album", "previous_album_score")
+    order = ranks.RankSpec.of("band_id", "album_year", False, ["album_id", "review_id"], "_")
+    rows = ranks.lag_over(rows, order, "score_album", "previous_album_score", key="_ck")
     stats = ranks.group_stats(rows, "band_id", {"band_avg_score": F.avg("score_album"),
                                                 "_band_max": F.max("score_album")})
     rows = ranks.attach(rows, stats, "band_id")

@@ -94,10 +94,21 @@ def raw_sql_for_duckdb(table: str) -> str:
     return text.replace("{" + src + "}", src)
 
 
+def spread_scan(df: DataFrame) -> DataFrame:
+    """A scan with fewer splits than the cluster has cores (one Parquet row
+    group cannot be split) is round-robin spread before the per-row work.
+    Only the few source columns move; large inputs are left as scanned."""
+    spark = df.sparkSession
+    cores = spark.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() < cores:
+        return df.repartition(cores)
+    return df
+
+
 def raw_from_driver(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
     """Build the three raw tables from the driver's Parquet tables."""
     out = {}
     for table, (text, src) in ADAPTER_SQL.items():
         src_df = spark.read.parquet(f"{sf_dir.rstrip('/')}/{src}.parquet")
-        out[table] = spark.sql(text, **{src: src_df})
+        out[table] = spark.sql(text, **{src: spread_scan(src_df)})
     return out

@@ -17,10 +17,24 @@ from pyspark.sql import DataFrame
 from grimlake.session import checkpoint_dir
 
 
-def stored_table(df: DataFrame, name: str) -> DataFrame:
-    """Write ``df`` once (Parquet, overwrite) and return a scan of it."""
+def stored_table(df: DataFrame, name: str, bucket_by: str | None = None,
+                 buckets: int | None = None) -> DataFrame:
+    """Write ``df`` once (Parquet, overwrite) and return a scan of it.
+
+    With ``bucket_by`` the files are hash-bucketed on that column and the
+    table is registered (external, under the checkpoint folder) so scans
+    know the layout: two tables bucketed the same way join on that column
+    without an exchange.
+    """
     spark = df.sparkSession
     base = checkpoint_dir(spark).rstrip("/")
-    path = f"{base}/tables/{name}-{uuid.uuid4().hex}"
-    df.write.mode("overwrite").parquet(path)
-    return spark.read.parquet(path)
+    tag = f"{name}_{uuid.uuid4().hex}"
+    path = f"{base}/tables/{tag}"
+    if bucket_by is None:
+        df.write.mode("overwrite").parquet(path)
+        return spark.read.parquet(path)
+    n = buckets or int(spark.conf.get("spark.sql.shuffle.partitions", "200"))
+    table = f"grimlake_{tag}"
+    (df.write.mode("overwrite").format("parquet").option("path", path)
+       .bucketBy(n, bucket_by).saveAsTable(table))
+    return spark.table(table)

@@ -9,7 +9,6 @@ import duckdb
 import pytest
 
 import __spark_entry__ as E
-from grimlake.operators.ranks import TIE_BUCKET  # noqa: F401
 
 SF = "/root/testdata/sf0.001"
 pytestmark = pytest.mark.skipif(not os.path.exists(SF), reason="driver tables missing")

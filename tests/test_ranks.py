@@ -28,9 +28,9 @@ def sorted_rows(df, cols):
 
 @pytest.mark.parametrize("part", [None, "grp", ["grp", "band"]])
 @pytest.mark.parametrize("desc", [True, False])
-def test_row_number_frame(spark, data, part, desc):
-    tb = ranks.add_tie_bucket(data, "tie", n_buckets=7)
-    got = ranks.row_number_frame(tb, part, "score", desc, "tie", "rn")
+@pytest.mark.parametrize("buckets", [1, 7])
+def test_row_number_frame(spark, data, part, desc, buckets):
+    got = ranks.row_number_frame(data, part, "score", desc, "tie", "rn", n_buckets=buckets)
     parts = [] if part is None else ([part] if isinstance(part, str) else part)
     order = F.col("score").desc_nulls_last() if desc else F.col("score").asc_nulls_last()
     w = Window.partitionBy(*parts).orderBy(order, F.col("tie").asc())
@@ -56,10 +56,10 @@ def test_group_stats_null_group(spark, data):
     assert sorted_rows(got, ["_rk", "a", "n"]) == sorted_rows(want, ["_rk", "a", "n"])
 
 
-def test_lag_by_rank(spark, data):
-    tb = ranks.add_tie_bucket(data, "tie", n_buckets=5)
-    rn = ranks.row_number_frame(tb, "band", "score", False, "tie", "rn")
-    got = ranks.lag_by(data.join(rn, "_rk"), "band", "rn", "score", "prev")
+@pytest.mark.parametrize("limit", [50, 10**9])
+def test_lag_over(spark, data, limit):
+    spec = ranks.RankSpec.of("band", "score", False, "tie", "_")
+    got = ranks.lag_over(data, spec, "score", "prev", limit=limit)
     w = Window.partitionBy("band").orderBy("score", "tie")
     want = data.select("_rk", F.lag("score", 1).over(w).alias("prev"))
     assert sorted_rows(got, ["_rk", "prev"]) == sorted_rows(want, ["_rk", "prev"])
@@ -79,3 +79,40 @@ def test_left_join_split(spark):
     right = spark.createDataFrame([(1, 10), (1, 11), (2, 20), (5, 50)], "k int, r int")
     rows = lambda df: sorted(tuple(str(x) for x in r) for r in df.select("k", "l", "r").collect())
     assert rows(left_join_split(left, right, ["k"])) == rows(left.join(right, "k", "left"))
+
+
+@pytest.mark.parametrize("limit", [100, 10**9])
+def test_with_row_numbers_both_paths(spark, data, limit):
+    specs = [ranks.RankSpec.of(p, "score", True, "tie", f"rn{i}")
+             for i, p in enumerate([None, "grp", "band"])]
+    got = ranks.with_row_numbers(data, specs, limit=limit)
+    cols = ["_rk", "rn0", "rn1", "rn2"]
+    want = data.select("_rk", *[F.row_number().over(sp.window()).alias(sp.out) for sp in specs])
+    assert sorted_rows(got, cols) == sorted_rows(want, cols)
+
+
+@pytest.mark.parametrize("limit", [100, 10**9])
+def test_partition_columns_ranks_and_aggs(spark, data, limit):
+    works = [ranks.Work((), "score", ranks.RankSpec.of(None, "score", True, "tie", "r0"),
+                        {"a0": F.avg("score")}),
+             ranks.Work("grp", "score", ranks.RankSpec.of("grp", "score", True, "tie", "r1"),
+                        {"a1": F.avg("score"), "n1": F.count(F.lit(1))}),
+             ranks.Work("band", "score", None, {"n2": F.count(F.lit(1))})]
+    got = ranks.partition_columns(data, works, limit=limit)
+    wg, wb = Window.partitionBy("grp"), Window.partitionBy("band")
+    want = data.select(
+        "_rk", *[F.row_number().over(w.rank.window()).alias(w.rank.out) for w in works[:2]],
+        F.avg("score").over(Window.partitionBy()).alias("a0"), F.avg("score").over(wg).alias("a1"),
+        F.count(F.lit(1)).over(wg).alias("n1"), F.count(F.lit(1)).over(wb).alias("n2"))
+    cols = ["_rk", "r0", "r1", "a0", "a1", "n1", "n2"]
+    rnd = lambda df: df.select(*[F.round(c, 9).alias(c) if c.startswith("a") else c for c in cols])
+    assert sorted_rows(rnd(got), cols) == sorted_rows(rnd(want), cols)
+
+
+def test_group_profiles_one_job(spark, data):
+    profs = ranks.group_profiles(data, [(None, "score"), ("grp", "score"), ("band", "score")])
+    n = data.count()
+    assert profs[((), "score")].groups == 1 and profs[((), "score")].max_group == n
+    g = data.groupBy("grp").count().collect()
+    assert profs[(("grp",), "score")].groups == len(g)
+    assert profs[(("grp",), "score")].max_group == max(r["count"] for r in g)

@@ -1,0 +1,2 @@
+"""Distributed operators: ranks and windows (``ranks``), skew-safe joins
+(``joins``) and declarative data-quality checks (``quality``)."""

@@ -1,0 +1 @@
+"""The catalogue models and the jobs that build and check them."""

@@ -195,6 +195,19 @@ def mode(c: ColumnLike) -> Column:
     return F.mode(col(c), deterministic=True)
 
 
+def dominant(c: ColumnLike, count_nulls: bool = False) -> Column:
+    """Most frequent value of a group, ties to the smallest value.
+
+    With ``count_nulls`` a null is a value of its own that sorts last on
+    ties (``ORDER BY count DESC, value NULLS LAST``); otherwise nulls are
+    ignored. A partial aggregate: its buffer maps each distinct value to
+    its count, so it follows the distinct values, not the group size."""
+    c = col(c)
+    if not count_nulls:
+        return F.mode(c, deterministic=True)
+    return F.mode(F.struct(c.isNull().alias("n"), c.alias("v")), deterministic=True)["v"]
+
+
 def stddev(c: ColumnLike) -> Column:
     """Sample standard deviation (null for a single row)."""
     return F.stddev_samp(col(c).cast("double"))

@@ -16,6 +16,7 @@ from grimlake.functions import rules as R
 from grimlake.plans import dims, facts, marts, periods, staging
 from grimlake.session import checkpoint_dir
 from grimlake.sources.adapter import raw_from_driver
+from grimlake.sources.stage import stored_table
 
 
 class Catalog:
@@ -48,7 +49,8 @@ class Catalog:
 
     @cached_property
     def dim_bands(self) -> DataFrame:
-        return dims.dim_bands(self.parsed, self.current_year)
+        # Stored once: every album, fact and mart plan reads it.
+        return stored_table(dims.dim_bands(self.parsed, self.current_year), "dim_bands")
 
     @cached_property
     def dim_albums_keyed(self) -> DataFrame:

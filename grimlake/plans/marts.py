@@ -11,7 +11,10 @@ Scale notes:
 * All grouping is ``groupBy`` with partial aggregation; exact medians use
   ``percentile``, whose buffer is a value -> count map (bounded by the
   distinct scores, not the rows).
-* Dominant values are two partial aggregations (``ranks.dominant_value``).
+* Each mart is two aggregations over its base joined on the group keys:
+  counts (distincts via Expand) and picks - medians (``percentile``) and
+  dominant values (``exprs.dominant``, a ``mode``); both keep value ->
+  count buffers, so their size follows distinct values, not group sizes.
 * Global ranks (W17) run over the finished mart rows (years, countries,
   subgenre x continent: tens to hundreds of rows), the only place a window
   without a partition key is used.
@@ -81,10 +84,14 @@ def geographic_base(dim_bands: DataFrame, dim_albums: DataFrame) -> DataFrame:
 
 
 def geographic_analysis(dim_bands: DataFrame, dim_albums: DataFrame) -> DataFrame:
+    """Counts over bands LEFT JOIN albums per (country, continent), joined
+    with the dominant era and subgenre (``exprs.dominant``) of the same
+    groups. Distinct counts (planned with Expand) and the object aggregates
+    run as two aggregations: mixed in one they take the slow path."""
     keys = ["country", "continent"]
     base = geographic_base(dim_bands, dim_albums)
     d = F.col("release_decade")
-    agg = base.groupBy(*keys).agg(
+    out = base.groupBy(*keys).agg(
         F.count_distinct("band_id").alias("total_bands"),
         F.count_distinct("album_id").alias("total_albums"),
         F.min("formed_year").alias("first_band_formed"),
@@ -98,12 +105,11 @@ def geographic_analysis(dim_bands: DataFrame, dim_albums: DataFrame) -> DataFram
         X.safe_divide(F.count_distinct("album_id"), F.count_distinct("band_id"))
          .alias("albums_per_band"),
     )
-    era = ranks.dominant_value(base.where(F.col("formation_era").isNotNull()), keys,
-                               "formation_era", "dominant_era")
-    sub = ranks.dominant_value(base.where(F.col("death_metal_subgenre").isNotNull()), keys,
-                               "death_metal_subgenre", "dominant_subgenre")
+    picks = base.groupBy(*keys).agg(
+        X.dominant("formation_era").alias("dominant_era"),
+        X.dominant("death_metal_subgenre").alias("dominant_subgenre"))
     # USING-join semantics: a null country matches nothing.
-    out = agg.join(era, keys, "left").join(sub, keys, "left")
+    out = out.join(picks, keys, "left")
     return ranks.global_row_number(
         out, [F.col("total_bands").desc_nulls_last(), F.col("country").asc_nulls_last(),
               F.col("continent").asc_nulls_last()], "country_quantity_rank")
@@ -170,7 +176,10 @@ def temporal_analysis(dim_bands: DataFrame, dim_albums: DataFrame, fct: DataFram
     base = temporal_base(dim_bands, dim_albums, fct, first_year, last_year)
     s = F.col("score_album")
     debut = F.col("is_debut_album") == 1
-    agg = base.groupBy(*keys).agg(
+    # Counts (distincts planned with Expand) and the object aggregates
+    # (median, dominant value) are two aggregations joined on the year;
+    # decade and era are functions of the year.
+    out = base.groupBy(*keys).agg(
         F.count_distinct("album_id").alias("albums_released"),
         F.count_distinct(F.when(F.col("review_id").isNotNull(), F.col("band_id")))
          .alias("active_bands"),
@@ -184,11 +193,10 @@ def temporal_analysis(dim_bands: DataFrame, dim_albums: DataFrame, fct: DataFram
         _count_if(s >= R.HIGH_SCORE).alias("high_quality_albums"),
         _count_if(s < R.POOR_SCORE_BELOW).alias("poor_albums"),
     )
-    medians = (base.where(s.isNotNull()).groupBy("album_year")
-               .agg(X.median(s).alias("median_score")))
-    dominant = ranks.dominant_value(base.where(F.col("death_metal_subgenre").isNotNull()),
-                                    "album_year", "death_metal_subgenre", "dominant_subgenre")
-    out = agg.join(medians, "album_year", "left").join(dominant, "album_year", "left")
+    picks = base.groupBy("album_year").agg(
+        X.median(s).alias("median_score"),
+        X.dominant("death_metal_subgenre").alias("dominant_subgenre"))
+    out = out.join(picks, "album_year", "left")
     out = ranks.global_row_number(out, [F.col("albums_released").desc_nulls_last(),
                                         F.col("album_year").asc()], "release_rank")
     out = ranks.global_row_number(out, [F.col("avg_score").desc_nulls_last(),
@@ -206,7 +214,7 @@ def subgenre_analysis(dim_bands: DataFrame, dim_albums: DataFrame, fct: DataFram
     base = left_join_split(bands.join(albums, "band_id", "inner"), _reviews(fct), ["album_id"])
     s = F.col("score_album")
     n_s = F.count(s)
-    agg = base.groupBy(*keys).agg(
+    out = base.groupBy(*keys).agg(
         F.count_distinct("album_id").alias("total_albums"),
         F.count_distinct("review_id").alias("total_reviews"),
         F.count_distinct("band_id").alias("total_bands"),
@@ -223,10 +231,11 @@ def subgenre_analysis(dim_bands: DataFrame, dim_albums: DataFrame, fct: DataFram
         F.sum("is_veteran_band").cast("bigint").alias("veteran_bands"),
         F.count_distinct("country").alias("countries_count"),
     )
-    medians = base.where(s.isNotNull()).groupBy(*keys).agg(X.median(s).alias("median_score"))
-    dec = ranks.dominant_value(base, keys, "release_decade", "dominant_decade")
-    ctry = ranks.dominant_value(base, keys, "country", "dominant_country")
-    out = (agg.join(medians, keys, "left").join(dec, keys, "left").join(ctry, keys, "left"))
+    picks = base.groupBy(*keys).agg(
+        X.median(s).alias("median_score"),
+        X.dominant("release_decade", count_nulls=True).alias("dominant_decade"),
+        X.dominant("country", count_nulls=True).alias("dominant_country"))
+    out = out.join(picks, keys, "left")
     tie = [F.col("death_metal_subgenre").asc_nulls_last(), F.col("continent").asc_nulls_last()]
     out = ranks.global_row_number(out, [F.col("avg_score").desc_nulls_last(), *tie],
                                   "quality_rank")

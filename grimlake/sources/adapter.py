@@ -94,13 +94,24 @@ def raw_sql_for_duckdb(table: str) -> str:
     return text.replace("{" + src + "}", src)
 
 
-def spread_scan(df: DataFrame) -> DataFrame:
+SPREAD_MIN_BYTES = 1 << 20
+
+
+def _input_bytes(spark: SparkSession, path: str) -> int:
+    jvm = spark.sparkContext._jvm
+    p = jvm.org.apache.hadoop.fs.Path(path)
+    fs = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    return int(fs.getContentSummary(p).getLength())
+
+
+def spread_scan(df: DataFrame, path: str) -> DataFrame:
     """A scan with fewer splits than the cluster has cores (one Parquet row
-    group cannot be split) is round-robin spread before the per-row work.
-    Only the few source columns move; large inputs are left as scanned."""
+    group cannot be split) is round-robin spread before the per-row work,
+    when the input is large enough for that to pay (at least 1 MiB). Only
+    the few source columns move; many-file inputs are left as scanned."""
     spark = df.sparkSession
     cores = spark.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() < cores:
+    if df.rdd.getNumPartitions() < cores and _input_bytes(spark, path) >= SPREAD_MIN_BYTES:
         return df.repartition(cores)
     return df
 
@@ -109,6 +120,6 @@ def raw_from_driver(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
     """Build the three raw tables from the driver's Parquet tables."""
     out = {}
     for table, (text, src) in ADAPTER_SQL.items():
-        src_df = spark.read.parquet(f"{sf_dir.rstrip('/')}/{src}.parquet")
-        out[table] = spark.sql(text, **{src: spread_scan(src_df)})
+        path = f"{sf_dir.rstrip('/')}/{src}.parquet"
+        out[table] = spark.sql(text, **{src: spread_scan(spark.read.parquet(path), path)})
     return out

@@ -74,32 +74,39 @@ def _order(c: str, desc: bool) -> Column:
     return F.col(c).desc_nulls_last() if desc else F.col(c).asc_nulls_last()
 
 
-def add_tie_bucket(df: DataFrame, tie: str, n_buckets: int | None = None,
-                   rel_err: float | None = None, out: str = TIE_BUCKET) -> DataFrame:
-    """Add a range bucket of ``tie`` (non-decreasing in ``tie``; nulls last).
-
-    Cut points come from one ``approxQuantile`` pass (a bounded list of
-    ``n_buckets - 1`` numbers reaches the driver) and are frozen into a
-    ``Bucketizer`` (JVM binary search), so every later evaluation assigns
-    identical buckets.
-    """
-    spark = df.sparkSession
-    if n_buckets is None:
-        n_buckets = int(spark.conf.get("spark.sql.shuffle.partitions", "200"))
-    n_buckets = max(1, n_buckets)
-    tmp = f"{out}_v"
-    staged = df.withColumn(tmp, F.coalesce(F.col(tie).cast("double"), F.lit(float("nan"))))
+def tie_splits(df: DataFrame, tie: str, n_buckets: int,
+               rel_err: float | None = None) -> list[float]:
+    """Range cut points of ``tie`` for ``n_buckets`` buckets: one
+    ``approxQuantile`` pass; a bounded list of ``n_buckets - 1`` numbers
+    reaches the driver. Only balance depends on them, never the result."""
     cuts: list[float] = []
     if n_buckets > 1:
         probs = [i / n_buckets for i in range(1, n_buckets)]
         err = rel_err if rel_err is not None else 1.0 / (4 * n_buckets)
-        cuts = staged.where(~F.isnan(tmp)).approxQuantile(tmp, probs, err)
-    splits = [float("-inf")] + sorted(set(c for c in cuts if c == c)) + [float("inf")]
-    bucketizer = Bucketizer(splits=splits, inputCol=tmp, outputCol=out,
-                            handleInvalid="keep")  # NaN (null tie) -> last bucket
+        v = df.select(F.col(tie).cast("double").alias("_v")).where(F.col("_v").isNotNull())
+        cuts = v.approxQuantile("_v", probs, err)
+    return [float("-inf")] + sorted(set(c for c in cuts if c == c)) + [float("inf")]
+
+
+def apply_tie_bucket(df: DataFrame, tie: str, splits: list[float],
+                     out: str = TIE_BUCKET) -> DataFrame:
+    """Bucket of ``tie`` from frozen cut points (``Bucketizer``: a JVM binary
+    search). Non-decreasing in ``tie``; a null tie goes to the last bucket,
+    matching NULLS LAST."""
+    tmp = f"{out}_v"
+    staged = df.withColumn(tmp, F.coalesce(F.col(tie).cast("double"), F.lit(float("nan"))))
+    bucketizer = Bucketizer(splits=splits, inputCol=tmp, outputCol=out, handleInvalid="keep")
     return bucketizer.transform(staged).withColumn(out, F.col(out).cast("int")).drop(tmp)
 
 
+def add_tie_bucket(df: DataFrame, tie: str, n_buckets: int | None = None,
+                   rel_err: float | None = None, out: str = TIE_BUCKET) -> DataFrame:
+    """``tie_splits`` + ``apply_tie_bucket`` on the same frame."""
+    if n_buckets is None:
+        n_buckets = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions", "200"))
+    return apply_tie_bucket(df, tie, tie_splits(df, tie, max(1, n_buckets), rel_err), out)
+
+
 def attach(df: DataFrame, table: DataFrame, keys: Sequence[str] | str | None,
            how: str = "left", rows: int | None = None) -> DataFrame:
     """Join a per-key table onto rows with null-safe key equality (a null
@@ -218,9 +225,10 @@ def partition_columns(df: DataFrame, works: Sequence[Work], key: str = "_rk",
       table broadcast onto the rows - the rows are not shuffled;
     * largest group fits one task (``limit`` rows): ordinary windows; the
       row number and the aggregates of one partitioning share one exchange;
-    * otherwise (and always for a global row number): ``row_number_frame``
-      joined on the unique row ``key``, aggregates as a grouped table joined
-      back (broadcast when small) - no task ever holds a whole group.
+    * otherwise (and always for a global row number): ``spread_row_number``
+      in line (cell windows plus an offset table), aggregates as a grouped
+      table joined back (broadcast when small) - no task ever holds a whole
+      group.
     """
     spark = df.sparkSession
     limit = limit or max_rows_per_task(spark)
@@ -246,10 +254,7 @@ def partition_columns(df: DataFrame, works: Sequence[Work], key: str = "_rk",
         out = out.withColumns(window_cols)
     for w, prof in frames:
         buckets = 1 if prof.max_cell <= limit else min(4096, -(-prof.max_cell // limit) * 4)
-        r = w.rank
-        out = out.join(row_number_frame(df, r.partition, r.order, r.desc, r.ties, r.out,
-                                        key=key, n_buckets=buckets,
-                                        cell_rows=prof.cells * buckets), key, "inner")
+        out = spread_row_number(out, df, w.rank, buckets, cell_rows=prof.cells * buckets)
     for w, prof in tables:
         out = attach(out, group_stats(df, w.partition, w.aggs), w.partition, rows=prof.groups)
     return out
@@ -262,46 +267,67 @@ def with_row_numbers(df: DataFrame, specs: Sequence[RankSpec], key: str = "_rk",
                              limit)
 
 
-def row_number_frame(df: DataFrame, partition: Sequence[str] | str | None, order: str,
-                     desc: bool, ties: Sequence[str] | str, out: str, key: str = "_rk",
-                     n_buckets: int | None = None, cell_rows: int | None = None) -> DataFrame:
-    """Exact ``row_number() OVER (PARTITION BY p ORDER BY order [DESC] NULLS
-    LAST, ties ASC NULLS LAST)`` as a two-column frame (``key``, ``out``),
-    without a whole group or a whole table in one task.
-
-    Rows are numbered inside cells (group, order value, tie range) by an
-    ordinary window, then shifted by the cell's offset: the rows of the
-    group with an earlier order value plus the rows of the same value in
-    earlier tie ranges, both running sums over the (small) cell table.
-    With ``n_buckets`` 1 a cell is a (group, order value) pair; more
-    buckets split hot values by ``approxQuantile`` ranges of ``ties[0]``.
-    ``key`` must be unique per row. ``cell_rows`` (an upper bound of the
-    cell count, when known) lets the offset table be broadcast.
-    """
-    P, T = _cols(partition), _cols(ties)
-    n_buckets = 1 if n_buckets is None else n_buckets
-    rows = df.select(key, *P, order, *[t for t in T if t not in P and t != order])
-    if n_buckets > 1:
-        rows = add_tie_bucket(rows, T[0], n_buckets)
+def cell_offsets(src: DataFrame, partition: Sequence[str], order: str, desc: bool,
+                 tie_bucket: str | None) -> DataFrame:
+    """Per cell (group, order value[, tie range]): the rows that precede the
+    cell in the group's order. Running sums over the cell table and the
+    (group, value) histogram - both already aggregated."""
+    P = list(partition)
+    cell_keys = P + [order] + ([tie_bucket] if tie_bucket else [])
+    cells = src.groupBy(*cell_keys).agg(F.count(F.lit(1)).alias("_cell_n"))
+    if tie_bucket:
+        w_cell = (Window.partitionBy(*P, order).orderBy(F.col(tie_bucket).asc())
+                  .rowsBetween(Window.unboundedPreceding, -1))
+        cells = cells.withColumn("_in_value",
+                                 F.coalesce(F.sum("_cell_n").over(w_cell), F.lit(0)))
+        hist = cells.groupBy(*P, order).agg(F.sum("_cell_n").alias("_value_n"))
     else:
-        rows = rows.withColumn(TIE_BUCKET, F.lit(0))
-    cell_keys = P + [order, TIE_BUCKET]
-    w_local = Window.partitionBy(*cell_keys).orderBy(*[F.col(t).asc_nulls_last() for t in T])
-    local = rows.withColumn("_local", F.row_number().over(w_local))
-    cells = rows.groupBy(*cell_keys).agg(F.count(F.lit(1)).alias("_cell_n"))
-    w_cell = (Window.partitionBy(*P, order).orderBy(F.col(TIE_BUCKET).asc())
-              .rowsBetween(Window.unboundedPreceding, -1))
-    cells = cells.withColumn("_in_value", F.coalesce(F.sum("_cell_n").over(w_cell), F.lit(0)))
-    # Rows of the group with a strictly earlier order value: a running sum
-    # over the (group, order value) histogram, which is already aggregated.
-    hist = cells.groupBy(*P, order).agg(F.sum("_cell_n").alias("_value_n"))
+        cells = cells.withColumn("_in_value", F.lit(0).cast("bigint"))
+        hist = cells.select(*P, order, F.col("_cell_n").alias("_value_n"))
     w_hist = (Window.partitionBy(*P).orderBy(_order(order, desc))
               .rowsBetween(Window.unboundedPreceding, -1))
     hist = hist.withColumn("_before", F.coalesce(F.sum("_value_n").over(w_hist), F.lit(0)))
+    if not tie_bucket:
+        return hist.select(*P, order, F.col("_before").alias("_off"))
     offsets = _null_safe_join(cells, hist.select(*P, order, "_before"), P + [order], "inner")
-    offsets = offsets.select(*cell_keys, (F.col("_before") + F.col("_in_value")).alias("_off"))
-    joined = attach(local, offsets, cell_keys, "inner", rows=cell_rows)
-    return joined.select(key, (F.col("_off") + F.col("_local")).cast("bigint").alias(out))
+    return offsets.select(*cell_keys, (F.col("_before") + F.col("_in_value")).alias("_off"))
+
+
+def spread_row_number(out: DataFrame, src: DataFrame, spec: RankSpec, n_buckets: int = 1,
+                      cell_rows: int | None = None) -> DataFrame:
+    """Add ``spec.out`` to ``out`` (rows of ``src`` plus columns) without a
+    whole group or table in one task: number rows inside cells (group,
+    order value[, tie range]) with an ordinary window, then add the cell's
+    offset from ``cell_offsets`` (broadcast when ``cell_rows`` is under the
+    bound). ``n_buckets`` > 1 splits hot order values into ``approxQuantile``
+    ranges of the first tie column."""
+    P, T, name = list(spec.partition), list(spec.ties), spec.out
+    tb = None
+    if n_buckets > 1:
+        tb = f"_tb_{name}"
+        splits = tie_splits(src, T[0], n_buckets)
+        out = apply_tie_bucket(out, T[0], splits, tb)
+        src = apply_tie_bucket(src, T[0], splits, tb)
+    cell_keys = P + [spec.order] + ([tb] if tb else [])
+    w_local = Window.partitionBy(*cell_keys).orderBy(*[F.col(t).asc_nulls_last() for t in T])
+    out = out.withColumn(f"_local_{name}", F.row_number().over(w_local))
+    offsets = cell_offsets(src, P, spec.order, spec.desc, tb).withColumnRenamed(
+        "_off", f"_off_{name}")
+    out = attach(out, offsets, cell_keys, "left", rows=cell_rows)
+    out = out.withColumn(name, (F.col(f"_off_{name}") + F.col(f"_local_{name}")).cast("bigint"))
+    return out.drop(f"_off_{name}", f"_local_{name}", *([tb] if tb else []))
+
+
+def row_number_frame(df: DataFrame, partition: Sequence[str] | str | None, order: str,
+                     desc: bool, ties: Sequence[str] | str, out: str, key: str = "_rk",
+                     n_buckets: int | None = None, cell_rows: int | None = None) -> DataFrame:
+    """Exact ``row_number() OVER (PARTITION BY p ORDER BY order [DESC] NULLS
+    LAST, ties ASC NULLS LAST)`` as a two-column frame (``key``, ``out``),
+    computed with ``spread_row_number`` on a projection of ``df``."""
+    spec = RankSpec.of(partition, order, desc, ties, out)
+    cols = list(dict.fromkeys([key, *spec.partition, order, *spec.ties]))
+    rows = df.select(*cols)
+    return spread_row_number(rows, rows, spec, n_buckets or 1, cell_rows).select(key, out)
 
 
 def lag_over(df: DataFrame, spec: RankSpec, value: str, out: str, key: str = "_rk",

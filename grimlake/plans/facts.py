@@ -101,9 +101,9 @@ NARROW = ["_rk", "review_id", "album_id", "band_id", "country", "release_decade"
           "death_metal_subgenre"]
 
 
-def window_columns(narrow: DataFrame) -> DataFrame:
+def window_columns(narrow: DataFrame, keep: tuple = ()) -> DataFrame:
     """W4-W11 on the projection (``NARROW`` + ``score_d``); returns ``_rk``
-    and the window columns.
+    and the window columns (plus the ``keep`` columns of ``narrow``).
 
     ``ranks.partition_columns`` plans each partitioning from one profiling
     job: per band / country / decade / subgenre the rank and the average
@@ -138,7 +138,8 @@ def window_columns(narrow: DataFrame) -> DataFrame:
         out = ranks.attach(out, ranks.percent_rank_table(narrow, part, "score_d", name), keys,
                            rows=cells)
     return out.select(
-        "_rk", "overall_score_rank", "band_score_rank", "country_score_rank",
+        "_rk", *[c for c in keep if c != "_rk"],
+        "overall_score_rank", "band_score_rank", "country_score_rank",
         "decade_score_rank", "subgenre_score_rank", "score_percentile",
         "decade_score_percentile", "subgenre_score_percentile",
         F.col("band_total_reviews").cast("bigint").alias("band_total_reviews"),
@@ -175,10 +176,8 @@ def stored_windows(base: DataFrame) -> DataFrame:
     """Window columns of every fact row written once, keyed by ``_rk`` and
     carrying the review's ids and score for direct window queries."""
     narrow = base.select(*NARROW, F.col("score_album").cast("double").alias("score_d"))
-    windows = window_columns(narrow)
-    ids = narrow.select("_rk", "review_id", "album_id", "band_id", "score_d")
-    return stored_table(ids.join(windows, "_rk", "inner"), "fct_windows", bucket_by="_rk",
-                        buckets=bucket_count(base))
+    windows = window_columns(narrow, keep=("review_id", "album_id", "band_id", "score_d"))
+    return stored_table(windows, "fct_windows", bucket_by="_rk", buckets=bucket_count(base))
 
 
 def fct_reviews_keyed(stg_reviews: DataFrame = None, dim_albums_df: DataFrame = None,

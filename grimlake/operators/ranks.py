@@ -217,7 +217,7 @@ class Work:
 
 
 def partition_columns(df: DataFrame, works: Sequence[Work], key: str = "_rk",
-                      limit: int | None = None) -> DataFrame:
+                      limit: int | None = None, source: DataFrame | None = None) -> DataFrame:
     """Add the row numbers and partition aggregates of ``works`` to ``df``,
     choosing each plan from measured sizes (one profiling job for all):
 
@@ -233,7 +233,8 @@ def partition_columns(df: DataFrame, works: Sequence[Work], key: str = "_rk",
     spark = df.sparkSession
     limit = limit or max_rows_per_task(spark)
     bcast = broadcast_rows_limit(spark)
-    profiles = group_profiles(df, [(w.partition, w.order) for w in works])
+    src = df if source is None else source  # same rows; profiles and tables come from it
+    profiles = group_profiles(src, [(w.partition, w.order) for w in works])
     out, window_cols, frames, tables = df, {}, [], []
     for w in works:
         prof = profiles[_profile_key(w.partition, w.order)]
@@ -254,9 +255,9 @@ def partition_columns(df: DataFrame, works: Sequence[Work], key: str = "_rk",
         out = out.withColumns(window_cols)
     for w, prof in frames:
         buckets = 1 if prof.max_cell <= limit else min(4096, -(-prof.max_cell // limit) * 4)
-        out = spread_row_number(out, df, w.rank, buckets, cell_rows=prof.cells * buckets)
+        out = spread_row_number(out, src, w.rank, buckets, cell_rows=prof.cells * buckets)
     for w, prof in tables:
-        out = attach(out, group_stats(df, w.partition, w.aggs), w.partition, rows=prof.groups)
+        out = attach(out, group_stats(src, w.partition, w.aggs), w.partition, rows=prof.groups)
     return out
 
 
@@ -330,6 +331,44 @@ def row_number_frame(df: DataFrame, partition: Sequence[str] | str | None, order
     return spread_row_number(rows, rows, spec, n_buckets or 1, cell_rows).select(key, out)
 
 
+def order_tables(df: DataFrame, partitions: Sequence[Sequence[str]], order: str
+                 ) -> dict[tuple, DataFrame]:
+    """Per partitioning, a table keyed by (partition, order value) with the
+    rows before that value in both directions, the group size and the group
+    mean of ``order`` - all from ONE grouping-sets aggregation (a histogram:
+    its size is the number of distinct (partition, value) pairs).
+
+    ``_before_desc`` is a descending rank's offset, ``_before_asc`` gives
+    ``percent_rank`` in ascending order; nulls sort last both ways."""
+    parts = [tuple(P) for P in partitions]
+    cols = list(dict.fromkeys(c for P in parts for c in P)) + [order]
+    hist = (df.groupingSets([[*P, order] for P in parts], *cols)
+            .agg(F.count(F.lit(1)).alias("_n"), F.sum(F.col(order)).alias("_s"),
+                 F.grouping_id().alias("_gid")))
+    out = {}
+    for P in parts:
+        grouped = set(P) | {order}
+        gid = sum(1 << (len(cols) - 1 - i) for i, c in enumerate(cols) if c not in grouped)
+        h = hist.where(F.col("_gid") == gid).select(*P, order, "_n", "_s")
+        w_all = Window.partitionBy(*P)
+        w_desc = (Window.partitionBy(*P).orderBy(_order(order, True))
+                  .rowsBetween(Window.unboundedPreceding, -1))
+        w_asc = (Window.partitionBy(*P).orderBy(_order(order, False))
+                 .rowsBetween(Window.unboundedPreceding, -1))
+        out[P] = h.select(
+            *P, order,
+            F.coalesce(F.sum("_n").over(w_desc), F.lit(0)).alias("_before_desc"),
+            F.coalesce(F.sum("_n").over(w_asc), F.lit(0)).alias("_before_asc"),
+            F.sum("_n").over(w_all).alias("_group_n"),
+            (F.sum("_s").over(w_all) / F.sum("_n").over(w_all)).alias("_group_avg"))
+    return out
+
+
+def percent_from(before_asc: Column, group_n: Column) -> Column:
+    """``percent_rank`` from the rows before and the group size."""
+    return F.when(group_n <= 1, F.lit(0.0)).otherwise(before_asc.cast("double") / (group_n - 1))
+
+
 def lag_over(df: DataFrame, spec: RankSpec, value: str, out: str, key: str = "_rk",
              limit: int | None = None) -> DataFrame:
     """``lag(value, 1) OVER (spec's window)`` added as ``out``: an ordinary

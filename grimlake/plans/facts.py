@@ -21,7 +21,7 @@ Ties in score order are broken by ``review_id`` (D6).
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from grimlake.functions import exprs as X
@@ -101,42 +101,80 @@ NARROW = ["_rk", "review_id", "album_id", "band_id", "country", "release_decade"
           "death_metal_subgenre"]
 
 
+LOW_CARDINALITY = [(), ("country",), ("release_decade",), ("death_metal_subgenre",)]
+LOW_RANKS = {(): "overall_score_rank", ("country",): "country_score_rank",
+             ("release_decade",): "decade_score_rank",
+             ("death_metal_subgenre",): "subgenre_score_rank"}
+LOW_PERCENTS = {(): "score_percentile", ("release_decade",): "decade_score_percentile",
+                ("death_metal_subgenre",): "subgenre_score_percentile"}
+LOW_AVGS = {(): "_avg_all", ("country",): "_avg_country", ("release_decade",): "_avg_decade",
+            ("death_metal_subgenre",): "_avg_sub"}
+
+
 def window_columns(narrow: DataFrame, keep: tuple = ()) -> DataFrame:
     """W4-W11 on the projection (``NARROW`` + ``score_d``); returns ``_rk``
     and the window columns (plus the ``keep`` columns of ``narrow``).
 
-    ``ranks.partition_columns`` plans each partitioning from one profiling
-    job: per band / country / decade / subgenre the rank and the average
-    share one exchange when the largest group fits a task; the overall rank
-    (and any oversized group) uses the distributed cell form; per-album
-    counts are a grouped table. Percent ranks come from (group, score)
-    histograms, broadcast when their measured size is small.
+    * The rows are hash-partitioned once by score (and by review-id range
+      when one score alone exceeds a task). Every rank over a few large
+      groups - overall, country, decade, subgenre - is then a window inside
+      that partitioning (rows of one (group, score) are together), shifted
+      by the rows of the group with a better score. Those offsets, the
+      percent ranks and the group averages all come from one grouping-sets
+      histogram of (group, score), broadcast when its measured size allows.
+      No task holds a whole group, and no partition key is needed globally.
+    * Per band: ordinary windows (rank, average, count share one exchange)
+      when the largest band fits a task, else the in-line cell form.
+    * Per album: a grouped count joined back.
     """
+    spark = narrow.sparkSession
+    limit, bcast = ranks.max_rows_per_task(spark), ranks.broadcast_rows_limit(spark)
     sd = F.col("score_d")
-    avg, cnt = F.avg(sd), F.count(F.lit(1))
-
-    def rank(part, name):
-        return ranks.RankSpec.of(part, "score_d", True, "review_id", name)
-
-    works = [
-        ranks.Work((), "score_d", rank(None, "overall_score_rank"), {"_avg_all": avg}),
-        ranks.Work("band_id", "score_d", rank("band_id", "band_score_rank"),
-                   {"_avg_band": avg, "band_total_reviews": cnt}),
-        ranks.Work("country", "score_d", rank("country", "country_score_rank"),
-                   {"_avg_country": avg}),
-        ranks.Work("release_decade", "score_d", rank("release_decade", "decade_score_rank"),
-                   {"_avg_decade": avg}),
-        ranks.Work("death_metal_subgenre", "score_d",
-                   rank("death_metal_subgenre", "subgenre_score_rank"), {"_avg_sub": avg}),
-        ranks.Work("album_id", "score_d", None, {"album_total_reviews": cnt}),
-    ]
-    out = ranks.partition_columns(narrow, works)
-    for part, name in [(None, "score_percentile"), ("release_decade", "decade_score_percentile"),
-                       ("death_metal_subgenre", "subgenre_score_percentile")]:
-        keys = ([part] if part else []) + ["score_d"]
-        cells = ranks.group_profile(narrow, part, "score_d").cells
-        out = ranks.attach(out, ranks.percent_rank_table(narrow, part, "score_d", name), keys,
-                           rows=cells)
+    sets = LOW_CARDINALITY + [("band_id",), ("album_id",)]
+    prof = {P: v for (P, _), v in ranks.group_profiles(
+        narrow, [(P, "score_d") for P in sets]).items()}
+    top = prof[()].max_cell
+    buckets = 1 if top <= limit else min(4096, -(-top // limit) * 4)
+    out = narrow
+    cell_cols = ["score_d"]
+    if buckets > 1:
+        splits = ranks.tie_splits(narrow, "review_id", buckets)
+        out = ranks.apply_tie_bucket(out, "review_id", splits, "_tb")
+        cell_cols.append("_tb")
+    out = out.repartition(*cell_cols)
+    for P, name in LOW_RANKS.items():
+        w = Window.partitionBy(*P, *cell_cols).orderBy(F.col("review_id").asc_nulls_last())
+        out = out.withColumn(f"_l_{name}", F.row_number().over(w))
+    tables = ranks.order_tables(narrow, LOW_CARDINALITY, "score_d")
+    for P in LOW_CARDINALITY:
+        t = tables[P]
+        tag = "_".join(P) or "all"
+        t = t.select(*P, "score_d", *[F.col(c).alias(f"{c}_{tag}") for c in
+                                      ["_before_desc", "_before_asc", "_group_n", "_group_avg"]])
+        out = ranks.attach(out, t, [*P, "score_d"], rows=prof[P].cells)
+        if buckets > 1:
+            # Rows of the same (group, score) in earlier review-id ranges.
+            src = ranks.apply_tie_bucket(narrow, "review_id", splits, "_tb")
+            cells = src.groupBy(*P, "score_d", "_tb").agg(F.count(F.lit(1)).alias("_c"))
+            wv = (Window.partitionBy(*P, "score_d").orderBy("_tb")
+                  .rowsBetween(Window.unboundedPreceding, -1))
+            cells = cells.select(*P, "score_d", "_tb",
+                                 F.coalesce(F.sum("_c").over(wv), F.lit(0)).alias(f"_iv_{tag}"))
+            out = ranks.attach(out, cells, [*P, "score_d", "_tb"], rows=prof[P].cells * buckets)
+        inner = F.col(f"_iv_{tag}") if buckets > 1 else F.lit(0)
+        name = LOW_RANKS[P]
+        out = out.withColumn(name, (F.col(f"_before_desc_{tag}") + inner
+                                    + F.col(f"_l_{name}")).cast("bigint"))
+        if P in LOW_PERCENTS:
+            out = out.withColumn(LOW_PERCENTS[P], ranks.percent_from(
+                F.col(f"_before_asc_{tag}"), F.col(f"_group_n_{tag}")))
+        out = out.withColumn(LOW_AVGS[P], F.col(f"_group_avg_{tag}"))
+    band = ranks.Work("band_id", "score_d",
+                      ranks.RankSpec.of("band_id", "score_d", True, "review_id",
+                                        "band_score_rank"),
+                      {"_avg_band": F.avg(sd), "band_total_reviews": F.count(F.lit(1))})
+    album = ranks.Work("album_id", "score_d", None, {"album_total_reviews": F.count(F.lit(1))})
+    out = ranks.partition_columns(out, [band, album], limit=limit, source=narrow)
     return out.select(
         "_rk", *[c for c in keep if c != "_rk"],
         "overall_score_rank", "band_score_rank", "country_score_rank",

@@ -21,10 +21,11 @@ def stored_table(df: DataFrame, name: str, bucket_by: str | None = None,
                  buckets: int | None = None) -> DataFrame:
     """Write ``df`` once (Parquet, overwrite) and return a scan of it.
 
-    With ``bucket_by`` the files are hash-bucketed on that column and the
-    table is registered (external, under the checkpoint folder) so scans
-    know the layout: two tables bucketed the same way join on that column
-    without an exchange.
+    With ``bucket_by`` the rows are hash-partitioned into ``buckets`` files
+    on that column and the table is registered (external, under the
+    checkpoint folder) so scans know the layout: two tables bucketed the same
+    way join on that column without an exchange, however often they are
+    joined afterwards.
     """
     spark = df.sparkSession
     base = checkpoint_dir(spark).rstrip("/")
@@ -35,6 +36,9 @@ def stored_table(df: DataFrame, name: str, bucket_by: str | None = None,
         return spark.read.parquet(path)
     n = buckets or int(spark.conf.get("spark.sql.shuffle.partitions", "200"))
     table = f"grimlake_{tag}"
-    (df.write.mode("overwrite").format("parquet").option("path", path)
-       .bucketBy(n, bucket_by).saveAsTable(table))
+    # Hash-partition by the bucket column first (the same hash the bucketed
+    # writer uses): each task then holds exactly one bucket and writes one
+    # file, instead of every task writing a file into every bucket.
+    (df.repartition(n, bucket_by).write.mode("overwrite").format("parquet")
+       .option("path", path).bucketBy(n, bucket_by).saveAsTable(table))
     return spark.table(table)

@@ -225,10 +225,10 @@ def partition_columns(df: DataFrame, works: Sequence[Work], key: str = "_rk",
       table broadcast onto the rows - the rows are not shuffled;
     * largest group fits one task (``limit`` rows): ordinary windows; the
       row number and the aggregates of one partitioning share one exchange;
-    * otherwise (and always for a global row number): ``spread_row_number``
-      in line (cell windows plus an offset table), aggregates as a grouped
-      table joined back (broadcast when small) - no task ever holds a whole
-      group.
+    * otherwise (and always for a global row number): ``shared_order_ranks``
+      in line - all such ranks over one order column share one exchange
+      (cell windows plus offset tables) - and aggregates as a grouped table
+      joined back (broadcast when small); no task ever holds a whole group.
     """
     spark = df.sparkSession
     limit = limit or max_rows_per_task(spark)
@@ -253,9 +253,11 @@ def partition_columns(df: DataFrame, works: Sequence[Work], key: str = "_rk",
                 tables.append((w, prof))
     if window_cols:
         out = out.withColumns(window_cols)
+    by_order: dict[tuple, list] = {}
     for w, prof in frames:
-        buckets = 1 if prof.max_cell <= limit else min(4096, -(-prof.max_cell // limit) * 4)
-        out = spread_row_number(out, src, w.rank, buckets, cell_rows=prof.cells * buckets)
+        by_order.setdefault((w.rank.order, w.rank.ties[0]), []).append((w.rank, prof))
+    for (order, tie), members in by_order.items():
+        out = shared_order_ranks(out, src, order, tie, members, limit)
     for w, prof in tables:
         out = attach(out, group_stats(src, w.partition, w.aggs), w.partition, rows=prof.groups)
     return out
@@ -319,6 +321,37 @@ def spread_row_number(out: DataFrame, src: DataFrame, spec: RankSpec, n_buckets:
     return out.drop(f"_off_{name}", f"_local_{name}", *([tb] if tb else []))
 
 
+def shared_order_ranks(out: DataFrame, src: DataFrame, order: str, tie: str,
+                       members: Sequence[tuple], limit: int) -> DataFrame:
+    """Distributed row numbers of several partitionings that share an order
+    column: the rows are hash-partitioned ONCE by (order value[, tie
+    range]); every rank is then a window inside that partitioning (a
+    (group, value) cell never spans partitions) shifted by its cell offsets.
+    The tie ranges are added when one order value alone (over all groups)
+    exceeds ``limit`` rows. ``members`` are (RankSpec, Profile) pairs."""
+    top = group_profile(src, None, order).max_cell
+    buckets = 1 if top <= limit else min(4096, -(-top // limit) * 4)
+    tb = None
+    if buckets > 1:
+        tb = f"_tb_{order}"
+        splits = tie_splits(src, tie, buckets)
+        out = apply_tie_bucket(out, tie, splits, tb)
+        src = apply_tie_bucket(src, tie, splits, tb)
+    out = out.repartition(*([order] + ([tb] if tb else [])))
+    for spec, prof in members:
+        P, name = list(spec.partition), spec.out
+        cell_keys = P + [order] + ([tb] if tb else [])
+        w_local = Window.partitionBy(*cell_keys).orderBy(
+            *[F.col(t).asc_nulls_last() for t in spec.ties])
+        out = out.withColumn(f"_local_{name}", F.row_number().over(w_local))
+        offsets = cell_offsets(src, P, order, spec.desc, tb).withColumnRenamed(
+            "_off", f"_off_{name}")
+        out = attach(out, offsets, cell_keys, "left", rows=prof.cells * buckets)
+        out = out.withColumn(name, (F.col(f"_off_{name}") + F.col(f"_local_{name}"))
+                             .cast("bigint")).drop(f"_off_{name}", f"_local_{name}")
+    return out.drop(tb) if tb else out
+
+
 def row_number_frame(df: DataFrame, partition: Sequence[str] | str | None, order: str,
                      desc: bool, ties: Sequence[str] | str, out: str, key: str = "_rk",
                      n_buckets: int | None = None, cell_rows: int | None = None) -> DataFrame:

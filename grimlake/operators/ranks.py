@@ -2,34 +2,38 @@
 
 Spark plans ``row_number() OVER (ORDER BY ...)`` with no partition as an
 ``Exchange SinglePartition`` over every row, and ``OVER (PARTITION BY k)``
-puts a whole group into one task, so one hot key (a third of the rows) or
-a low-cardinality key (six decades) serialises the job. The operators here
-compute the same exact values with partial aggregation, small prefix-sum
-tables and balanced shuffles:
-
-``row_number_frame``
-    row number = (rows of the group ordered strictly before this row's
-    order value) + (rows with the same order value in earlier tie-key range
-    cells) + (row number inside its cell). Cells are (group, order value,
-    tie range) where tie ranges come from ``approxQuantile`` on the tie key,
-    frozen as literals; a hot order value is spread over many cells. The
-    cut points only affect balance, never the result.
-
-``percent_rank_table``
-    ``percent_rank`` depends only on (group, order value): a histogram with
-    running sums, joined back. No row-level sort.
-
-``group_stats``
-    windowed ``avg/count/max OVER (PARTITION BY k)`` as ``groupBy`` (map-side
-    partial aggregation) joined back on the key with null-safe equality.
+puts a whole group into one task, so one hot key (a third of the rows) or a
+low-cardinality key (six decades) serialises the job. The operators here
+compute the same exact values and pick the plan from measured sizes:
+
+``group_profiles``
+    one grouping-sets job giving, per partitioning, the number of groups and
+    (group, order value) cells and the largest of each - the numbers every
+    plan choice below is made from.
+
+``partition_columns`` / ``Work``
+    row numbers and whole-partition aggregates: ordinary windows when the
+    largest group fits one task, otherwise ``shared_order_ranks``; grouped
+    tables joined back (broadcast only under a measured row bound).
+
+``shared_order_ranks`` / ``row_number_frame``
+    row number = (rows of the group ordered before this row's order value)
+    + (rows of the same value in earlier tie ranges) + (number inside its
+    cell). All ranks over one order column share ONE repartition by (order
+    value[, tie range]); tie ranges come from ``approxQuantile`` and split a
+    hot value. Cut points only affect balance, never the result.
+
+``order_tables``
+    one grouping-sets histogram of (group, order value) for several
+    partitionings: rank offsets, ``percent_rank`` and group means.
+
+``lag_over`` / ``lag_by``
+    ``lag(x, 1)``: a window, or - for a group too big for one task - a self
+    equi-join on (group, row number - 1), which has no hot key.
 
 ``dominant_value``
-    most frequent value per group, ties to the smallest, nulls last, as two
-    partial aggregations (``count`` then ``min_by``).
-
-``lag_by``
-    ``lag(x, 1)`` in a group as a self equi-join on (group, row number - 1):
-    unique keys, so even a hot group hash-spreads over all tasks.
+    most frequent value per group (count desc, value asc, nulls last) as two
+    partial aggregations.
 
 Only tables that are already aggregated (histograms, cell counts, mart rows)
 are ever ordered without a partition key.
@@ -99,14 +103,6 @@ def apply_tie_bucket(df: DataFrame, tie: str, splits: list[float],
     return bucketizer.transform(staged).withColumn(out, F.col(out).cast("int")).drop(tmp)
 
 
-def add_tie_bucket(df: DataFrame, tie: str, n_buckets: int | None = None,
-                   rel_err: float | None = None, out: str = TIE_BUCKET) -> DataFrame:
-    """``tie_splits`` + ``apply_tie_bucket`` on the same frame."""
-    if n_buckets is None:
-        n_buckets = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions", "200"))
-    return apply_tie_bucket(df, tie, tie_splits(df, tie, max(1, n_buckets), rel_err), out)
-
-
 def attach(df: DataFrame, table: DataFrame, keys: Sequence[str] | str | None,
            how: str = "left", rows: int | None = None) -> DataFrame:
     """Join a per-key table onto rows with null-safe key equality (a null
@@ -263,13 +259,6 @@ def partition_columns(df: DataFrame, works: Sequence[Work], key: str = "_rk",
     return out
 
 
-def with_row_numbers(df: DataFrame, specs: Sequence[RankSpec], key: str = "_rk",
-                     limit: int | None = None) -> DataFrame:
-    """Row numbers only (see ``partition_columns``)."""
-    return partition_columns(df, [Work(s.partition, s.order, rank=s) for s in specs], key,
-                             limit)
-
-
 def cell_offsets(src: DataFrame, partition: Sequence[str], order: str, desc: bool,
                  tie_bucket: str | None) -> DataFrame:
     """Per cell (group, order value[, tie range]): the rows that precede the
@@ -296,31 +285,6 @@ def cell_offsets(src: DataFrame, partition: Sequence[str], order: str, desc: boo
     return offsets.select(*cell_keys, (F.col("_before") + F.col("_in_value")).alias("_off"))
 
 
-def spread_row_number(out: DataFrame, src: DataFrame, spec: RankSpec, n_buckets: int = 1,
-                      cell_rows: int | None = None) -> DataFrame:
-    """Add ``spec.out`` to ``out`` (rows of ``src`` plus columns) without a
-    whole group or table in one task: number rows inside cells (group,
-    order value[, tie range]) with an ordinary window, then add the cell's
-    offset from ``cell_offsets`` (broadcast when ``cell_rows`` is under the
-    bound). ``n_buckets`` > 1 splits hot order values into ``approxQuantile``
-    ranges of the first tie column."""
-    P, T, name = list(spec.partition), list(spec.ties), spec.out
-    tb = None
-    if n_buckets > 1:
-        tb = f"_tb_{name}"
-        splits = tie_splits(src, T[0], n_buckets)
-        out = apply_tie_bucket(out, T[0], splits, tb)
-        src = apply_tie_bucket(src, T[0], splits, tb)
-    cell_keys = P + [spec.order] + ([tb] if tb else [])
-    w_local = Window.partitionBy(*cell_keys).orderBy(*[F.col(t).asc_nulls_last() for t in T])
-    out = out.withColumn(f"_local_{name}", F.row_number().over(w_local))
-    offsets = cell_offsets(src, P, spec.order, spec.desc, tb).withColumnRenamed(
-        "_off", f"_off_{name}")
-    out = attach(out, offsets, cell_keys, "left", rows=cell_rows)
-    out = out.withColumn(name, (F.col(f"_off_{name}") + F.col(f"_local_{name}")).cast("bigint"))
-    return out.drop(f"_off_{name}", f"_local_{name}", *([tb] if tb else []))
-
-
 def shared_order_ranks(out: DataFrame, src: DataFrame, order: str, tie: str,
                        members: Sequence[tuple], limit: int) -> DataFrame:
     """Distributed row numbers of several partitionings that share an order
@@ -354,14 +318,17 @@ def shared_order_ranks(out: DataFrame, src: DataFrame, order: str, tie: str,
 
 def row_number_frame(df: DataFrame, partition: Sequence[str] | str | None, order: str,
                      desc: bool, ties: Sequence[str] | str, out: str, key: str = "_rk",
-                     n_buckets: int | None = None, cell_rows: int | None = None) -> DataFrame:
+                     limit: int | None = None) -> DataFrame:
     """Exact ``row_number() OVER (PARTITION BY p ORDER BY order [DESC] NULLS
     LAST, ties ASC NULLS LAST)`` as a two-column frame (``key``, ``out``),
-    computed with ``spread_row_number`` on a projection of ``df``."""
+    computed with ``shared_order_ranks`` on a projection of ``df``; ``key``
+    must be unique per row."""
     spec = RankSpec.of(partition, order, desc, ties, out)
-    cols = list(dict.fromkeys([key, *spec.partition, order, *spec.ties]))
-    rows = df.select(*cols)
-    return spread_row_number(rows, rows, spec, n_buckets or 1, cell_rows).select(key, out)
+    rows = df.select(*dict.fromkeys([key, *spec.partition, order, *spec.ties]))
+    prof = group_profile(df, spec.partition, order)
+    limit = limit or max_rows_per_task(df.sparkSession)
+    return shared_order_ranks(rows, df, order, spec.ties[0], [(spec, prof)], limit
+                              ).select(key, out)
 
 
 def order_tables(df: DataFrame, partitions: Sequence[Sequence[str]], order: str
@@ -411,29 +378,11 @@ def lag_over(df: DataFrame, spec: RankSpec, value: str, out: str, key: str = "_r
     prof = group_profile(df, spec.partition, spec.order)
     if spec.partition and prof.max_group <= limit:
         return df.withColumn(out, F.lag(F.col(value), 1).over(spec.window()))
-    buckets = 1 if prof.max_cell <= limit else min(4096, -(-prof.max_cell // limit) * 4)
     rn = row_number_frame(df, spec.partition, spec.order, spec.desc, spec.ties, "_lag_rn",
-                          key=key, n_buckets=buckets, cell_rows=prof.cells * buckets)
+                          key=key, limit=limit)
     return lag_by(df.join(rn, key, "inner"), spec.partition, "_lag_rn", value, out).drop("_lag_rn")
 
 
-def percent_rank_table(df: DataFrame, partition: Sequence[str] | str | None, order: str,
-                       out: str, desc: bool = False) -> DataFrame:
-    """Exact ``percent_rank() OVER (PARTITION BY p ORDER BY order)`` as a
-    table keyed by (group, order value): (rows strictly before) / (group
-    rows - 1), 0 for a one-row group. No row-level sort."""
-    P = _cols(partition)
-    hist = df.groupBy(*P, order).agg(F.count(F.lit(1)).alias("_value_n"))
-    w_before = (Window.partitionBy(*P).orderBy(_order(order, desc))
-                .rowsBetween(Window.unboundedPreceding, -1))
-    w_all = Window.partitionBy(*P)
-    return hist.select(
-        *P, order,
-        F.when(F.sum("_value_n").over(w_all) <= 1, F.lit(0.0)).otherwise(
-            F.coalesce(F.sum("_value_n").over(w_before), F.lit(0)).cast("double")
-            / (F.sum("_value_n").over(w_all) - 1)).alias(out))
-
-
 def group_stats(df: DataFrame, partition: Sequence[str] | str | None,
                 aggs: dict[str, Column]) -> DataFrame:
     """``agg OVER (PARTITION BY p)`` as a per-group table (map-side partial

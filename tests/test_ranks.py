@@ -28,9 +28,10 @@ def sorted_rows(df, cols):
 
 @pytest.mark.parametrize("part", [None, "grp", ["grp", "band"]])
 @pytest.mark.parametrize("desc", [True, False])
-@pytest.mark.parametrize("buckets", [1, 7])
-def test_row_number_frame(spark, data, part, desc, buckets):
-    got = ranks.row_number_frame(data, part, "score", desc, "tie", "rn", n_buckets=buckets)
+@pytest.mark.parametrize("limit", [10**9, 50])
+def test_row_number_frame(spark, data, part, desc, limit):
+    # limit 50: every score value exceeds a "task", so tie ranges split it.
+    got = ranks.row_number_frame(data, part, "score", desc, "tie", "rn", limit=limit)
     parts = [] if part is None else ([part] if isinstance(part, str) else part)
     order = F.col("score").desc_nulls_last() if desc else F.col("score").asc_nulls_last()
     w = Window.partitionBy(*parts).orderBy(order, F.col("tie").asc())
@@ -38,14 +39,16 @@ def test_row_number_frame(spark, data, part, desc, buckets):
     assert sorted_rows(got, ["_rk", "rn"]) == sorted_rows(want, ["_rk", "rn"])
 
 
-@pytest.mark.parametrize("part", [None, "grp"])
-def test_percent_rank_table(spark, data, part):
-    table = ranks.percent_rank_table(data, part, "score", "pr")
-    keys = ([part] if part else []) + ["score"]
-    got = ranks.attach(data, table, keys).select("_rk", F.round("pr", 9).alias("pr"))
-    w = Window.partitionBy(*([part] if part else [])).orderBy("score")
-    want = data.select("_rk", F.round(F.percent_rank().over(w), 9).alias("pr"))
-    assert sorted_rows(got, ["_rk", "pr"]) == sorted_rows(want, ["_rk", "pr"])
+def test_order_tables_percent_rank_and_mean(spark, data):
+    tables = ranks.order_tables(data, [(), ("grp",)], "score")
+    for part in [(), ("grp",)]:
+        got = ranks.attach(data, tables[part], [*part, "score"]).select(
+            "_rk", F.round(ranks.percent_from(F.col("_before_asc"), F.col("_group_n")), 9)
+            .alias("pr"), F.round("_group_avg", 9).alias("a"))
+        w = Window.partitionBy(*part)
+        want = data.select("_rk", F.round(F.percent_rank().over(w.orderBy("score")), 9).alias("pr"),
+                           F.round(F.avg("score").over(w), 9).alias("a"))
+        assert sorted_rows(got, ["_rk", "pr", "a"]) == sorted_rows(want, ["_rk", "pr", "a"])
 
 
 def test_group_stats_null_group(spark, data):
@@ -82,10 +85,11 @@ def test_left_join_split(spark):
 
 
 @pytest.mark.parametrize("limit", [100, 10**9])
-def test_with_row_numbers_both_paths(spark, data, limit):
+def test_partition_columns_ranks_only(spark, data, limit):
     specs = [ranks.RankSpec.of(p, "score", True, "tie", f"rn{i}")
              for i, p in enumerate([None, "grp", "band"])]
-    got = ranks.with_row_numbers(data, specs, limit=limit)
+    got = ranks.partition_columns(data, [ranks.Work(s.partition, s.order, rank=s) for s in specs],
+                                  limit=limit)
     cols = ["_rk", "rn0", "rn1", "rn2"]
     want = data.select("_rk", *[F.row_number().over(sp.window()).alias(sp.out) for sp in specs])
     assert sorted_rows(got, cols) == sorted_rows(want, cols)

@@ -98,6 +98,13 @@ def _parsed(c: Catalog) -> DataFrame:
     return c.parsed
 
 
+@register("parsed_by_name")
+def _parsed_by_name(c: Catalog) -> DataFrame:
+    """The parsed bands in export order (range-partitioned sort by
+    band name, band id as tie-break; no single partition)."""
+    return periods.export_order(c.parsed)
+
+
 # ---- dims and fact (M3-M5) ---------------------------------------------------
 @register("dim_bands")
 def _dim_bands(c: Catalog) -> DataFrame:

@@ -24,6 +24,7 @@ q("period_years", "SELECT band_id, start_year, end_year, years_active FROM parse
 q("period_status", "SELECT band_id, current_status, is_na_case FROM parsed")
 q("name_change", "SELECT band_id, has_name_change, previous_name, name_change_year FROM parsed")
 q("int_bands_parsed", "SELECT * FROM parsed")
+q("parsed_by_name", "SELECT * FROM parsed ORDER BY band_name NULLS LAST, band_id NULLS LAST")
 
 # ---- dims / fact -----------------------------------------------------------
 q("dim_bands", "SELECT * FROM dim_bands")

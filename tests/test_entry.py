@@ -25,6 +25,7 @@ def test_registry_matches_oracle():
     qs, sqls = E.queries(), E.oracle_sql()
     assert set(sqls) <= set(qs)
     assert set(qs) - set(sqls) == {"approx_top_value", "preview"}
+    assert len(qs) == 58
 
 
 def test_entry_runs(spark):

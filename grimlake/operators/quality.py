@@ -19,7 +19,7 @@ in a single aggregation pass over that model.
 from __future__ import annotations
 
 from collections.abc import Iterable, Mapping
-from dataclasses import dataclass, field
+from dataclasses import dataclass, field, replace
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -92,6 +92,17 @@ DECLARED_CHECKS: list[Check] = [
 ]
 
 
+def declared_checks(severity: str = "error") -> list[Check]:
+    """The declared checks with one severity. The source sets it per target:
+    ``error`` in production, ``warn`` elsewhere (a ``warn`` failure is
+    reported and the job goes on)."""
+    return [replace(c, severity=severity) for c in DECLARED_CHECKS]
+
+
+def severity_for(target: str) -> str:
+    return "error" if target == "prod" else "warn"
+
+
 def failing_rows(check: Check, models: Mapping[str, DataFrame]) -> DataFrame:
     """The rows (or values) a check rejects."""
     df = models[check.model]
@@ -137,8 +148,9 @@ def summary(models: Mapping[str, DataFrame], checks: Iterable[Check] = DECLARED_
             else:
                 aggs.append(F.count_distinct(F.when(~c.isin(*ch.values), c)).alias(f"_f{i}"))
         counts = models[model].agg(*aggs)
-        # One pass per model, then one output row per check.
-        parts.extend(counts.select(*_row(ch, F.col(f"_f{i}"))) for i, ch in enumerate(group))
+        # One pass per model; its single row is exploded into one row per check.
+        per_check = F.array(*[F.struct(*_row(ch, F.col(f"_f{i}"))) for i, ch in enumerate(group)])
+        parts.append(counts.select(F.explode(per_check).alias("_c")).select("_c.*"))
     for ch in checks:
         if ch.kind in ("unique", "relationships"):
             fails = failing_rows(ch, models).agg(F.count(F.lit(1)).alias("_f"))

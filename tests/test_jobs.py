@@ -19,8 +19,10 @@ def test_load_build_check(spark):
     csv_base = f"{work}/csv"
     for t, df in raw_from_driver(spark, SF).items():
         raw_io.write_csv(df, f"{csv_base}/{t}", null_value="")  # raw style: empty = null
-    summary = jobs.run(spark, csv_base, f"{work}/out")
+    # dev target: checks are warnings, so the failing fixture does not stop the job
+    summary = jobs.run(spark, csv_base, f"{work}/out", target="dev")
     assert len(summary) == len(quality.DECLARED_CHECKS) == 47
+    assert {r["severity"] for r in summary} == {"warn"}
     by_id = {r["check_id"]: r["failures"] for r in summary}
     # The fixture fails two declared checks on purpose (a null country, and
     # reviews of albums that staging dropped).
@@ -33,6 +35,11 @@ def test_load_build_check(spark):
     assert spark.table("temporal_analysis").count() > 0
     stored = spark.read.parquet(f"{work}/out/models/dim_bands")
     assert {"created_at", "updated_at", "is_current_record"} <= set(stored.columns)
+    # prod target: the same failures are errors and fail the check step
+    cat = jobs.build(spark, {t: spark.read.parquet(f"{work}/out/raw/{t}")
+                             for t in ["bands", "albums", "reviews"]})
+    with pytest.raises(quality.QualityError):
+        jobs.check(cat, target="prod")
 
 
 def test_enforce_fails_on_error(spark):

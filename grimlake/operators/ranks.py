@@ -62,8 +62,12 @@ def _null_safe_join(left: DataFrame, right: DataFrame, keys: Sequence[str],
     """Equi-join on ``keys`` where null matches null (window semantics)."""
     keys = list(keys)
     if not keys:
-        # One-row right side (global aggregate): bounded, broadcast it.
-        return left.crossJoin(F.broadcast(right))
+        # A global aggregate is exactly one row of scalars: fetch that row (a
+        # bounded result, like any aggregate action) and attach its values as
+        # typed literals - no join, no cartesian product.
+        row = right.first()
+        return left.withColumns({f.name: F.lit(None if row is None else row[f.name])
+                                 .cast(f.dataType) for f in right.schema.fields})
     renamed = right.select(*[F.col(k).alias(f"__r_{k}") for k in keys],
                            *[c for c in right.columns if c not in keys])
     cond = None

@@ -374,17 +374,27 @@ def percent_from(before_asc: Column, group_n: Column) -> Column:
 
 
 def lag_over(df: DataFrame, spec: RankSpec, value: str, out: str, key: str = "_rk",
-             limit: int | None = None) -> DataFrame:
-    """``lag(value, 1) OVER (spec's window)`` added as ``out``: an ordinary
-    window when the largest group fits one task, otherwise row numbers from
-    ``row_number_frame`` and an equi-join to the previous row."""
+             limit: int | None = None, aggs: dict[str, Column] | None = None) -> DataFrame:
+    """``lag(value, 1) OVER (spec's window)`` added as ``out``, plus optional
+    whole-group aggregates ``aggs``: ordinary windows sharing one exchange
+    when the largest group fits one task; otherwise row numbers from
+    ``row_number_frame``, an equi-join to the previous row, and the
+    aggregates as a grouped table joined back (broadcast under the bound)."""
     limit = limit or max_rows_per_task(df.sparkSession)
+    aggs = dict(aggs or {})
     prof = group_profile(df, spec.partition, spec.order)
     if spec.partition and prof.max_group <= limit:
-        return df.withColumn(out, F.lag(F.col(value), 1).over(spec.window()))
+        part = Window.partitionBy(*spec.partition)
+        return df.withColumns({out: F.lag(F.col(value), 1).over(spec.window()),
+                               **{n: c.over(part) for n, c in aggs.items()}})
     rn = row_number_frame(df, spec.partition, spec.order, spec.desc, spec.ties, "_lag_rn",
                           key=key, limit=limit)
-    return lag_by(df.join(rn, key, "inner"), spec.partition, "_lag_rn", value, out).drop("_lag_rn")
+    res = lag_by(df.join(rn, key, "inner"), spec.partition, "_lag_rn", value, out)
+    res = res.drop("_lag_rn")
+    if aggs:
+        res = attach(res, group_stats(df, spec.partition, aggs), spec.partition,
+                     rows=prof.groups)
+    return res
 
 
 def group_stats(df: DataFrame, partition: Sequence[str] | str | None,

@@ -126,9 +126,9 @@ CAREER_COLUMNS = [
 
 def career_analysis(dim_albums_keyed: DataFrame, fct_keyed: DataFrame) -> DataFrame:
     """One row per (album, review). ``lag`` by band in (year, album_id,
-    review_id) order (``ranks.lag_over``: a window, or a self-join on the
-    band row number when a band is too big for one task); band average and
-    best score are grouped aggregates joined back."""
+    review_id) order with the band average and best score (``ranks.lag_over``:
+    windows on one band partitioning, or - for a band too big for one task -
+    a self-join on the band row number and grouped aggregates joined back)."""
     albums = dim_albums_keyed.select(
         "_ak", "album_id", "band_id", "band_name", "band_career_phase",
         "album_number_in_discography", "years_since_formation", "album_title", "album_year")
@@ -137,10 +137,9 @@ def career_analysis(dim_albums_keyed: DataFrame, fct_keyed: DataFrame) -> DataFr
     rows = albums.join(reviews, "album_id", "inner")
     rows = rows.withColumn("_ck", F.struct("_ak", "_rk"))
     order = ranks.RankSpec.of("band_id", "album_year", False, ["album_id", "review_id"], "_")
-    rows = ranks.lag_over(rows, order, "score_album", "previous_album_score", key="_ck")
-    stats = ranks.group_stats(rows, "band_id", {"band_avg_score": F.avg("score_album"),
-                                                "_band_max": F.max("score_album")})
-    rows = ranks.attach(rows, stats, "band_id")
+    rows = ranks.lag_over(rows, order, "score_album", "previous_album_score", key="_ck",
+                          aggs={"band_avg_score": F.avg("score_album"),
+                                "_band_max": F.max("score_album")})
     s, prev = F.col("score_album"), F.col("previous_album_score")
     n = F.col("album_number_in_discography")
     return rows.select(

@@ -62,7 +62,10 @@ def test_group_stats_null_group(spark, data):
 @pytest.mark.parametrize("limit", [50, 10**9])
 def test_lag_over(spark, data, limit):
     spec = ranks.RankSpec.of("band", "score", False, "tie", "_")
-    got = ranks.lag_over(data, spec, "score", "prev", limit=limit)
+    got = ranks.lag_over(data, spec, "score", "prev", limit=limit,
+                         aggs={"mx": F.max("score")})
+    mx = data.select("_rk", F.max("score").over(Window.partitionBy("band")).alias("mx"))
+    assert sorted_rows(got, ["_rk", "mx"]) == sorted_rows(mx, ["_rk", "mx"])
     w = Window.partitionBy("band").orderBy("score", "tie")
     want = data.select("_rk", F.lag("score", 1).over(w).alias("prev"))
     assert sorted_rows(got, ["_rk", "prev"]) == sorted_rows(want, ["_rk", "prev"])

@@ -8,7 +8,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
-def left_join_split(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> DataFrame:
+def left_join_split(left: DataFrame, right: DataFrame, keys: Sequence[str],
+                    right_keys: DataFrame | None = None) -> DataFrame:
     """``left LEFT JOIN right USING (keys)`` for a right side with hot keys.
 
     AQE can split a skewed partition of either side of an *inner* join but
@@ -17,10 +18,13 @@ def left_join_split(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> D
     and the unmatched left rows from an anti join against the right side's
     distinct keys (one row per key, so no hot key there), padded with nulls.
     Same rows as the left join, including the fan-out of duplicate keys.
+    ``right_keys`` may give a cheaper frame with the same set of key values
+    as ``right`` (e.g. the albums under an albums-with-reviews frame).
     """
     keys = list(keys)
     matched = left.join(right, keys, "inner")
-    unmatched = left.join(right.select(*keys).distinct(), keys, "left_anti")
+    key_source = right if right_keys is None else right_keys
+    unmatched = left.join(key_source.select(*keys).distinct(), keys, "left_anti")
     pads = [F.lit(None).cast(f.dataType).alias(f.name)
             for f in right.schema.fields if f.name not in keys]
     return matched.unionByName(unmatched.select(*unmatched.columns, *pads))

@@ -52,7 +52,10 @@ def band_metrics(dim_bands: DataFrame, dim_albums: DataFrame, fct: DataFrame) ->
     """bands LEFT albums LEFT reviews, grouped by eight band attributes."""
     albums = dim_albums.select("band_id", "album_id", "album_year")
     album_reviews = left_join_split(albums, _reviews(fct), ["album_id"])
-    base = left_join_split(dim_bands.select(*BAND_KEYS), album_reviews, ["band_id"])
+    # albums LEFT JOIN reviews keeps every album row, so its band ids are the
+    # albums' band ids: the anti join reads those instead of the whole union.
+    base = left_join_split(dim_bands.select(*BAND_KEYS), album_reviews, ["band_id"],
+                           right_keys=albums)
     s = F.col("score_album")
     n_rev = F.count("review_id")
     sd = X.stddev(s)

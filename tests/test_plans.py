@@ -52,3 +52,24 @@ def test_filter_pushdown_and_pruning(spark):
     plan = c.stg_albums.select("album_id")._jdf.queryExecution().executedPlan().toString()
     assert "PushedFilters: [IsNotNull(o_orderkey)" in plan
     assert "ReadSchema: struct<o_orderkey:bigint,o_custkey:bigint>" in plan
+
+
+def test_fact_assembly_has_no_shuffle(spark):
+    """Fact base and window table are bucketed alike: joining them back must
+    not hash-shuffle the wide rows (a broadcast of a small window table is
+    also fine)."""
+    c = catalog(spark, SF)
+    plan = c.fct_reviews._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange hashpartitioning" not in plan
+
+
+def test_bucketed_tables_one_file_per_bucket(spark):
+    import glob
+
+    from grimlake.plans import facts
+    c = catalog(spark, SF)
+    for table in (c.fct_base, c.fct_windows):
+        n = facts.bucket_count(table)
+        leaf = table._jdf.queryExecution().analyzed().collectLeaves().head()
+        files = glob.glob(leaf.catalogTable().get().location().getPath() + "/*.parquet")
+        assert n and len(files) <= n

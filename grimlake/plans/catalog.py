@@ -2,8 +2,9 @@
 
 ``Catalog`` builds each model on first use and keeps the DataFrame, the
 way the warehouse materialises a model once per build and lets downstream
-models read it. ``dim_albums`` and ``fct_reviews`` are checkpointed inside
-their builders; the others are cheap lazy plans.
+models read it. ``dim_bands``, ``dim_albums``, the fact base and the fact's
+window table are written once as Parquet under the checkpoint folder; the
+others are lazy plans over them.
 """
 
 from __future__ import annotations

@@ -8,13 +8,15 @@ Plan shape, chosen for a fact far larger than memory:
    checkpoint folder): the key is stable, readers prune columns (marts read
    three), and lineage is cut (lost executors re-read the files instead of
    recomputing from the raw scan).
-2. All window columns run on an eight-column projection of ``base``:
-   - ranks (overall, band, country, decade, subgenre): ``with_row_numbers``
-     (exact; the overall rank and any group too big for one task use the
-     distributed cell form, hot scores split by review-id ranges);
-   - percentiles (overall, decade, subgenre): score histograms;
-   - averages and counts: ``groupBy`` + join back (partial aggregation).
-3. One join of the projection back to ``base`` on the row key.
+2. All window columns run on an eight-column projection of ``base`` (see
+   ``window_columns``): one score partitioning carries the overall, country,
+   decade and subgenre ranks, shifted by offsets from one (group, score)
+   histogram that also gives the percent ranks and averages; band ranks,
+   averages and counts share one band partitioning (or the distributed cell
+   form when a band is too big for one task); album counts are a grouped
+   table. The result is written once, bucketed like ``base``.
+3. One join of the window table back to ``base`` on the row key; both are
+   bucketed by it, so the join moves no rows.
 
 Ties in score order are broken by ``review_id`` (D6).
 """

@@ -17,6 +17,37 @@ from pyspark.sql import DataFrame
 from grimlake.session import checkpoint_dir
 
 
+TARGET_BUCKET_BYTES = 512 * 1024 * 1024
+MAX_BUCKETS = 100_000
+
+
+def input_bytes(df: DataFrame) -> int:
+    """Bytes of the files under the plan's file-source leaves (a proxy for the
+    size of what is written; join estimates without statistics are not)."""
+    total = 0
+    leaves = df._jdf.queryExecution().analyzed().collectLeaves().iterator()
+    while leaves.hasNext():
+        leaf = leaves.next()
+        if "LogicalRelation" not in leaf.getClass().getName():
+            continue
+        size = int(str(leaf.stats().sizeInBytes()))
+        if size < (1 << 60):  # relations without a known size report "huge"
+            total += size
+    return total
+
+
+def bucket_count_for(df: DataFrame) -> int:
+    """Buckets for writing ``df``: about 512 MiB of input per bucket, never
+    fewer than the shuffle partitions (a bucket is also one task when the
+    table is joined), at most ``MAX_BUCKETS``."""
+    floor = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions", "200"))
+    try:
+        size = input_bytes(df)
+    except Exception:  # noqa: BLE001 - no file leaves: the floor
+        size = 0
+    return max(floor, min(MAX_BUCKETS, -(-size // TARGET_BUCKET_BYTES)))
+
+
 def stored_table(df: DataFrame, name: str, bucket_by: str | None = None,
                  buckets: int | None = None) -> DataFrame:
     """Write ``df`` once (Parquet, overwrite) and return a scan of it.
@@ -34,7 +65,7 @@ def stored_table(df: DataFrame, name: str, bucket_by: str | None = None,
     if bucket_by is None:
         df.write.mode("overwrite").parquet(path)
         return spark.read.parquet(path)
-    n = buckets or int(spark.conf.get("spark.sql.shuffle.partitions", "200"))
+    n = buckets or bucket_count_for(df)
     table = f"grimlake_{tag}"
     # Hash-partition by the bucket column first (the same hash the bucketed
     # writer uses): each task then holds exactly one bucket and writes one

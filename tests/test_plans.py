@@ -73,3 +73,14 @@ def test_bucketed_tables_one_file_per_bucket(spark):
         leaf = table._jdf.queryExecution().analyzed().collectLeaves().head()
         files = glob.glob(leaf.catalogTable().get().location().getPath() + "/*.parquet")
         assert n and len(files) <= n
+
+
+def test_bucket_count_follows_input_size(spark, monkeypatch):
+    from grimlake.sources import stage
+    df = spark.read.parquet(f"{SF}/lineitem.parquet")
+    size = stage.input_bytes(df)
+    assert size > 0
+    floor = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    assert stage.bucket_count_for(df) == floor          # small input: the floor
+    monkeypatch.setattr(stage, "TARGET_BUCKET_BYTES", max(1, size // (floor * 3)))
+    assert stage.bucket_count_for(df) >= floor * 3     # big input: one bucket per target

@@ -5,9 +5,11 @@ from __future__ import annotations
 from oracle.models import with_ctes
 
 Q: dict[str, str] = {}
+FINAL: dict[str, str] = {}  # un-rendered final SELECTs (to swap raw sources in tests)
 
 
 def q(name: str, sql: str) -> None:
+    FINAL[name] = sql
     Q[name] = with_ctes(sql)
 
 

@@ -230,7 +230,11 @@ def fct_reviews_keyed(stg_reviews: DataFrame = None, dim_albums_df: DataFrame =
         narrow = base.select(*NARROW, F.col("score_album").cast("double").alias("score_d"))
         windows = window_columns(narrow)
     windows = windows.select("_rk", *WINDOW_COLUMNS)
-    return base.join(windows, "_rk", "inner").select(*FCT_COLUMNS, "_rk")
+    # Both sides are bucketed by the key: a shuffled hash join needs neither an
+    # exchange nor a sort of the wide base; each task hashes its bucket of the
+    # narrow window table (bounded by the bucket sizing) and streams the base.
+    return (base.join(windows.hint("shuffle_hash"), "_rk", "inner")
+            .select(*FCT_COLUMNS, "_rk"))
 
 
 def fct_reviews(stg_reviews: DataFrame, dim_albums_df: DataFrame,

@@ -60,3 +60,31 @@ def test_oracle_agrees(spark, duck, name):
     assert sorted(ocols) == cols
     want = Counter(tuple(_norm(dict(zip(ocols, r))[c]) for c in cols) for r in rel.fetchall())
     assert got == want
+
+
+def test_approx_top_value_against_exact(spark):
+    """approx_top_k is exact while a decade has fewer distinct subgenres than
+    its sketch holds: its count must equal the exact top count, and its value
+    must be one of the values with that count."""
+    from pyspark.sql import functions as F
+
+    from grimlake.plans.registry import catalog
+    got = {r.release_decade: (r.top_subgenre, r.top_count)
+           for r in E.queries()["approx_top_value"](spark, SF).collect()}
+    counts = (catalog(spark, SF).fct_base.groupBy("release_decade", "death_metal_subgenre")
+              .agg(F.count(F.lit(1)).alias("n")).collect())
+    exact = {}
+    for r in counts:
+        exact.setdefault(r.release_decade, []).append((r.n, r.death_metal_subgenre))
+    assert set(got) == set(exact)
+    for decade, pairs in exact.items():
+        top = max(n for n, _ in pairs)
+        value, n = got[decade]
+        assert n == top and (top, value) in pairs
+
+
+def test_preview_rows_are_staged_rows(spark):
+    from grimlake.plans.registry import catalog
+    rows = E.queries()["preview"](spark, SF).collect()
+    staged = {tuple(r) for r in catalog(spark, SF).stg_bands.collect()}
+    assert len(rows) == 5 and all(tuple(r) in staged for r in rows)

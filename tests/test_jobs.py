@@ -68,3 +68,13 @@ def test_enforce_fails_on_error(spark):
                                                                 "not_null")])
     with pytest.raises(quality.QualityError):
         quality.enforce(s)
+
+
+def test_command_line(spark, capsys):
+    from grimlake.__main__ import main
+    work = tempfile.mkdtemp(prefix="grimlake-cli-")
+    for t, df in raw_from_driver(spark, SF).items():
+        raw_io.write_csv(df, f"{work}/csv/{t}", null_value="")
+    assert main(["run", "--raw", f"{work}/csv", "--work", f"{work}/out"]) == 0
+    assert "warn: not_null__dim_bands__country" in capsys.readouterr().out
+    assert main(["run", "--raw", f"{work}/csv", "--work", f"{work}/out2", "--target", "prod"]) == 1

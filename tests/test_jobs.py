@@ -78,3 +78,21 @@ def test_command_line(spark, capsys):
     assert main(["run", "--raw", f"{work}/csv", "--work", f"{work}/out"]) == 0
     assert "warn: not_null__dim_bands__country" in capsys.readouterr().out
     assert main(["run", "--raw", f"{work}/csv", "--work", f"{work}/out2", "--target", "prod"]) == 1
+
+
+def test_inferred_schema_scan_stages(spark):
+    """The inferred-schema scan also stages (junk year text stays text,
+    and staging's try_cast turns it into null)."""
+    from pyspark.sql import functions as F
+
+    from grimlake.plans import staging
+    work = tempfile.mkdtemp(prefix="grimlake-infer-")
+    for t, df in raw_from_driver(spark, SF).items():
+        raw_io.write_csv(df, f"{work}/{t}", null_value="")
+    inferred = raw_io.read_raw(spark, work, "csv", declared=False)
+    declared = raw_io.read_raw(spark, work, "csv", declared=True)
+    assert dict(inferred["bands"].dtypes)["formed_in"] == "string"   # holds 'N/A'
+    assert dict(inferred["albums"].dtypes)["id"] in ("int", "bigint")
+    a = staging.stg_bands(inferred["bands"]).where(F.col("formed_year").isNull()).count()
+    b = staging.stg_bands(declared["bands"]).where(F.col("formed_year").isNull()).count()
+    assert a == b > 0

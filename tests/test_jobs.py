@@ -96,3 +96,13 @@ def test_inferred_schema_scan_stages(spark):
     a = staging.stg_bands(inferred["bands"]).where(F.col("formed_year").isNull()).count()
     b = staging.stg_bands(declared["bands"]).where(F.col("formed_year").isNull()).count()
     assert a == b > 0
+
+
+def test_named_source_lookup(spark):
+    """Raw tables looked up by name in a catalog database."""
+    raw = raw_from_driver(spark, SF)
+    for t, name in [("bands", "metal_bands"), ("albums", "metal_albums"),
+                    ("reviews", "metal_reviews")]:
+        raw[t].createOrReplaceGlobalTempView(name)
+    found = raw_io.read_catalog(spark, "global_temp")
+    assert {t: df.count() for t, df in found.items()} == {t: df.count() for t, df in raw.items()}

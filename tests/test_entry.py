@@ -88,3 +88,11 @@ def test_preview_rows_are_staged_rows(spark):
     rows = E.queries()["preview"](spark, SF).collect()
     staged = {tuple(r) for r in catalog(spark, SF).stg_bands.collect()}
     assert len(rows) == 5 and all(tuple(r) in staged for r in rows)
+
+
+def test_every_query_runs_on_smallest_tables(spark):
+    """All registered queries execute on sf0.001 with a stable schema."""
+    for name, fn in E.queries().items():
+        df = fn(spark, SF)
+        n = df.count()
+        assert n >= 0 and len(df.columns) == len(set(df.columns)), name

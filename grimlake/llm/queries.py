@@ -5,12 +5,29 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
-from grimlake.llm import exact_dedup, fingerprints, mixing
+from grimlake.llm import exact_dedup, fingerprints, html_text, mixing, piece_tokens, toxicity
 from grimlake.llm.common import documents
 
 
+def piece_model() -> str:
+    import public_tokenizers
+    return "file://" + public_tokenizers.path("piece_bpe_32k.model")
+
+
+def op1_piece_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return piece_tokens.digests(piece_tokens.encode_documents(documents(spark, sf_dir), piece_model()))
+
+
+def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    labels = spark.read.parquet(f"{sf_dir.rstrip('/')}/labels.parquet")
+    return toxicity.detect(documents(spark, sf_dir), labels)
+
+
+def op7_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_text.extract(spark.read.parquet(f"{sf_dir.rstrip('/')}/pages.parquet"))
+
+
 def op8_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(documents(spark, sf_dir))
 
@@ -24,7 +41,7 @@ def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op8_mixing, op9_fingerprints, op10_exact_dedup)}
+    return {f.__name__: f for f in (op1_piece_tokens, op5_toxicity, op7_html_text, op8_mixing, op9_fingerprints, op10_exact_dedup)}
 
 
 def oracle_sql() -> dict[str, str]:

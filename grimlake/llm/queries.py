@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from grimlake.llm import exact_dedup, fingerprints, html_text, mixing, piece_tokens, toxicity
+from grimlake.llm import exact_dedup, fingerprints, html_text, mixing, ngram_join, piece_tokens, toxicity
 from grimlake.llm.common import documents
 
 
@@ -19,6 +19,10 @@ def op1_piece_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
     return piece_tokens.digests(piece_tokens.encode_documents(documents(spark, sf_dir), piece_model()))
 
 
+def op3_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngram_join.jaccard_components(documents(spark, sf_dir)).drop("k", "h", "kept")
+
+
 def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     labels = spark.read.parquet(f"{sf_dir.rstrip('/')}/labels.parquet")
     return toxicity.detect(documents(spark, sf_dir), labels)
@@ -41,7 +45,7 @@ def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_piece_tokens, op5_toxicity, op7_html_text, op8_mixing, op9_fingerprints, op10_exact_dedup)}
+    return {f.__name__: f for f in (op1_piece_tokens, op3_ngram_join, op5_toxicity, op7_html_text, op8_mixing, op9_fingerprints, op10_exact_dedup)}
 
 
 def oracle_sql() -> dict[str, str]:

@@ -5,8 +5,9 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from grimlake.llm import exact_dedup, fingerprints, html_text, mixing, ngram_join, piece_tokens, toxicity
+from grimlake.llm import exact_dedup, fingerprints, html_text, mixing, ngram_join, piece_tokens, substring_dedup, toxicity
 from grimlake.llm.common import documents
 
 
@@ -23,6 +24,11 @@ def op3_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_join.jaccard_components(documents(spark, sf_dir)).drop("k", "h", "kept")
 
 
+def op4_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = substring_dedup.remove_repeats(documents(spark, sf_dir))
+    return found.select("doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
+
+
 def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     labels = spark.read.parquet(f"{sf_dir.rstrip('/')}/labels.parquet")
     return toxicity.detect(documents(spark, sf_dir), labels)
@@ -45,7 +51,7 @@ def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_piece_tokens, op3_ngram_join, op5_toxicity, op7_html_text, op8_mixing, op9_fingerprints, op10_exact_dedup)}
+    return {f.__name__: f for f in (op1_piece_tokens, op3_ngram_join, op4_substring_dedup, op5_toxicity, op7_html_text, op8_mixing, op9_fingerprints, op10_exact_dedup)}
 
 
 def oracle_sql() -> dict[str, str]:

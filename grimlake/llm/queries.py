@@ -7,7 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from grimlake.llm import exact_dedup, fingerprints, html_text, mixing, ngram_join, piece_tokens, substring_dedup, toxicity
+from grimlake.llm import (exact_dedup, fingerprints, html_text, mixing, ngram_join, piece_tokens, substring_dedup,
+                          suffix_tree, toxicity)
 from grimlake.llm.common import documents
 
 
@@ -34,6 +35,10 @@ def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.detect(documents(spark, sf_dir), labels)
 
 
+def op6_suffix_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_tree.score(documents(spark, sf_dir))
+
+
 def op7_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     return html_text.extract(spark.read.parquet(f"{sf_dir.rstrip('/')}/pages.parquet"))
 
@@ -51,7 +56,7 @@ def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_piece_tokens, op3_ngram_join, op4_substring_dedup, op5_toxicity, op7_html_text, op8_mixing, op9_fingerprints, op10_exact_dedup)}
+    return {f.__name__: f for f in (op1_piece_tokens, op3_ngram_join, op4_substring_dedup, op5_toxicity, op6_suffix_tree, op7_html_text, op8_mixing, op9_fingerprints, op10_exact_dedup)}
 
 
 def oracle_sql() -> dict[str, str]:

@@ -19,6 +19,8 @@ from pyspark.sql import functions as F
 from grimlake.llm.common import text_or_empty
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
+#: The end of a text as a token; no word can be a space.
+LAST_WORD = " "
 PRIME = np.uint64(0x9E3779B185EBCA87)
 
 

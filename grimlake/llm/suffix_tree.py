@@ -22,16 +22,19 @@ from grimlake.llm.common import stored, text_or_empty
 from grimlake.llm.shards import LAST_WORD, WORD, Vocabulary, sharded
 
 DEPTH = 5
-#: A context must be this share of all positions: at most DEPTH / LEAST_SHARE
-#: contexts are retained, whatever the size of the corpus.
-LEAST_SHARE = 5e-5
+#: A context must be this share of all positions: of each length at most
+#: 1 / LEAST_SHARE contexts are retained, whatever the size of the corpus.
+LEAST_SHARE = 3e-6
 LEAST_COUNT = 8
-#: Gain in log-likelihood (nats) over the corpus that a context must bring, and
-#: its least divergence per occurrence.
-LEAST_GAIN = 30.0
-LEAST_DIVERGENCE = 0.005
-#: Occurrences that the suffix's distribution weighs in smoothing.
-WEIGHT = 4.0
+#: Gain in log-likelihood (nats, by share of all positions) that a context must
+#: bring over the corpus, and its least divergence per occurrence.
+GAIN_SHARE = 1e-6
+LEAST_GAIN = 10.0
+LEAST_DIVERGENCE = 0.001
+#: Occurrences that the suffix's distribution weighs in smoothing, and nats
+#: that a context must gain, for each different next symbol.
+WEIGHT = 2.0
+COST = 2.0
 SHARD_CHARS = 8_000_000
 CHUNK = 1024
 BATCH_SYMBOLS = 6_000_000
@@ -114,69 +117,72 @@ class Tree:
     """A suffix tree as an automaton: ``step[state, symbol]`` is the longest
     retained context after the symbol, ``logp`` the log10 probabilities."""
 
-    def __init__(self, rows: pd.DataFrame, depth: int, gain: float = LEAST_GAIN,
-                 divergence: float = LEAST_DIVERGENCE, weight: float = WEIGHT):
+    def __init__(self, rows: pd.DataFrame, depth: int, gain_share: float = GAIN_SHARE,
+                 divergence: float = LEAST_DIVERGENCE, weight: float = WEIGHT, cost: float = COST):
         self.depth = depth
-        counts: dict[tuple[int, int], np.ndarray] = {}
-        for (d, c), part in rows.groupby(["depth", "context"]):
-            n = np.zeros(END + 1)
-            n[part["symbol"].to_numpy()] = part["n"]
-            counts[int(d), int(c)] = n
-        root = counts.get((0, 0), np.zeros(END + 1))
-        dist = {(0, 0): (root + 1) / (root.sum() + END + 1)}
-        # Divergence tests from short to long; a context's suffixes are retained with it.
-        passed = {(0, 0)}
-        smoothed: dict[tuple[int, int], np.ndarray] = dict(dist)
-        for d, c in sorted(counts):
+        level, context, symbol, n = (rows[c].to_numpy(np.int64) for c in ("depth", "context", "symbol", "n"))
+        contexts, parents, logps, passed = [], [], [], []
+        above = None
+        gain = max(LEAST_GAIN, gain_share * float(n[level == 0].sum()))
+        for d in range(depth + 1):
+            at = level == d
+            names, row = np.unique(context[at], return_inverse=True)
+            if d == 0 and not len(names):  # nothing to learn from
+                names = np.zeros(1, np.int64)
+            counts = np.zeros((len(names), END + 1), np.float32)
+            counts[row, symbol[at]] = n[at]
+            total = counts.sum(axis=1, dtype=np.float64)[:, None].astype(np.float32)
             if d == 0:
-                continue
-            parent = self.suffix(d, c)
-            base = smoothed.get(parent)
-            if base is None:  # can't be: a suffix is at least as frequent
-                continue
-            n = counts[d, c]
-            p = (n + weight * base) / (n.sum() + weight)
-            smoothed[d, c] = p
-            kl = float((n / n.sum() * np.log(np.where(n > 0, p / base, 1.0))).sum())
-            if kl >= divergence and kl * n.sum() >= gain:
-                node = (d, c)
-                while node not in passed:
-                    passed.add(node)
-                    node = self.suffix(*node)
-        # Every prefix of a state is a state, so that one symbol leads from
-        # state to state; the ones added so predict as their longest retained suffix.
-        states = set(passed)
-        todo = list(passed)
-        while todo:
-            d, c = todo.pop()
-            for node in ((d - 1, c >> BITS), self.suffix(d, c)) if d else ():
-                if node not in states:
-                    states.add(node)
-                    todo.append(node)
-        order = sorted(states)
-        at = {s: i for i, s in enumerate(order)}
-        self.step = np.zeros((len(order), SYMBOLS), np.int32)
-        self.logp = np.zeros((len(order), END + 1), np.float32)
-        for i, (d, c) in enumerate(order):
-            up = at[self.suffix(d, c)] if d else 0
+                smooth, keep, up = (counts + 1) / (total + END + 1), np.ones(1, bool), np.zeros(1, np.int64)
+            else:
+                up = np.searchsorted(contexts[-1], self.suffix(names, d))
+                seen = counts > 0
+                kinds = seen.sum(axis=1)[:, None].astype(np.float32)
+                smooth = (counts + weight * kinds * above[up]) / (total + weight * kinds)
+                # divergence from the suffix: per occurrence, and in all
+                ratio = np.zeros_like(counts)
+                np.log(smooth / above[up], out=ratio, where=seen)
+                kl = (counts * ratio).sum(axis=1) / total[:, 0]
+                keep = (kl >= divergence) & (kl * total[:, 0] >= np.maximum(gain, cost * kinds[:, 0]))
+            contexts.append(names)
+            parents.append(up)
+            logps.append(np.log10(smooth))
+            passed.append(keep)
+            above = smooth
+        # With a context its suffixes are retained. Prefixes of states are states
+        # too, so that one symbol leads from state to state; the ones added for
+        # that predict as their longest retained suffix.
+        for d in range(depth, 0, -1):
+            passed[d - 1][parents[d][passed[d]]] = True
+        states = [p.copy() for p in passed]
+        for d in range(depth, 0, -1):
+            states[d - 1][parents[d][states[d]]] = True
+            prefix = np.unique(contexts[d][states[d]] >> BITS)
+            states[d - 1][np.searchsorted(contexts[d - 1], prefix)] = True
+        sizes = [int(k.sum()) for k in states]
+        first = np.cumsum([0, *sizes])
+        self.step = np.zeros((first[-1], SYMBOLS), np.int32)
+        self.logp = np.zeros((first[-1], END + 1), np.float32)
+        number = [first[d] + np.cumsum(states[d]) - 1 for d in range(depth + 1)]
+        for d in range(depth + 1):
+            mine = slice(first[d], first[d + 1])
+            names = contexts[d][states[d]]
+            own = passed[d][states[d]]
+            self.logp[mine] = logps[d][states[d]]
             if d:
-                self.step[i] = self.step[up]
-            self.logp[i] = np.log10(smoothed[d, c]) if (d, c) in passed else self.logp[up]
+                up = number[d - 1][parents[d][states[d]]]
+                self.step[mine] = self.step[up]
+                self.logp[mine][~own] = self.logp[up[~own]]
             if d < depth:
-                # by length, then key: states that extend this one come later,
-                # but their numbers are known
-                self._extend(i, d, c, at)
-        self.states, self.retained = len(order), len(passed)
-
-    def _extend(self, i: int, d: int, c: int, at: dict) -> None:
-        for s in range(SYMBOLS):
-            node = at.get((d + 1, c << BITS | s))
-            if node is not None:
-                self.step[i, s] = node
+                longer = contexts[d + 1][states[d + 1]]
+                self.step[first[d] + np.searchsorted(names, longer >> BITS), longer & ((1 << BITS) - 1)] = (
+                    first[d + 1] + np.arange(len(longer)))
+        self.states, self.retained = int(first[-1]), int(sum(p.sum() for p in passed))
 
     @staticmethod
-    def suffix(d: int, c: int) -> tuple[int, int]:
-        return d - 1, c & ((1 << BITS * (d - 1)) - 1)
+    def suffix(context: np.ndarray, d: int) -> np.ndarray:
+        """Contexts of ``d`` symbols without their oldest one."""
+        return context & ((1 << BITS * (d - 1)) - 1)
 
     def score(self, texts: list[str]) -> np.ndarray:
         """log10 probability of each text. Long texts are cut into chunks that

@@ -50,6 +50,24 @@ def text_or_empty(col: str) -> Column:
     return F.coalesce(F.col(col).cast("string"), F.lit(""))
 
 
+def id_key(col: str) -> Column:
+    """64-bit hash of an id, null included."""
+    return F.xxhash64(F.coalesce(F.col(col).cast("string"), F.lit("\x00")))
+
+
+def pick_rows(docs: DataFrame, picked: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """The rows of ``docs`` that ``picked`` names by (k, h), the hashes of id and
+    text, ``copies`` times each, with their columns. Rows repeated in full are
+    one row."""
+    k, h, nth, n = ("__grimlake_k", "__grimlake_h", "__grimlake_nth", "__grimlake_copies")
+    wanted = picked.groupBy(F.col("k").alias(k), F.col("h").alias(h)).agg(F.sum("copies").alias(n))
+    rows = docs.withColumns({k: id_key(id_col), h: F.xxhash64(text_or_empty(text_col))})
+    first = F.row_number().over(Window.partitionBy(k, h).orderBy(F.lit(0)))
+    rows = rows.join(wanted, [k, h]).withColumn(nth, first).filter(F.col(nth) == 1)
+    rows = rows.withColumn(nth, F.explode(F.expr(f"sequence(1L, {n})")))
+    return rows.select(*[F.col(f"`{c}`") for c in docs.columns])
+
+
 def n_words(text: Column) -> Column:
     return F.regexp_count(text, F.lit(WORD)).cast("long")
 

@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from grimlake.llm.common import SPACE, stored, text_or_empty
+from grimlake.llm.common import SPACE, id_key, pick_rows, stored, text_or_empty
 
 BUCKET_BYTES = 64 << 20
 MAX_DEPTH = 20
@@ -86,19 +86,22 @@ def build_index(entries: DataFrame, bucket_bytes: int = BUCKET_BYTES, max_depth:
 
 def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                 bucket_bytes: int = BUCKET_BYTES, max_depth: int = MAX_DEPTH,
-                key_bits: int = 64) -> DataFrame:
+                key_bits: int = 64, keys: bool = False) -> DataFrame:
     """Per row of ``docs``: doc_id, keep_id, group_size, kept, text_sha256.
 
     Null texts count as empty, so null and blank-free empty texts are one
     group. Of equal texts the row with the smallest doc_id stays; null ids
     come last; if rows repeat that id, exactly one of them stays. An empty
     table gives an empty result. Very long texts are compared whole.
-    ``key_bits`` shortens the index key (tests force collisions with it).
+    ``key_bits`` shortens the index key (tests force collisions with it);
+    ``keys`` adds (k, h), the hashes of the row's id and text.
     """
     norm = normalised(text_col)
+    named = [id_key(id_col).alias("k"), F.xxhash64(text_or_empty(text_col)).alias("h")] if keys else []
+    extra = ["k", "h"] if keys else []
     rows = stored(
-        docs.select(F.col(id_col).alias("doc_id"), norm.alias("norm"))
-        .select(F.monotonically_increasing_id().alias("rid"), "doc_id",
+        docs.select(F.col(id_col).alias("doc_id"), norm.alias("norm"), *named)
+        .select(F.monotonically_increasing_id().alias("rid"), "doc_id", *extra,
                 address(F.col("norm"), key_bits).alias("key"), F.sha2("norm", 256).alias("sha")), "op10-rows")
     head = F.min(F.struct(F.col("doc_id").isNull().alias("no_id"), F.col("doc_id"), F.col("rid")))
     heads = rows.groupBy("key", "sha").agg(head.alias("head"))
@@ -109,7 +112,13 @@ def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                          F.col("size").alias("group_size"), F.col("head.rid").alias("keep_rid"))
     return (rows.join(found, ["key", "sha"])
             .select("doc_id", "keep_id", "group_size", (F.col("rid") == F.col("keep_rid")).alias("kept"),
-                    F.col("sha").alias("text_sha256"), "rid"))
+                    F.col("sha").alias("text_sha256"), *extra))
+
+
+def keep_first(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """The rows of ``docs`` that :func:`exact_dedup` keeps, with their columns."""
+    found = exact_dedup(docs, id_col, text_col, keys=True).filter("kept")
+    return pick_rows(docs, found.select("k", "h", F.lit(1).alias("copies")), id_col, text_col)
 
 
 SQL = r"""

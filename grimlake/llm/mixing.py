@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from grimlake.llm.common import cell_offsets, n_words, stored, text_or_empty
+from grimlake.llm.common import cell_offsets, id_key, n_words, pick_rows, stored, text_or_empty
 
 BLOCK_WORDS = 2048
 MAX_PASSES = 3
@@ -24,13 +24,15 @@ CHUNK = 1 << 16
 EPSILON = 1e-6
 
 
-def sized_rows(docs: DataFrame, id_col: str, text_col: str, source_col: str, seed: int) -> DataFrame:
+def sized_rows(docs: DataFrame, id_col: str, text_col: str, source_col: str, seed: int,
+               keys: bool = False) -> DataFrame:
     """Stored (rid, doc_id, source, size, okey); ``okey`` orders the shuffle."""
     base = docs.select(F.col(id_col).alias("doc_id"), F.col(source_col).cast("string").alias("source"),
-                       n_words(text_or_empty(text_col)).alias("size"))
+                       n_words(text_or_empty(text_col)).alias("size"),
+                       *([id_key(id_col).alias("k"), F.xxhash64(text_or_empty(text_col)).alias("h")] if keys else []))
     okey = F.md5(F.concat(F.coalesce(F.col("doc_id").cast("string"), F.lit("")), F.lit(f":{seed}")))
-    return stored(base.select(F.monotonically_increasing_id().alias("rid"), "doc_id", "source", "size",
-                              okey.alias("okey")), "op8-rows")
+    return stored(base.select(F.monotonically_increasing_id().alias("rid"), *base.columns, okey.alias("okey")),
+                  "op8-rows")
 
 
 def source_targets(rows: DataFrame, block_words: int, max_passes: int = MAX_PASSES) -> DataFrame:
@@ -134,10 +136,10 @@ def stream_positions(rows: DataFrame, n_rows: int) -> DataFrame:
 
 
 def pieces(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source",
-           block_words: int = BLOCK_WORDS, max_passes: int = MAX_PASSES, seed: int = 0):
+           block_words: int = BLOCK_WORDS, max_passes: int = MAX_PASSES, seed: int = 0, keys: bool = False):
     """(rows, sources, pieces): ``pieces`` has one row per part of a document
     that one slot of the schedule takes: rid, slot, source, block, n."""
-    rows = sized_rows(docs, id_col, text_col, source_col, seed)
+    rows = sized_rows(docs, id_col, text_col, source_col, seed, keys)
     sources = source_targets(rows, block_words, max_passes)
     placed = stream_positions(rows.filter("size > 0"), rows.count())
     info = sources.select(F.col("source").alias("_source"), "source_size", "quota", "slots").filter("quota > 0")
@@ -160,20 +162,31 @@ def pieces(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", sour
 
 
 def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source",
-        block_words: int = BLOCK_WORDS, max_passes: int = MAX_PASSES, seed: int = 0) -> DataFrame:
+        block_words: int = BLOCK_WORDS, max_passes: int = MAX_PASSES, seed: int = 0, keys: bool = False) -> DataFrame:
     """Per row of ``docs``: doc_id, size, source_size, target, taken, source, weight.
 
     A null text has size 0 and a document of size 0 is never taken. Null
     sources are one source, ordered last. Repeated rows are documents of
     their own; ids that repeat are ordered by size in the shuffle. Tables
-    without words have targets of 0. Runs with one seed agree.
+    without words have targets of 0. Runs with one seed agree. ``keys`` adds
+    (k, h), the hashes of the row's id and text.
     """
-    rows, sources, took = pieces(docs, id_col, text_col, source_col, block_words, max_passes, seed)
+    rows, sources, took = pieces(docs, id_col, text_col, source_col, block_words, max_passes, seed, keys)
     per_row = took.groupBy("rid").agg(F.sum("n").alias("taken"))
     info = sources.select(F.col("source").alias("_source"), "source_size", "target", "weight")
     return (rows.join(per_row, "rid", "left").join(info, F.col("source").eqNullSafe(F.col("_source")), "left")
             .select("doc_id", "size", "source_size", "target",
-                    F.coalesce("taken", F.lit(0)).cast("long").alias("taken"), "source", "weight"))
+                    F.coalesce("taken", F.lit(0)).cast("long").alias("taken"), "source", "weight",
+                    *(["k", "h"] if keys else [])))
+
+
+def mixed(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source",
+          **options) -> DataFrame:
+    """The rows of ``docs`` as the mix takes them: each as often as it is taken,
+    in part or whole; rows that aren't taken go."""
+    found = mix(docs, id_col, text_col, source_col, keys=True, **options).filter("taken > 0")
+    copies = F.ceil(F.col("taken") / F.col("size")).alias("copies")
+    return pick_rows(docs, found.select("k", "h", copies), id_col, text_col)
 
 
 SQL = r"""

@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from grimlake.llm.common import stored, text_or_empty
+from grimlake.llm.common import id_key, pick_rows, stored, text_or_empty
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
 LOWER = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
@@ -374,9 +374,8 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     gives an empty result. Whole texts are read. Sets and shingles are known
     by 64-bit hashes.
     """
-    no_id = F.coalesce(F.col("doc_id").cast("string"), F.lit("\x00"))
     base = docs.select(F.col(id_col).alias("doc_id"), text_or_empty(text_col).alias("text")).select(
-        "doc_id", F.xxhash64(no_id).alias("k"), F.xxhash64("text").alias("h"), "text")
+        "doc_id", id_key("doc_id").alias("k"), F.xxhash64("text").alias("h"), "text")
     rows = stored(named(base, shingle), "op3-rows")
     first = F.min(F.struct(F.col("doc_id").isNull().alias("no_id"), F.col("doc_id"), F.col("h"))).alias("first")
     classes = stored(rows.filter("n > 0").groupBy("node").agg(
@@ -407,9 +406,27 @@ def one_per_group(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     """The rows of ``docs`` of which one of each component stays: those that
     :func:`jaccard_components` keeps, one of rows repeated in full."""
     found = jaccard_components(docs, id_col, text_col, shingle, similar, of)
-    keep = found.filter("kept").select(F.col("k").alias("_k"), F.col("h").alias("_h")).distinct()
-    no_id = F.coalesce(F.col(id_col).cast("string"), F.lit("\x00"))
-    rows = docs.withColumns({"_key": F.xxhash64(no_id), "_hash": F.xxhash64(text_or_empty(text_col))})
-    nth = F.row_number().over(Window.partitionBy("_key", "_hash").orderBy(F.lit(0)))
-    return (rows.join(keep, (F.col("_key") == F.col("_k")) & (F.col("_hash") == F.col("_h")))
-            .withColumn("_nth", nth).filter("_nth = 1").select(*docs.columns))
+    return pick_rows(docs, found.filter("kept").select("k", "h", F.lit(1).alias("copies")).distinct(), id_col, text_col)
+
+
+SQL = r"""
+WITH RECURSIVE d AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+         'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w FROM documents
+), starts AS (
+  SELECT doc_id, w, unnest(range(1, greatest(len(w) - 1, 2))) AS i FROM d WHERE len(w) > 0
+), s AS (SELECT DISTINCT doc_id, array_to_string(list_slice(w, i, i + 2), ' ') AS x FROM starts),
+n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
+common AS (
+  SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS c FROM s a JOIN s b ON a.x = b.x AND a.doc_id <> b.doc_id
+  GROUP BY a.doc_id, b.doc_id
+), links AS (
+  SELECT a, b FROM common JOIN n na ON na.doc_id = a JOIN n nb ON nb.doc_id = b
+  WHERE 100 * c >= 90 * (na.n + nb.n - c)
+), reach AS (
+  SELECT doc_id, doc_id AS r FROM d UNION SELECT reach.doc_id, links.b FROM reach JOIN links ON links.a = reach.r
+)
+SELECT d.doc_id, coalesce(n.n, 0) AS n_shingles, min(r) AS component_id,
+       (SELECT count(*) FROM links WHERE links.a = d.doc_id) AS n_links
+FROM d LEFT JOIN n USING (doc_id) JOIN reach USING (doc_id) GROUP BY d.doc_id, n.n
+"""

@@ -7,8 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from grimlake.llm import (exact_dedup, fingerprints, html_text, mixing, ngram_join, piece_tokens, substring_dedup,
-                          suffix_tree, toxicity)
+from grimlake.llm import (exact_dedup, fingerprints, html_text, mixing, ngram_join, pii, piece_tokens,
+                          substring_dedup, suffix_tree, toxicity)
 from grimlake.llm.common import documents
 
 
@@ -21,6 +21,12 @@ def op1_piece_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
     return piece_tokens.digests(piece_tokens.encode_documents(documents(spark, sf_dir), piece_model()))
 
 
+def op2_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = pii.find(documents(spark, sf_dir))
+    return found.select("doc_id", "n_email", "n_ip", "n_card", "n_phone", F.sha2("base", 256).alias("base_sha256"),
+                        "spans", "n_added")
+
+
 def op3_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_join.jaccard_components(documents(spark, sf_dir)).drop("k", "h", "kept")
 
@@ -52,12 +58,15 @@ def op9_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return exact_dedup.exact_dedup(documents(spark, sf_dir)).drop("rid")
+    return exact_dedup.exact_dedup(documents(spark, sf_dir))
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_piece_tokens, op3_ngram_join, op4_substring_dedup, op5_toxicity, op6_suffix_tree, op7_html_text, op8_mixing, op9_fingerprints, op10_exact_dedup)}
+    return {f.__name__: f for f in (
+        op1_piece_tokens, op2_pii, op3_ngram_join, op4_substring_dedup, op5_toxicity, op6_suffix_tree, op7_html_text,
+        op8_mixing, op9_fingerprints, op10_exact_dedup)}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op8_mixing": mixing.SQL, "op10_exact_dedup": exact_dedup.SQL}
+    return {"op3_ngram_join": ngram_join.SQL, "op4_substring_dedup": substring_dedup.SQL, "op8_mixing": mixing.SQL,
+            "op10_exact_dedup": exact_dedup.SQL}

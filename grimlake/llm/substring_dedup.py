@@ -164,3 +164,22 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     kind = rows.schema["doc_id"].dataType.simpleString()
     return by_shard.cogroup(smaller.groupBy("shard")).applyInPandas(
         cut, f"doc_id {kind}, n_words long, n_removed long, kept string")
+
+
+SQL = r"""
+WITH d AS (SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents),
+starts AS (SELECT doc_id, w, unnest(range(1, len(w) - 11)) AS i FROM d WHERE len(w) >= 13),
+windows AS (SELECT doc_id, i, array_to_string(list_slice(w, i, i + 12), ' ') AS x FROM starts),
+least AS (SELECT x, min(doc_id) AS lo FROM windows GROUP BY x),
+covered AS (
+  SELECT DISTINCT doc_id, unnest(range(i, i + 13)) AS j FROM windows JOIN least USING (x) WHERE lo < doc_id
+), words AS (SELECT doc_id, unnest(w) AS word, unnest(range(1, len(w) + 1)) AS j FROM d),
+kept AS (
+  SELECT doc_id, count(c.j) AS n_removed,
+         string_agg(word, ' ' ORDER BY words.j) FILTER (c.j IS NULL) AS kept
+  FROM words LEFT JOIN covered c USING (doc_id, j) GROUP BY doc_id
+)
+SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(n_removed, 0) AS n_removed,
+       sha256(coalesce(kept, '')) AS kept_sha256
+FROM d LEFT JOIN kept USING (doc_id)
+"""

@@ -14,6 +14,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -228,5 +229,15 @@ def reject(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
     """The rows of ``docs`` that are not toxic, with their columns."""
     base = docs.select(F.col(id_col).alias("doc_id"), text_or_empty(text_col).alias("text"))
     chain = train(base, labels, categories, rows)
-    scored = score(docs.withColumn("_text", text_or_empty(text_col)), chain, categories, threshold)
-    return scored.filter("NOT toxic").select(*docs.columns)
+    decisive = [c for c, _ in categories].index("toxic")
+    at = docs.columns.index(text_col)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for a in range(0, len(batch), 2000):
+                part = batch.slice(a, 2000)
+                texts = [t or "" for t in part.column(at).to_pylist()]
+                p = chain.predict(chain.features(texts))[:, decisive]
+                yield part.filter(pa.array(p < threshold))
+
+    return docs.mapInArrow(run, docs.schema)

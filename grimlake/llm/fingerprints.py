@@ -69,7 +69,7 @@ def fingerprint(bodies: DataFrame, keys: list[str], body: str, samples: int = SA
 
 
 def followers(docs: DataFrame) -> DataFrame:
-    """(kd, h, n, nkd, nh): each distinct document of (doc_id, kd, h, n) and the
+    """(kd, h, doc_id, n, nkd, nh): each distinct document of (doc_id, kd, h, n) and the
     next one by descending doc_id, the first after the last.
 
     Ids alone are ordered: ranges of them in tasks of their own, and one row
@@ -87,8 +87,8 @@ def followers(docs: DataFrame) -> DataFrame:
     inner = Window.partitionBy("range").orderBy(F.col("place").desc())
     return (ranged.withColumn("next", F.lead("place").over(inner))
             .join(after, F.col("range") == F.col("_range"))
-            .select("kd", "h", "n", F.coalesce("next", "after").alias("next"))
-            .select("kd", "h", "n", F.col("next.kd").alias("nkd"), F.col("next.h").alias("nh")))
+            .select("kd", "h", "place.doc_id", "n", F.coalesce("next", "after").alias("next"))
+            .select("kd", "h", "doc_id", "n", F.col("next.kd").alias("nkd"), F.col("next.h").alias("nh")))
 
 
 def edited_fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
@@ -107,6 +107,7 @@ def edited_fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     no_id = F.coalesce(F.col("doc_id").cast("string"), F.lit("\x00"))
     base = base.select("doc_id", F.xxhash64(no_id).alias("kd"), F.xxhash64("text").alias("h"), "text")
     sizes = base.select("doc_id", "kd", "h", F.char_length("text").alias("n"))
+    base = base.drop("doc_id")  # both uses of the texts below read one shuffle of the same columns
     chars = sizes.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("n")).first()["n"]
     nexts = stored(followers(sizes), "op9-next")
     parts = max(1, -(-int(chars) // CHARS_PER_TASK))
@@ -114,7 +115,7 @@ def edited_fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     rows = base.repartition(parts, "kd", "h").withColumn("copy", F.row_number().over(same))
     heads = (rows.filter("copy = 1").select(F.col("kd").alias("nkd"), F.col("h").alias("nh"), "text")
              .join(nexts, ["nkd", "nh"])
-             .select("kd", "h", "n", F.expr("left(text, n div 3)").alias("head"))
+             .select("kd", "h", "n", "doc_id", F.expr("left(text, n div 3)").alias("head"))
              .repartition(parts, "kd", "h"))
     edits = rows.join(heads, ["kd", "h"]).withColumn(
         "edited", F.concat(F.expr("left(text, n - n div 3)"), "head"))

@@ -43,6 +43,8 @@ TRIGGER = re.compile(r"[0-9@]|[(\[]\s?at\s?[)\]]", re.I)
 WINDOW, STRIDE = 96, 48
 #: Windows of the documents used for training, at most: those with the smallest hashes.
 TRAIN_WINDOWS = 1200
+#: Windows with made-up spans, at least.
+MADE_UP_ROWS = 3000
 STEPS, BATCH, RATE = 400, 32, 0.02
 EMBED, HIDDEN = 12, 24
 TAGS = 1 + 2 * len(KINDS)
@@ -268,12 +270,14 @@ def made_up(r: random.Random) -> tuple[int, str]:
 
 
 def training_set(windows: list[tuple[str, list]], seed: int = 0) -> tuple[np.ndarray, np.ndarray]:
-    """Each window as it is, and twice with a made-up span written in between words."""
+    """Each window as it is, and at least twice with a made-up span written in
+    between words; a few windows are used more often."""
     r = random.Random(seed)
     out = []
+    copies = max(2, -(-MADE_UP_ROWS // len(windows)))
     for text, spans in windows:
         out.append(labelled(text, spans))
-        for _ in range(2):
+        for _ in range(copies):
             kind, made = made_up(r)
             free = [m.start() for m in re.finditer(r"(?<=\s)", text) if not any(a <= m.start() <= b for _, a, b in spans)]
             at = r.choice(free or [0])
@@ -287,6 +291,13 @@ def training_set(windows: list[tuple[str, list]], seed: int = 0) -> tuple[np.nda
     return np.array([x for x, _ in out]), np.array([y for _, y in out])
 
 
+def unlabelled(window: str, spans: list[tuple[int, int, int]]) -> bool:
+    """Whether the window has a valid form that the rules don't label: as an
+    example of plain text it would teach the tagger to pass over it."""
+    return any(accepted(k, window, m.start(), m.end()) and not any(a < m.end() and m.start() < b for _, a, b in spans)
+               for k, name in enumerate(KINDS) for m in ADDED[name].finditer(window))
+
+
 def training_windows(rows: DataFrame, limit: int) -> list[tuple[str, list]]:
     """At most ``limit`` windows of the texts that hold something like a span,
     with the rules' spans in them; those with the smallest hashes."""
@@ -303,6 +314,8 @@ def training_windows(rows: DataFrame, limit: int) -> list[tuple[str, list]]:
                     inside = [(k, x - a, y - a) for k, x, y in spans if x >= a and y <= a + WINDOW]
                     if any(x < a < y or x < a + WINDOW < y for _, x, y in spans):
                         continue  # cuts a span
+                    if unlabelled(text[a:a + WINDOW], inside):
+                        continue
                     out.append((text[a:a + WINDOW], ",".join(f"{k}:{x}:{y}" for k, x, y in inside)))
             yield pd.DataFrame(out, columns=["window", "spans"])
 

@@ -27,9 +27,9 @@ compute the same exact values and pick the plan from measured sizes:
     one grouping-sets histogram of (group, order value) for several
     partitionings: rank offsets, ``percent_rank`` and group means.
 
-``lag_over`` / ``lag_by``
-    ``lag(x, 1)``: a window, or - for a group too big for one task - a self
-    equi-join on (group, row number - 1), which has no hot key.
+``lag_over``
+    ``lag(x, 1)``: windows inside cells of the order, with each cell's last
+    value carried over to the next cell.
 
 ``dominant_value``
     most frequent value per group (count desc, value asc, nulls last) as two
@@ -49,6 +49,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 TIE_BUCKET = "_tb"
+#: Type in which scores are summed: exact, whatever the order of the rows.
+EXACT = "decimal(18,3)"
 
 
 def _cols(names: Sequence[str] | str | None) -> list[str]:
@@ -101,6 +103,8 @@ def apply_tie_bucket(df: DataFrame, tie: str, splits: list[float],
     """Bucket of ``tie`` from frozen cut points (``Bucketizer``: a JVM binary
     search). Non-decreasing in ``tie``; a null tie goes to the last bucket,
     matching NULLS LAST."""
+    if len(splits) <= 2:  # one range
+        return df.withColumn(out, F.lit(0))
     tmp = f"{out}_v"
     staged = df.withColumn(tmp, F.coalesce(F.col(tie).cast("double"), F.lit(float("nan"))))
     bucketizer = Bucketizer(splits=splits, inputCol=tmp, outputCol=out, handleInvalid="keep")
@@ -298,7 +302,7 @@ def shared_order_ranks(out: DataFrame, src: DataFrame, order: str, tie: str,
     The tie ranges are added when one order value alone (over all groups)
     exceeds ``limit`` rows. ``members`` are (RankSpec, Profile) pairs."""
     top = group_profile(src, None, order).max_cell
-    buckets = 1 if top <= limit else min(4096, -(-top // limit) * 4)
+    buckets = 1 if top <= limit else -(-top // limit) * 4
     tb = None
     if buckets > 1:
         tb = f"_tb_{order}"
@@ -338,8 +342,8 @@ def row_number_frame(df: DataFrame, partition: Sequence[str] | str | None, order
 def order_tables(df: DataFrame, partitions: Sequence[Sequence[str]], order: str
                  ) -> dict[tuple, DataFrame]:
     """Per partitioning, a table keyed by (partition, order value) with the
-    rows before that value in both directions, the group size and the group
-    mean of ``order`` - all from ONE grouping-sets aggregation (a histogram:
+    rows before that value in both directions, the group size and the group's
+    sum of ``order`` (as an exact decimal) - all from ONE grouping-sets aggregation (a histogram:
     its size is the number of distinct (partition, value) pairs).
 
     ``_before_desc`` is a descending rank's offset, ``_before_asc`` gives
@@ -347,7 +351,7 @@ def order_tables(df: DataFrame, partitions: Sequence[Sequence[str]], order: str
     parts = [tuple(P) for P in partitions]
     cols = list(dict.fromkeys(c for P in parts for c in P)) + [order]
     hist = (df.groupingSets([[*P, order] for P in parts], *cols)
-            .agg(F.count(F.lit(1)).alias("_n"), F.sum(F.col(order)).alias("_s"),
+            .agg(F.count(F.lit(1)).alias("_n"), F.sum(F.col(order).cast(EXACT)).alias("_s"),
                  F.grouping_id().alias("_gid")))
     out = {}
     for P in parts:
@@ -364,7 +368,7 @@ def order_tables(df: DataFrame, partitions: Sequence[Sequence[str]], order: str
             F.coalesce(F.sum("_n").over(w_desc), F.lit(0)).alias("_before_desc"),
             F.coalesce(F.sum("_n").over(w_asc), F.lit(0)).alias("_before_asc"),
             F.sum("_n").over(w_all).alias("_group_n"),
-            (F.sum("_s").over(w_all) / F.sum("_n").over(w_all)).alias("_group_avg"))
+            F.sum("_s").over(w_all).alias("_group_sum"))
     return out
 
 
@@ -373,28 +377,40 @@ def percent_from(before_asc: Column, group_n: Column) -> Column:
     return F.when(group_n <= 1, F.lit(0.0)).otherwise(before_asc.cast("double") / (group_n - 1))
 
 
-def lag_over(df: DataFrame, spec: RankSpec, value: str, out: str, key: str = "_rk",
-             limit: int | None = None, aggs: dict[str, Column] | None = None) -> DataFrame:
-    """``lag(value, 1) OVER (spec's window)`` added as ``out``, plus optional
-    whole-group aggregates ``aggs``: ordinary windows sharing one exchange
-    when the largest group fits one task; otherwise row numbers from
-    ``row_number_frame``, an equi-join to the previous row, and the
-    aggregates as a grouped table joined back (broadcast under the bound)."""
+def lag_over(df: DataFrame, partition: Sequence[str] | str, order: Sequence[str], out: str,
+             limit: int | None = None) -> DataFrame:
+    """``lag(value, 1) OVER (PARTITION BY partition ORDER BY order ASC NULLS
+    LAST)``, where ``value`` is the last column of ``order`` and the order is
+    total up to rows that are equal in all columns of ``df``.
+
+    One form at every size. The rows are dealt once, to cells of (group,
+    order columns but the last two, range of the last but one); equal rows of
+    a cell are counted as one. The lag is a window inside a cell, and a cell's
+    first row takes the last value of the cell before, from the table of
+    cells. A group of any size is spread over its cells; ``limit`` (rows per
+    cell, about) only moves their bounds.
+    """
     limit = limit or max_rows_per_task(df.sparkSession)
-    aggs = dict(aggs or {})
-    prof = group_profile(df, spec.partition, spec.order)
-    if spec.partition and prof.max_group <= limit:
-        part = Window.partitionBy(*spec.partition)
-        return df.withColumns({out: F.lag(F.col(value), 1).over(spec.window()),
-                               **{n: c.over(part) for n, c in aggs.items()}})
-    rn = row_number_frame(df, spec.partition, spec.order, spec.desc, spec.ties, "_lag_rn",
-                          key=key, limit=limit)
-    res = lag_by(df.join(rn, key, "inner"), spec.partition, "_lag_rn", value, out)
-    res = res.drop("_lag_rn")
-    if aggs:
-        res = attach(res, group_stats(df, spec.partition, aggs), spec.partition,
-                     rows=prof.groups)
-    return res
+    P, lead, tie, value = _cols(partition), list(order[:-2]), order[-2], order[-1]
+    biggest = (df.groupBy(*P, *lead).agg(F.count(F.lit(1)).alias("n"))
+               .agg(F.coalesce(F.max("n"), F.lit(0)).alias("n")).first()["n"])
+    dealt = apply_tie_bucket(df, tie, tie_splits(df, tie, max(1, -(-int(biggest) // limit))))
+    cell = [*P, *lead, TIE_BUCKET]
+    inner = [F.col(tie).asc_nulls_last(), F.col(value).asc_nulls_last()]
+    w = Window.partitionBy(*cell).orderBy(*inner)
+    # Grouping by all columns stays inside the cells' partitioning: no second shuffle.
+    rows = (dealt.repartition(*cell).groupBy(*dealt.columns).agg(F.count(F.lit(1)).alias("_copies"))
+            .withColumns({"_before": F.lag(value, 1).over(w), "_nth": F.row_number().over(w)}))
+    last = F.max(F.struct(F.col(tie).isNull().alias("a"), F.col(tie).alias("b"),
+                          F.col(value).isNull().alias("c"), F.col(value).alias("v")))
+    cells = dealt.groupBy(*cell).agg(last.alias("_last"))
+    by_cell = Window.partitionBy(*P).orderBy(*[F.col(c).asc_nulls_last() for c in [*lead, TIE_BUCKET]])
+    carried = cells.select(*cell, F.lag(F.col("_last.v"), 1).over(by_cell).alias("_carried"))
+    rows = _null_safe_join(rows, carried, cell)
+    first = F.when(F.col("_nth") == 1, F.col("_carried")).otherwise(F.col("_before"))
+    # Of equal rows the first follows the row before them, the others follow each other.
+    rows = rows.withColumn("_copy", F.explode(F.expr("sequence(1L, _copies)")))
+    return rows.withColumn(out, F.when(F.col("_copy") == 1, first).otherwise(F.col(value))).select(*df.columns, out)
 
 
 def group_stats(df: DataFrame, partition: Sequence[str] | str | None,
@@ -416,22 +432,6 @@ def dominant_value(df: DataFrame, partition: Sequence[str] | str, value: str,
     return counts.groupBy(*P).agg(F.min_by(F.col(value), key).alias(out))
 
 
-def lag_by(df: DataFrame, partition: Sequence[str] | str, rank_col: str,
-           value: str, out: str) -> DataFrame:
-    """``lag(value, 1)`` over the order encoded by ``rank_col`` (a row number
-    1..n per group): equi-join of each row to the row ranked one before it.
-    (group, row number) is unique, so the join has no hot key."""
-    P = _cols(partition)
-    prev = df.select(*[F.col(p).alias(f"__p_{p}") for p in P],
-                     (F.col(rank_col) + 1).alias("__p_rank"),
-                     F.col(value).alias(out))
-    cond = F.col(rank_col) == F.col("__p_rank")
-    for p in P:
-        cond = cond & df[p].eqNullSafe(F.col(f"__p_{p}"))
-    joined = df.join(prev, cond, "left")
-    return joined.drop("__p_rank", *[f"__p_{p}" for p in P])
-
-
 def global_row_number(df: DataFrame, order: Sequence[Column], out: str) -> DataFrame:
     """``row_number() OVER (ORDER BY ...)`` for small, already aggregated mart
     tables (tens to hundreds of rows): one partition is fine here only."""

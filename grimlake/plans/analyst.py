@@ -43,12 +43,12 @@ def yearly_trend(temporal: DataFrame) -> DataFrame:
 
 def score_evolution(fct_base: DataFrame, dim_bands: DataFrame, min_rows: int = 5) -> DataFrame:
     """Per band: reviews scoring above / below the previous review in
-    release order (year, album id, review id), for bands with at least
+    release order (year, album id, review id, score), for bands with at least
     ``min_rows`` joined rows (HAVING)."""
-    rows = fct_base.select("_rk", "band_id", "album_id", "review_id", "album_year",
+    rows = fct_base.select("band_id", "album_id", "review_id", "album_year",
                            F.col("score_album").cast("double").alias("score_album"))
-    order = ranks.RankSpec.of("band_id", "album_year", False, ["album_id", "review_id"], "_")
-    timeline = ranks.lag_over(rows, order, "score_album", "prev_score")
+    timeline = ranks.lag_over(rows, "band_id", ["album_year", "album_id", "review_id", "score_album"],
+                              "prev_score")
     s, prev = F.col("score_album"), F.col("prev_score")
     joined = timeline.join(dim_bands.select("band_id", "band_name"), "band_id", "inner")
     return (joined.groupBy("band_name")

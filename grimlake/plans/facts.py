@@ -18,7 +18,9 @@ Plan shape, chosen for a fact far larger than memory:
 3. One join of the window table back to ``base`` on the row key; both are
    bucketed by it, so the join moves no rows.
 
-Ties in score order are broken by ``review_id`` (D6).
+Ties in score order are broken by review id, album id and a digest of the
+review's texts (D6), so the order is total. Means are compared as exact decimal
+sums.
 """
 
 from __future__ import annotations
@@ -109,8 +111,17 @@ LOW_RANKS = {(): "overall_score_rank", ("country",): "country_score_rank",
              ("death_metal_subgenre",): "subgenre_score_rank"}
 LOW_PERCENTS = {(): "score_percentile", ("release_decade",): "decade_score_percentile",
                 ("death_metal_subgenre",): "subgenre_score_percentile"}
-LOW_AVGS = {(): "_avg_all", ("country",): "_avg_country", ("release_decade",): "_avg_decade",
-            ("death_metal_subgenre",): "_avg_sub"}
+LOW_TAGS = {(): "all", ("country",): "country", ("release_decade",): "decade",
+            ("death_metal_subgenre",): "sub"}
+#: Order of equal scores: total up to rows that are the same review.
+TIES = ["review_id", "album_id", "_digest"]
+
+
+def narrow_rows(base: DataFrame) -> DataFrame:
+    """What the window columns need: ids, groups, score and a digest of the
+    review's texts."""
+    text = F.concat(F.coalesce("review_title", F.lit("")), F.lit("\x1f"), F.coalesce("content_review", F.lit("")))
+    return base.select(*NARROW, F.col("score_album").cast("double").alias("score_d"), F.md5(text).alias("_digest"))
 
 
 def window_columns(narrow: DataFrame, keep: tuple = ()) -> DataFrame:
@@ -136,7 +147,7 @@ def window_columns(narrow: DataFrame, keep: tuple = ()) -> DataFrame:
     prof = {P: v for (P, _), v in ranks.group_profiles(
         narrow, [(P, "score_d") for P in sets]).items()}
     top = prof[()].max_cell
-    buckets = 1 if top <= limit else min(4096, -(-top // limit) * 4)
+    buckets = 1 if top <= limit else -(-top // limit) * 4
     out = narrow
     cell_cols = ["score_d"]
     if buckets > 1:
@@ -145,14 +156,14 @@ def window_columns(narrow: DataFrame, keep: tuple = ()) -> DataFrame:
         cell_cols.append("_tb")
     out = out.repartition(*cell_cols)
     for P, name in LOW_RANKS.items():
-        w = Window.partitionBy(*P, *cell_cols).orderBy(F.col("review_id").asc_nulls_last())
+        w = Window.partitionBy(*P, *cell_cols).orderBy(*[F.col(t).asc_nulls_last() for t in TIES])
         out = out.withColumn(f"_l_{name}", F.row_number().over(w))
     tables = ranks.order_tables(narrow, LOW_CARDINALITY, "score_d")
     for P in LOW_CARDINALITY:
         t = tables[P]
         tag = "_".join(P) or "all"
         t = t.select(*P, "score_d", *[F.col(c).alias(f"{c}_{tag}") for c in
-                                      ["_before_desc", "_before_asc", "_group_n", "_group_avg"]])
+                                      ["_before_desc", "_before_asc", "_group_n", "_group_sum"]])
         out = ranks.attach(out, t, [*P, "score_d"], rows=prof[P].cells)
         if buckets > 1:
             # Rows of the same (group, score) in earlier review-id ranges.
@@ -170,13 +181,21 @@ def window_columns(narrow: DataFrame, keep: tuple = ()) -> DataFrame:
         if P in LOW_PERCENTS:
             out = out.withColumn(LOW_PERCENTS[P], ranks.percent_from(
                 F.col(f"_before_asc_{tag}"), F.col(f"_group_n_{tag}")))
-        out = out.withColumn(LOW_AVGS[P], F.col(f"_group_avg_{tag}"))
+        out = out.withColumnsRenamed({f"_group_n_{tag}": f"_n_{LOW_TAGS[P]}",
+                                      f"_group_sum_{tag}": f"_sum_{LOW_TAGS[P]}"})
     band = ranks.Work("band_id", "score_d",
-                      ranks.RankSpec.of("band_id", "score_d", True, "review_id",
-                                        "band_score_rank"),
-                      {"_avg_band": F.avg(sd), "band_total_reviews": F.count(F.lit(1))})
+                      ranks.RankSpec.of("band_id", "score_d", True, TIES, "band_score_rank"),
+                      {"_sum_band": F.sum(sd.cast(ranks.EXACT)), "band_total_reviews": F.count(F.lit(1))})
     album = ranks.Work("album_id", "score_d", None, {"album_total_reviews": F.count(F.lit(1))})
     out = ranks.partition_columns(out, [band, album], limit=limit, source=narrow)
+    out = out.withColumn("_n_band", F.col("band_total_reviews"))
+
+    def above(tag: str):  # the score against the exact mean, without dividing
+        return X.flag(sd.cast(ranks.EXACT) * F.col(f"_n_{tag}") > F.col(f"_sum_{tag}"))
+
+    def versus(tag: str):
+        return sd - F.col(f"_sum_{tag}").cast("double") / F.col(f"_n_{tag}")
+
     return out.select(
         "_rk", *[c for c in keep if c != "_rk"],
         "overall_score_rank", "band_score_rank", "country_score_rank",
@@ -184,13 +203,13 @@ def window_columns(narrow: DataFrame, keep: tuple = ()) -> DataFrame:
         "decade_score_percentile", "subgenre_score_percentile",
         F.col("band_total_reviews").cast("bigint").alias("band_total_reviews"),
         F.col("album_total_reviews").cast("bigint").alias("album_total_reviews"),
-        X.flag(sd > F.col("_avg_all")).alias("is_above_overall_avg"),
-        X.flag(sd > F.col("_avg_band")).alias("is_above_band_avg"),
-        X.flag(sd > F.col("_avg_sub")).alias("is_above_subgenre_avg"),
-        (sd - F.col("_avg_all")).alias("score_vs_overall_avg"),
-        (sd - F.col("_avg_band")).alias("score_vs_band_avg"),
-        (sd - F.col("_avg_country")).alias("score_vs_country_avg"),
-        (sd - F.col("_avg_decade")).alias("score_vs_decade_avg"),
+        above("all").alias("is_above_overall_avg"),
+        above("band").alias("is_above_band_avg"),
+        above("sub").alias("is_above_subgenre_avg"),
+        versus("all").alias("score_vs_overall_avg"),
+        versus("band").alias("score_vs_band_avg"),
+        versus("country").alias("score_vs_country_avg"),
+        versus("decade").alias("score_vs_decade_avg"),
     )
 
 
@@ -215,7 +234,7 @@ def bucket_count(df: DataFrame) -> int | None:
 def stored_windows(base: DataFrame) -> DataFrame:
     """Window columns of every fact row written once, keyed by ``_rk`` and
     carrying the review's ids and score for direct window queries."""
-    narrow = base.select(*NARROW, F.col("score_album").cast("double").alias("score_d"))
+    narrow = narrow_rows(base)
     windows = window_columns(narrow, keep=("review_id", "album_id", "band_id", "score_d"))
     return stored_table(windows, "fct_windows", bucket_by="_rk", buckets=bucket_count(base))
 
@@ -227,8 +246,7 @@ def fct_reviews_keyed(stg_reviews: DataFrame = None, dim_albums_df: DataFrame =
     if base is None:
         base = fct_base(stg_reviews, dim_albums_df)
     if windows is None:
-        narrow = base.select(*NARROW, F.col("score_album").cast("double").alias("score_d"))
-        windows = window_columns(narrow)
+        windows = window_columns(narrow_rows(base))
     windows = windows.select("_rk", *WINDOW_COLUMNS)
     # Both sides are bucketed by the key: a shuffled hash join needs neither an
     # exchange nor a sort of the wide base; each task hashes its bucket of the

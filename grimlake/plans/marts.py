@@ -129,20 +129,19 @@ CAREER_COLUMNS = [
 
 def career_analysis(dim_albums_keyed: DataFrame, fct_keyed: DataFrame) -> DataFrame:
     """One row per (album, review). ``lag`` by band in (year, album_id,
-    review_id) order with the band average and best score (``ranks.lag_over``:
-    windows on one band partitioning, or - for a band too big for one task -
-    a self-join on the band row number and grouped aggregates joined back)."""
+    review_id, score) order (``ranks.lag_over``); the band's average and best
+    score are a grouped table joined back."""
     albums = dim_albums_keyed.select(
-        "_ak", "album_id", "band_id", "band_name", "band_career_phase",
+        "album_id", "band_id", "band_name", "band_career_phase",
         "album_number_in_discography", "years_since_formation", "album_title", "album_year")
     reviews = fct_keyed.where(F.col("score_album").isNotNull()).select(
-        "_rk", "album_id", "review_id", _score().alias("score_album"))
+        "album_id", "review_id", _score().alias("score_album"))
     rows = albums.join(reviews, "album_id", "inner")
-    rows = rows.withColumn("_ck", F.struct("_ak", "_rk"))
-    order = ranks.RankSpec.of("band_id", "album_year", False, ["album_id", "review_id"], "_")
-    rows = ranks.lag_over(rows, order, "score_album", "previous_album_score", key="_ck",
-                          aggs={"band_avg_score": F.avg("score_album"),
-                                "_band_max": F.max("score_album")})
+    best = ranks.group_stats(rows, "band_id", {
+        "band_avg_score": F.avg("score_album"), "_band_max": F.max("score_album")})
+    rows = ranks.lag_over(rows, "band_id", ["album_year", "album_id", "review_id", "score_album"],
+                          "previous_album_score")
+    rows = ranks.attach(rows, best, "band_id")
     s, prev = F.col("score_album"), F.col("previous_album_score")
     n = F.col("album_number_in_discography")
     return rows.select(

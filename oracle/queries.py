@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from oracle.models import with_ctes
+from oracle.models import top, with_ctes
 
 Q: dict[str, str] = {}
 FINAL: dict[str, str] = {}  # un-rendered final SELECTs (to swap raw sources in tests)
@@ -21,7 +21,7 @@ q("stg_reviews", "SELECT review_id, album_id, review_title, CAST(score_album AS
 
 # ---- period parsing --------------------------------------------------------
 q("period_split", "SELECT band_id, clean_active, period_1, period_2, period_3, periods_count, "
-                  "has_name_change, last_period FROM bp2")
+                  "has_name_change, last_period FROM periods")
 q("period_years", "SELECT band_id, start_year, end_year, years_active FROM parsed")
 q("period_status", "SELECT band_id, current_status, is_na_case FROM parsed")
 q("name_change", "SELECT band_id, has_name_change, previous_name, name_change_year FROM parsed")
@@ -106,17 +106,15 @@ q("median_by_year", "SELECT album_year, round(median_score, 6) AS median_score F
 q("dominant_subgenre_by_year", "SELECT * FROM t_dom")
 q("dominant_era_by_country", "SELECT * FROM geo_era")
 q("conditional_distinct", """SELECT album_year,
-  count(DISTINCT CASE WHEN review_id IS NOT NULL THEN band_id END) AS active_bands,
-  count(DISTINCT CASE WHEN is_debut_album = 1 THEN album_id END) AS debut_albums,
-  round(avg(CASE WHEN is_debut_album = 1 THEN score_album END), 6) AS avg_debut_score
+  count(DISTINCT band_id) FILTER (review_id IS NOT NULL) AS active_bands,
+  count(DISTINCT album_id) FILTER (is_debut_album = 1) AS debut_albums,
+  round(avg(score) FILTER (is_debut_album = 1), 6) AS avg_debut_score
 FROM t_base GROUP BY album_year""")
 q("safe_percent", "SELECT band_id, total_reviews, round(pct_high_quality, 6) AS pct_high_quality, "
                   "round(pct_excellent, 6) AS pct_excellent FROM band_metrics_m")
 q("safe_ratio", """SELECT band_id, round(CASE WHEN total_albums = 0 OR total_albums IS NULL THEN NULL
   ELSE CAST(total_reviews AS DOUBLE) / total_albums END, 6) AS reviews_per_album FROM band_metrics_m""")
-q("mode_value", """SELECT band_id, album_year AS mode_album_year FROM (
-  SELECT band_id, album_year, row_number() OVER (PARTITION BY band_id ORDER BY cnt DESC, album_year) AS rn
-  FROM (SELECT band_id, album_year, count(*) AS cnt FROM dim_albums GROUP BY ALL)) WHERE rn = 1""")
+q("mode_value", top("dim_albums", "band_id", "album_year", "mode_album_year"))
 q("stddev_by_band", "SELECT band_id, count(score_album) AS n_scores, "
                     "round(stddev_samp(score_album), 6) AS score_stddev FROM fct_reviews GROUP BY band_id")
 q("percentile_any", """SELECT release_decade,
@@ -136,14 +134,10 @@ q("career_pattern", """SELECT album_career_position, round(avg(score_album), 6)
 q("yearly_trend", """SELECT release_decade, albums_released, round(avg_score, 6) AS avg_score,
   dominant_subgenre FROM temporal ORDER BY release_decade, album_year""")
 q("score_evolution", """
-SELECT b.band_name,
-  count(CASE WHEN bt.score_album > bt.prev_score THEN 1 END) AS improvements,
-  count(CASE WHEN bt.score_album < bt.prev_score THEN 1 END) AS declines
-FROM (SELECT band_id, album_year, score_album,
-        lag(score_album) OVER (PARTITION BY band_id ORDER BY album_year, album_id, review_id) AS prev_score
-      FROM fct_reviews) bt
-JOIN dim_bands b ON bt.band_id = b.band_id
-GROUP BY b.band_name HAVING count(*) >= 5""")
+SELECT band_name, count(*) FILTER (step > 0) AS improvements, count(*) FILTER (step < 0) AS declines
+FROM (SELECT band_id, score_album - lag(score_album) OVER (
+        PARTITION BY band_id ORDER BY album_year, album_id, review_id, score_album) AS step FROM fct_reviews)
+JOIN dim_bands USING (band_id) GROUP BY band_name HAVING count(*) >= 5""")
 
 
 # ---- data-quality checks: plain SQL counts generated from the declared list ----------

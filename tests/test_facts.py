@@ -18,7 +18,7 @@ pytestmark = pytest.mark.skipif(not os.path.exists(SF), reason="driver tables mi
 
 def expected(narrow):
     sd = F.col("score_d")
-    order = [sd.desc(), F.col("review_id").asc_nulls_last()]
+    order = [sd.desc(), *[F.col(c).asc_nulls_last() for c in facts.TIES]]
     rank = lambda *p: F.row_number().over(Window.partitionBy(*p).orderBy(*order))
     pr = lambda *p: F.percent_rank().over(Window.partitionBy(*p).orderBy(sd))
     avg = lambda *p: F.avg(sd).over(Window.partitionBy(*p))
@@ -46,10 +46,7 @@ COLS = ["_rk", "overall_score_rank", "band_score_rank", "country_score_rank",
 @pytest.mark.parametrize("limit", [None, 40])
 def test_window_columns(spark, limit):
     base = catalog(spark, SF).fct_base
-    narrow = base.select(*facts.NARROW, F.col("score_album").cast("double").alias("score_d"))
-    # sf0.001 has one duplicated review id; drop it so the tie-break is total.
-    dup = narrow.groupBy("review_id").count().where("count > 1").select("review_id")
-    narrow = narrow.join(dup, "review_id", "left_anti")
+    narrow = facts.narrow_rows(base)
     if limit:
         spark.conf.set(ranks.MAX_ROWS_CONF, str(limit))
     try:
@@ -61,3 +58,19 @@ def test_window_columns(spark, limit):
         assert rows(got) == rows(expected(narrow))
     finally:
         spark.conf.unset(ranks.MAX_ROWS_CONF)
+
+
+def test_decimal_means_are_exact(spark):
+    """Scores whose double sums are not exact: none of six 0.1 is above their
+    mean, whatever the order of the rows."""
+    rows = [(i, i, 1, 1, "a", "1990s", "x", "t", "c", s) for i, s in enumerate(["0.1"] * 6)]
+    rows += [(10 + i, i, 2, 2, "b", "1990s", "y", "t", "c", s) for i, s in enumerate(["70.1", "70.1", "70.2"])]
+    base = spark.createDataFrame(rows, "_rk long, review_id long, album_id long, band_id long, country string, "
+                                 "release_decade string, death_metal_subgenre string, review_title string, "
+                                 "content_review string, score string").withColumn(
+        "score_album", F.col("score").cast("decimal(18,3)"))
+    for parts in (1, 3):
+        got = {r._rk: r for r in facts.window_columns(facts.narrow_rows(base.repartition(parts))).collect()}
+        assert [got[i].is_above_band_avg for i in range(6)] == [0] * 6
+        assert [got[i].is_above_subgenre_avg for i in (10, 11, 12)] == [0, 0, 1]
+        assert [got[i].is_above_overall_avg for i in (0, 10, 12)] == [0, 1, 1]

@@ -43,7 +43,7 @@ def test_fact_window_plan(spark):
 
     from grimlake.plans import facts
     c = catalog(spark, SF)
-    narrow = c.fct_base.select(*facts.NARROW, F.col("score_album").cast("double").alias("score_d"))
+    narrow = c.fct_facts.narrow_rows(base)
     assert all(single_partition_inputs(facts.window_columns(narrow)))
 
 

@@ -3,6 +3,8 @@ hot key holding a large share of the rows and null group keys."""
 
 import random
 
+from collections import Counter
+
 import pytest
 from pyspark.sql import Window
 from pyspark.sql import functions as F
@@ -44,7 +46,7 @@ def test_order_tables_percent_rank_and_mean(spark, data):
     for part in [(), ("grp",)]:
         got = ranks.attach(data, tables[part], [*part, "score"]).select(
             "_rk", F.round(ranks.percent_from(F.col("_before_asc"), F.col("_group_n")), 9)
-            .alias("pr"), F.round("_group_avg", 9).alias("a"))
+            .alias("pr"), F.round(F.col("_group_sum").cast("double") / F.col("_group_n"), 9).alias("a"))
         w = Window.partitionBy(*part)
         want = data.select("_rk", F.round(F.percent_rank().over(w.orderBy("score")), 9).alias("pr"),
                            F.round(F.avg("score").over(w), 9).alias("a"))
@@ -59,16 +61,20 @@ def test_group_stats_null_group(spark, data):
     assert sorted_rows(got, ["_rk", "a", "n"]) == sorted_rows(want, ["_rk", "a", "n"])
 
 
-@pytest.mark.parametrize("limit", [50, 10**9])
+@pytest.mark.parametrize("limit", [1, 50, 10**9])
 def test_lag_over(spark, data, limit):
-    spec = ranks.RankSpec.of("band", "score", False, "tie", "_")
-    got = ranks.lag_over(data, spec, "score", "prev", limit=limit,
-                         aggs={"mx": F.max("score")})
-    mx = data.select("_rk", F.max("score").over(Window.partitionBy("band")).alias("mx"))
-    assert sorted_rows(got, ["_rk", "mx"]) == sorted_rows(mx, ["_rk", "mx"])
-    w = Window.partitionBy("band").orderBy("score", "tie")
-    want = data.select("_rk", F.lag("score", 1).over(w).alias("prev"))
-    assert sorted_rows(got, ["_rk", "prev"]) == sorted_rows(want, ["_rk", "prev"])
+    """Equal to a window whatever the cells, with null and repeated tie keys."""
+    rows = data.select("band", (F.col("_rk") % 7).alias("year"), F.col("_rk").cast("long").alias("album"),
+                       F.when(F.col("tie") % 5 != 0, F.col("tie") % 11).alias("review"), "score")
+    rows = rows.withColumn("album", F.col("album") % 3).where("score IS NOT NULL")
+    rows = rows.unionByName(rows.where("review = 1"))
+    order = ["year", "album", "review", "score"]
+    got = ranks.lag_over(rows, "band", order, "prev", limit=limit)
+    w = Window.partitionBy("band").orderBy(*[F.col(c).asc_nulls_last() for c in order])
+    want = rows.withColumn("prev", F.lag("score", 1).over(w))
+    cols = ["band", *order, "prev"]
+    count = lambda df: Counter(tuple(r) for r in df.select(*cols).collect())
+    assert count(got) == count(want)
 
 
 def test_dominant_value_ties_and_nulls(spark):

@@ -40,9 +40,6 @@ def _norm(v):
 def skewed(spark):
     raw = raw_from_driver(spark, SF)
     reviews = raw["reviews"]
-    # Drop the one duplicated review id so every tie-break is total.
-    dup = reviews.groupBy("id").count().where("count > 1").select("id")
-    reviews = reviews.join(dup, "id", "left_anti")
     hot = reviews.where(F.col("album").isNotNull()).agg(F.min("album")).first()[0]
     reviews = reviews.withColumn(
         "album", F.when(F.col("album").isNotNull() & (F.col("id") % 3 == 0), F.lit(hot))

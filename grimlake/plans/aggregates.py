@@ -80,8 +80,8 @@ def percentile_any(fct: DataFrame, percentages=PERCENTILES) -> DataFrame:
 def approx_top_value(fct: DataFrame, k: int = 1) -> DataFrame:
     """Approximate most frequent subgenre per decade (sketch-based
     ``approx_top_k``; mergeable partial buffers)."""
-    top = F.expr(f"approx_top_k(death_metal_subgenre, {k})")
-    return (fct.groupBy("release_decade").agg(top.alias("_top"))
-            .select("release_decade",
-                    F.col("_top")[0]["item"].alias("top_subgenre"),
-                    F.col("_top")[0]["count"].alias("top_count")))
+    top = F.expr(f"approx_top_k(death_metal_subgenre, {max(k, 32)})")
+    # Among values with the highest count, the smallest.
+    best = F.expr("array_min(transform(filter(_top, x -> x.count = _top[0].count), x -> x.item))")
+    return (fct.where(F.col("death_metal_subgenre").isNotNull()).groupBy("release_decade").agg(top.alias("_top"))
+            .select("release_decade", best.alias("top_subgenre"), F.col("_top")[0]["count"].alias("top_count")))

@@ -21,45 +21,55 @@ from grimlake.sources.stage import stored_table
 
 
 class Catalog:
+    """``out_base`` names a folder where the table models are written, each once,
+    and read back by every model after them; without it the dimensions and the
+    fact are stored in the scratch folder and the rest are lazy."""
+
     def __init__(self, spark: SparkSession, raw: dict[str, DataFrame],
-                 current_year: int = R.CURRENT_YEAR):
+                 current_year: int = R.CURRENT_YEAR, out_base: str | None = None):
         self.spark = spark
         self.raw = raw
         self.current_year = current_year
+        self.out_base = out_base.rstrip("/") if out_base else None
         checkpoint_dir(spark)
 
+    def _table(self, name: str, df: DataFrame) -> DataFrame:
+        return stored_table(df, name, f"{self.out_base}/{name}") if self.out_base else df
+
     @classmethod
     def from_driver_tables(cls, spark: SparkSession, sf_dir: str) -> "Catalog":
         return cls(spark, raw_from_driver(spark, sf_dir))
 
     @cached_property
     def stg_bands(self) -> DataFrame:
-        return staging.stg_bands(self.raw["bands"])
+        return self._table("stg_metal_bands", staging.stg_bands(self.raw["bands"]))
 
     @cached_property
     def stg_albums(self) -> DataFrame:
-        return staging.stg_albums(self.raw["albums"])
+        return self._table("stg_metal_albums", staging.stg_albums(self.raw["albums"]))
 
     @cached_property
     def stg_reviews(self) -> DataFrame:
-        return staging.stg_reviews(self.raw["reviews"])
+        return self._table("stg_metal_reviews", staging.stg_reviews(self.raw["reviews"]))
 
     @cached_property
     def parsed(self) -> DataFrame:
-        return periods.parse(self.stg_bands, self.current_year)
+        return self._table("int_metal_bands_parsed", periods.parse(self.stg_bands, self.current_year))
 
     @cached_property
     def dim_bands(self) -> DataFrame:
         # Stored once: every album, fact and mart plan reads it.
-        return stored_table(dims.dim_bands(self.parsed, self.current_year), "dim_bands")
-
-    @cached_property
-    def dim_albums_keyed(self) -> DataFrame:
-        return dims.dim_albums_keyed(self.stg_albums, self.dim_bands)
+        bands = dims.dim_bands(self.parsed, self.current_year)
+        if self.out_base:
+            return self._table("dim_bands", dims.with_audit(bands)).select(*bands.columns)
+        return stored_table(bands, "dim_bands")
 
     @cached_property
     def dim_albums(self) -> DataFrame:
-        return self.dim_albums_keyed.select(*dims.DIM_ALBUMS_COLUMNS)
+        if self.out_base:
+            albums = dims.dim_albums(self.stg_albums, self.dim_bands)
+            return self._table("dim_albums", dims.with_audit(albums)).select(*albums.columns)
+        return dims.dim_albums_stored(self.stg_albums, self.dim_bands)
 
     @cached_property
     def fct_base(self) -> DataFrame:
@@ -100,7 +110,7 @@ class Catalog:
 
     @cached_property
     def career_analysis(self) -> DataFrame:
-        return marts.career_analysis(self.dim_albums_keyed, self.fct_base)
+        return marts.career_analysis(self.dim_albums, self.fct_base)
 
     @cached_property
     def temporal_analysis(self) -> DataFrame:
@@ -108,4 +118,5 @@ class Catalog:
 
     @cached_property
     def subgenre_analysis(self) -> DataFrame:
-        return marts.subgenre_analysis(self.dim_bands, self.dim_albums, self.fct_base)
+        return self._table("subgenre_analysis",
+                           marts.subgenre_analysis(self.dim_bands, self.dim_albums, self.fct_base))

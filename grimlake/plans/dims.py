@@ -151,19 +151,14 @@ NUMBERING_OUTPUT = ["album_number_in_discography", "reverse_album_number",
                     "is_latest_album", "is_early_discography"]
 
 
-def dim_albums_keyed(stg_albums: DataFrame, dim_bands_df: DataFrame) -> DataFrame:
-    """Albums with band attributes, classes and discography numbers, plus a
-    surrogate row key ``_ak``.
-
-    Album rows carry no long text, so the numbering windows run on them
-    directly; the result is written once (a Parquet table in the cluster's
-    checkpoint folder), which is also what makes ``_ak`` stable.
-    """
+def dim_albums_stored(stg_albums: DataFrame, dim_bands_df: DataFrame) -> DataFrame:
+    """Albums with band attributes, classes and discography numbers, written
+    once to the scratch folder. Album rows carry no long text, so the
+    numbering windows run on them directly."""
     numbered = album_numbers(albums_enriched(stg_albums, dim_bands_df))
-    out = numbered.select(*DIM_ALBUMS_COLUMNS).withColumn("_ak", F.monotonically_increasing_id())
-    return stored_table(out, "dim_albums")
+    return stored_table(numbered.select(*DIM_ALBUMS_COLUMNS), "dim_albums")
 
 
 def dim_albums(stg_albums: DataFrame, dim_bands_df: DataFrame, audit: bool = False) -> DataFrame:
-    out = dim_albums_keyed(stg_albums, dim_bands_df).select(*DIM_ALBUMS_COLUMNS)
+    out = album_numbers(albums_enriched(stg_albums, dim_bands_df)).select(*DIM_ALBUMS_COLUMNS)
     return with_audit(out) if audit else out

@@ -14,9 +14,8 @@ Plan shape, chosen for a fact far larger than memory:
    histogram that also gives the percent ranks and averages; band ranks,
    averages and counts share one band partitioning (or the distributed cell
    form when a band is too big for one task); album counts are a grouped
-   table. The result is written once, bucketed like ``base``.
-3. One join of the window table back to ``base`` on the row key; both are
-   bucketed by it, so the join moves no rows.
+   table. The result is written once.
+3. One join of the window table back to ``base`` on the row key.
 
 Ties in score order are broken by review id, album id and a digest of the
 review's texts (D6), so the order is total. Means are compared as exact decimal
@@ -213,22 +212,14 @@ def window_columns(narrow: DataFrame, keep: tuple = ()) -> DataFrame:
     )
 
 
-def fct_base(stg_reviews: DataFrame, dim_albums_df: DataFrame) -> DataFrame:
+def fct_base(stg_reviews: DataFrame, dim_albums_df: DataFrame, path: str | None = None) -> DataFrame:
     """Fact rows before the window columns, written once with the row key
     ``_rk``. Marts read this (they need no window column), so they never
     re-run the seventeen windows."""
     base = reviews_base(stg_reviews, dim_albums_df)
-    return stored_table(base.withColumn("_rk", F.monotonically_increasing_id()), "fct_base",
-                        bucket_by="_rk")
-
-
-def bucket_count(df: DataFrame) -> int | None:
-    """Bucket count of a bucketed table scan (None when not bucketed)."""
-    spec = df._jdf.queryExecution().analyzed().collectLeaves().head()
-    try:
-        return int(spec.catalogTable().get().bucketSpec().get().numBuckets())
-    except Exception:  # noqa: BLE001 - not a bucketed catalog table
-        return None
+    # The key is made by the tasks that write the rows, with no shuffle after
+    # it: a task that runs again replaces its own file, keys included.
+    return stored_table(base.withColumn("_rk", F.monotonically_increasing_id()), "fct_base", path)
 
 
 def stored_windows(base: DataFrame) -> DataFrame:
@@ -236,7 +227,7 @@ def stored_windows(base: DataFrame) -> DataFrame:
     carrying the review's ids and score for direct window queries."""
     narrow = narrow_rows(base)
     windows = window_columns(narrow, keep=("review_id", "album_id", "band_id", "score_d"))
-    return stored_table(windows, "fct_windows", bucket_by="_rk", buckets=bucket_count(base))
+    return stored_table(windows, "fct_windows")
 
 
 def fct_reviews_keyed(stg_reviews: DataFrame = None, dim_albums_df: DataFrame = None,
@@ -248,17 +239,14 @@ def fct_reviews_keyed(stg_reviews: DataFrame = None, dim_albums_df: DataFrame =
     if windows is None:
         windows = window_columns(narrow_rows(base))
     windows = windows.select("_rk", *WINDOW_COLUMNS)
-    # Both sides are bucketed by the key: a shuffled hash join needs neither an
-    # exchange nor a sort of the wide base; each task hashes its bucket of the
-    # narrow window table (bounded by the bucket sizing) and streams the base.
-    return (base.join(windows.hint("shuffle_hash"), "_rk", "inner")
-            .select(*FCT_COLUMNS, "_rk"))
-
-
-def fct_reviews(stg_reviews: DataFrame, dim_albums_df: DataFrame,
-                audit: bool = False) -> DataFrame:
-    out = fct_reviews_keyed(stg_reviews, dim_albums_df).select(*FCT_COLUMNS)
-    if audit:
-        now = F.current_timestamp()
-        out = out.withColumns({"created_at": now, "updated_at": now})
-    return out
+    return base.join(windows, "_rk", "inner").select(*FCT_COLUMNS, "_rk")
+
+
+def with_audit(fct: DataFrame) -> DataFrame:
+    """The fact with its load stamps, as the source's view has them."""
+    now = F.current_timestamp()
+    return fct.withColumns({"created_at": now, "updated_at": now})
+
+
+def fct_reviews(stg_reviews: DataFrame, dim_albums_df: DataFrame) -> DataFrame:
+    return fct_reviews_keyed(stg_reviews, dim_albums_df).select(*FCT_COLUMNS)

@@ -127,14 +127,14 @@ CAREER_COLUMNS = [
 ]
 
 
-def career_analysis(dim_albums_keyed: DataFrame, fct_keyed: DataFrame) -> DataFrame:
+def career_analysis(dim_albums: DataFrame, fct: DataFrame) -> DataFrame:
     """One row per (album, review). ``lag`` by band in (year, album_id,
     review_id, score) order (``ranks.lag_over``); the band's average and best
     score are a grouped table joined back."""
-    albums = dim_albums_keyed.select(
+    albums = dim_albums.select(
         "album_id", "band_id", "band_name", "band_career_phase",
         "album_number_in_discography", "years_since_formation", "album_title", "album_year")
-    reviews = fct_keyed.where(F.col("score_album").isNotNull()).select(
+    reviews = fct.where(F.col("score_album").isNotNull()).select(
         "album_id", "review_id", _score().alias("score_album"))
     rows = albums.join(reviews, "album_id", "inner")
     best = ranks.group_stats(rows, "band_id", {

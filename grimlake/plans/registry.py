@@ -20,13 +20,28 @@ from grimlake.plans.catalog import Catalog
 QueryFn = Callable[[SparkSession, str], DataFrame]
 REGISTRY: dict[str, QueryFn] = {}
 
-_CATALOGS: dict[tuple[str, str], Catalog] = {}
+_CATALOGS: dict[tuple, Catalog] = {}
+
+
+def _state(spark: SparkSession, sf_dir: str) -> tuple:
+    """Length and time of the tables' files, as Hadoop lists them."""
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    out = []
+    for table in ("customer", "orders", "lineitem"):
+        p = path(f"{sf_dir.rstrip('/')}/{table}.parquet")
+        fs = p.getFileSystem(conf)
+        out.append((int(fs.getContentSummary(p).getLength()), int(fs.getFileStatus(p).getModificationTime())))
+    return tuple(out)
 
 
 def catalog(spark: SparkSession, sf_dir: str) -> Catalog:
-    """One model build per (application, folder), reused by later queries."""
-    key = (spark.sparkContext.applicationId, sf_dir.rstrip("/"))
+    """One model build per application and state of the input files, reused by
+    later queries; files that change are built anew."""
+    key = (spark.sparkContext.applicationId, sf_dir.rstrip("/"), _state(spark, sf_dir))
     if key not in _CATALOGS:
+        for old in [k for k in _CATALOGS if k[:2] == key[:2]]:
+            del _CATALOGS[old]
         _CATALOGS[key] = Catalog.from_driver_tables(spark, sf_dir)
     return _CATALOGS[key]
 
@@ -424,4 +439,4 @@ def _csv_roundtrip(c: Catalog) -> DataFrame:
 def _preview(c: Catalog) -> DataFrame:
     """First rows of a loaded table (the limit is the feature)."""
     from grimlake.sources.raw import preview
-    return preview(c.stg_bands, 5)
+    return preview(c.stg_bands, 5, "band_id")

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-import os
+import re
 import tempfile
 
 from pyspark.sql import SparkSession
@@ -44,9 +44,9 @@ def build_session(master: str | None = None, shuffle_partitions: int | None = No
 def checkpoint_dir(spark: SparkSession) -> str:
     """Return the reliable checkpoint folder, installing it on the context.
 
-    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
-    as is. Only when the session leaves it unset (local tests) is a private
-    scratch folder created.
+    On a cluster ``spark.checkpoint.dir`` names a folder that driver and
+    executors share, and the job fails without it. Only in local mode, where
+    all tasks run in one process, an unset folder is made on this machine.
     """
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
@@ -55,8 +55,8 @@ def checkpoint_dir(spark: SparkSession) -> str:
     conf_dir = sc.getConf().get("spark.checkpoint.dir", None) or spark.conf.get(
         "spark.checkpoint.dir", None)
     if not conf_dir:
-        conf_dir = tempfile.mkdtemp(prefix="grimlake-ckpt-")
-    if conf_dir.startswith("/"):
-        os.makedirs(conf_dir, exist_ok=True)
+        if not re.match(r"local(\[|$)", sc.master):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
+        conf_dir = "file://" + tempfile.mkdtemp(prefix="grimlake-ckpt-")
     sc.setCheckpointDir(conf_dir)
     return sc.getCheckpointDir() or conf_dir

@@ -5,71 +5,34 @@ written once as Parquet under the reliable checkpoint folder and read back.
 Compared with ``Dataset.checkpoint`` this keeps the columnar layout, so
 readers that need three columns of a wide fact read three columns, and it
 cuts lineage the same way: a lost executor re-reads the written files
-instead of recomputing the model.
+instead of recomputing the model. Values that a recomputed task could change
+(generated row keys) are fixed by the write.
 """
 
 from __future__ import annotations
 
 import uuid
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 
 from grimlake.session import checkpoint_dir
 
 
-TARGET_BUCKET_BYTES = 512 * 1024 * 1024
-MAX_BUCKETS = 100_000
+def scratch_dir(spark: SparkSession) -> str:
+    """This application's folder of stored tables."""
+    return f"{checkpoint_dir(spark).rstrip('/')}/tables-{spark.sparkContext.applicationId}"
 
 
-def input_bytes(df: DataFrame) -> int:
-    """Bytes of the files under the plan's file-source leaves (a proxy for the
-    size of what is written; join estimates without statistics are not)."""
-    total = 0
-    leaves = df._jdf.queryExecution().analyzed().collectLeaves().iterator()
-    while leaves.hasNext():
-        leaf = leaves.next()
-        if "LogicalRelation" not in leaf.getClass().getName():
-            continue
-        size = int(str(leaf.stats().sizeInBytes()))
-        if size < (1 << 60):  # relations without a known size report "huge"
-            total += size
-    return total
-
-
-def bucket_count_for(df: DataFrame) -> int:
-    """Buckets for writing ``df``: about 512 MiB of input per bucket, never
-    fewer than the shuffle partitions (a bucket is also one task when the
-    table is joined), at most ``MAX_BUCKETS``."""
-    floor = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions", "200"))
-    try:
-        size = input_bytes(df)
-    except Exception:  # noqa: BLE001 - no file leaves: the floor
-        size = 0
-    return max(floor, min(MAX_BUCKETS, -(-size // TARGET_BUCKET_BYTES)))
-
+def stored_table(df: DataFrame, name: str, path: str | None = None) -> DataFrame:
+    """Write ``df`` once (Parquet, replace mode) and return a scan of it; to a
+    folder of its own in the scratch folder unless ``path`` is given."""
+    spark = df.sparkSession
+    path = path or f"{scratch_dir(spark)}/{name}_{uuid.uuid4().hex}"
+    df.write.mode("overwrite").parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
 
-def stored_table(df: DataFrame, name: str, bucket_by: str | None = None,
-                 buckets: int | None = None) -> DataFrame:
-    """Write ``df`` once (Parquet, overwrite) and return a scan of it.
 
-    With ``bucket_by`` the rows are hash-partitioned into ``buckets`` files
-    on that column and the table is registered (external, under the
-    checkpoint folder) so scans know the layout: two tables bucketed the same
-    way join on that column without an exchange, however often they are
-    joined afterwards.
-    """
-    spark = df.sparkSession
-    base = checkpoint_dir(spark).rstrip("/")
-    tag = f"{name}_{uuid.uuid4().hex}"
-    path = f"{base}/tables/{tag}"
-    if bucket_by is None:
-        df.write.mode("overwrite").parquet(path)
-        return spark.read.parquet(path)
-    n = buckets or bucket_count_for(df)
-    table = f"grimlake_{tag}"
-    # Hash-partition by the bucket column first (the same hash the bucketed
-    # writer uses): each task then holds exactly one bucket and writes one
-    # file, instead of every task writing a file into every bucket.
-    (df.repartition(n, bucket_by).write.mode("overwrite").format("parquet")
-       .option("path", path).bucketBy(n, bucket_by).saveAsTable(table))
-    return spark.table(table)
+def drop_scratch(spark: SparkSession) -> None:
+    """Delete this application's stored tables (frames that read them end)."""
+    folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(scratch_dir(spark))
+    folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(folder, True)

@@ -177,3 +177,8 @@ for _kind, _name in [("not_null", "check_not_null"), ("unique", "check_unique"),
 # ---- sources -------------------------------------------------------------------------
 q("csv_roundtrip", "SELECT review_id, album_id, review_title, CAST(score_album AS DOUBLE) AS score_album, "
                    "content_review FROM stg_reviews")
+q("preview", "SELECT * FROM stg_bands ORDER BY band_id LIMIT 5")
+# The sketch holds every label of these tables, so its counts are exact.
+q("approx_top_value", """SELECT release_decade, first(label ORDER BY n DESC, label) AS top_subgenre, max(n) AS top_count
+FROM (SELECT release_decade, death_metal_subgenre AS label, count(*) AS n FROM reviews_base
+      WHERE death_metal_subgenre IS NOT NULL GROUP BY ALL) GROUP BY release_decade""")

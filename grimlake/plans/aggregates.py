@@ -57,7 +57,7 @@ def safe_ratio(band_metrics: DataFrame) -> DataFrame:
 
 def mode_value(dim_albums: DataFrame) -> DataFrame:
     """Most frequent release year per band, ties to the smallest year."""
-    return dim_albums.groupBy("band_id").agg(X.mode("album_year").alias("mode_album_year"))
+    return ranks.dominant_value(dim_albums, "band_id", "album_year", "mode_album_year")
 
 
 def stddev_by_band(fct: DataFrame) -> DataFrame:

@@ -5,16 +5,12 @@ Each mart reproduces the catalogue's join fan-out exactly (D9): a band's
 the source does; the distinct counts are the unbiased ones.
 
 Scale notes:
-* Outer joins whose right side can hold a hot key are written with
-  ``joins.left_join_split`` (inner + anti on distinct keys) so AQE can
-  split skewed partitions.
 * All grouping is ``groupBy`` with partial aggregation; exact medians use
   ``percentile``, whose buffer is a value -> count map (bounded by the
   distinct scores, not the rows).
-* Each mart is two aggregations over its base joined on the group keys:
-  counts (distincts via Expand) and picks - medians (``percentile``) and
-  dominant values (``exprs.dominant``, a ``mode``); both keep value ->
-  count buffers, so their size follows distinct values, not group sizes.
+* M6, M9 and M10 read the fact counted by (album, score), which holds all
+  they need of the reviews but distinct review ids (M10 reads those apart):
+  one scan, no join of review rows, no hot album.
 * Global ranks (W17) run over the finished mart rows (years, countries,
   subgenre x continent: tens to hundreds of rows), the only place a window
   without a partition key is used.
@@ -43,6 +39,53 @@ def _reviews(fct: DataFrame) -> DataFrame:
     return fct.select("album_id", "review_id", _score().alias("score_album"))
 
 
+# ---- per-album scores: what M6, M9 and M10 read of the fact ------------------------
+def score_counts(fct: DataFrame) -> DataFrame:
+    """(album_id, score_album, n, n_rev): the fact counted by album and score,
+    in one scan. Averages, deviations, medians and conditional counts of its
+    reviews all follow from it, and no album has more rows than scores."""
+    return fct.groupBy("album_id", _score().alias("score_album")).agg(
+        F.count(F.lit(1)).alias("n"), F.count("review_id").alias("n_rev"))
+
+
+def with_scores(albums: DataFrame, fct: DataFrame) -> DataFrame:
+    """Album rows with their score counts; ``rows`` is how many rows the join
+    with the reviews themselves would have."""
+    out = albums.join(score_counts(fct), "album_id", "left")
+    return out.withColumn("rows", F.coalesce("n", F.lit(1)))
+
+
+def _n_if(cond) -> F.Column:
+    return F.coalesce(F.sum(F.when(cond, F.col("n"))), F.lit(0)).cast("bigint")
+
+
+def _mean(cond=None) -> F.Column:
+    s, n = F.col("score_album"), F.col("n")
+    cond = F.lit(True) if cond is None else cond
+    return F.sum(F.when(cond, s * n)) / F.sum(F.when(cond & s.isNotNull(), n))
+
+
+def _deviation() -> F.Column:
+    """Sample standard deviation; sums are taken around the scores' centre."""
+    d, n = F.col("score_album") - R.SCORE_CENTER, F.col("n")
+    total = F.sum(F.when(d.isNotNull(), n))
+    left = F.sum(d * d * n) - F.sum(d * n) * F.sum(d * n) / total
+    return F.when(total > 1, F.sqrt(F.greatest(left, F.lit(0.0)) / (total - 1)))
+
+
+def _median() -> F.Column:
+    return F.percentile(F.col("score_album"), F.lit(0.5), F.col("n"))
+
+
+def _dominant(base: DataFrame, keys: list[str], value: str, out: str, nulls: bool = False) -> DataFrame:
+    """Most frequent value by rows, the smallest of equals, null last; two
+    plain aggregations."""
+    rows = base if nulls else base.where(F.col(value).isNotNull())
+    counts = rows.groupBy(*keys, value).agg(F.sum("rows").alias("_rows"))
+    order = F.struct(-F.col("_rows"), F.col(value).isNull(), F.col(value))
+    return counts.groupBy(*keys).agg(F.min_by(value, order).alias(out))
+
+
 # ---- M6 band_metrics ----------------------------------------------------------
 BAND_KEYS = ["band_id", "band_name", "country", "continent", "death_metal_subgenre",
              "formation_era", "band_maturity", "years_active"]
@@ -50,31 +93,26 @@ BAND_KEYS = ["band_id", "band_name", "country", "continent", "death_metal_subgen
 
 def band_metrics(dim_bands: DataFrame, dim_albums: DataFrame, fct: DataFrame) -> DataFrame:
     """bands LEFT albums LEFT reviews, grouped by eight band attributes."""
-    albums = dim_albums.select("band_id", "album_id", "album_year")
-    album_reviews = left_join_split(albums, _reviews(fct), ["album_id"])
-    # albums LEFT JOIN reviews keeps every album row, so its band ids are the
-    # albums' band ids: the anti join reads those instead of the whole union.
-    base = left_join_split(dim_bands.select(*BAND_KEYS), album_reviews, ["band_id"],
-                           right_keys=albums)
+    albums = with_scores(dim_albums.select("band_id", "album_id", "album_year"), fct)
+    base = dim_bands.select(*BAND_KEYS).join(albums, "band_id", "left")
     s = F.col("score_album")
-    n_rev = F.count("review_id")
-    sd = X.stddev(s)
-    out = base.groupBy(*BAND_KEYS).agg(
+    n_rev = F.coalesce(F.sum("n_rev"), F.lit(0)).cast("bigint")
+    sd = _deviation()
+    return base.groupBy(*BAND_KEYS).agg(
         F.count_distinct("album_id").alias("total_albums"),
         F.min("album_year").alias("first_album_year"),
         F.max("album_year").alias("latest_album_year"),
         (F.max("album_year") - F.min("album_year")).alias("discography_span"),
         n_rev.alias("total_reviews"),
-        F.avg(s).alias("avg_score"),
+        _mean().alias("avg_score"),
         F.min(s).alias("min_score"),
         F.max(s).alias("max_score"),
         sd.alias("score_consistency"),
-        X.safe_divide(F.sum(X.flag(s >= R.HIGH_SCORE)) * 100.0, n_rev).alias("pct_high_quality"),
-        X.safe_divide(F.sum(X.flag(s >= R.EXCELLENT_SCORE)) * 100.0, n_rev).alias("pct_excellent"),
+        X.safe_divide(_n_if(s >= R.HIGH_SCORE) * 100.0, n_rev).alias("pct_high_quality"),
+        X.safe_divide(_n_if(s >= R.EXCELLENT_SCORE) * 100.0, n_rev).alias("pct_excellent"),
         X.flag(n_rev >= R.SUBSTANTIAL_CATALOG_REVIEWS).alias("has_substantial_catalog"),
         X.flag(sd <= R.CONSISTENT_STDDEV_MAX).alias("is_consistent_quality"),
     )
-    return out
 
 
 # ---- M7 geographic_analysis ----------------------------------------------------
@@ -161,43 +199,42 @@ def career_analysis(dim_albums: DataFrame, fct: DataFrame) -> DataFrame:
 # ---- M9 temporal_analysis ------------------------------------------------------
 def temporal_base(dim_bands: DataFrame, dim_albums: DataFrame, fct: DataFrame,
                   first_year: int = R.TEMPORAL_FROM, last_year: int = R.TEMPORAL_TO) -> DataFrame:
-    """albums JOIN bands LEFT JOIN reviews, release years in range (the
-    range filter is pushed to the album scan)."""
+    """albums JOIN bands LEFT JOIN reviews, one row per review."""
+    albums = temporal_albums(dim_bands, dim_albums, first_year, last_year)
+    return left_join_split(albums, _reviews(fct), ["album_id"])
+
+
+def temporal_albums(dim_bands: DataFrame, dim_albums: DataFrame, first_year: int, last_year: int) -> DataFrame:
+    """albums JOIN bands, release years in range (pushed to the album scan)."""
     albums = (dim_albums.where(F.col("album_year").between(first_year, last_year))
               .select("album_year", "release_decade", "release_era", "album_id", "band_id",
                       "is_debut_album"))
-    bands = dim_bands.select("band_id", "country", "death_metal_subgenre")
-    return left_join_split(albums.join(bands, "band_id", "inner"), _reviews(fct), ["album_id"])
+    return albums.join(dim_bands.select("band_id", "country", "death_metal_subgenre"), "band_id", "inner")
 
 
 def temporal_analysis(dim_bands: DataFrame, dim_albums: DataFrame, fct: DataFrame,
                       first_year: int = R.TEMPORAL_FROM, last_year: int = R.TEMPORAL_TO,
                       ordered: bool = True) -> DataFrame:
     keys = ["album_year", "release_decade", "release_era"]
-    base = temporal_base(dim_bands, dim_albums, fct, first_year, last_year)
+    base = with_scores(temporal_albums(dim_bands, dim_albums, first_year, last_year), fct)
     s = F.col("score_album")
     debut = F.col("is_debut_album") == 1
-    # Counts (distincts planned with Expand) and the object aggregates
-    # (median, dominant value) are two aggregations joined on the year;
-    # decade and era are functions of the year.
     out = base.groupBy(*keys).agg(
         F.count_distinct("album_id").alias("albums_released"),
-        F.count_distinct(F.when(F.col("review_id").isNotNull(), F.col("band_id")))
-         .alias("active_bands"),
+        F.count_distinct(F.when(F.col("n_rev") > 0, F.col("band_id"))).alias("active_bands"),
         F.count_distinct("country").alias("countries_represented"),
         F.count_distinct(F.when(debut, F.col("album_id"))).alias("debut_albums"),
-        F.avg(F.when(debut, s)).alias("avg_debut_score"),
+        _mean(debut).alias("avg_debut_score"),
         F.count_distinct("death_metal_subgenre").alias("subgenres_active"),
-        F.avg(s).alias("avg_score"),
-        X.stddev(s).alias("score_variance"),
-        _count_if(s >= R.EXCELLENT_SCORE).alias("excellent_albums"),
-        _count_if(s >= R.HIGH_SCORE).alias("high_quality_albums"),
-        _count_if(s < R.POOR_SCORE_BELOW).alias("poor_albums"),
+        _mean().alias("avg_score"),
+        _deviation().alias("score_variance"),
+        _n_if(s >= R.EXCELLENT_SCORE).alias("excellent_albums"),
+        _n_if(s >= R.HIGH_SCORE).alias("high_quality_albums"),
+        _n_if(s < R.POOR_SCORE_BELOW).alias("poor_albums"),
     )
-    picks = base.groupBy("album_year").agg(
-        X.median(s).alias("median_score"),
-        X.dominant("death_metal_subgenre").alias("dominant_subgenre"))
-    out = out.join(picks, "album_year", "left")
+    # Decade and era are functions of the year.
+    out = (out.join(base.groupBy("album_year").agg(_median().alias("median_score")), "album_year", "left")
+           .join(_dominant(base, ["album_year"], "death_metal_subgenre", "dominant_subgenre"), "album_year", "left"))
     out = ranks.global_row_number(out, [F.col("albums_released").desc_nulls_last(),
                                         F.col("album_year").asc()], "release_rank")
     out = ranks.global_row_number(out, [F.col("avg_score").desc_nulls_last(),
@@ -212,31 +249,34 @@ def subgenre_analysis(dim_bands: DataFrame, dim_albums: DataFrame, fct: DataFram
              .select("band_id", "death_metal_subgenre", "continent", "country", "formed_year",
                      "is_active_flag", "is_veteran_band"))
     albums = dim_albums.select("band_id", "album_id", "release_decade")
-    base = left_join_split(bands.join(albums, "band_id", "inner"), _reviews(fct), ["album_id"])
+    released = bands.join(albums, "band_id", "inner")
+    base = with_scores(released, fct)
     s = F.col("score_album")
-    n_s = F.count(s)
+    n_s = _n_if(s.isNotNull())
     out = base.groupBy(*keys).agg(
         F.count_distinct("album_id").alias("total_albums"),
-        F.count_distinct("review_id").alias("total_reviews"),
         F.count_distinct("band_id").alias("total_bands"),
-        F.avg(s).alias("avg_score"),
-        X.stddev(s).alias("score_variance"),
-        _count_if(s >= R.EXCELLENT_SCORE).alias("excellent_count"),
-        _count_if(s >= R.HIGH_SCORE).alias("high_quality_count"),
-        _count_if(s < R.POOR_SCORE_BELOW).alias("poor_count"),
-        X.safe_divide(F.sum(X.flag(s >= R.EXCELLENT_SCORE)) * 100.0, n_s).alias("pct_excellent"),
-        X.safe_divide(F.sum(X.flag(s >= R.HIGH_SCORE)) * 100.0, n_s).alias("pct_high_quality"),
+        _mean().alias("avg_score"),
+        _deviation().alias("score_variance"),
+        _median().alias("median_score"),
+        _n_if(s >= R.EXCELLENT_SCORE).alias("excellent_count"),
+        _n_if(s >= R.HIGH_SCORE).alias("high_quality_count"),
+        _n_if(s < R.POOR_SCORE_BELOW).alias("poor_count"),
+        X.safe_divide(_n_if(s >= R.EXCELLENT_SCORE) * 100.0, n_s).alias("pct_excellent"),
+        X.safe_divide(_n_if(s >= R.HIGH_SCORE) * 100.0, n_s).alias("pct_high_quality"),
         F.min("formed_year").alias("earliest_band"),
         F.max("formed_year").alias("latest_band"),
-        F.sum("is_active_flag").cast("bigint").alias("active_bands"),
-        F.sum("is_veteran_band").cast("bigint").alias("veteran_bands"),
+        F.sum(F.col("is_active_flag") * F.col("rows")).cast("bigint").alias("active_bands"),
+        F.sum(F.col("is_veteran_band") * F.col("rows")).cast("bigint").alias("veteran_bands"),
         F.count_distinct("country").alias("countries_count"),
     )
-    picks = base.groupBy(*keys).agg(
-        X.median(s).alias("median_score"),
-        X.dominant("release_decade", count_nulls=True).alias("dominant_decade"),
-        X.dominant("country", count_nulls=True).alias("dominant_country"))
-    out = out.join(picks, keys, "left")
+    # Review ids can repeat, so their distinct count needs the ids themselves.
+    reviews = (released.select("album_id", *keys).join(fct.select("album_id", "review_id"), "album_id", "inner")
+               .groupBy(*keys).agg(F.count_distinct("review_id").alias("_reviews")))
+    for table in (reviews, _dominant(base, keys, "release_decade", "dominant_decade", nulls=True),
+                  _dominant(base, keys, "country", "dominant_country", nulls=True)):
+        out = out.join(table, keys, "left")
+    out = out.withColumn("total_reviews", F.coalesce("_reviews", F.lit(0))).drop("_reviews")
     tie = [F.col("death_metal_subgenre").asc_nulls_last(), F.col("continent").asc_nulls_last()]
     out = ranks.global_row_number(out, [F.col("avg_score").desc_nulls_last(), *tie],
                                   "quality_rank")

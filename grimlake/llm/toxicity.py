@@ -28,7 +28,9 @@ CATEGORIES = (("unfit", "quality = 0 OR toxic = 1"), ("toxic", "toxic = 1"),
 TRAIN_ROWS = 20_000
 FEATURES = 256
 FOLDS = 5
-PENALTY = 1.0
+PENALTY = 0.3
+#: Chi-square that a feature must reach.
+LEAST_CHI = 15.0
 STEPS = 200
 THRESHOLD = 0.5
 #: Word beginnings of these lengths are features too, by how many different
@@ -91,7 +93,7 @@ def select_features(train: DataFrame, n_categories: int, features: int) -> list[
     if not chi:
         return []
     best = F.greatest(*chi) if len(chi) > 1 else chi[0]
-    rows = seen.withColumn("chi", best).orderBy(F.col("chi").desc(), "word").limit(features).collect()
+    rows = seen.withColumn("chi", best).where(F.col("chi") >= LEAST_CHI).orderBy(F.col("chi").desc(), "word").limit(features).collect()
     return [r["word"] for r in rows]
 
 
@@ -120,6 +122,8 @@ class Chain:
     def __init__(self, vocabulary: list[str], weights: list[np.ndarray]):
         self.vocabulary = {w: i for i, w in enumerate(vocabulary)}
         self.weights = weights
+        self.stems = {v.rpartition("-")[0] + "-" for v in vocabulary if "-" in v}
+        self.known: dict[str, list[str]] = {}  # features of words seen before, up to KEPT_WORDS
 
     def predict(self, x: np.ndarray) -> np.ndarray:
         """Probabilities, a column for each category."""
@@ -135,15 +139,14 @@ class Chain:
     def features(self, texts: list[str]) -> np.ndarray:
         """Indicator rows of :func:`tokens`, counting only what the model knows."""
         x = np.zeros((len(texts), len(self.vocabulary)))
-        stems = {v.rpartition("-")[0] + "-" for v in self.vocabulary if "-" in v}
-        known: dict[str, list[str]] = {}
+        known = self.known
         for i, t in enumerate(texts):
             count: Counter = Counter()
             for w in set(TOKEN.findall(t.lower())):
                 if (found := known.get(w)) is None:
                     if len(known) >= KEPT_WORDS:
                         known.clear()
-                    found = known[w] = [m for m in marks_of(w) if m in stems or m in self.vocabulary]
+                    found = known[w] = [m for m in marks_of(w) if m in self.stems or m in self.vocabulary]
                 if found:
                     count.update(found)
             for m, n in count.items():

@@ -96,3 +96,18 @@ def test_named_source_lookup(spark):
         raw[t].createOrReplaceGlobalTempView(name)
     found = raw_io.read_catalog(spark, "global_temp")
     assert {t: df.count() for t, df in found.items()} == {t: df.count() for t, df in raw.items()}
+
+
+def test_build_into_a_database(spark):
+    """Table models are written once, later models read them, and
+    every model is a named table of the chosen database."""
+    work = tempfile.mkdtemp(prefix="grimlake-db-")
+    cat = jobs.build(spark, raw_from_driver(spark, SF), f"{work}/models", database="grimlake_models")
+    try:
+        assert spark.table("grimlake_models.dim_bands").count() == cat.dim_bands.count() > 0
+        assert {"created_at", "updated_at"} <= set(spark.table("grimlake_models.fct_reviews").columns)
+        for model in ("dim_bands", "dim_albums", "parsed", "stg_reviews", "subgenre_analysis"):
+            files = getattr(cat, model).inputFiles()
+            assert files and all(f"{work}/models/" in f for f in files), model
+    finally:
+        spark.sql("DROP DATABASE IF EXISTS grimlake_models CASCADE")

@@ -18,6 +18,7 @@ from __future__ import annotations
 
 import re
 from collections.abc import Iterator
+from typing import Any
 
 import numpy as np
 import pandas as pd
@@ -38,6 +39,10 @@ BLOCK_SHINGLES = 4_000_000
 #: A size class spans this power of 1 / similarity.
 SPAN = 2
 CHUNK_CHARS = 4_000_000
+SIGNATURE_CHARS = 16_000_000
+#: Bits of signatures and class names that are exchanged to find clusters: two
+#: that agree in them only put more into one cluster.
+LABEL = (1 << 48) - 1
 #: Work of one binary probe, in list entries read.
 PROBE_COST = 16
 #: Members of small clusters that are searched in one call, about.
@@ -55,7 +60,7 @@ def mixed(x: np.ndarray, salt: int = 0) -> np.ndarray:
 class Words:
     """Stable 64-bit hashes of words, kept between texts up to a bound."""
 
-    KEPT = 500_000
+    KEPT = 800_000
 
     def __init__(self):
         self.seen: dict[str, int] = {}
@@ -96,6 +101,21 @@ def max_difference(a: int, similar: int, of: int) -> int:
     return (a + b) * (of - similar) // (of + similar)
 
 
+def number_of_parts(n: int, similar: int, of: int) -> int:
+    """Parts for pairs whose smaller set has up to ``n`` shingles: over the
+    largest difference, and so many more that all but about one set in 30,000
+    has over that many parts with a shingle in them (four deviations)."""
+    differ = max_difference(n, similar, of)
+    k = differ + 1
+    while n:
+        none = np.exp(-n / k)  # share of parts without a shingle, and its spread
+        spread = np.sqrt(k * none * max(0.0, 1 - (1 + n / k) * none))
+        if k * (1 - none) - 4 * spread > differ or k > 2 * differ + 8:
+            break
+        k += max(1, differ // 100)
+    return k
+
+
 def size_class(n: np.ndarray, similar: int, of: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(class of each size, parts of each class, smallest size of each class):
     classes of sizes growing by (of / similar) ** SPAN, with the number of
@@ -104,7 +124,7 @@ def size_class(n: np.ndarray, similar: int, of: int) -> tuple[np.ndarray, np.nda
     low = [1]
     while low[-1] <= n.max(initial=0):
         low.append(max(low[-1] + 1, int(low[-1] * (of / similar) ** SPAN)))
-    parts = [max_difference(b - 1, similar, of) + 1 for b in low[1:]] + [1]
+    parts = [number_of_parts(b - 1, similar, of) for b in low[1:]] + [1]
     return np.searchsorted(np.array(low), n, side="right") - 1, np.array(parts), np.array(low)
 
 
@@ -121,6 +141,7 @@ def signatures(sets: list[np.ndarray], similar: int, of: int) -> tuple[np.ndarra
     out_owner, out_sig = [], []
     smallest = -(-sizes * similar // of)  # of a similar set
     differ = np.array([max_difference(int(n), similar, of) for n in sizes], np.int64)
+    limits = np.array([max_difference(int(b) - 1, similar, of) for b in low])
     linkable = (sizes > 0) & ((differ > 0) | (smallest < sizes))
     for shift in (0, 1):
         use = linkable & (c >= shift) & ((shift == 0) | (smallest < low[c]))
@@ -128,6 +149,8 @@ def signatures(sets: list[np.ndarray], similar: int, of: int) -> tuple[np.ndarra
             continue
         cls = c - shift
         k = parts[cls]
+        # Most that a partner in that class can differ: it is the smaller set.
+        most = differ if not shift else limits[c]
         pick = use[owner]
         base = np.concatenate([[0], np.cumsum(np.where(use, k, 0))[:-1]])
         slot = base[owner[pick]] + (deal[pick] % k[owner[pick]].astype(np.uint64)).astype(np.int64)
@@ -138,7 +161,7 @@ def signatures(sets: list[np.ndarray], similar: int, of: int) -> tuple[np.ndarra
         who = np.repeat(np.arange(len(sets)), np.where(use, k, 0))
         part = np.arange(total) - base[who]
         empty = np.bincount(who[~filled], minlength=len(sets))
-        keep = filled | (k - empty <= differ)[who]
+        keep = filled | (k - empty <= most)[who]
         sig = mixed(got + mixed(part.astype(np.uint64), 3) + mixed(cls[who].astype(np.uint64), 4), 5)
         out_owner.append(who[keep])
         out_sig.append(sig[keep])
@@ -152,11 +175,30 @@ def set_name(s: np.ndarray) -> int:
     return int(mixed(mixed(s, 6).sum(dtype=np.uint64).reshape(1) + np.uint64(len(s)), 7).view(np.int64)[0])
 
 
-def parts_of(frames: Iterator[pd.DataFrame], shingle: int) -> Iterator[tuple[pd.DataFrame, list[np.ndarray]]]:
+def local_components(who: np.ndarray, sig: np.ndarray, n: int) -> np.ndarray:
+    """Smallest set number that each of ``n`` sets is connected to by shared
+    signatures; ``who`` and ``sig`` are in order of ``sig``."""
+    label = np.arange(n)
+    start = np.flatnonzero(np.r_[True, sig[1:] != sig[:-1]])
+    size = np.diff(np.r_[start, len(sig)])
+    start, size = start[size > 1], size[size > 1]
+    if not len(start):
+        return label
+    inside = np.repeat(start - (np.cumsum(size) - size), size) + np.arange(int(size.sum()))
+    who, at = who[inside], np.cumsum(size) - size
+    while True:
+        least = np.repeat(np.minimum.reduceat(label[who], at), size)
+        if (least == label[who]).all():
+            return label
+        np.minimum.at(label, who, least)
+        label = label[label]
+
+
+def parts_of(frames: Iterator[pd.DataFrame], shingle: int, chars: int = CHUNK_CHARS) -> Iterator[tuple[pd.DataFrame, list[np.ndarray]]]:
     """Bounded parts of the frames, with the shingle sets of their texts."""
     words = Words()
     for frame in frames:
-        size = frame["text"].str.len().cumsum() // CHUNK_CHARS
+        size = frame["text"].str.len().cumsum() // chars
         for _, part in frame.groupby(size, sort=False):
             yield part, [shingle_set(t, words, shingle) for t in part["text"]]
 
@@ -174,12 +216,13 @@ def named(rows: DataFrame, shingle: int) -> DataFrame:
 
 def shared_signatures(rows: DataFrame, shingle: int, similar: int, of: int) -> DataFrame:
     """Distinct links (a, b) of classes that share a signature, each to the
-    smallest class that has it. Equal signatures of one part of a task leave
-    it as one row, with its other classes linked there, so what is shuffled
-    for a signature is a row per part at most, however common it is."""
+    smallest class that has it. The classes of one part of a task are
+    connected there first: each leaves one link, and a signature one row, of
+    the class that stands for its classes. So however common a signature or
+    large a group is, it costs a row per part at most, and a link per class."""
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for _, sets in parts_of(frames, shingle):
+        for _, sets in parts_of(frames, shingle, SIGNATURE_CHARS):
             by_name = {set_name(s): s for s in sets if len(s)}
             if not by_name:
                 continue
@@ -187,18 +230,20 @@ def shared_signatures(rows: DataFrame, shingle: int, similar: int, of: int) -> D
             who, sig = signatures([by_name[v] for v in node.tolist()], similar, of)
             if not len(sig):
                 continue
-            order = np.lexsort((who, sig))
-            who, sig = node[who[order]], sig[order]
-            first = np.r_[True, sig[1:] != sig[:-1]]
-            hub = who[np.flatnonzero(first)][np.cumsum(first) - 1]
-            yield pd.DataFrame({"sig": sig[first].view(np.int64), "linked": False, "a": who[first], "b": who[first]})
-            links = pd.DataFrame({"a": who[~first], "b": hub[~first]}).drop_duplicates()
-            links = links[links["a"] != links["b"]]
-            yield pd.DataFrame({"sig": links["a"], "linked": True, "a": links["a"], "b": links["b"]})
-
-    signed = rows.select("text").mapInPandas(run, "sig long, linked boolean, a long, b long")
-    hub = F.min("b").over(Window.partitionBy("sig", "linked"))
-    return (signed.withColumn("b", F.when(F.col("linked"), F.col("b")).otherwise(hub))
+            order = np.argsort(sig, kind="stable")
+            who, sig = who[order], sig[order]
+            local = local_components(who, sig, len(node))
+            first = np.flatnonzero(np.r_[True, sig[1:] != sig[:-1]])
+            label = node & LABEL
+            yield pd.DataFrame({"sig": (sig[first] & np.uint64(LABEL)).view(np.int64), "linked": False,
+                                "a": label[local[who[first]]]})
+            below = np.flatnonzero(local != np.arange(len(node)))
+            yield pd.DataFrame({"sig": label[local[below]], "linked": True, "a": label[below]})
+
+    # Rows of a link name the class they are linked to in place of a signature.
+    signed = rows.select("text").mapInPandas(run, "sig long, linked boolean, a long")
+    hub = F.min("a").over(Window.partitionBy("sig", "linked"))
+    return (signed.withColumn("b", F.when(F.col("linked"), F.col("sig")).otherwise(hub))
             .filter("a != b").select("a", "b").distinct())
 
 
@@ -321,7 +366,8 @@ def cluster_links(rows: DataFrame, classes: DataFrame, clusters: DataFrame, shin
     bounds is dealt to blocks by hash, and every pair of blocks is searched by
     itself; small clusters are searched many in a call. Only texts of
     clustered classes are shingled and sent."""
-    members = classes.join(clusters, "node")
+    members = classes.withColumn("label", F.col("node").bitwiseAND(F.lit(LABEL))).join(
+        clusters.select(F.col("node").alias("label"), "component"), "label")
     sizes = members.groupBy("component").agg(F.count(F.lit(1)).alias("docs"), F.sum("n").alias("held"))
     sizes = stored(sizes.select(F.col("component").alias("cluster"), "docs", F.greatest(
         F.ceil(F.col("docs") / block_docs), F.ceil(F.col("held") / block_shingles)).cast("long").alias("blocks")),
@@ -338,7 +384,8 @@ def cluster_links(rows: DataFrame, classes: DataFrame, clusters: DataFrame, shin
             out = part.drop(columns="text").assign(shingles=[s.tobytes() for s in sets])
             yield out[out["node"] == mine]
 
-    sets = rows.select("k", "text").join(members, "k").select(
+    # The same plan at every size: by key, never by broadcasting members, which grow with the input.
+    sets = rows.select("k", "text").join(members.hint("merge"), "k").select(
         "node", "copies", "cluster", "blocks", "block", "text").mapInPandas(
         run, "node long, copies long, cluster long, blocks long, block long, shingles binary")
     other = F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1))
@@ -349,7 +396,7 @@ def cluster_links(rows: DataFrame, classes: DataFrame, clusters: DataFrame, shin
         F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"),
         "cluster", "block", "node", "copies", "shingles")
 
-    def find(key, frame: pd.DataFrame) -> pd.DataFrame:
+    def find(key: tuple[Any, ...], frame: pd.DataFrame) -> pd.DataFrame:
         out: list[tuple[int, int, int]] = []
         for _, one in frame.drop_duplicates("node").sort_values(["cluster", "node"]).groupby("cluster", sort=False):
             out += search_group(int(key[2]), int(key[3]), one, similar, of)

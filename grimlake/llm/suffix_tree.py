@@ -37,6 +37,7 @@ WEIGHT = 2.0
 COST = 2.0
 SHARD_CHARS = 8_000_000
 CHUNK = 1024
+BLOCK = 4096
 BATCH_SYMBOLS = 6_000_000
 #: Symbols: bytes, the end mark, and a start mark that is only ever context.
 END, START, SYMBOLS = 256, 257, 258
@@ -110,7 +111,8 @@ def frequent_contexts(counts: DataFrame, depth: int, least_share: float, least_c
     sums = levels.groupBy("depth", "context", "symbol").agg(F.sum("n").alias("n"))
     all_ = F.sum("n").over(Window.partitionBy("depth", "context"))
     kept = sums.withColumn("all", all_).filter((F.col("all") >= least) | (F.col("depth") == 0))
-    return kept.select("depth", "context", "symbol", "n").toPandas()
+    # As Arrow columns: rows as Python objects would be many times larger.
+    return kept.select("depth", "context", "symbol", "n").toArrow().to_pandas()
 
 
 class Tree:
@@ -121,34 +123,40 @@ class Tree:
                  divergence: float = LEAST_DIVERGENCE, weight: float = WEIGHT, cost: float = COST):
         self.depth = depth
         level, context, symbol, n = (rows[c].to_numpy(np.int64) for c in ("depth", "context", "symbol", "n"))
-        contexts, parents, logps, passed = [], [], [], []
-        above = None
+        contexts, parents, smoothed, passed = [], [], [], []
         gain = max(LEAST_GAIN, gain_share * float(n[level == 0].sum()))
         for d in range(depth + 1):
-            at = level == d
-            names, row = np.unique(context[at], return_inverse=True)
+            at = np.flatnonzero(level == d)
+            at = at[np.argsort(context[at], kind="stable")]
+            names, first, row = np.unique(context[at], return_index=True, return_inverse=True)
             if d == 0 and not len(names):  # nothing to learn from
-                names = np.zeros(1, np.int64)
-            counts = np.zeros((len(names), END + 1), np.float32)
-            counts[row, symbol[at]] = n[at]
-            total = counts.sum(axis=1, dtype=np.float64)[:, None].astype(np.float32)
-            if d == 0:
-                smooth, keep, up = (counts + 1) / (total + END + 1), np.ones(1, bool), np.zeros(1, np.int64)
-            else:
-                up = np.searchsorted(contexts[-1], self.suffix(names, d))
-                seen = counts > 0
+                names, first = np.zeros(1, np.int64), np.zeros(1, np.int64)
+            bounds = np.r_[first, len(at)]
+            up = np.searchsorted(contexts[-1], self.suffix(names, d)) if d else np.zeros(1, np.int64)
+            keep, tables = np.ones(len(names), bool), []
+            for lo in range(0, len(names), BLOCK):  # blocks bound the driver's memory
+                hi = min(lo + BLOCK, len(names))
+                mine = at[bounds[lo]:bounds[hi]]
+                counts = np.zeros((hi - lo, END + 1), np.float32)
+                counts[row[bounds[lo]:bounds[hi]] - lo, symbol[mine]] = n[mine]
+                total = counts.sum(axis=1, dtype=np.float64)[:, None].astype(np.float32)
+                if d == 0:
+                    tables.append((counts + 1) / (total + END + 1))
+                    continue
+                seen, base = counts > 0, smoothed[-1][up[lo:hi]]
                 kinds = seen.sum(axis=1)[:, None].astype(np.float32)
-                smooth = (counts + weight * kinds * above[up]) / (total + weight * kinds)
+                smooth = (counts + weight * kinds * base) / (total + weight * kinds)
                 # divergence from the suffix: per occurrence, and in all
                 ratio = np.zeros_like(counts)
-                np.log(smooth / above[up], out=ratio, where=seen)
+                np.log(smooth / base, out=ratio, where=seen)
                 kl = (counts * ratio).sum(axis=1) / total[:, 0]
-                keep = (kl >= divergence) & (kl * total[:, 0] >= np.maximum(gain, cost * kinds[:, 0]))
+                keep[lo:hi] = (kl >= divergence) & (kl * total[:, 0] >= np.maximum(gain, cost * kinds[:, 0]))
+                # of the longest contexts only the retained ones are needed later
+                tables.append(smooth if d < depth else smooth[keep[lo:hi]])
             contexts.append(names)
             parents.append(up)
-            logps.append(np.log10(smooth))
+            smoothed.append(np.concatenate(tables) if tables else np.zeros((0, END + 1), np.float32))
             passed.append(keep)
-            above = smooth
         # With a context its suffixes are retained. Prefixes of states are states
         # too, so that one symbol leads from state to state; the ones added for
         # that predict as their longest retained suffix.
@@ -168,7 +176,8 @@ class Tree:
             mine = slice(first[d], first[d + 1])
             names = contexts[d][states[d]]
             own = passed[d][states[d]]
-            self.logp[mine] = logps[d][states[d]]
+            self.logp[mine] = np.log10(smoothed[d][states[d]] if d < depth else smoothed[d])
+            smoothed[d] = None
             if d:
                 up = number[d - 1][parents[d][states[d]]]
                 self.step[mine] = self.step[up]

@@ -9,8 +9,8 @@ covers it also starts in a document with a smaller id.
 2. Shards that share an anchor send the windows around it, each with the
    smallest id it has there; every shard learns the smallest id anywhere of
    its windows. Windows with a smaller id elsewhere are confirmed to recur.
-3. Each shard compiles its confirmed phrases, as sequences of word numbers,
-   into an Aho-Corasick automaton, and streams all of its documents through it
+3. Each shard compiles phrases that span its recurring passages, as sequences
+   of word numbers, into an Aho-Corasick automaton, and streams all of its documents through it
    to find every occurrence, word by word, not by hash.
 """
 
@@ -77,6 +77,18 @@ def member(x: np.ndarray, sorted_keys: np.ndarray) -> tuple[np.ndarray, np.ndarr
     return sorted_keys[at] == x, at
 
 
+def spaced(shard: Shard, recurs: np.ndarray) -> np.ndarray:
+    """Of each document's runs of recurring windows every ``window``-th and the
+    last: they cover the words that the whole run covers."""
+    at = np.flatnonzero(recurs)
+    if not len(at):
+        return at
+    joins = (at[1:] == at[:-1] + 1) & (shard.doc[at[1:]] == shard.doc[at[:-1]])
+    begins, ends = np.r_[True, ~joins], np.r_[~joins, True]
+    run = at[np.flatnonzero(begins)][np.cumsum(begins) - 1]
+    return at[((at - run) % shard.window == 0) | ends]
+
+
 def occurrences(shard: Shard, phrase_at: np.ndarray, owner: np.ndarray) -> list[np.ndarray]:
     """Per document, which words the phrases cover whose owner is a smaller id.
 
@@ -86,22 +98,35 @@ def occurrences(shard: Shard, phrase_at: np.ndarray, owner: np.ndarray) -> list[
     masks = [np.zeros(len(n), bool) for n in shard.numbers]
     if not len(phrase_at):
         return masks
+    size = shard.window
+    phrases = np.array([shard.numbers[i][a:a + size] for i, a in zip(shard.doc[phrase_at], shard.start[phrase_at])])
+    words = np.unique(phrases)
+    # A word is two symbols, so that no state has very many ways to go on.
+    base = int(np.ceil(np.sqrt(len(words)))) or 1
+    code = np.full(max(int(n.max()) for n in shard.numbers if len(n)) + 1, -1)
+    code[words] = np.arange(len(words))
+
+    def symbols(numbers: np.ndarray) -> np.ndarray:
+        c = code[numbers]
+        return np.stack([c // base, base + c % base], -1).reshape(*numbers.shape[:-1], -1)
+
     automaton = ahocorasick.Automaton(ahocorasick.STORE_INTS, ahocorasick.KEY_SEQUENCE)
-    listed = [n.tolist() for n in shard.numbers]
-    for k, (i, a) in enumerate(zip(shard.doc[phrase_at].tolist(), shard.start[phrase_at].tolist())):
-        automaton.add_word(tuple(listed[i][a:a + shard.window]), k)
+    for k, phrase in enumerate(map(tuple, symbols(phrases).tolist())):
+        automaton.add_word(phrase, k)
     automaton.make_automaton()
-    for i, numbers in enumerate(listed):
-        if len(numbers) < shard.window:
-            continue
-        found = list(automaton.iter(tuple(numbers)))
-        if not found:
-            continue
-        end, phrase = np.array(found).T
-        end = end[owner[phrase] < shard.order[i]]
+    for i, numbers in enumerate(shard.numbers):
+        # A word of no phrase is in no match: the text is read between such words.
+        other = np.flatnonzero(np.r_[True, code[numbers] < 0, True])
         steps = np.zeros(len(numbers) + 1, np.int64)
-        np.add.at(steps, end - shard.window + 1, 1)
-        np.add.at(steps, end + 1, -1)
+        for a, b in zip(other[:-1], other[1:] - 1):
+            if b - a < size:
+                continue
+            found = list(automaton.iter(tuple(symbols(numbers[a:b]).tolist())))
+            if found:
+                end, phrase = np.array(found).T
+                end = a + end[owner[phrase] < shard.order[i]] // 2
+                np.add.at(steps, end - size + 1, 1)
+                np.add.at(steps, end + 1, -1)
         masks[i] = np.cumsum(steps[:-1]) > 0
     return masks
 
@@ -152,8 +177,8 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
             np.minimum.at(least, at[known], side["least"].to_numpy(np.int64)[known])
         _, at = member(shard.hash, keys)
         later = least[at] < shard.order[shard.doc] if len(keys) else np.zeros(0, bool)
-        first = np.unique(at[later], return_index=True)[1] if later.any() else np.zeros(0, np.int64)
-        phrase_at = np.flatnonzero(later)[first]
+        chosen = spaced(shard, later)
+        phrase_at = chosen[np.unique(at[chosen], return_index=True)[1]]
         masks = occurrences(shard, phrase_at, least[at[phrase_at]])
         return pd.DataFrame({
             "doc_id": frame["doc_id"].to_numpy(), "n_words": [len(w) for w in shard.words],

@@ -22,13 +22,11 @@ from grimlake.llm.common import stored, text_or_empty
 from grimlake.llm.shards import LAST_WORD, WORD, Vocabulary, sharded
 
 DEPTH = 5
-#: A context must be this share of all positions: of each length at most
-#: 1 / LEAST_SHARE contexts are retained, whatever the size of the corpus.
-LEAST_SHARE = 3e-6
+#: Occurrences that a context must have, at every size of the corpus: the tree
+#: grows with the text.
 LEAST_COUNT = 8
-#: Gain in log-likelihood (nats, by share of all positions) that a context must
-#: bring over the corpus, and its least divergence per occurrence.
-GAIN_SHARE = 1e-6
+#: Gain in log-likelihood (nats) that a context must bring over the corpus, and
+#: its least divergence per occurrence.
 LEAST_GAIN = 10.0
 LEAST_DIVERGENCE = 0.001
 #: Occurrences that the suffix's distribution weighs in smoothing, and nats
@@ -100,11 +98,9 @@ def gram_counts(texts: DataFrame, depth: int) -> DataFrame:
     return texts.mapInPandas(run, "gram long, n long").groupBy("gram").agg(F.sum("n").alias("n"))
 
 
-def frequent_contexts(counts: DataFrame, depth: int, least_share: float, least_count: int) -> pd.DataFrame:
+def frequent_contexts(counts: DataFrame, depth: int, least: int) -> pd.DataFrame:
     """(depth, context, symbol, n) of contexts of every length that are frequent
     enough, counted by Spark. A context's key packs its symbols, oldest first."""
-    total = counts.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("n")).first()["n"]
-    least = max(least_count, int(total * least_share))
     own = F.expr(f"shiftright(gram, {BITS}) & (shiftleft(1L, {BITS} * depth) - 1)")
     levels = counts.withColumn("depth", F.explode(F.sequence(F.lit(0), F.lit(depth)))).select(
         "depth", own.alias("context"), F.col("gram").bitwiseAND((1 << BITS) - 1).cast("int").alias("symbol"), "n")
@@ -119,7 +115,7 @@ class Tree:
     """A suffix tree as an automaton: ``step[state, symbol]`` is the longest
     retained context after the symbol, ``logp`` the log10 probabilities."""
 
-    def __init__(self, rows: pd.DataFrame, depth: int, gain_share: float = GAIN_SHARE,
+    def __init__(self, rows: pd.DataFrame, depth: int, gain_share: float = 0.0,
                  divergence: float = LEAST_DIVERGENCE, weight: float = WEIGHT, cost: float = COST):
         self.depth = depth
         level, context, symbol, n = (rows[c].to_numpy(np.int64) for c in ("depth", "context", "symbol", "n"))
@@ -220,15 +216,15 @@ class Tree:
         return np.bincount(text, weights=total, minlength=len(texts))
 
 
-def fit(texts: DataFrame, depth: int = DEPTH, least_share: float = LEAST_SHARE, least_count: int = LEAST_COUNT) -> Tree:
+def fit(texts: DataFrame, depth: int = DEPTH, least_count: int = LEAST_COUNT) -> Tree:
     """The tree of all rows of (text); counts are made by Spark, the driver gets
-    the frequent contexts only, of which there are at most depth / least_share."""
+    the frequent contexts only."""
     counts = stored(gram_counts(texts, depth), "op6-grams")
-    return Tree(frequent_contexts(counts, depth, least_share, least_count), depth)
+    return Tree(frequent_contexts(counts, depth, least_count), depth)
 
 
 def score(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", depth: int = DEPTH,
-          least_share: float = LEAST_SHARE, shard_chars: int = SHARD_CHARS) -> DataFrame:
+          least_count: int = LEAST_COUNT, shard_chars: int = SHARD_CHARS) -> DataFrame:
     """Per row of ``docs``: doc_id, held_out, n_tokens, n_known, train_tokens,
     base_score, score.
 
@@ -242,7 +238,7 @@ def score(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", depth
     """
     held = F.pmod(F.crc32(F.coalesce(F.col("doc_id").cast("string"), F.lit("")).cast("binary")), F.lit(7)) == 2
     learnt = docs.select(F.col(id_col).alias("doc_id"), text_or_empty(text_col).alias("text")).filter(~held)
-    tree = fit(learnt.select("text"), depth, least_share)
+    tree = fit(learnt.select("text"), depth, least_count)
     spark = docs.sparkSession
     shipped = spark.sparkContext.broadcast(tree)
     rows = sharded(docs, id_col, text_col, shard_chars, held_out=held)

@@ -229,6 +229,17 @@ def test_tree_comes_near_the_source_on_held_out_text(spark):
     assert sum(x.score for x in got) > 1.06 * sum(truth[x.doc_id] for x in got)
 
 
+def test_rare_contexts_are_kept_in_large_corpora(spark):
+    """A word that occurs 20 times is learnt among 9 million other positions."""
+    ids = [i for i in range(200) if not held(i)]
+    rare = next(i for i in range(200) if held(i))
+    rows = [(i, "ab " * 60_000) for i in ids[:50]] + [(i, "qzxv") for i in ids[50:70]] + [(rare, "qzxv")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(8)
+    score = {x.doc_id: x.score for x in suffix_tree.score(docs).collect()}
+    # "q" opens a text 20 times in 70; after it each symbol is as good as certain
+    assert score[rare] > -1.5
+
+
 def test_pipeline_stages(spark, tmp_path):
     r = random.Random(9)
     rows = odd.texts() + near_copies(5, 8, 90)

@@ -24,11 +24,17 @@ LAST_WORD = " "
 PRIME = np.uint64(0x9E3779B185EBCA87)
 
 
-def sharded(docs: DataFrame, id_col: str, text_col: str, chars: int, **extra: Column) -> DataFrame:
-    """(shard, doc_id, ..., text), partitioned by shard; about ``chars``
-    characters a shard, from the table's total."""
+def shard_count(docs: DataFrame, text_col: str, chars: int) -> int:
+    """Shards of about ``chars`` characters, from the table's total."""
     total = docs.agg(F.coalesce(F.sum(F.char_length(text_or_empty(text_col))), F.lit(0)).alias("n")).first()["n"]
-    n = max(1, -(-int(total) // chars))
+    return max(1, -(-int(total) // chars))
+
+
+def sharded(docs: DataFrame, id_col: str, text_col: str, chars: int, shards: int | None = None,
+            **extra: Column) -> DataFrame:
+    """(shard, doc_id, ..., text), partitioned by shard; about ``chars``
+    characters a shard, or as many ``shards`` as were counted before."""
+    n = shards or shard_count(docs, text_col, chars)
     rows = docs.select(F.col(id_col).alias("doc_id"), text_or_empty(text_col).alias("text"))
     shard = F.pmod(F.xxhash64("doc_id", "text"), F.lit(n)).cast("int")
     return rows.select(shard.alias("shard"), "doc_id", *[c.alias(k) for k, c in extra.items()], "text").repartition(

@@ -10,16 +10,16 @@ a text is scored by the longest retained context at each position.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+import zlib
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, GroupedData
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from grimlake.llm.common import stored, text_or_empty
-from grimlake.llm.shards import LAST_WORD, WORD, Vocabulary, sharded
+from grimlake.llm.common import stored
+from grimlake.llm.shards import LAST_WORD, WORD, Vocabulary, mix, shard_count, sharded
 
 DEPTH = 5
 #: Occurrences that a context must have, at every size of the corpus: the tree
@@ -36,7 +36,9 @@ COST = 2.0
 SHARD_CHARS = 8_000_000
 CHUNK = 1024
 BLOCK = 4096
-BATCH_SYMBOLS = 6_000_000
+BATCH_SYMBOLS = 2_000_000
+#: Shards whose distinct grams, in number, make a part of the grams.
+SHARDS_PER_PART = 4
 #: Symbols: bytes, the end mark, and a start mark that is only ever context.
 END, START, SYMBOLS = 256, 257, 258
 BITS = 9
@@ -68,51 +70,166 @@ def grams(sym: np.ndarray, depth: int) -> np.ndarray:
     return key[sym[depth:] != START]
 
 
-def summed(keys: list[np.ndarray], counts: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
-    key, count = np.concatenate(keys), np.concatenate(counts)
-    order = np.argsort(key, kind="stable")
-    key, count = key[order], count[order]
-    first = np.flatnonzero(np.r_[True, key[1:] != key[:-1]]) if len(key) else np.zeros(0, np.int64)
-    return key[first], np.add.reduceat(count, first) if len(key) else count
-
-
-def gram_counts(texts: DataFrame, depth: int) -> DataFrame:
-    """(gram, n) over all rows of (text): summed within each task first."""
-
-    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        keys, counts, held = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)], 0
-        for frame in frames:
-            size = frame["text"].str.len().cumsum() // BATCH_SYMBOLS
-            for _, part in frame.groupby(size, sort=False):
-                key, count = np.unique(grams(symbols(part["text"].tolist(), depth)[0], depth), return_counts=True)
-                keys.append(key)
-                counts.append(count)
-                held += len(key)
-                if held > 4 * len(keys[0]) + 2_000_000:
-                    key, count = summed(keys, counts)
-                    keys, counts, held = [key], [count], len(key)
-        key, count = summed(keys, counts)
-        for a in range(0, len(key), 200_000):
-            yield pd.DataFrame({"gram": key[a:a + 200_000], "n": count[a:a + 200_000]})
-
-    return texts.mapInPandas(run, "gram long, n long").groupBy("gram").agg(F.sum("n").alias("n"))
-
-
-def frequent_contexts(counts: DataFrame, depth: int, least: int) -> pd.DataFrame:
-    """(depth, context, symbol, n) of contexts of every length that are frequent
-    enough, counted by Spark. A context's key packs its symbols, oldest first."""
-    own = F.expr(f"shiftright(gram, {BITS}) & (shiftleft(1L, {BITS} * depth) - 1)")
-    levels = counts.withColumn("depth", F.explode(F.sequence(F.lit(0), F.lit(depth)))).select(
-        "depth", own.alias("context"), F.col("gram").bitwiseAND((1 << BITS) - 1).cast("int").alias("symbol"), "n")
-    sums = levels.groupBy("depth", "context", "symbol").agg(F.sum("n").alias("n"))
-    all_ = F.sum("n").over(Window.partitionBy("depth", "context"))
-    kept = sums.withColumn("all", all_).filter((F.col("all") >= least) | (F.col("depth") == 0))
-    # As Arrow columns: rows as Python objects would be many times larger.
-    return kept.select("depth", "context", "symbol", "n").toArrow().to_pandas()
+def packed(a: np.ndarray) -> bytes:
+    """An array as bytes: planes of its values' first, second, ... bytes, compressed."""
+    return zlib.compress(a.view(np.uint8).reshape(len(a), a.itemsize).T.tobytes(), 1)
+
+
+def unpacked(data: bytes, kind: type) -> np.ndarray:
+    size = np.dtype(kind).itemsize
+    return np.frombuffer(zlib.decompress(data), np.uint8).reshape(size, -1).T.copy().reshape(-1).view(kind)
+
+
+def part_of(keys: np.ndarray, parts: int) -> np.ndarray:
+    """The part that each gram belongs to; parts are even, whatever the text."""
+    return (mix(keys.view(np.uint64)) % np.uint64(parts)).astype(np.int64)
+
+
+class ShardGrams:
+    """The distinct grams of a shard's texts, by part, then gram, and where they
+    stand. Texts are read in batches that bound the memory."""
+
+    def __init__(self, texts: list[str], depth: int, parts: int):
+        self.n_texts, self.batches = len(texts), []
+        size = np.cumsum([len(t) for t in texts]) // BATCH_SYMBOLS
+        for k in np.unique(size):
+            mine = np.flatnonzero(size == k)
+            sym, starts = symbols([texts[i] for i in mine], depth)
+            ends = np.r_[starts[1:] - depth, len(sym)]
+            keys, at = np.unique(grams(sym, depth), return_inverse=True)
+            self.batches.append((keys, at.astype(np.int32), mine, ends - starts))
+        keys = np.unique(np.concatenate([b[0] for b in self.batches]))
+        part = part_of(keys, parts)
+        self.order = np.argsort(part, kind="stable")
+        self.sorted, self.keys = keys, keys[self.order]
+        self.bounds = np.searchsorted(part[self.order], np.arange(parts + 1))
+
+    def counts(self, counted: np.ndarray) -> np.ndarray:
+        """Occurrences of ``keys`` in the texts that are ``counted``."""
+        out = np.zeros(len(self.sorted), np.int64)
+        for keys, at, mine, sizes in self.batches:
+            n = np.bincount(at, weights=np.repeat(counted[mine], sizes), minlength=len(keys))
+            out[np.searchsorted(self.sorted, keys)] += n.astype(np.int64)
+        return out[self.order]
+
+    def sums(self, values: np.ndarray) -> np.ndarray:
+        """Per text the sum of ``values``, one for each of ``keys``, over its positions."""
+        table = np.zeros(len(values))
+        table[self.order] = values
+        out = np.zeros(self.n_texts)
+        for keys, at, mine, sizes in self.batches:
+            own = table[np.searchsorted(self.sorted, keys)][at]
+            out[mine] = np.bincount(np.repeat(np.arange(len(mine)), sizes), weights=own, minlength=len(mine))
+        return out
+
+
+def shard_grams(by_shard: GroupedData, depth: int, parts: int) -> DataFrame:
+    """(shard, part, grams, n): the distinct grams of each shard, packed, and
+    their counts in the rows that are not held out; 0 for those only in others."""
+
+    def run(frame: pd.DataFrame) -> pd.DataFrame:
+        own = ShardGrams(frame["text"].tolist(), depth, parts)
+        n = own.counts(~frame["held_out"].to_numpy(bool))
+        cuts = [(p, slice(a, b)) for p, (a, b) in enumerate(zip(own.bounds[:-1], own.bounds[1:])) if a < b]
+        return pd.DataFrame({
+            "shard": np.int32(frame["shard"].iloc[0]), "part": np.array([p for p, _ in cuts], np.int32),
+            "grams": [packed(np.diff(own.keys[c], prepend=0)) for _, c in cuts], "n": [packed(n[c]) for _, c in cuts]})
+
+    return by_shard.applyInPandas(run, "shard int, part int, grams binary, n binary")
+
+
+def gram_counts(pairs: DataFrame) -> DataFrame:
+    """(part, gram, n) over all shards."""
+
+    def run(frame: pd.DataFrame) -> pd.DataFrame:
+        keys = np.concatenate([np.cumsum(unpacked(g, np.int64)) for g in frame["grams"]])
+        n = np.concatenate([unpacked(x, np.int64) for x in frame["n"]])
+        order = np.argsort(keys, kind="stable")
+        keys, n = keys[order], n[order]
+        first = np.flatnonzero(np.r_[True, keys[1:] != keys[:-1]])
+        return pd.DataFrame({"part": np.int32(frame["part"].iloc[0]), "gram": keys[first],
+                             "n": np.add.reduceat(n, first)})
+
+    return pairs.groupBy("part").applyInPandas(run, "part int, gram long, n long")
+
+
+def low(column: str, symbols_: int) -> Column:
+    """The newest symbols of a key."""
+    return F.col(column).bitwiseAND((1 << BITS * symbols_) - 1)
+
+
+def gram_scores(counts: DataFrame, depth: int = DEPTH, least_count: int = LEAST_COUNT, least_gain: float = LEAST_GAIN,
+                divergence: float = LEAST_DIVERGENCE, weight: float = WEIGHT, cost: float = COST) -> DataFrame:
+    """(part, gram, logp): log10 probability of each gram's symbol after its
+    longest retained context. ``counts`` has (part, gram, n), n = 0 for grams
+    that are not learnt from.
+
+    The tree is a table a level, one row per context and symbol that occur.
+    A level is smoothed by joining it with the level of its suffixes, and a
+    context's gain is a sum over its rows. No join meets more rows of a key
+    than there are symbols, so no task, and no process, holds the tree.
+    """
+    levels = {depth: counts.withColumnRenamed("gram", "key")}
+    for d in range(depth - 1, -1, -1):
+        levels[d] = stored(levels[d + 1].groupBy(low("key", d + 1).alias("key")).agg(F.sum("n").alias("n")),
+                           f"op6-level{d}")
+    total = levels[0].agg(F.coalesce(F.sum("n"), F.lit(0)).alias("n")).first()["n"]
+    done = {0: levels[0].select("key", F.array((F.col("n") + 1.0) / (total + END + 1.0)).alias("p"))}
+    context = F.shiftright("key", BITS)
+    for d in range(1, depth + 1):
+        same = Window.partitionBy("context")
+        rows = levels[d].withColumn("context", context).withColumns({
+            "all": F.sum("n").over(same), "kinds": F.sum(F.when(F.col("n") > 0, 1.0).otherwise(0.0)).over(same)})
+        base = done[d - 1].select(F.col("key").alias("short"), F.col("p").alias("before"))
+        rows = rows.withColumn("short", low("key", d)).join(base, "short").withColumn("base", F.element_at("before", -1))
+        enough = F.col("all") >= max(1, least_count)
+        rows = rows.withColumn("now", F.when(
+            enough, (F.col("n") + weight * F.col("kinds") * F.col("base")) / (F.col("all") + weight * F.col("kinds")))
+            .otherwise(F.col("base")))
+        gain = F.sum(F.when(F.col("n") > 0, F.col("n") * F.log(F.col("now") / F.col("base"))).otherwise(0.0)).over(same)
+        rows = rows.withColumn("gain", gain)
+        own = (enough & (F.col("gain") >= divergence * F.col("all"))
+               & (F.col("gain") >= F.greatest(F.lit(least_gain), cost * F.col("kinds"))))
+        done[d] = stored(rows.select(*[c for c in ("part",) if d == depth], "key", "context", own.alias("own"),
+                                     F.array_append("before", F.col("now")).alias("p")), f"op6-smooth{d}")
+    # With a context its suffixes are retained: from the longest on, each level
+    # gives its own to the next.
+    kept: dict[int, DataFrame] = {}
+    for d in range(depth, 0, -1):
+        mine = done[d].filter("own").select("context")
+        if d < depth:
+            mine = mine.unionAll(kept[d + 1].select(low("context", d).alias("context")))
+        kept[d] = stored(mine.distinct(), f"op6-kept{d}")
+    # Length of the longest retained suffix of every context.
+    longest = None
+    for d in range(1, depth + 1):
+        names = done[d].select("context").distinct()
+        names = names.join(kept[d].withColumn("is", F.lit(d)), "context", "left")
+        if d > 1:
+            names = names.withColumn("short", low("context", d - 1)).join(
+                longest.select(F.col("context").alias("short"), "len"), "short")
+        else:
+            names = names.withColumn("len", F.lit(0))
+        longest = names.select("context", F.coalesce("is", "len").alias("len"))
+    return done[depth].join(longest, "context").select(
+        "part", F.col("key").alias("gram"), F.log10(F.element_at("p", F.col("len") + 1)).alias("logp"))
+
+
+def shard_scores(pairs: DataFrame, scores: DataFrame) -> DataFrame:
+    """(shard, part, logp): scores of each shard's distinct grams, in their order, packed."""
+
+    def run(frame: pd.DataFrame, table: pd.DataFrame) -> pd.DataFrame:
+        table = table.sort_values("gram")
+        keys, logp = table["gram"].to_numpy(np.int64), table["logp"].to_numpy(np.float32)
+        return pd.DataFrame({"shard": frame["shard"].to_numpy(), "part": frame["part"].to_numpy(), "logp": [
+            packed(logp[np.searchsorted(keys, np.cumsum(unpacked(g, np.int64)))]) for g in frame["grams"]]})
+
+    return pairs.select("part", "shard", "grams").groupBy("part").cogroup(scores.groupBy("part")).applyInPandas(
+        run, "shard int, part int, logp binary")
 
 
 class Tree:
-    """A suffix tree as an automaton: ``step[state, symbol]`` is the longest
+    """The same tree in one process, for small tables: a suffix tree as an automaton: ``step[state, symbol]`` is the longest
     retained context after the symbol, ``logp`` the log10 probabilities."""
 
     def __init__(self, rows: pd.DataFrame, depth: int, gain_share: float = 0.0,
@@ -216,13 +333,6 @@ class Tree:
         return np.bincount(text, weights=total, minlength=len(texts))
 
 
-def fit(texts: DataFrame, depth: int = DEPTH, least_count: int = LEAST_COUNT) -> Tree:
-    """The tree of all rows of (text); counts are made by Spark, the driver gets
-    the frequent contexts only."""
-    counts = stored(gram_counts(texts, depth), "op6-grams")
-    return Tree(frequent_contexts(counts, depth, least_count), depth)
-
-
 def score(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", depth: int = DEPTH,
           least_count: int = LEAST_COUNT, shard_chars: int = SHARD_CHARS) -> DataFrame:
     """Per row of ``docs``: doc_id, held_out, n_tokens, n_known, train_tokens,
@@ -233,16 +343,19 @@ def score(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", depth
     empty: their only token is the end. Rows repeated count as often as they
     occur. Without training rows all counts are 0 and the tree is its uniform
     root. An empty table gives an empty result. Whole texts are counted and
-    scored. Word counts are exact, over 64-bit word hashes, and shared
-    between shards, one row per shard and word.
+    scored. The tree is never in one place: grams are counted and scored by
+    joins, and a shard gets the scores of the grams that it has. Word counts
+    are exact, over 64-bit word hashes, and shared between shards, one row per
+    shard and word.
     """
     held = F.pmod(F.crc32(F.coalesce(F.col("doc_id").cast("string"), F.lit("")).cast("binary")), F.lit(7)) == 2
-    learnt = docs.select(F.col(id_col).alias("doc_id"), text_or_empty(text_col).alias("text")).filter(~held)
-    tree = fit(learnt.select("text"), depth, least_count)
-    spark = docs.sparkSession
-    shipped = spark.sparkContext.broadcast(tree)
-    rows = sharded(docs, id_col, text_col, shard_chars, held_out=held)
+    shards = shard_count(docs, text_col, shard_chars)
+    rows = sharded(docs, id_col, text_col, shard_chars, shards, held_out=held)
     by_shard = rows.groupBy("shard")
+    parts = max(1, shards // SHARDS_PER_PART)
+    pairs = stored(shard_grams(by_shard, depth, parts), "op6-pairs")
+    learnt = stored(gram_counts(pairs), "op6-grams")
+    scores = shard_scores(pairs, gram_scores(learnt, depth, least_count))
 
     def words_of(frame: pd.DataFrame) -> tuple[list[np.ndarray], np.ndarray]:
         vocabulary = Vocabulary()
@@ -264,9 +377,15 @@ def score(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", depth
     once = totals.filter("shard = first AND all > 0").agg(
         F.coalesce(F.sum("all"), F.lit(0)).alias("tokens"), F.count(F.lit(1)).alias("kinds"))
     other = totals.filter("all <> n").select("shard", "word", "all")
+    # Without nulls: pandas would read the hashes as floats.
+    side_rows = other.withColumns({"part": F.lit(-1), "logp": F.lit(b"")}).unionByName(
+        scores.withColumns({"word": F.lit(0).cast("long"), "all": F.lit(0).cast("long")}))
 
     def judge(frame: pd.DataFrame, side: pd.DataFrame) -> pd.DataFrame:
-        model = shipped.value
+        by_part = side[side["part"] >= 0].sort_values("part")
+        logp = np.concatenate([unpacked(x, np.float32) for x in by_part["logp"]])
+        score = ShardGrams(frame["text"].tolist(), depth, parts).sums(logp)
+        side = side[side["part"] < 0]
         lists, hashes = words_of(frame)
         n = np.zeros(len(hashes), np.int64)
         for ids, out in zip(lists, frame["held_out"]):
@@ -279,10 +398,10 @@ def score(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", depth
         return pd.DataFrame({
             "doc_id": frame["doc_id"].to_numpy(), "held_out": frame["held_out"].to_numpy(bool),
             "n_tokens": [len(i) for i in lists], "n_known": [int((n[i] > 0).sum()) for i in lists],
-            "logs": [float(logs[i].sum()) for i in lists], "score": model.score(frame["text"].tolist())})
+            "logs": [float(logs[i].sum()) for i in lists], "score": score})
 
     kind = rows.schema["doc_id"].dataType.simpleString()
-    judged = by_shard.cogroup(other.groupBy("shard")).applyInPandas(
+    judged = by_shard.cogroup(side_rows.groupBy("shard")).applyInPandas(
         judge, f"doc_id {kind}, held_out boolean, n_tokens long, n_known long, logs double, score double")
     tokens, kinds = once.select("tokens").scalar(), once.select("kinds").scalar()
     return judged.select(

@@ -240,6 +240,22 @@ def test_rare_contexts_are_kept_in_large_corpora(spark):
     assert score[rare] > -1.5
 
 
+def test_scores_of_the_tables_are_those_of_the_tree(spark, monkeypatch):
+    """Equal to the tree in one process, which scoring must not build."""
+    rows = odd.texts()
+    learnt = [t or "" for i, t, _ in rows if not held(i)]
+    tree = suffix_tree.Tree(gram_rows(learnt, 5, suffix_tree.LEAST_COUNT), 5)
+    assert tree.retained > 50
+    want = Counter((i, round(float(x), 2)) for (i, _, _), x in zip(rows, tree.score([t or "" for _, t, _ in rows])))
+    monkeypatch.setattr(suffix_tree, "Tree", None)
+    monkeypatch.setattr(suffix_tree, "BATCH_SYMBOLS", 3000)
+    monkeypatch.setattr(suffix_tree, "SHARDS_PER_PART", 1)
+    got = suffix_tree.score(odd.frame(spark, rows), shard_chars=20_000).collect()
+    near = lambda c: sorted(c.elements(), key=lambda x: (x[0] is None, x[0] or 0, x[1]))
+    for (i, a), (j, b) in zip(near(Counter((r.doc_id, round(r.score, 2)) for r in got)), near(want), strict=True):
+        assert i == j and a == pytest.approx(b, rel=1e-3)
+
+
 def test_pipeline_stages(spark, tmp_path):
     r = random.Random(9)
     rows = odd.texts() + near_copies(5, 8, 90)

@@ -27,6 +27,11 @@ BLOCK = {"address", "blockquote", "body", "br", "caption", "center", "dd", "deta
          "figcaption", "figure", "h1", "h2", "h3", "h4", "h5", "h6", "header", "hr", "html", "legend", "li", "ol",
          "optgroup", "option", "p", "pre", "section", "summary", "table", "tbody", "td", "tfoot", "th", "thead", "tr",
          "ul"} | BOILERPLATE | MAIN
+#: Elements that may stand in a head; any other start tag ends it.
+IN_HEAD = {"base", "basefont", "bgsound", "link", "meta", "noframes", "noscript", "script", "style", "template",
+           "title", "head", "html"}
+#: Elements whose text is read up to their own end tag.
+RAW = {"script", "style", "noscript", "template", "title", "noframes"}
 HEADINGS = {"h1", "h2", "h3", "h4", "h5", "h6"}
 VOID = {"area", "base", "br", "col", "embed", "hr", "img", "input", "link", "meta", "source", "track", "wbr"}
 NAMED = re.compile(
@@ -78,14 +83,23 @@ class Blocks(HTMLParser):
             self.blocks.append([text, min(self.linked, len(text)), self.place(), self.tag in HEADINGS, self.tag == "li"])
         self.parts, self.linked = [], 0
 
-    def place(self) -> str:
+    def state(self) -> str:
         return self.open[-1][1] if self.open else ""
 
+    def place(self) -> str:
+        now = self.state()
+        return "bad" if now.startswith("named") else now
+
     def handle_starttag(self, tag, attrs):
         if tag in VOID:
+            if "head" in self.skipped and tag not in IN_HEAD and not RAW & set(self.skipped):
+                self.skipped.clear()
             if tag in BLOCK:
                 self.flush()
             return
+        # A head needs no end tag: the first element that it can't hold ends it.
+        if "head" in self.skipped and tag not in IN_HEAD and not RAW & set(self.skipped):
+            self.skipped.clear()
         if self.skipped or tag in SKIP:
             self.skipped.append(tag)
             return
@@ -97,15 +111,21 @@ class Blocks(HTMLParser):
         self.tag = tag
         if tag in {"p", "li", "dt", "dd", "body", "html"} | HEADINGS:
             return
-        now = self.place()
+        now = self.state()
         attrs = dict(attrs)
         names = f"{attrs.get('class') or ''} {attrs.get('id') or ''}"
+        # Names only hint: an article inside a container with such a name starts
+        # anew, unless it is inside the article that the container stands in.
         if now == "bad" or tag in BOILERPLATE or (attrs.get("role") or "").lower() in ROLES:
             now = "bad"
-        elif tag in MAIN and not re.search("comment|repl", names, re.I):
+        elif tag in MAIN and now != "named in main" and not re.search("comment|repl", names, re.I):
             now = "main"
-        elif NAMED.search(names) or tag == "header" and now != "main":
-            now = "bad"
+        elif now.startswith("named"):
+            pass
+        elif NAMED.search(names):
+            now = "named in main" if now == "main" else "named"
+        elif tag == "header" and now != "main":
+            now = "named"
         self.open.append((tag, now))
 
     def handle_endtag(self, tag):

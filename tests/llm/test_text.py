@@ -60,6 +60,18 @@ def test_pages_without_an_article():
     assert html_text.main_text("") == "" and html_text.main_text("<p>") == "" and html_text.main_text("</div></p><ul>") == ""
 
 
+def test_head_without_end_and_named_wrappers():
+    head = "<html><head><meta charset=utf-8><title>T</title><script>x</script>"
+    for start in ("<body>", "", "<div>", "<hr>"):
+        assert html_text.main_text(f"{head}{start}<article><p>The story.</p></article></html>") == "The story."
+    for wrapper in ('class="content has-sidebar"', 'id=page class="header-fixed"'):
+        page = f"<body><div {wrapper}><p>Menu</p><article><p>The story.</p><div class=ad>Buy</div></article></div></body>"
+        assert html_text.main_text(page) == "The story."
+    # inside the article, or in an element that is no text, an article stays out
+    assert html_text.main_text("<article><p>A b.</p><div class=related><article>Other</article></div></article>") == "A b."
+    assert html_text.main_text("<main><p>A b.</p></main><aside><article>Other</article></aside>") == "A b."
+
+
 def test_pages_odd_rows(spark):
     rows = [(1, "u", PAGE), (1, None, None), (None, "v", ""), (2, "w", "<article>" + "<p>a b</p>" * 20000 + "</article>")]
     pages = spark.createDataFrame([(*r, "x") for r in rows], "page_id long, url string, html string, text string")

@@ -1,9 +1,10 @@
 """Main text of web pages by two-pass block rules.
 
-Pass one decides blocks: by the containers they stand in where the page says
-what they are, else by stop-word density, length and link density. Pass two
-gives short and nearly good blocks the label of their nearest decided
-neighbours.
+Pass one decides blocks by stop-word density, length and link density; the
+container that a block stands in is a prior. Navigation and the like is never
+text. Inside an article text is presumed good unless it is links; where a page
+has an article, blocks outside it must be good by their own text. Pass two gives
+short and nearly good blocks the label of their nearest decided neighbours.
 """
 
 from __future__ import annotations
@@ -54,6 +55,8 @@ SHORT, LONG = 70, 200
 STOP_LOW, STOP_HIGH = 0.30, 0.32
 LINKS_HIGH = 0.2
 LIST_LINKS = 0.8
+#: In an article, text with this share of links is no text.
+MAIN_LINKS = 0.5
 
 WORD = re.compile(r"[^\W\d_]+")
 STOP_WORDS = frozenset(w for line in STOP.values() for w in line.split())
@@ -159,12 +162,14 @@ class Blocks(HTMLParser):
 
 def first_pass(block: list) -> str:
     """good, bad, near or short."""
-    text, linked, place, _, item = block
+    text, linked, place, heading, item = block
     density = linked / len(text)
     if place == "bad" or item and density >= LIST_LINKS:
         return "bad"
     if place == "main":
-        return "good"
+        if density <= LINKS_HIGH or heading or item:
+            return "good"
+        return "near" if density < MAIN_LINKS else "bad"
     if density > LINKS_HIGH or "©" in text:
         return "bad"
     if len(text) < SHORT:
@@ -220,8 +225,8 @@ def main_text(html: str) -> str:
     page.close()
     page.flush()
     labels = [first_pass(b) for b in page.blocks]
-    if "main" in {b[2] for b in page.blocks}:  # the page names its article: nothing else is text
-        labels = ["bad" if label != "bad" and b[2] != "main" else label for label, b in zip(labels, page.blocks)]
+    if "main" in {b[2] for b in page.blocks}:  # the page names an article: what is short elsewhere is none of it
+        labels = ["bad" if label == "short" and b[2] != "main" else label for label, b in zip(labels, page.blocks)]
     keep = second_pass(labels, [len(b[0]) for b in page.blocks], [b[3] for b in page.blocks])
     return " ".join(b[0] for b, k in zip(page.blocks, keep) if k)
 

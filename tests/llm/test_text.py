@@ -60,6 +60,15 @@ def test_pages_without_an_article():
     assert html_text.main_text("") == "" and html_text.main_text("<p>") == "" and html_text.main_text("</div></p><ul>") == ""
 
 
+def test_article_is_a_prior_only():
+    story = ("It was the best of times and it was the worst of times, for all that they had to see in the days of that "
+             "year, and there were many of them to be had by all who were not there to see it with their own eyes.")
+    page = f"<div><p>{story}</p><p>{story}</p></div><article><p>A teaser card.</p></article><div>Short words</div>"
+    assert html_text.main_text(page) == f"{story} {story} A teaser card."
+    links = "<p><a href=1>One thing here</a> <a href=2>Another thing there</a></p>"
+    assert html_text.main_text(f"<main><p>{story}</p>{links}<p>End.</p></main>") == f"{story} End."
+
+
 def test_head_without_end_and_named_wrappers():
     head = "<html><head><meta charset=utf-8><title>T</title><script>x</script>"
     for start in ("<body>", "", "<div>", "<hr>"):

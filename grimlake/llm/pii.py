@@ -41,6 +41,9 @@ ADDED = {
 TRIGGER = re.compile(r"[0-9@]|[(\[]\s?at\s?[)\]]", re.I)
 
 WINDOW, STRIDE = 96, 48
+#: Spans that a window cuts are read again in wider ones, up to this width; no
+#: valid form is longer (an address has at most 320 characters).
+WIDEST = 1536
 #: Windows of the documents used for training, at most: those with the smallest hashes.
 TRAIN_WINDOWS = 1200
 #: Windows with made-up spans, at least.
@@ -376,28 +379,52 @@ def accepted(kind: int, text: str, a: int, b: int) -> tuple[int, int, int] | Non
     return kind, m.start(), m.end()
 
 
-def all_spans(texts: list[str], tagger: Tagger, batch: int = 512) -> list[tuple[list, list]]:
-    """(base, added) spans of each text."""
-    jobs = [(i, a) for i, t in enumerate(texts) for a in window_starts(t)]
-    scored: list[dict] = [{} for _ in texts]
-    for k in range(0, len(jobs), batch):
-        part = jobs[k:k + batch]
-        ids = np.zeros((WINDOW, len(part)), np.int64)
-        for n, (i, a) in enumerate(part):
-            w = texts[i][a:a + WINDOW]
-            ids[:len(w), n] = symbols(w)
+def decoded(texts: list[str], jobs: list[tuple[int, int, int]], tagger: Tagger,
+            batch: int) -> Iterator[tuple[int, int, int, int, int, int, float]]:
+    """(text, job's start, its end, kind, start, end, score) of the spans that
+    the tagger finds in the jobs (text, start, end)."""
+    jobs = sorted(jobs, key=lambda x: x[2] - x[1])
+    k = 0
+    while k < len(jobs):
+        width = max(WINDOW, jobs[k][2] - jobs[k][1])  # padded a little, so that near widths share a batch
+        width = -(-width // STRIDE) * STRIDE
+        part = [j for j in jobs[k:k + max(1, batch * WINDOW // width)] if j[2] - j[1] <= width]
+        k += len(part)
+        ids = np.zeros((width, len(part)), np.int64)
+        for n, (i, a, b) in enumerate(part):
+            ids[:b - a, n] = symbols(texts[i][a:b])
         tags, score = tagger.decode(ids)
-        begin = np.argwhere((tags[:, :].T % 2 == 1))
-        for n, s in begin.tolist():
-            i, a = part[n]
-            kind = (tags[s, n] - 1) // 2
+        for n, s in np.argwhere(tags.T % 2 == 1).tolist():
+            i, a, b = part[n]
+            kind = int(tags[s, n] - 1) // 2
             e = s + 1
-            while e < WINDOW and tags[e, n] == 2 + 2 * kind:
+            while e < width and tags[e, n] == 2 + 2 * kind:
                 e += 1
-            if (s == 0 and a > 0) or (e == WINDOW and a + WINDOW < len(texts[i])) or a + e > len(texts[i]):
-                continue  # cut by the window: another one has it whole
-            key = (int(kind), a + s, a + e)
-            scored[i][key] = scored[i].get(key, 0.0) + float(score[s:e, n].sum())
+            if a + s < b:
+                yield i, a, b, kind, a + s, min(a + e, b), float(score[s:e, n].sum())
+
+
+def all_spans(texts: list[str], tagger: Tagger, batch: int = 512) -> list[tuple[list, list]]:
+    """(base, added) spans of each text. What a window cuts is read again in
+    one that is wider by its own width on the side that cuts, until it is whole;
+    windows that overlap then are read as one."""
+    jobs = [(i, a, min(a + WINDOW, len(t))) for i, t in enumerate(texts) for a in window_starts(t)]
+    scored: list[dict] = [{} for _ in texts]
+    while jobs:
+        wider = set()
+        for i, a, b, kind, s, e, score in decoded(texts, jobs, tagger, batch):
+            left, right = s == a > 0, e == b < len(texts[i])
+            if not left and not right:
+                scored[i][kind, s, e] = scored[i].get((kind, s, e), 0.0) + score
+            elif e - s < WIDEST // 2 and b - a < WIDEST:
+                # half a window besides the span, so that its surroundings are seen
+                wider.add((i, max(0, s - (b - a) * left - STRIDE), min(len(texts[i]), e + (b - a) * right + STRIDE)))
+        jobs = []
+        for i, a, b in sorted(wider):
+            if jobs and jobs[-1][0] == i and a < jobs[-1][2] and max(b, jobs[-1][2]) - jobs[-1][1] <= WIDEST:
+                jobs[-1] = (i, jobs[-1][1], max(b, jobs[-1][2]))
+            else:
+                jobs.append((i, a, b))
     out = []
     for text, found in zip(texts, scored):
         base = base_spans(text)

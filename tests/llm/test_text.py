@@ -136,6 +136,25 @@ def test_reconcile_takes_the_best_set():
     assert pii.reconcile(found) == [(0, 0, 10), (2, 10, 20)]
 
 
+class Whole:
+    """A tagger that calls each run of small letters, dots and brackets an email."""
+
+    def decode(self, ids):
+        mine = (ids > 65) & (ids < 92) | (ids == 9) | (ids == 10) | (ids == 15)
+        first = mine & ~np.vstack([np.zeros((1, ids.shape[1]), bool), mine[:-1]])
+        return np.where(first, 1, np.where(mine, 2, 0)), np.ones(ids.shape)
+
+
+@pytest.mark.parametrize("size", [40, 48, 70, 94, 120, 150])
+def test_long_spans_are_found_at_every_offset(size):
+    for left in (9, size // 2, size - 20):
+        span = "a" * left + "(at)" + "b" * (size - left - 12) + "(dot)com"
+        texts = ["X " * 100 + "X" * (k % 2) + " " * (k // 2) + " " + span + " " + "X " * 100 for k in range(96)]
+        for text, (base, added) in zip(texts, pii.all_spans(texts, Whole())):
+            at = text.index(span)
+            assert base == [] and added == [(0, at, at + len(span))]
+
+
 def test_pii_adds_spans_on_held_out_text(spark):
     r = random.Random(4)
     word = lambda: "".join(r.choice("aeioulmnrst") for _ in range(r.randint(2, 7)))

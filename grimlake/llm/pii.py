@@ -35,8 +35,10 @@ ADDED = {
     "email": re.compile(r"[a-z0-9._%+-]+\s?(?:@|[(\[]\s?at\s?[)\]])\s?[a-z0-9-]+(?:\s?(?:\.|[(\[]\s?dot\s?[)\]])\s?[a-z0-9-]+)+",
                         re.I),
     "ip": re.compile(r"[0-9]{1,3}(?:\s?[(\[]\.[)\]]\s?[0-9]{1,3}){3}"),
-    "card": re.compile(r"[0-9]{4}(?:[ ./-]{1,3}[0-9]{4}){3}(?:[ ./-]{1,3}[0-9]{1,3})?"),
-    "phone": re.compile(r"\(?[0-9]{3,4}\)?(?:[ .-]{1,2}[0-9]{3,4}){2,3}"),
+    "card": re.compile(r"[0-9](?:[ ./-]{0,3}[0-9])+"),
+    # Any grouping; not a date.
+    "phone": re.compile(r"(?!(?:19|20)[0-9]{2}[-. ][0-9]{2}[-. ][0-9]{2}(?![0-9]))\(?[0-9]{2,8}\)?"
+                        r"(?:[ .-]{1,2}\(?[0-9]{2,8}\)?)+"),
 }
 TRIGGER = re.compile(r"[0-9@]|[(\[]\s?at\s?[)\]]", re.I)
 
@@ -265,11 +267,22 @@ def made_up(r: random.Random) -> tuple[int, str]:
     if kind == 3:
         plus = r.choice(["+1 ", "+44 ", "+", "", "", ""])
         return kind, plus + r.choice([f"({number(3)}) {number(3)}-{number(4)}", f"{number(3)}-{number(3)}-{number(4)}",
-                                      f"{number(3)} {number(3)} {number(4)}", f"{number(3)}.{number(3)}.{number(4)}"])
+                                      f"{number(3)} {number(3)} {number(4)}", f"{number(3)}.{number(3)}.{number(4)}",
+                                      f"0{number(1)} " + " ".join(number(2) for _ in range(4)),
+                                      f"0{number(2)} {number(8)}"])
     hexes = "".join(r.choice("0123456789abcdef") for _ in range(r.choice([8, 16, 32, 40])))
     return -1, r.choice([f'token = "{hexes}"', hexes, number(r.randint(1, 9)), f"{number(4)}-{number(2)}-{number(2)}",
                          f"v{number(1)}.{number(1)}.{number(2)}", f"{number(2)}:{number(2)}", f"{number(3)}%", f"({number(4)})",
-                         f"{number(1)}.{number(2)}", f"@{word()}", f"look (at) {word()}"])
+                         f"{number(1)}.{number(2)}", f"@{word()}", f"look (at) {word()}",
+                         f"{number(2)}, {number(2)}, {number(3)}", f"{number(4)}-{number(2)}-{number(2)} {number(2)}:{number(2)}"])
+
+
+def around(r: random.Random) -> tuple[str, str]:
+    """What a made-up span stands in: mostly nothing, else quotes, a key or a slash."""
+    number = lambda n: "".join(r.choice("0123456789") for _ in range(n))
+    key = r.choice(["tel", "phone", "contact", "mail", "id", "value"])
+    return r.choice([("", "")] * 6 + [('"', '"'), (f'"{key}": "', '"'), (f"{key}=", ""), (f'{key}="', '"'),
+                                      ("", f"/{number(3)}"), (f"{key}/", "")])
 
 
 def training_set(windows: list[tuple[str, list]], seed: int = 0) -> tuple[np.ndarray, np.ndarray]:
@@ -282,12 +295,14 @@ def training_set(windows: list[tuple[str, list]], seed: int = 0) -> tuple[np.nda
         out.append(labelled(text, spans))
         for _ in range(copies):
             kind, made = made_up(r)
+            pre, post = around(r)
             free = [m.start() for m in re.finditer(r"(?<=\s)", text) if not any(a <= m.start() <= b for _, a, b in spans)]
             at = r.choice(free or [0])
             end = r.choice([" ", " ", ". ", ", "])
-            new = text[:at] + made + end + text[at:]
-            moved = [(k, a + len(made) + len(end), b + len(made) + len(end)) if a >= at else (k, a, b) for k, a, b in spans]
-            moved += [(kind, at, at + len(made))] if kind >= 0 else []
+            put = pre + made + post + end
+            new = text[:at] + put + text[at:]
+            moved = [(k, a + len(put), b + len(put)) if a >= at else (k, a, b) for k, a, b in spans]
+            moved += [(kind, at + len(pre), at + len(pre) + len(made))] if kind >= 0 else []
             out.append(labelled(new[:WINDOW], [x for x in moved if x[2] <= min(len(new), WINDOW)]
                                 if all(x[2] <= WINDOW or x[1] >= WINDOW for x in moved) else
                                 [(k, a, min(b, WINDOW)) for k, a, b in moved if a < WINDOW]))
@@ -368,7 +383,7 @@ def accepted(kind: int, text: str, a: int, b: int) -> tuple[int, int, int] | Non
         return None
     near = text[max(0, m.start() - 1):m.start()] + text[m.end():m.end() + 1]
     number = digits(m[0])
-    if any(ch.isalnum() or ch in "+_@/=\"" for ch in near):
+    if any(ch.isalnum() or ch in "+_@" for ch in near):
         return None
     if kind == 1 and any(int(x) > 255 for x in re.findall("[0-9]+", m[0])):
         return None

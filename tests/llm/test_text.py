@@ -155,6 +155,16 @@ def test_long_spans_are_found_at_every_offset(size):
             assert base == [] and added == [(0, at, at + len(span))]
 
 
+def test_accepted_forms():
+    for kind, left, span, right in (
+            (3, '"phone": "', "555-123-4567", '"'), (3, "tel=", "555-123-4567", ""), (3, "", "555-123-4567", "/555-123-4568"),
+            (0, '"', "john (at) example.com", '"'), (3, "call ", "06 12 34 56 78", "."), (3, "", "030 12345678", "")):
+        text, a = left + span + right, len(left)
+        assert pii.accepted(kind, text, a, a + len(span)) == (kind, a, a + len(span))
+    for kind, text in ((3, "2024-01-15 10"), (3, "x555-123-4567"), (3, "12 34"), (2, "1234 5678 9012 3456")):
+        assert pii.accepted(kind, text, 0, len(text)) is None
+
+
 def test_pii_adds_spans_on_held_out_text(spark):
     r = random.Random(4)
     word = lambda: "".join(r.choice("aeioulmnrst") for _ in range(r.randint(2, 7)))

@@ -26,24 +26,40 @@ def scratch_dir(spark: SparkSession) -> str:
     return f"{base}/llm-{spark.sparkContext.applicationId}"
 
 
-def stored(df: DataFrame, name: str) -> DataFrame:
-    """Write ``df`` once as Parquet in the shared folder and scan it.
+def stored(df: DataFrame, name: str, by: str | None = None) -> DataFrame:
+    """Write ``df`` once as Parquet in the shared folder and scan it; ``by``
+    names a column whose values become folders, so that each kind of row can be
+    read by itself.
 
     Cuts lineage (a lost executor rereads files) and fixes values that a
     recomputed task could change, such as generated row ids.
     """
     spark = df.sparkSession
     path = f"{scratch_dir(spark)}/{name}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    (df.write.partitionBy(by) if by else df.write).parquet(path)
+    out = spark.read.schema(df.schema).parquet(path)
+    out.__dict__[STORED] = path
+    return out
+
+
+STORED = "_grimlake_stored"
+
+
+def drop_stored(*tables: DataFrame) -> None:
+    """Delete stored tables whose last reader has been written."""
+    for table in tables:
+        _delete(table.sparkSession, table.__dict__[STORED])
+
+
+def _delete(spark: SparkSession, folder: str) -> None:
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
+    path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def clear_scratch(spark: SparkSession) -> None:
     """Delete this application's stored intermediates. Results that were not
     written yet can't be read afterwards."""
-    jvm = spark.sparkContext._jvm
-    path = jvm.org.apache.hadoop.fs.Path(scratch_dir(spark))
-    path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+    _delete(spark, scratch_dir(spark))
 
 
 def text_or_empty(col: str) -> Column:

@@ -188,8 +188,9 @@ def row_schema(df: DataFrame) -> T.StructType:
 
 
 def one_round(df: DataFrame, books: np.ndarray, scale: int, final: bool) -> DataFrame:
-    """Rows with new entries and bounds (kind "rows"), and one row per task with
-    its sums, counts and numbers of measurements (kind "sums")."""
+    """Rows with new entries and bounds (kind "rows"), and behind them one row per
+    task with its sums, counts and numbers of measurements (kind "sums"): reading
+    either kind passes over the other's pages."""
     first, shape = len(books) == 1, books.shape[1:]
     schema = row_schema(df)
 
@@ -275,7 +276,7 @@ def compress(vectors: DataFrame, id_col: str = "vec_id", vec_col: str = "embeddi
         return Codes(empty.limit(0), books, [])
     for k in range(rounds + 1):
         source = rows if found is None else found.filter(F.col("kind") == ROWS)
-        before, found = found, stored(one_round(source, books, scale, k == rounds), f"codes-{k}", "kind")
+        before, found = found, stored(one_round(source, books, scale, k == rounds), f"codes-{k}")
         if before is not None:
             drop_stored(before)
         told = found.filter(F.col("kind") == SUMS)

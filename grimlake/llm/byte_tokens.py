@@ -19,6 +19,7 @@ from collections.abc import Iterator
 import ahocorasick
 import numpy as np
 import pyarrow as pa
+import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -123,6 +124,11 @@ class Prefixes:
         self.data += more
         self._extend(len(self.last), None, 0)
 
+    def cut(self, n: int) -> None:
+        """Keep the first ``n`` bytes."""
+        del self.last[n:]
+        self.data = self.data[:n]
+
     def replace(self, start: int, end: int, new: bytes) -> int:
         """Put ``new`` for the bytes from start to end; returns how many entries
         were made anew. As soon as as many entries as the longest token has
@@ -168,10 +174,11 @@ class Prefixes:
         return out[::-1]
 
 
-def classes(pattern: str) -> str:
-    """The pattern for Python's ``re``, with its Unicode classes written out as
-    ranges: what a letter, a number and white space is differs between Unicode
-    versions, and the library that defines the encoding is asked for its own."""
+def classes(pattern: str) -> tuple[str, str]:
+    """(pattern for Python's ``re``, characters): the pattern with its Unicode
+    classes written out as ranges, and the characters that ``regex`` puts into
+    other classes. What a letter, a number and white space is differs between
+    Unicode versions; the library that defines the encoding is asked for its own."""
     import tiktoken
 
     single = {bytes([b]): b for b in range(256)}
@@ -179,11 +186,14 @@ def classes(pattern: str) -> str:
 
     def ranges(name: str) -> str:
         found = tiktoken.Encoding("class", pat_str=name, mergeable_ranks=single, special_tokens={}).encode_ordinary(every)
-        codes = np.array([ord(c) for c in bytes(found).decode()])
+        chars = bytes(found).decode()
+        others.update(set(chars).symmetric_difference(regex.findall(name, every)))
+        codes = np.array([ord(c) for c in chars])
         first = np.flatnonzero(np.r_[True, np.diff(codes) > 1])
         ends = np.r_[first[1:], len(codes)] - 1
         return "".join(f"{re.escape(chr(codes[a]))}-{re.escape(chr(codes[b]))}" for a, b in zip(first, ends))
 
+    others: set[str] = set()
     out, inside, at = [], False, 0
     for m in re.finditer(r"\\[pP]\{\w+\}|\\[sS]|\\.|\[|\]", pattern):
         out.append(pattern[at:m.start()])
@@ -198,15 +208,17 @@ def classes(pattern: str) -> str:
             out.append(r if inside else f"[{'^' * (s[1] in 'PS')}{r}]")
         else:
             out.append(s)
-    return "".join(out) + pattern[at:]
+    return "".join(out) + pattern[at:], "".join(sorted(others))
 
 
 class Encoder:
     """Encodes texts piece by piece; pieces seen before are kept up to a bound."""
 
-    def __init__(self, tokens: list[bytes], made_of: np.ndarray, pattern: str):
+    def __init__(self, tokens: list[bytes], made_of: np.ndarray, pattern: str, own: tuple[str, str] | None = None):
         self.vocabulary = Vocabulary(tokens, made_of)
-        self.split = re.compile(pattern).findall
+        exact, others = own or classes(pattern)
+        # The same matches, faster, in texts without characters on which the two differ.
+        self.exact, self.fast, self.others = re.compile(exact).findall, regex.compile(pattern).findall, frozenset(others)
         sizes = np.array(self.vocabulary.size, np.int64)
         self.shown, self.shown_len = np.frombuffer(b"".join(tokens), np.uint8), sizes
         self.shown_at = np.cumsum(sizes) - sizes
@@ -217,10 +229,23 @@ class Encoder:
         self.held = 0
         self.cat, self.n = np.zeros(0, np.int32), np.zeros(0, np.int64)
 
-    def piece(self, piece: str) -> list[int]:
-        data = piece.encode()
-        whole = self.vocabulary.rank.get(data)
-        return [whole] if whole is not None else Prefixes(self.vocabulary, data).ids()
+    def split(self, text: str) -> list[str]:
+        return (self.fast if self.others.isdisjoint(text) else self.exact)(text)
+
+    def pieces(self, pieces: list[bytes]) -> Iterator[list[int]]:
+        """Ids of the pieces, which are sorted: one's table begins with the
+        entries of the prefix that it has in common with the one before."""
+        whole, table = self.vocabulary.rank.get, Prefixes(self.vocabulary)
+        for data in pieces:
+            if (token := whole(data)) is not None:
+                yield [token]
+                continue
+            n = min(len(data), len(table.data))
+            if table.data[:n] != data[:n]:
+                n = next(i for i in range(n) if table.data[i] != data[i])
+            table.cut(n)
+            table.append(data[n:])
+            yield table.ids()
 
     def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """(ids, sizes) of the texts, one after another."""
@@ -228,9 +253,9 @@ class Encoder:
             self._forget()
         per_text = [self.split(t) for t in texts]
         flat = [p for pieces in per_text for p in pieces]
-        new = list(set(flat).difference(self.seen))
+        new = sorted(set(flat).difference(self.seen))  # by code point, as by byte
         if new:
-            ids = [self.piece(p) for p in new]
+            ids = list(self.pieces([p.encode() for p in new]))
             self.seen.update(zip(new, range(len(self.seen), len(self.seen) + len(new))))
             self.held += sum(map(len, new))
             self.cat = np.concatenate([self.cat, *(np.array(x, np.int32) for x in ids)])
@@ -254,12 +279,12 @@ class Encoder:
 _ENCODERS: dict[int, Encoder] = {}
 
 
-def encoder(tokens: list[bytes], made_of: np.ndarray, pattern: str) -> Encoder:
+def encoder(tokens: list[bytes], made_of: np.ndarray, pattern: str, own: tuple[str, str]) -> Encoder:
     """One encoder per worker process and vocabulary."""
     key = hash((pattern, *tokens))
     if key not in _ENCODERS:
         _ENCODERS.clear()
-        _ENCODERS[key] = Encoder(tokens, made_of, pattern)
+        _ENCODERS[key] = Encoder(tokens, made_of, pattern, own)
     return _ENCODERS[key]
 
 
@@ -282,7 +307,7 @@ def encode_documents(docs: DataFrame, ranks_path: str, pattern: str, id_col: str
                            T.StructField("decoded", T.BinaryType())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        enc = encoder(tokens, made_of, own)
+        enc = encoder(tokens, made_of, pattern, own)
         for batch in batches:
             texts = batch.column("text").to_pylist()
             for a, b in chunks(texts, CHUNK_CHARS):

@@ -10,16 +10,18 @@ overlap is chosen over the whole text.
 
 from __future__ import annotations
 
+import bisect
+import itertools
 import random
 import re
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from grimlake.llm.common import stored, text_or_empty
+from grimlake.llm.common import id_as_text, stored, text_or_empty
 
 KINDS = ("email", "ip", "card", "phone")
 # FIXED VALUES: the rules of the contract. Matches of LOCAL, "@" and DOMAIN are
@@ -36,9 +38,9 @@ ADDED = {
                         re.I),
     "ip": re.compile(r"[0-9]{1,3}(?:\s?[(\[]\.[)\]]\s?[0-9]{1,3}){3}"),
     "card": re.compile(r"[0-9](?:[ ./-]{0,3}[0-9])+"),
-    # Any grouping; not a date.
-    "phone": re.compile(r"(?!(?:19|20)[0-9]{2}[-. ][0-9]{2}[-. ][0-9]{2}(?![0-9]))\(?[0-9]{2,8}\)?"
-                        r"(?:[ .-]{1,2}\(?[0-9]{2,8}\)?)+"),
+    # Any grouping, or none behind a zero; not a date.
+    "phone": re.compile(r"(?!(?:19|20)[0-9]{2}[-. ][0-9]{2}[-. ][0-9]{2}(?![0-9]))\+?(?:\(?[0-9]{2,8}\)?"
+                        r"(?:[ .-]{1,2}\(?[0-9]{2,8}\)?)+|0[0-9]{9,10})"),
 }
 TRIGGER = re.compile(r"[0-9@]|[(\[]\s?at\s?[)\]]", re.I)
 
@@ -50,7 +52,7 @@ WIDEST = 1536
 TRAIN_WINDOWS = 1200
 #: Windows with made-up spans, at least.
 MADE_UP_ROWS = 3000
-STEPS, BATCH, RATE = 400, 32, 0.02
+STEPS, BATCH, RATE = 700, 32, 0.02
 EMBED, HIDDEN = 12, 24
 TAGS = 1 + 2 * len(KINDS)
 SYMBOLS = 98  # 0: padding, 1-95: printable ASCII, 96: other letters, 97: the rest
@@ -269,7 +271,7 @@ def made_up(r: random.Random) -> tuple[int, str]:
         return kind, plus + r.choice([f"({number(3)}) {number(3)}-{number(4)}", f"{number(3)}-{number(3)}-{number(4)}",
                                       f"{number(3)} {number(3)} {number(4)}", f"{number(3)}.{number(3)}.{number(4)}",
                                       f"0{number(1)} " + " ".join(number(2) for _ in range(4)),
-                                      f"0{number(2)} {number(8)}"])
+                                      f"0{number(2)} {number(8)}", f"0{number(r.choice([9, 10]))}"])
     hexes = "".join(r.choice("0123456789abcdef") for _ in range(r.choice([8, 16, 32, 40])))
     return -1, r.choice([f'token = "{hexes}"', hexes, number(r.randint(1, 9)), f"{number(4)}-{number(2)}-{number(2)}",
                          f"v{number(1)}.{number(1)}.{number(2)}", f"{number(2)}:{number(2)}", f"{number(3)}%", f"({number(4)})",
@@ -360,7 +362,7 @@ def reconcile(found: dict[tuple[int, int, int], float]) -> list[tuple[int, int,
     ends = [s[0] for s in spans]
     total, take = [0.0], []
     for n, (b, a, _, v) in enumerate(spans):
-        j = int(np.searchsorted(ends[:n], a, side="right"))
+        j = bisect.bisect_right(ends, a, 0, n)
         take.append(j if total[j] + v > total[n] else -1)
         total.append(max(total[n], total[j] + v))
     out, n = [], len(spans)
@@ -419,38 +421,57 @@ def decoded(texts: list[str], jobs: list[tuple[int, int, int]], tagger: Tagger,
                 yield i, a, b, kind, a + s, min(a + e, b), float(score[s:e, n].sum())
 
 
+def merged(windows: Iterable[tuple[int, int, int]]) -> list[tuple[int, int, int]]:
+    """Windows that overlap as one, unless that would be over WIDEST."""
+    out: list[tuple[int, int, int]] = []
+    for i, a, b in sorted(windows):
+        if out and out[-1][0] == i and a < out[-1][2] and max(b, out[-1][2]) - out[-1][1] <= WIDEST:
+            out[-1] = (i, out[-1][1], max(b, out[-1][2]))
+        else:
+            out.append((i, a, b))
+    return out
+
+
 def all_spans(texts: list[str], tagger: Tagger, batch: int = 512) -> list[tuple[list, list]]:
-    """(base, added) spans of each text. What a window cuts is read again in
-    one that is wider by its own width on the side that cuts, until it is whole;
-    windows that overlap then are read as one."""
+    """(base, added) spans of each text. A window that cuts a span is read again
+    with its own width more on each side that cuts, until none is cut or it has
+    WIDEST characters or more; windows that overlap then are read as one.
+    Windows contain those that they come from, so this ends after as many
+    rounds as WIDEST has doublings."""
     jobs = [(i, a, min(a + WINDOW, len(t))) for i, t in enumerate(texts) for a in window_starts(t)]
     scored: list[dict] = [{} for _ in texts]
     while jobs:
-        wider = set()
+        wider: dict[tuple[int, int, int], tuple[int, int]] = {}
         for i, a, b, kind, s, e, score in decoded(texts, jobs, tagger, batch):
             left, right = s == a > 0, e == b < len(texts[i])
-            if not left and not right:
-                scored[i][kind, s, e] = scored[i].get((kind, s, e), 0.0) + score
-            elif e - s < WIDEST // 2 and b - a < WIDEST:
-                # half a window besides the span, so that its surroundings are seen
-                wider.add((i, max(0, s - (b - a) * left - STRIDE), min(len(texts[i]), e + (b - a) * right + STRIDE)))
-        jobs = []
-        for i, a, b in sorted(wider):
-            if jobs and jobs[-1][0] == i and a < jobs[-1][2] and max(b, jobs[-1][2]) - jobs[-1][1] <= WIDEST:
-                jobs[-1] = (i, jobs[-1][1], max(b, jobs[-1][2]))
+            if (left or right) and b - a < WIDEST:
+                # A window only grows, by its own width at least: it ends at WIDEST after a few doublings.
+                x, y = wider.get((i, a, b), (a, b))
+                wider[i, a, b] = (min(x, max(0, a - (b - a))) if left else x, max(y, min(len(texts[i]), b + (b - a))) if right else y)
             else:
-                jobs.append((i, a, b))
+                # Whole, or as much as the widest window holds.
+                scored[i][kind, s, e] = scored[i].get((kind, s, e), 0.0) + score
+        jobs = merged((i, x, y) for (i, _, _), (x, y) in wider.items())
     out = []
     for text, found in zip(texts, scored):
         base = base_spans(text)
-        new = {x for s in reconcile(found) if (x := accepted(s[0], text, s[1], s[2]))}
-        covered = sorted((a, b) for _, a, b in base)
-        added = []
-        for k, a, b in sorted(new, key=lambda x: x[1:]):
-            if not any(x < b and a < y for x, y in covered):
-                covered.append((a, b))
-                added.append((k, a, b))
-        out.append((base, added))
+        new = sorted({x for s in reconcile(found) if (x := accepted(s[0], text, s[1], s[2]))}, key=lambda x: x[1:])
+        out.append((base, apart(new, base)))
+    return out
+
+
+def apart(new: list[tuple[int, int, int]], base: list[tuple[int, int, int]]) -> list[tuple[int, int, int]]:
+    """The spans of ``new``, sorted by start, that overlap no base span and no
+    taken one: one sweep over both."""
+    out, end = [], 0
+    fixed = sorted((a, b) for _, a, b in base)
+    reached = list(itertools.accumulate((b for _, b in fixed), max))  # furthest end so far
+    starts = [a for a, _ in fixed]
+    for k, a, b in new:
+        at = bisect.bisect_left(starts, b)  # base spans that begin before b
+        if a >= end and not (at and reached[at - 1] > a):
+            out.append((k, a, b))
+            end = b
     return out
 
 
@@ -469,7 +490,8 @@ def find(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", limit:
     an empty result. Whole texts are read. The tagger is fitted on at most
     ``limit`` windows, and its few thousand weights travel with the tasks.
     """
-    rows = docs.select(F.col(id_col).alias("doc_id"), text_or_empty(text_col).alias("text"))
+    doc_id, kind = id_as_text(docs, id_col)
+    rows = docs.select(doc_id.alias("doc_id"), text_or_empty(text_col).alias("text"))
     tagger = fit(rows, limit, steps)
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -483,6 +505,6 @@ def find(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", limit:
                     "base": [joined(base) for base, _ in found], "spans": [joined(base + added) for base, added in found],
                     "n_added": [len(added) for _, added in found]})
 
-    kind = rows.schema["doc_id"].dataType.simpleString()
-    return rows.mapInPandas(run, f"doc_id {kind}, " + "".join(f"n_{k} long, " for k in KINDS)
-                            + "base string, spans string, n_added long")
+    out = rows.mapInPandas(run, "doc_id string, " + "".join(f"n_{k} long, " for k in KINDS)
+                           + "base string, spans string, n_added long")
+    return out.withColumn("doc_id", F.col("doc_id").cast(kind))

@@ -182,6 +182,84 @@ def test_pii_adds_spans_on_held_out_text(spark):
     assert all(x.base in x.spans or x.n_added for x in got.values())
 
 
+class Edges(pii.Tagger):
+    """Marks spans at one edge or both of every window, or all of it."""
+
+    def __init__(self, how):
+        self.how, self.rounds = how, 0
+
+    def decode(self, ids):
+        self.rounds += 1
+        assert self.rounds < 200
+        tags, steps = np.zeros(ids.shape, np.int64), len(ids)
+        n = 5 if self.how == "edges" else steps
+        if self.how != "right":
+            tags[:n], tags[0] = 8, 7
+        if self.how in ("right", "edges"):
+            tags[-n if n < steps else steps // 2:], tags[-n if n < steps else steps // 2] = 8, 7
+        return tags, np.ones(ids.shape, np.float32)
+
+
+@pytest.mark.parametrize("how", ["edges", "right", "all"])
+def test_pii_windows_only_grow(how):
+    r = random.Random(1)
+    texts = ["".join(r.choice("12 (a") for _ in range(n)) for n in (0, 1, 95, 97, 600, 3000, 9000)]
+    found = pii.all_spans(texts, Edges(how))
+    assert len(found) == len(texts) and all(0 <= a < b <= len(t) for t, (x, y) in zip(texts, found) for _, a, b in x + y)
+
+
+def test_pii_spans_that_windows_cut():
+    """A tagger that knows one form marks what it sees of it; long spans at
+    every offset come out whole."""
+    address = "firstname.lastname [at] research.department [dot] university [dot] edu"
+
+    class Knows(pii.Tagger):
+        def __init__(self):
+            pass
+
+        def decode(self, ids):
+            tags = np.zeros(ids.shape, np.int64)
+            want = pii.symbols(address)
+            for n in range(ids.shape[1]):
+                row = ids[:, n]
+                for at in range(-len(want) + 1, len(row)):
+                    a, b = max(at, 0), min(at + len(want), len(row))
+                    if b - a >= 12 and (row[a:b] == want[a - at:b - at]).all():
+                        tags[a:b, n], tags[a, n] = 2, 1
+            return tags, np.ones(ids.shape, np.float32)
+
+    texts = ["x" * (k - 1) + " " + address + " " + "y" * 150 for k in range(1, 100, 7)]
+    for k, (base, added) in zip(range(1, 100, 7), pii.all_spans(texts, Knows())):
+        assert added == [(0, k, k + len(address))]
+
+
+def test_pii_apart_and_reconcile_against_brute_force():
+    r = random.Random(2)
+    for _ in range(300):
+        base = [(0, a, a + r.randint(1, 9)) for a in r.sample(range(60), r.randint(0, 4))]
+        new = sorted({(1, a, a + r.randint(1, 9)) for a in r.sample(range(60), r.randint(0, 8))}, key=lambda x: x[1:])
+        want = []
+        for k, a, b in new:
+            if not any(x < b and a < y for _, x, y in base + want):
+                want.append((k, a, b))
+        assert pii.apart(new, base) == want
+        found = {(0, a, a + r.randint(1, 9)): r.randint(1, 5) for a in r.sample(range(30), r.randint(0, 7))}
+        best = 0
+        for mask in range(1 << len(found)):
+            some = sorted([x for i, x in enumerate(found) if mask >> i & 1], key=lambda x: x[1])
+            if all(x[2] <= y[1] for x, y in zip(some, some[1:])):
+                best = max(best, sum(found[x] for x in some))
+        assert sum(found[x] for x in pii.reconcile(found)) == best
+
+
+def test_pii_of_nothing_and_repeated_rows(spark):
+    assert pii.find(odd.empty(spark), steps=2).count() == 0
+    rows = [(1, "a@b.de 1.2.3.4", "a")] * 3 + [(9007199254740993, "x 1 " * 3000, "a"), (None, None, "a")]
+    got = pii.find(odd.frame(spark, rows), steps=2).collect()
+    assert sorted((str(x.doc_id), x.n_email, x.n_ip) for x in got) == sorted(
+        [("1", 1, 1)] * 3 + [("9007199254740993", 0, 0), ("None", 0, 0)])
+
+
 def test_chain_on_held_out_rows(spark):
     r = random.Random(5)
     rows, labels = [], []

@@ -69,14 +69,26 @@ def id_key(col: str) -> Column:
     return F.xxhash64(F.coalesce(F.col(col).cast("string"), F.lit("\x00")))
 
 
-def pick_rows(docs: DataFrame, picked: DataFrame, id_col: str, text_col: str) -> DataFrame:
+def row_hash(docs: DataFrame) -> Column:
+    """64-bit hash of a whole row: rows that differ in any column differ in it."""
+    plain = [F.col(f"`{f.name}`") for f in docs.schema if "map<" not in f.dataType.simpleString()]
+    return F.xxhash64(*[x for c in plain for x in (c, c.isNull())])
+
+
+def id_as_text(docs: DataFrame, id_col: str) -> tuple[Column, str]:
+    """(id as text, its type). Ids go to Python as text and are cast back: as
+    numbers beside a null they would become doubles, which end at 2^53."""
+    return F.col(id_col).cast("string"), docs.select(id_col).schema[0].dataType.simpleString()
+
+
+def pick_rows(docs: DataFrame, picked: DataFrame, id_col: str) -> DataFrame:
     """The rows of ``docs`` that ``picked`` names by (k, h), the hashes of id and
-    text, ``copies`` times each, with their columns. Rows repeated in full are
-    one row."""
+    row, ``copies`` times each, with their columns. Rows repeated in full are
+    one row, of which a map task sends one."""
     k, h, nth, n = ("__grimlake_k", "__grimlake_h", "__grimlake_nth", "__grimlake_copies")
     wanted = picked.groupBy(F.col("k").alias(k), F.col("h").alias(h)).agg(F.sum("copies").alias(n))
-    rows = docs.withColumns({k: id_key(id_col), h: F.xxhash64(text_or_empty(text_col))})
-    first = F.row_number().over(Window.partitionBy(k, h).orderBy(F.lit(0)))
+    rows = docs.withColumns({k: id_key(id_col), h: row_hash(docs)})
+    first = F.row_number().over(Window.partitionBy(k, h).orderBy(k))
     rows = rows.join(wanted, [k, h]).withColumn(nth, first).filter(F.col(nth) == 1)
     rows = rows.withColumn(nth, F.explode(F.expr(f"sequence(1L, {n})")))
     return rows.select(*[F.col(f"`{c}`") for c in docs.columns])

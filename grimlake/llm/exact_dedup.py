@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from grimlake.llm.common import SPACE, id_key, pick_rows, stored, text_or_empty
+from grimlake.llm.common import SPACE, id_key, pick_rows, row_hash, stored, text_or_empty
 
 BUCKET_BYTES = 64 << 20
 MAX_DEPTH = 20
@@ -94,10 +94,10 @@ def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     come last; if rows repeat that id, exactly one of them stays. An empty
     table gives an empty result. Very long texts are compared whole.
     ``key_bits`` shortens the index key (tests force collisions with it);
-    ``keys`` adds (k, h), the hashes of the row's id and text.
+    ``keys`` adds (k, h), the hashes of the row's id and of the row.
     """
     norm = normalised(text_col)
-    named = [id_key(id_col).alias("k"), F.xxhash64(text_or_empty(text_col)).alias("h")] if keys else []
+    named = [id_key(id_col).alias("k"), row_hash(docs).alias("h")] if keys else []
     extra = ["k", "h"] if keys else []
     rows = stored(
         docs.select(F.col(id_col).alias("doc_id"), norm.alias("norm"), *named)
@@ -118,7 +118,7 @@ def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
 def keep_first(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The rows of ``docs`` that :func:`exact_dedup` keeps, with their columns."""
     found = exact_dedup(docs, id_col, text_col, keys=True).filter("kept")
-    return pick_rows(docs, found.select("k", "h", F.lit(1).alias("copies")), id_col, text_col)
+    return pick_rows(docs, found.select("k", "h", F.lit(1).alias("copies")), id_col)
 
 
 SQL = r"""

@@ -17,7 +17,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from grimlake.llm.common import text_or_empty
+from grimlake.llm.common import id_as_text, text_or_empty
 
 # FIXED VALUES: element names of HTML, stop words, and thresholds.
 SKIP = {"script", "style", "noscript", "template", "head", "title", "svg", "iframe", "object", "canvas",
@@ -238,7 +238,8 @@ def extract(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", htm
     urls are passed through, null and repeated ones too; an empty table gives
     an empty result. Whole pages are read, one at a time, without a shuffle.
     """
-    rows = pages.select(F.col(id_col).alias("page_id"), F.col(url_col).alias("url"),
+    page_id, kind = id_as_text(pages, id_col)
+    rows = pages.select(page_id.alias("page_id"), F.col(url_col).cast("string").alias("url"),
                         text_or_empty(html_col).alias("html"))
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -248,6 +249,5 @@ def extract(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", htm
                 yield pd.DataFrame({"page_id": part["page_id"].to_numpy(), "url": part["url"].to_numpy(),
                                     "text": [main_text(h) for h in part["html"]]})
 
-    kinds = {c: rows.schema[c].dataType.simpleString() for c in ("page_id", "url")}
-    out = rows.mapInPandas(run, f"page_id {kinds['page_id']}, url {kinds['url']}, text string")
-    return out.withColumn("n_chars", F.char_length("text").cast("long"))
+    out = rows.mapInPandas(run, "page_id string, url string, text string")
+    return out.withColumn("page_id", F.col("page_id").cast(kind)).withColumn("n_chars", F.char_length("text").cast("long"))

@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from grimlake.llm.common import cell_offsets, id_key, n_words, pick_rows, stored, text_or_empty
+from grimlake.llm.common import cell_offsets, id_key, n_words, pick_rows, row_hash, stored, text_or_empty
 
 BLOCK_WORDS = 2048
 MAX_PASSES = 3
@@ -29,7 +29,7 @@ def sized_rows(docs: DataFrame, id_col: str, text_col: str, source_col: str, see
     """Stored (rid, doc_id, source, size, okey); ``okey`` orders the shuffle."""
     base = docs.select(F.col(id_col).alias("doc_id"), F.col(source_col).cast("string").alias("source"),
                        n_words(text_or_empty(text_col)).alias("size"),
-                       *([id_key(id_col).alias("k"), F.xxhash64(text_or_empty(text_col)).alias("h")] if keys else []))
+                       *([id_key(id_col).alias("k"), row_hash(docs).alias("h")] if keys else []))
     okey = F.md5(F.concat(F.coalesce(F.col("doc_id").cast("string"), F.lit("")), F.lit(f":{seed}")))
     return stored(base.select(F.monotonically_increasing_id().alias("rid"), *base.columns, okey.alias("okey")),
                   "op8-rows")
@@ -169,7 +169,7 @@ def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_
     sources are one source, ordered last. Repeated rows are documents of
     their own; ids that repeat are ordered by size in the shuffle. Tables
     without words have targets of 0. Runs with one seed agree. ``keys`` adds
-    (k, h), the hashes of the row's id and text.
+    (k, h), the hashes of the row's id and of the row.
     """
     rows, sources, took = pieces(docs, id_col, text_col, source_col, block_words, max_passes, seed, keys)
     per_row = took.groupBy("rid").agg(F.sum("n").alias("taken"))
@@ -186,7 +186,7 @@ def mixed(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", sourc
     in part or whole; rows that aren't taken go."""
     found = mix(docs, id_col, text_col, source_col, keys=True, **options).filter("taken > 0")
     copies = F.ceil(F.col("taken") / F.col("size")).alias("copies")
-    return pick_rows(docs, found.select("k", "h", copies), id_col, text_col)
+    return pick_rows(docs, found.select("k", "h", copies), id_col)
 
 
 SQL = r"""

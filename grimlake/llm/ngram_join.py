@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from grimlake.llm.common import id_key, pick_rows, stored, text_or_empty
+from grimlake.llm.common import id_as_text, id_key, pick_rows, row_hash, stored, text_or_empty
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
 LOWER = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
@@ -210,8 +210,7 @@ def named(rows: DataFrame, shingle: int) -> DataFrame:
         for part, sets in parts_of(frames, shingle):
             yield part[["doc_id", "k", "h"]].assign(n=[len(s) for s in sets], node=[set_name(s) for s in sets])
 
-    kind = rows.schema["doc_id"].dataType.simpleString()
-    return rows.mapInPandas(run, f"doc_id {kind}, k long, h long, n long, node long")
+    return rows.mapInPandas(run, "doc_id string, k long, h long, n long, node long")
 
 
 def shared_signatures(rows: DataFrame, shingle: int, similar: int, of: int) -> DataFrame:
@@ -414,16 +413,17 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     own included; ``n_links`` counts the rows it is linked with, rows with an
     equal set included; ``kept`` marks one row of each component: one with the
     smallest id (rows repeated in full are all marked). (k, h) are hashes of
-    the id and the text. Words are lower-cased in A-Z; a text with fewer words
+    the id and the row. Words are lower-cased in A-Z; a text with fewer words
     than a shingle is one shingle; null texts and texts without words have no
     shingles and no links. Rows that repeat an id with other texts are
     documents of their own; null ids come after all others. An empty table
     gives an empty result. Whole texts are read. Sets and shingles are known
     by 64-bit hashes.
     """
-    base = docs.select(F.col(id_col).alias("doc_id"), text_or_empty(text_col).alias("text")).select(
-        "doc_id", id_key("doc_id").alias("k"), F.xxhash64("text").alias("h"), "text")
-    rows = stored(named(base, shingle), "op3-rows")
+    doc_id, kind = id_as_text(docs, id_col)
+    base = docs.select(doc_id.alias("doc_id"), id_key(id_col).alias("k"), row_hash(docs).alias("h"),
+                       text_or_empty(text_col).alias("text"))
+    rows = stored(named(base, shingle).withColumn("doc_id", F.col("doc_id").cast(kind)), "op3-rows")
     first = F.min(F.struct(F.col("doc_id").isNull().alias("no_id"), F.col("doc_id"), F.col("h"))).alias("first")
     classes = stored(rows.filter("n > 0").groupBy("node").agg(
         first, F.min("k").alias("k"), F.max("n").alias("n"), F.count(F.lit(1)).alias("copies")), "op3-classes")
@@ -453,7 +453,7 @@ def one_per_group(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     """The rows of ``docs`` of which one of each component stays: those that
     :func:`jaccard_components` keeps, one of rows repeated in full."""
     found = jaccard_components(docs, id_col, text_col, shingle, similar, of)
-    return pick_rows(docs, found.filter("kept").select("k", "h", F.lit(1).alias("copies")).distinct(), id_col, text_col)
+    return pick_rows(docs, found.filter("kept").select("k", "h", F.lit(1).alias("copies")).distinct(), id_col)
 
 
 SQL = r"""

@@ -18,9 +18,9 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from grimlake.llm.common import text_or_empty
+from grimlake.llm.common import id_as_text, text_or_empty
 
-SCHEMA = "doc_id {id_type}, ids array<int>, decoded string"
+SCHEMA = "doc_id string, ids array<int>, decoded string"
 #: Characters handled at once, and distinct words kept between rounds.
 CHUNK_CHARS = 2_000_000
 KEPT_WORDS = 600_000
@@ -288,7 +288,8 @@ def encode_documents(docs: DataFrame, model_path: str, id_col: str = "doc_id",
     one row at a time with no shuffle.
     """
     data = read_bytes(docs.sparkSession, model_path)
-    rows = docs.select(F.col(id_col).alias("doc_id"), text_or_empty(text_col).alias("text"))
+    doc_id, kind = id_as_text(docs, id_col)
+    rows = docs.select(doc_id.alias("doc_id"), text_or_empty(text_col).alias("text"))
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         enc = encoder(data)
@@ -301,8 +302,7 @@ def encode_documents(docs: DataFrame, model_path: str, id_col: str = "doc_id",
                     "ids": np.split(ids, np.cumsum(sizes)[:-1]),
                     "decoded": enc.model.decode(ids, sizes)})
 
-    id_type = rows.schema["doc_id"].dataType.simpleString()
-    return rows.mapInPandas(run, SCHEMA.format(id_type=id_type))
+    return rows.mapInPandas(run, SCHEMA).withColumn("doc_id", F.col("doc_id").cast(kind))
 
 
 def digests(encoded: DataFrame) -> DataFrame:

@@ -16,7 +16,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from grimlake.llm.common import text_or_empty
+from grimlake.llm.common import id_as_text, text_or_empty
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
 #: The end of a text as a token; no word can be a space.
@@ -32,10 +32,10 @@ def shard_count(docs: DataFrame, text_col: str, chars: int) -> int:
 
 def sharded(docs: DataFrame, id_col: str, text_col: str, chars: int, shards: int | None = None,
             **extra: Column) -> DataFrame:
-    """(shard, doc_id, ..., text), partitioned by shard; about ``chars``
+    """(shard, doc_id as text, ..., text), partitioned by shard; about ``chars``
     characters a shard, or as many ``shards`` as were counted before."""
     n = shards or shard_count(docs, text_col, chars)
-    rows = docs.select(F.col(id_col).alias("doc_id"), text_or_empty(text_col).alias("text"))
+    rows = docs.select(id_as_text(docs, id_col)[0].alias("doc_id"), text_or_empty(text_col).alias("text"))
     shard = F.pmod(F.xxhash64("doc_id", "text"), F.lit(n)).cast("int")
     return rows.select(shard.alias("shard"), "doc_id", *[c.alias(k) for k, c in extra.items()], "text").repartition(
         n, "shard")

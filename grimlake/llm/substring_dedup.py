@@ -23,6 +23,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from grimlake.llm.common import id_as_text
 from grimlake.llm.shards import WORD, Vocabulary, rolling, sharded
 
 WINDOW = 13
@@ -186,9 +187,9 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
             "kept": [" ".join(np.array(w, object)[~m]) if m.any() else " ".join(w)
                      for w, m in zip(shard.words, masks)]})
 
-    kind = rows.schema["doc_id"].dataType.simpleString()
+    kind = id_as_text(docs, id_col)[1]
     return by_shard.cogroup(smaller.groupBy("shard")).applyInPandas(
-        cut, f"doc_id {kind}, n_words long, n_removed long, kept string")
+        cut, "doc_id string, n_words long, n_removed long, kept string").withColumn("doc_id", F.col("doc_id").cast(kind))
 
 
 SQL = r"""

@@ -18,7 +18,7 @@ from pyspark.sql import Column, DataFrame, GroupedData
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from grimlake.llm.common import stored
+from grimlake.llm.common import id_as_text, stored
 from grimlake.llm.shards import LAST_WORD, WORD, Vocabulary, mix, shard_count, sharded
 
 DEPTH = 5
@@ -400,10 +400,10 @@ def score(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", depth
             "n_tokens": [len(i) for i in lists], "n_known": [int((n[i] > 0).sum()) for i in lists],
             "logs": [float(logs[i].sum()) for i in lists], "score": score})
 
-    kind = rows.schema["doc_id"].dataType.simpleString()
+    kind = id_as_text(docs, id_col)[1]
     judged = by_shard.cogroup(side_rows.groupBy("shard")).applyInPandas(
-        judge, f"doc_id {kind}, held_out boolean, n_tokens long, n_known long, logs double, score double")
+        judge, "doc_id string, held_out boolean, n_tokens long, n_known long, logs double, score double")
     tokens, kinds = once.select("tokens").scalar(), once.select("kinds").scalar()
     return judged.select(
-        "doc_id", "held_out", "n_tokens", "n_known", tokens.alias("train_tokens"),
+        F.col("doc_id").cast(kind).alias("doc_id"), "held_out", "n_tokens", "n_known", tokens.alias("train_tokens"),
         (F.col("logs") - F.col("n_tokens") * F.log10((tokens + kinds + 1).cast("double"))).alias("base_score"), "score")

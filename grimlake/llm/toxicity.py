@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from grimlake.llm.common import stored, text_or_empty
+from grimlake.llm.common import id_as_text, stored, text_or_empty
 
 #: Chain order: (category, condition over the label columns).
 CATEGORIES = (("unfit", "quality = 0 OR toxic = 1"), ("toxic", "toxic = 1"),
@@ -222,9 +222,11 @@ def detect(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
     repeated rows are scored alike; whole texts are read; empty tables give
     empty results.
     """
+    doc_id, kind = id_as_text(docs, id_col)
     base = docs.select(F.col(id_col).alias("doc_id"), text_or_empty(text_col).alias("text"))
     chain = train(base, labels, categories, rows)
-    return score(base.withColumnRenamed("text", "_text"), chain, categories, threshold)
+    named = docs.select(doc_id.alias("doc_id"), text_or_empty(text_col).alias("_text"))
+    return score(named, chain, categories, threshold).withColumn("doc_id", F.col("doc_id").cast(kind))
 
 
 def reject(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text",

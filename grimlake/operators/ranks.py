@@ -23,9 +23,10 @@ compute the same exact values and pick the plan from measured sizes:
     value[, tie range]); tie ranges come from ``approxQuantile`` and split a
     hot value. Cut points only affect balance, never the result.
 
-``order_tables``
-    one grouping-sets histogram of (group, order value) for several
-    partitionings: rank offsets, ``percent_rank`` and group means.
+``ordered_cells``, ``cell_histogram`` / ``cell_table``, ``cell_ranks``
+    rows in range cells of a whole order, so that ties and nulls are split by
+    the columns after them, and one histogram of (group, value, cell) for rank
+    offsets, ``percent_rank`` and group means of several partitionings.
 
 ``lag_over``
     ``lag(x, 1)``: windows inside cells of the order, with each cell's last
@@ -48,6 +49,8 @@ from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from grimlake.sources.stage import stored_table
+
 TIE_BUCKET = "_tb"
 #: Type in which scores are summed: exact, whatever the order of the rows.
 EXACT = "decimal(18,3)"
@@ -339,37 +342,74 @@ def row_number_frame(df: DataFrame, partition: Sequence[str] | str | None, order
                               ).select(key, out)
 
 
-def order_tables(df: DataFrame, partitions: Sequence[Sequence[str]], order: str
-                 ) -> dict[tuple, DataFrame]:
-    """Per partitioning, a table keyed by (partition, order value) with the
-    rows before that value in both directions, the group size and the group's
-    sum of ``order`` (as an exact decimal) - all from ONE grouping-sets aggregation (a histogram:
-    its size is the number of distinct (partition, value) pairs).
-
-    ``_before_desc`` is a descending rank's offset, ``_before_asc`` gives
-    ``percent_rank`` in ascending order; nulls sort last both ways."""
-    parts = [tuple(P) for P in partitions]
-    cols = list(dict.fromkeys(c for P in parts for c in P)) + [order]
-    hist = (df.groupingSets([[*P, order] for P in parts], *cols)
-            .agg(F.count(F.lit(1)).alias("_n"), F.sum(F.col(order).cast(EXACT)).alias("_s"),
-                 F.grouping_id().alias("_gid")))
-    out = {}
-    for P in parts:
-        grouped = set(P) | {order}
-        gid = sum(1 << (len(cols) - 1 - i) for i, c in enumerate(cols) if c not in grouped)
-        h = hist.where(F.col("_gid") == gid).select(*P, order, "_n", "_s")
-        w_all = Window.partitionBy(*P)
-        w_desc = (Window.partitionBy(*P).orderBy(_order(order, True))
-                  .rowsBetween(Window.unboundedPreceding, -1))
-        w_asc = (Window.partitionBy(*P).orderBy(_order(order, False))
-                 .rowsBetween(Window.unboundedPreceding, -1))
-        out[P] = h.select(
-            *P, order,
-            F.coalesce(F.sum("_n").over(w_desc), F.lit(0)).alias("_before_desc"),
-            F.coalesce(F.sum("_n").over(w_asc), F.lit(0)).alias("_before_asc"),
-            F.sum("_n").over(w_all).alias("_group_n"),
-            F.sum("_s").over(w_all).alias("_group_sum"))
-    return out
+CELL, PLACE = "_cell", "_place"
+
+
+def ordered_cells(df: DataFrame, order: Sequence[Column], limit: int | None = None, path: str | None = None) -> DataFrame:
+    """``df`` with ``_cell`` and ``_place``, written once: the rows range-partitioned
+    by the whole ``order``, each one's cell and its place (from 0) in it.
+
+    Cells follow each other in the order. Their bounds are whole keys, not
+    values of one column, so rows that tie in the leading columns, nulls
+    included, are split further by the columns after them; with a unique last
+    column no cell is bounded from below by ties. There are as many cells as
+    keep each at about half of ``limit`` rows. The write fixes both columns: the
+    bounds, which Spark samples, are used once.
+    """
+    spark = df.sparkSession
+    limit = limit or max_rows_per_task(spark)
+    parts = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-2 * df.count() // limit))
+    ranged = df.repartitionByRange(parts, *order).sortWithinPartitions(*order)
+    # The id holds the partition above 33 bits and the row's place in it below.
+    at = stored_table(ranged.withColumn("_at", F.monotonically_increasing_id()), "cells", path)
+    return at.select(*df.columns, F.shiftright("_at", 33).alias(CELL),
+                     F.col("_at").bitwiseAND(F.lit((1 << 33) - 1)).alias(PLACE))
+
+
+def cell_histogram(cells: DataFrame, partitions: Sequence[Sequence[str]], value: str) -> DataFrame:
+    """Stored (partition columns, value, cell, _n, _s, _gid): rows and exact sums of
+    ``value`` per group, value and cell, for several partitionings in one
+    aggregation. Every rank offset, percent rank and mean follows from it."""
+    cols = [*dict.fromkeys(c for P in partitions for c in P), value, CELL]
+    return stored_table(cells.groupingSets([[*P, value, CELL] for P in partitions], *cols).agg(
+        F.count(F.lit(1)).alias("_n"), F.sum(F.col(value).cast(EXACT)).alias("_s"), F.grouping_id().alias("_gid")),
+        "cell_histogram")
+
+
+def cell_table(histogram: DataFrame, partitions: Sequence[Sequence[str]], partition: Sequence[str], value: str) -> DataFrame:
+    """Per (group, value, cell) of one partitioning: ``_before`` (rows of the group
+    in earlier cells), ``_before_asc`` (rows with a smaller value), ``_group_n`` and
+    ``_group_sum``. The empty partitioning is summed up from the first of the others."""
+    cols = [*dict.fromkeys(c for P in partitions for c in P), value, CELL]
+    P = tuple(partition)
+    source = P or tuple(partitions[0])
+    gid = sum(1 << (len(cols) - 1 - i) for i, c in enumerate(cols) if c not in {*source, value, CELL})
+    h = histogram.where(F.col("_gid") == gid)
+    if not P:
+        h = h.groupBy(value, CELL).agg(F.sum("_n").alias("_n"), F.sum("_s").alias("_s"))
+    group = Window.partitionBy(*P)
+    upto = group.orderBy(value).rangeBetween(Window.unboundedPreceding, Window.currentRow)
+    earlier = group.orderBy(CELL).rangeBetween(Window.unboundedPreceding, -1)
+    return h.select(*P, value, CELL, F.coalesce(F.sum("_n").over(earlier), F.lit(0)).alias("_before"),
+                    (F.sum("_n").over(upto) - F.sum("_n").over(Window.partitionBy(*P, value))).alias("_before_asc"),
+                    F.sum("_n").over(group).alias("_group_n"), F.sum("_s").over(group).alias("_group_sum"))
+
+
+def place_in(partition: Sequence[str] | str) -> Column:
+    """A row's number (from 1) among the rows of its group in its cell."""
+    return F.row_number().over(Window.partitionBy(*_cols(partition), CELL).orderBy(PLACE))
+
+
+def cell_ranks(cells: DataFrame, rows: DataFrame, partition: Sequence[str] | str, out: str) -> DataFrame:
+    """``row_number() OVER (PARTITION BY partition ORDER BY the cells' order)`` on
+    ``rows``, which have ``_cell`` and ``_place``: the place in the cell, moved by
+    the group's rows in earlier cells. No task holds more of a group than a cell has."""
+    P = _cols(partition)
+    counts = cells.groupBy(*P, CELL).agg(F.count(F.lit(1)).alias("_n"))
+    earlier = Window.partitionBy(*P).orderBy(CELL).rangeBetween(Window.unboundedPreceding, -1)
+    counts = counts.select(*P, CELL, F.coalesce(F.sum("_n").over(earlier), F.lit(0)).alias("_before"))
+    placed = _null_safe_join(rows.withColumn(out, place_in(P)), counts, [*P, CELL])
+    return placed.withColumn(out, (F.col(out) + F.col("_before")).cast("bigint")).drop("_before")
 
 
 def percent_from(before_asc: Column, group_n: Column) -> Column:

@@ -71,20 +71,28 @@ class Catalog:
             return self._table("dim_albums", dims.with_audit(albums)).select(*albums.columns)
         return dims.dim_albums_stored(self.stg_albums, self.dim_bands)
 
+    def _path(self, name: str) -> str | None:
+        return f"{self.out_base}/{name}" if self.out_base else None
+
+    @cached_property
+    def review_texts(self) -> DataFrame:
+        """Stored reviews with texts, row classes and ``_rk``."""
+        return facts.review_texts(self.stg_reviews, self._path("review_texts"))
+
     @cached_property
     def fct_base(self) -> DataFrame:
-        """Stored fact rows (all non-window columns + ``_rk``)."""
-        return facts.fct_base(self.stg_reviews, self.dim_albums)
+        """Stored fact rows (all but texts and window columns, + ``_rk``)."""
+        return facts.fct_base(self.review_texts, self.dim_albums, self._path("fct_base"))
 
     @cached_property
     def fct_windows(self) -> DataFrame:
         """The seventeen window columns per fact row, stored once (small:
         numbers keyed by ``_rk``, plus the row's ids)."""
-        return facts.stored_windows(self.fct_base)
+        return facts.stored_windows(self.fct_base, self._path("fct_windows"))
 
     @cached_property
     def fct_reviews_keyed(self) -> DataFrame:
-        return facts.fct_reviews_keyed(base=self.fct_base, windows=self.fct_windows)
+        return facts.fct_reviews_keyed(self.review_texts, self.fct_base, self.fct_windows)
 
     @cached_property
     def fct_reviews(self) -> DataFrame:

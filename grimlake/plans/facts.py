@@ -1,30 +1,34 @@
 """Fact model ``fct_reviews`` (M5): reviews x albums (J2), row classes
 (C17-C24) and seventeen window columns (W4-W11).
 
-Plan shape, chosen for a fact far larger than memory:
-
-1. ``base`` = scored reviews inner-joined to albums, row-local classes, and
-   a surrogate row key. It is written once (a Parquet table in the shared
-   checkpoint folder): the key is stable, readers prune columns (marts read
-   three), and lineage is cut (lost executors re-read the files instead of
-   recomputing from the raw scan).
-2. All window columns run on an eight-column projection of ``base`` (see
-   ``window_columns``): one score partitioning carries the overall, country,
-   decade and subgenre ranks, shifted by offsets from one (group, score)
-   histogram that also gives the percent ranks and averages; band ranks,
-   averages and counts share one band partitioning (or the distributed cell
-   form when a band is too big for one task); album counts are a grouped
-   table. The result is written once.
-3. One join of the window table back to ``base`` on the row key.
+The review texts are by far the widest part, so they come last:
+
+1. ``review_texts``: scored reviews with a surrogate row key, their row-local
+   classes and a digest of their texts, written where they are read: no shuffle.
+   The key is stable and lineage is cut (lost executors re-read the files).
+   Readers prune columns, so nothing below reads a text again.
+2. ``fct_base``: these rows without texts, inner-joined to their albums, written
+   once. Marts read it.
+3. ``window_columns`` on its ids, groups, score and digest. The rows are
+   range-partitioned once by the whole order of the score ranks (score, review
+   id, album id, digest, key; ``ranks.ordered_cells``), so a frequent score or a
+   million reviews without id are many cells. Overall, country, decade and
+   subgenre ranks are numbers inside a cell, shifted by offsets from one
+   (group, score, cell) histogram that also gives the percent ranks and averages;
+   band ranks, averages and counts share one band partitioning (or the cells
+   when a band is too big for one task); album counts are a grouped table. The
+   result is written once.
+4. ``fct_reviews``: base, windows and texts meet on the row key; the texts are
+   shuffled this one time.
 
 Ties in score order are broken by review id, album id and a digest of the
-review's texts (D6), so the order is total. Means are compared as exact decimal
-sums.
+review's texts (D6), so the order is total up to equal reviews, which the row
+key orders. Means are compared as exact decimal sums.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from grimlake.functions import exprs as X
@@ -93,11 +97,20 @@ def review_classes(df: DataFrame) -> DataFrame:
     })
 
 
-def reviews_base(stg_reviews: DataFrame, dim_albums_df: DataFrame) -> DataFrame:
-    """J2 + C17-C24: scored reviews with their album attributes."""
-    reviews = stg_reviews.where(F.col("score_album").isNotNull())
-    albums = dim_albums_df.select(*ALBUM_COLUMNS_FOR_FACT)
-    return review_classes(reviews.join(albums, "album_id", "inner"))
+TEXTS = ["review_title", "content_review"]
+
+
+def digest(title: str = "review_title", content: str = "content_review") -> Column:
+    return F.md5(F.concat(F.coalesce(title, F.lit("")), F.lit("\x1f"), F.coalesce(content, F.lit(""))))
+
+
+def review_texts(stg_reviews: DataFrame, path: str | None = None) -> DataFrame:
+    """Scored reviews with the row key ``_rk``, row classes and ``_digest``, stored.
+    The key is made by the tasks that write the rows, with no shuffle after it: a
+    task that runs again replaces its own file, keys included. Keys of one file
+    are consecutive."""
+    scored = review_classes(stg_reviews.where(F.col("score_album").isNotNull()))
+    return stored_table(scored.withColumns({"_digest": digest(), "_rk": F.monotonically_increasing_id()}), "review_texts", path)
 
 
 NARROW = ["_rk", "review_id", "album_id", "band_id", "country", "release_decade",
@@ -119,75 +132,55 @@ TIES = ["review_id", "album_id", "_digest"]
 def narrow_rows(base: DataFrame) -> DataFrame:
     """What the window columns need: ids, groups, score and a digest of the
     review's texts."""
-    text = F.concat(F.coalesce("review_title", F.lit("")), F.lit("\x1f"), F.coalesce("content_review", F.lit("")))
-    return base.select(*NARROW, F.col("score_album").cast("double").alias("score_d"), F.md5(text).alias("_digest"))
+    own = F.col("_digest") if "_digest" in base.columns else digest().alias("_digest")
+    return base.select(*NARROW, F.col("score_album").cast("double").alias("score_d"), own)
 
 
 def window_columns(narrow: DataFrame, keep: tuple = ()) -> DataFrame:
     """W4-W11 on the projection (``NARROW`` + ``score_d``); returns ``_rk``
     and the window columns (plus the ``keep`` columns of ``narrow``).
 
-    * The rows are hash-partitioned once by score (and by review-id range
-      when one score alone exceeds a task). Every rank over a few large
-      groups - overall, country, decade, subgenre - is then a window inside
-      that partitioning (rows of one (group, score) are together), shifted
-      by the rows of the group with a better score. Those offsets, the
-      percent ranks and the group averages all come from one grouping-sets
-      histogram of (group, score), broadcast when its measured size allows.
-      No task holds a whole group, and no partition key is needed globally.
+    * Overall, country, decade and subgenre: rows are in range cells of the whole
+      order, dealt by cell once; a rank is the row's number in (group, cell) and
+      the group's rows in earlier cells. Those offsets, the percent ranks and the
+      group averages come from one histogram. No task holds a whole group.
     * Per band: ordinary windows (rank, average, count share one exchange)
-      when the largest band fits a task, else the in-line cell form.
+      when the largest band fits a task, else the cells.
     * Per album: a grouped count joined back.
+
+    Tables that are joined back are stored, so Spark knows their bytes and
+    broadcasts them or not.
     """
-    spark = narrow.sparkSession
-    limit, bcast = ranks.max_rows_per_task(spark), ranks.broadcast_rows_limit(spark)
+    limit = ranks.max_rows_per_task(narrow.sparkSession)
     sd = F.col("score_d")
-    sets = LOW_CARDINALITY + [("band_id",), ("album_id",)]
-    prof = {P: v for (P, _), v in ranks.group_profiles(
-        narrow, [(P, "score_d") for P in sets]).items()}
-    top = prof[()].max_cell
-    buckets = 1 if top <= limit else -(-top // limit) * 4
-    out = narrow
-    cell_cols = ["score_d"]
-    if buckets > 1:
-        splits = ranks.tie_splits(narrow, "review_id", buckets)
-        out = ranks.apply_tie_bucket(out, "review_id", splits, "_tb")
-        cell_cols.append("_tb")
-    out = out.repartition(*cell_cols)
-    for P, name in LOW_RANKS.items():
-        w = Window.partitionBy(*P, *cell_cols).orderBy(*[F.col(t).asc_nulls_last() for t in TIES])
-        out = out.withColumn(f"_l_{name}", F.row_number().over(w))
-    tables = ranks.order_tables(narrow, LOW_CARDINALITY, "score_d")
+    order = [sd.desc_nulls_last(), *[F.col(t).asc_nulls_last() for t in [*TIES, "_rk"]]]
+    cells = ranks.ordered_cells(narrow, order, limit)
+    groups = [P for P in LOW_CARDINALITY if P]
+    histogram = ranks.cell_histogram(cells, groups, "score_d")
+    out = cells.repartition(ranks.CELL)
+    for P in groups:
+        out = out.withColumn(LOW_RANKS[P], ranks.place_in(P))
+    out = out.withColumn(LOW_RANKS[()], F.col(ranks.PLACE) + 1)
     for P in LOW_CARDINALITY:
-        t = tables[P]
-        tag = "_".join(P) or "all"
-        t = t.select(*P, "score_d", *[F.col(c).alias(f"{c}_{tag}") for c in
-                                      ["_before_desc", "_before_asc", "_group_n", "_group_sum"]])
-        out = ranks.attach(out, t, [*P, "score_d"], rows=prof[P].cells)
-        if buckets > 1:
-            # Rows of the same (group, score) in earlier review-id ranges.
-            src = ranks.apply_tie_bucket(narrow, "review_id", splits, "_tb")
-            cells = src.groupBy(*P, "score_d", "_tb").agg(F.count(F.lit(1)).alias("_c"))
-            wv = (Window.partitionBy(*P, "score_d").orderBy("_tb")
-                  .rowsBetween(Window.unboundedPreceding, -1))
-            cells = cells.select(*P, "score_d", "_tb",
-                                 F.coalesce(F.sum("_c").over(wv), F.lit(0)).alias(f"_iv_{tag}"))
-            out = ranks.attach(out, cells, [*P, "score_d", "_tb"], rows=prof[P].cells * buckets)
-        inner = F.col(f"_iv_{tag}") if buckets > 1 else F.lit(0)
-        name = LOW_RANKS[P]
-        out = out.withColumn(name, (F.col(f"_before_desc_{tag}") + inner
-                                    + F.col(f"_l_{name}")).cast("bigint"))
+        name, tag = LOW_RANKS[P], LOW_TAGS[P]
+        table = ranks.cell_table(histogram, groups, P, "score_d").withColumnsRenamed(
+            {"_group_n": f"_n_{tag}", "_group_sum": f"_sum_{tag}"})
+        out = ranks.attach(out, table, [*P, "score_d", ranks.CELL])
+        out = out.withColumn(name, (F.col(name) + F.col("_before")).cast("bigint"))
         if P in LOW_PERCENTS:
-            out = out.withColumn(LOW_PERCENTS[P], ranks.percent_from(
-                F.col(f"_before_asc_{tag}"), F.col(f"_group_n_{tag}")))
-        out = out.withColumnsRenamed({f"_group_n_{tag}": f"_n_{LOW_TAGS[P]}",
-                                      f"_group_sum_{tag}": f"_sum_{LOW_TAGS[P]}"})
-    band = ranks.Work("band_id", "score_d",
-                      ranks.RankSpec.of("band_id", "score_d", True, TIES, "band_score_rank"),
-                      {"_sum_band": F.sum(sd.cast(ranks.EXACT)), "band_total_reviews": F.count(F.lit(1))})
-    album = ranks.Work("album_id", "score_d", None, {"album_total_reviews": F.count(F.lit(1))})
-    out = ranks.partition_columns(out, [band, album], limit=limit, source=narrow)
-    out = out.withColumn("_n_band", F.col("band_total_reviews"))
+            out = out.withColumn(LOW_PERCENTS[P], ranks.percent_from(F.col("_before_asc"), F.col(f"_n_{tag}")))
+        out = out.drop("_before", "_before_asc")
+    sums = {"_sum_band": F.sum(sd.cast(ranks.EXACT)), "band_total_reviews": F.count(F.lit(1))}
+    if ranks.group_profile(narrow, "band_id", "score_d").max_group <= limit:
+        band = Window.partitionBy("band_id")
+        out = out.withColumns({"band_score_rank": F.row_number().over(band.orderBy(ranks.CELL, ranks.PLACE)),
+                               **{name: agg.over(band) for name, agg in sums.items()}})
+    else:
+        out = ranks.cell_ranks(cells, out, "band_id", "band_score_rank")
+        out = ranks.attach(out, stored_table(ranks.group_stats(cells, "band_id", sums), "band_sums"), "band_id")
+    albums = ranks.group_stats(cells, "album_id", {"album_total_reviews": F.count(F.lit(1))})
+    out = ranks.attach(out, stored_table(albums, "album_counts"), "album_id")
+    out = out.withColumns({"_n_band": F.col("band_total_reviews"), "band_score_rank": F.col("band_score_rank").cast("bigint")})
 
     def above(tag: str):  # the score against the exact mean, without dividing
         return X.flag(sd.cast(ranks.EXACT) * F.col(f"_n_{tag}") > F.col(f"_sum_{tag}"))
@@ -212,34 +205,41 @@ def window_columns(narrow: DataFrame, keep: tuple = ()) -> DataFrame:
     )
 
 
-def fct_base(stg_reviews: DataFrame, dim_albums_df: DataFrame, path: str | None = None) -> DataFrame:
-    """Fact rows before the window columns, written once with the row key
-    ``_rk``. Marts read this (they need no window column), so they never
-    re-run the seventeen windows."""
-    base = reviews_base(stg_reviews, dim_albums_df)
-    # The key is made by the tasks that write the rows, with no shuffle after
-    # it: a task that runs again replaces its own file, keys included.
-    return stored_table(base.withColumn("_rk", F.monotonically_increasing_id()), "fct_base", path)
+def fct_base(texts: DataFrame, dim_albums_df: DataFrame, path: str | None = None) -> DataFrame:
+    """The stored reviews with their album attributes, without texts and window
+    columns, written once with ``_rk``. Marts read this, so they never re-run the
+    seventeen windows."""
+    rows = texts.drop(*TEXTS).join(dim_albums_df.select(*ALBUM_COLUMNS_FOR_FACT), "album_id", "inner")
+    return stored_table(rows, "fct_base", path)
 
 
-def stored_windows(base: DataFrame) -> DataFrame:
+def stored_windows(base: DataFrame, path: str | None = None) -> DataFrame:
     """Window columns of every fact row written once, keyed by ``_rk`` and
     carrying the review's ids and score for direct window queries."""
     narrow = narrow_rows(base)
     windows = window_columns(narrow, keep=("review_id", "album_id", "band_id", "score_d"))
-    return stored_table(windows, "fct_windows")
+    return stored_table(windows, "fct_windows", path)
+
+
+def with_texts(rows: DataFrame, texts: DataFrame, columns: list[str] = TEXTS, max_files: int = 1000) -> DataFrame:
+    """``rows`` (with ``_rk``) and their review texts. Keys of one stored file are
+    consecutive: where the rows come from at most ``max_files`` files, only those
+    files' key ranges are read (row groups of others are passed over by their
+    statistics); otherwise the texts are read, and shuffled once, in full."""
+    some = rows.select(F.shiftright("_rk", 33).alias("f")).distinct().limit(max_files + 1).collect()
+    wanted = texts.select("_rk", *columns)
+    if len(some) <= max_files:
+        near = F.lit(False)
+        for f in sorted(r["f"] for r in some):
+            near = near | F.col("_rk").between(f << 33, (f + 1 << 33) - 1)
+        wanted = wanted.where(near)
+    return rows.join(wanted, "_rk")
 
 
-def fct_reviews_keyed(stg_reviews: DataFrame = None, dim_albums_df: DataFrame = None,
-                      base: DataFrame | None = None,
-                      windows: DataFrame | None = None) -> DataFrame:
+def fct_reviews_keyed(texts: DataFrame, base: DataFrame, windows: DataFrame) -> DataFrame:
     """``fct_reviews`` plus its surrogate row key ``_rk``."""
-    if base is None:
-        base = fct_base(stg_reviews, dim_albums_df)
-    if windows is None:
-        windows = window_columns(narrow_rows(base))
-    windows = windows.select("_rk", *WINDOW_COLUMNS)
-    return base.join(windows, "_rk", "inner").select(*FCT_COLUMNS, "_rk")
+    narrow = base.join(windows.select("_rk", *WINDOW_COLUMNS), "_rk", "inner")
+    return narrow.join(texts.select("_rk", *TEXTS), "_rk", "inner").select(*FCT_COLUMNS, "_rk")
 
 
 def with_audit(fct: DataFrame) -> DataFrame:
@@ -249,4 +249,6 @@ def with_audit(fct: DataFrame) -> DataFrame:
 
 
 def fct_reviews(stg_reviews: DataFrame, dim_albums_df: DataFrame) -> DataFrame:
-    return fct_reviews_keyed(stg_reviews, dim_albums_df).select(*FCT_COLUMNS)
+    texts = review_texts(stg_reviews)
+    base = fct_base(texts, dim_albums_df)
+    return fct_reviews_keyed(texts, base, stored_windows(base)).select(*FCT_COLUMNS)

@@ -74,3 +74,29 @@ def test_decimal_means_are_exact(spark):
         assert [got[i].is_above_band_avg for i in range(6)] == [0] * 6
         assert [got[i].is_above_subgenre_avg for i in (10, 11, 12)] == [0, 0, 1]
         assert [got[i].is_above_overall_avg for i in (0, 10, 12)] == [0, 1, 1]
+
+
+def test_a_score_without_review_ids(spark):
+    """Most reviews of one score have no id: the windows stay right with every
+    cell under the limit, and equal plain windows."""
+    rows = [(i, None if i % 8 else i, i % 5, i % 3, "a" if i % 2 else None, f"{1980 + 10 * (i % 4)}s", "x", "t",
+             str(i % 50), "80" if i % 10 else str(50 + i % 40)) for i in range(1500)]
+    base = spark.createDataFrame(rows, "_rk long, review_id long, album_id long, band_id long, country string, "
+                                 "release_decade string, death_metal_subgenre string, review_title string, "
+                                 "content_review string, score string").withColumn(
+        "score_album", F.col("score").cast("decimal(18,3)"))
+    narrow = facts.narrow_rows(base)
+    order = [F.col("score_d").desc(), *[F.col(c).asc_nulls_last() for c in [*facts.TIES, "_rk"]]]
+    spark.conf.set(ranks.MAX_ROWS_CONF, "100")
+    try:
+        cells = ranks.ordered_cells(narrow, order)
+        assert cells.groupBy(ranks.CELL).count().agg(F.max("count")).first()[0] <= 100
+        got = facts.window_columns(narrow, keep=("country",))
+        names = {"overall_score_rank": (), "band_score_rank": ("band_id",), "country_score_rank": ("country",),
+                 "decade_score_rank": ("release_decade",), "subgenre_score_rank": ("death_metal_subgenre",)}
+        want = narrow.select("_rk", *[F.row_number().over(Window.partitionBy(*P).orderBy(*order)).alias(n)
+                                      for n, P in names.items()])
+        key = lambda df: sorted(tuple(r) for r in df.select("_rk", *names).collect())
+        assert key(got) == key(want)
+    finally:
+        spark.conf.unset(ranks.MAX_ROWS_CONF)

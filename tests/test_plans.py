@@ -62,6 +62,55 @@ def test_fact_key_is_fixed_by_the_write(spark):
     assert "monotonically_increasing_id" not in plan
 
 
+def nodes(plan):
+    yield plan
+    children = plan.children()
+    for i in range(children.size()):
+        yield from nodes(children.apply(i))
+
+
+def test_texts_are_shuffled_once_and_last(spark):
+    """Whatever the sizes: no stored table between the texts and the fact holds a
+    text, and the fact's own plan shuffles them once."""
+    from grimlake.plans import facts
+    c = catalog(spark, SF)
+    for table in (c.fct_base, c.fct_windows):
+        assert not set(facts.TEXTS) & set(table.columns)
+    conf = {"spark.sql.adaptive.enabled": "false", "spark.sql.autoBroadcastJoinThreshold": "-1"}
+    before = {k: spark.conf.get(k) for k in conf}
+    try:
+        for k, v in conf.items():
+            spark.conf.set(k, v)
+        # The joins that make the stored tables, too: no exchange below them has a text.
+        rows = c.review_texts.drop(*facts.TEXTS).join(c.dim_albums.select(*facts.ALBUM_COLUMNS_FOR_FACT), "album_id")
+        for df, most in ((rows, 0), (facts.narrow_rows(c.fct_base), 0), (c.fct_reviews_keyed, 1)):
+            plan = df.select("*")._jdf.queryExecution().executedPlan()  # planned anew
+            moved = [n for n in nodes(plan) if n.nodeName() == "Exchange" and "content_review" in n.output().mkString(",")]
+            assert len(moved) == most
+        writes = facts.review_classes(c.stg_reviews)._jdf.queryExecution().executedPlan()
+        source = c.stg_reviews.select("*")._jdf.queryExecution().executedPlan()
+        count = lambda p: sum(n.nodeName() == "Exchange" for n in nodes(p))
+        assert count(writes) == count(source)
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+
+
+def test_texts_of_few_rows_are_read_from_their_files(spark):
+    from pyspark.sql import functions as F
+
+    from grimlake.plans import facts
+    c = catalog(spark, SF)
+    top = c.fct_windows.where("overall_score_rank <= 5").select("_rk", "overall_score_rank")
+    got = facts.with_texts(top, c.review_texts)
+    assert "PushedFilters: [IsNotNull(_rk), " in got._jdf.queryExecution().executedPlan().toString() or \
+        "GreaterThanOrEqual(_rk" in got._jdf.queryExecution().executedPlan().toString()
+    want = c.fct_reviews_keyed.join(top.select("_rk"), "_rk").select("_rk", *facts.TEXTS)
+    rows = lambda df: sorted(map(str, df.select("_rk", *facts.TEXTS).collect()))
+    assert rows(got) == rows(want) == rows(facts.with_texts(top, c.review_texts, max_files=0))
+    assert got.select(F.countDistinct("_rk")).first()[0] == 5
+
+
 def test_checkpoint_folder_is_required_on_a_cluster():
     from types import SimpleNamespace
 

@@ -41,16 +41,42 @@ def test_row_number_frame(spark, data, part, desc, limit):
     assert sorted_rows(got, ["_rk", "rn"]) == sorted_rows(want, ["_rk", "rn"])
 
 
-def test_order_tables_percent_rank_and_mean(spark, data):
-    tables = ranks.order_tables(data, [(), ("grp",)], "score")
+@pytest.mark.parametrize("limit", [10**9, 50])
+def test_cells_rank_percent_rank_and_mean(spark, data, limit):
+    order = [F.col("score").desc_nulls_last(), F.col("tie"), F.col("_rk")]
+    cells = ranks.ordered_cells(data, order, limit)
+    histogram = ranks.cell_histogram(cells, [("grp",)], "score")
     for part in [(), ("grp",)]:
-        got = ranks.attach(data, tables[part], [*part, "score"]).select(
-            "_rk", F.round(ranks.percent_from(F.col("_before_asc"), F.col("_group_n")), 9)
-            .alias("pr"), F.round(F.col("_group_sum").cast("double") / F.col("_group_n"), 9).alias("a"))
+        table = ranks.cell_table(histogram, [("grp",)], part, "score")
+        got = ranks.attach(cells, table, [*part, "score", ranks.CELL]).select(
+            "_rk", (F.col("_before") + ranks.place_in(part)).alias("rn"),
+            F.round(ranks.percent_from(F.col("_before_asc"), F.col("_group_n")), 9).alias("pr"),
+            F.round(F.col("_group_sum").cast("double") / F.col("_group_n"), 9).alias("a"))
         w = Window.partitionBy(*part)
-        want = data.select("_rk", F.round(F.percent_rank().over(w.orderBy("score")), 9).alias("pr"),
+        want = data.select("_rk", F.row_number().over(w.orderBy(*order)).alias("rn"),
+                           F.round(F.percent_rank().over(w.orderBy("score")), 9).alias("pr"),
                            F.round(F.avg("score").over(w), 9).alias("a"))
-        assert sorted_rows(got, ["_rk", "pr", "a"]) == sorted_rows(want, ["_rk", "pr", "a"])
+        assert sorted_rows(got, ["_rk", "rn", "pr", "a"]) == sorted_rows(want, ["_rk", "rn", "pr", "a"])
+    got = ranks.cell_ranks(cells, cells, "grp", "rn").select("_rk", "rn")
+    want = data.select("_rk", F.row_number().over(Window.partitionBy("grp").orderBy(*order)).alias("rn"))
+    assert sorted_rows(got, ["_rk", "rn"]) == sorted_rows(want, ["_rk", "rn"])
+
+
+def test_cells_split_ties_and_nulls(spark):
+    """One score, no review ids, two albums, one digest for half of the rows:
+    cells still hold few rows, and follow each other."""
+    rows = spark.range(6000).select(F.col("id").alias("_rk"), F.lit(80.0).alias("score"), F.lit(None).cast("long").alias("review"),
+                                    (F.col("id") % 2).alias("album"), F.when(F.col("id") % 2 == 0, F.lit("same")).otherwise(
+                                        F.md5(F.col("id").cast("string"))).alias("digest"))
+    order = [F.col("score").desc_nulls_last(), *[F.col(c).asc_nulls_last() for c in ("review", "album", "digest", "_rk")]]
+    cells = ranks.ordered_cells(rows, order, 400)
+    largest = cells.groupBy(ranks.CELL).count().agg(F.max("count")).first()[0]
+    assert largest <= 400
+    by_cell = [r._rk for r in cells.orderBy(ranks.CELL, ranks.PLACE).collect()]
+    assert by_cell == [r._rk for r in rows.orderBy(*order).collect()]
+    places = cells.groupBy(ranks.CELL).agg(F.min(ranks.PLACE).alias("a"), F.max(ranks.PLACE).alias("b"), F.count(F.lit(1)).alias("n"))
+    assert all(r.a == 0 and r.b == r.n - 1 for r in places.collect())
+    assert ranks.ordered_cells(rows.limit(0), order).count() == 0
 
 
 def test_group_stats_null_group(spark, data):

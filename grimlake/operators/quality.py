@@ -12,16 +12,17 @@ Failure counts follow the usual column-test semantics:
 * ``accepted_values`` distinct non-null values outside the list (null passes)
 * ``relationships``   non-null child rows without a parent key (null passes)
 
-All ``not_null`` and ``accepted_values`` checks of one model are evaluated
-in a single aggregation pass over that model.
+All checks of one model but ``unique`` are decided in one scan of it: a row
+yields the ids of the checks that it fails, and only failing rows go on.
 """
 
 from __future__ import annotations
 
+import functools
 from collections.abc import Iterable, Mapping
 from dataclasses import dataclass, field, replace
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from grimlake.functions import rules as R
@@ -124,54 +125,115 @@ def failing_rows(check: Check, models: Mapping[str, DataFrame]) -> DataFrame:
     raise ValueError(f"unknown check kind {check.kind!r}")
 
 
-def _row(check: Check, failures) -> list:
-    return [F.lit(check.check_id).alias("check_id"), F.lit(check.model).alias("model"),
-            F.lit(check.column).alias("column_name"), F.lit(check.kind).alias("test"),
-            F.lit(check.severity).alias("severity"), failures.cast("bigint").alias("failures")]
+FAILED = "_failed"
+#: Row checks are decided by a row alone (and the parents' keys); a unique check by all rows of a value.
+ROW_KINDS = ("not_null", "accepted_values", "relationships")
+
+
+def by_model(checks: Iterable[Check]) -> dict[str, list[Check]]:
+    out: dict[str, list[Check]] = {}
+    for ch in checks:
+        out.setdefault(ch.model, []).append(ch)
+    return out
+
+
+def marked(df: DataFrame, checks: Iterable[Check], models: Mapping[str, DataFrame]) -> DataFrame:
+    """``df`` with the array ``_failed`` of (check_id, value) of the row checks that
+    a row fails: all checks of a model in one scan. A relationship is a left
+    join with the parent's distinct keys."""
+    marks, out = [], df
+    for i, ch in enumerate(checks):
+        c = F.col(f"`{ch.column}`")
+        if ch.kind == "not_null":
+            fails = c.isNull()
+        elif ch.kind == "accepted_values":
+            fails = ~c.isin(*ch.values)
+        else:
+            key = f"_parent_{i}"
+            parent = models[ch.to_model].select(F.col(ch.to_column).alias(key)).where(F.col(key).isNotNull()).distinct()
+            out = out.join(parent, out[ch.column] == parent[key], "left")
+            fails = c.isNotNull() & F.col(key).isNull()
+        marks.append(F.when(fails, F.struct(F.lit(ch.check_id).alias("check_id"), c.cast("string").alias("value"))))
+    every = F.filter(F.array(*marks), lambda x: x.isNotNull())
+    return out.withColumn(FAILED, every).select(*df.columns, FAILED).where(F.size(FAILED) > 0)
+
+
+def repeated(check: Check, models: Mapping[str, DataFrame]) -> DataFrame:
+    """(check_id, value, n) of the values that a unique check rejects."""
+    return failing_rows(check, models).select(
+        F.lit(check.check_id).alias("check_id"), F.col(check.column).cast("string").alias("value"),
+        F.col("n_records").alias("n"))
+
+
+def failing_values(models: Mapping[str, DataFrame], checks: Iterable[Check] = DECLARED_CHECKS) -> DataFrame:
+    """(check_id, value, n): each rejected value as text (null for not_null checks)
+    and its number of rows; one scan of a model for all its row checks."""
+    parts: list[DataFrame] = []
+    for model, group in by_model(checks).items():
+        own = [ch for ch in group if ch.kind in ROW_KINDS]
+        if own:
+            found = marked(models[model], own, models).select(F.explode(FAILED).alias("_f"))
+            parts.append(found.groupBy("_f.check_id", "_f.value").agg(F.count(F.lit(1)).alias("n")))
+        parts += [repeated(ch, models) for ch in group if ch.kind == "unique"]
+    return functools.reduce(DataFrame.unionByName, parts)
+
+
+def counted(values: DataFrame, checks: list[Check]) -> DataFrame:
+    """One row per check from the rejected values: for unique and accepted-values
+    checks the number of values, for the others of rows."""
+    totals = values.groupBy("check_id").agg(F.sum("n").alias("_rows"), F.count(F.lit(1)).alias("_values"))
+    meta = F.array(*[F.struct(*[F.lit(x).alias(n) for n, x in zip(
+        SUMMARY_COLUMNS, (c.check_id, c.model, c.column, c.kind, c.severity))]) for c in checks])
+    declared = values.sparkSession.range(1).select(F.explode(meta).alias("_c")).select("_c.*")
+    of_values = F.col("test").isin("unique", "accepted_values")
+    return declared.join(totals, "check_id", "left").select(
+        *SUMMARY_COLUMNS[:-1], F.coalesce(F.when(of_values, F.col("_values")).otherwise(F.col("_rows")), F.lit(0))
+        .cast("bigint").alias("failures"))
 
 
 def summary(models: Mapping[str, DataFrame], checks: Iterable[Check] = DECLARED_CHECKS,
             kinds: Iterable[str] | None = None) -> DataFrame:
     """One row per check: id, model, column, test, severity, failures."""
     checks = [c for c in checks if kinds is None or c.kind in set(kinds)]
-    parts: list[DataFrame] = []
-    by_model: dict[str, list[Check]] = {}
-    for ch in checks:
-        if ch.kind in ("not_null", "accepted_values"):
-            by_model.setdefault(ch.model, []).append(ch)
-    for model, group in by_model.items():
-        aggs = []
-        for i, ch in enumerate(group):
-            c = F.col(ch.column)
-            if ch.kind == "not_null":
-                aggs.append(F.count_if(c.isNull()).alias(f"_f{i}"))
-            else:
-                aggs.append(F.count_distinct(F.when(~c.isin(*ch.values), c)).alias(f"_f{i}"))
-        counts = models[model].agg(*aggs)
-        # One pass per model; its single row is exploded into one row per check.
-        per_check = F.array(*[F.struct(*_row(ch, F.col(f"_f{i}"))) for i, ch in enumerate(group)])
-        parts.append(counts.select(F.explode(per_check).alias("_c")).select("_c.*"))
-    for ch in checks:
-        if ch.kind in ("unique", "relationships"):
-            fails = failing_rows(ch, models).agg(F.count(F.lit(1)).alias("_f"))
-            parts.append(fails.select(*_row(ch, F.col("_f"))))
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out
+    return counted(failing_values(models, checks), checks)
+
+
+UNIQUE = "unique_values"
 
 
 def store_failures(models: Mapping[str, DataFrame], base_path: str,
                    checks: Iterable[Check] = DECLARED_CHECKS) -> dict[str, str]:
-    """Q5: write each check's failing rows (replace mode) under ``base_path``."""
-    paths = {}
-    for ch in checks:
-        path = f"{base_path.rstrip('/')}/{ch.check_id}"
-        failing_rows(ch, models).write.mode("overwrite").parquet(path)
-        paths[ch.check_id] = path
+    """Q5: write the failing rows (replace mode) under ``base_path``: a table per
+    model, partitioned by check, from one scan of the model (a row that fails
+    several checks is in several partitions); the repeated values of the unique
+    checks are a table of their own. Returns each check's folder, which is
+    missing where nothing failed."""
+    base, paths, checks = base_path.rstrip("/"), {}, list(checks)
+    for model, group in by_model([c for c in checks if c.kind in ROW_KINDS]).items():
+        rows = marked(models[model], group, models).withColumn("_f", F.explode(FAILED)).select(
+            *[f"`{c}`" for c in models[model].columns], F.col("_f.value").alias("failed_value"), F.col("_f.check_id"))
+        rows.write.mode("overwrite").partitionBy("check_id").parquet(f"{base}/{model}")
+        paths |= {c.check_id: f"{base}/{model}/check_id={c.check_id}" for c in group}
+    unique = [c for c in checks if c.kind == "unique"]
+    if unique:
+        values = functools.reduce(DataFrame.unionByName, [repeated(c, models) for c in unique])
+        values.write.mode("overwrite").partitionBy("check_id").parquet(f"{base}/{UNIQUE}")
+        paths |= {c.check_id: f"{base}/{UNIQUE}/check_id={c.check_id}" for c in unique}
     return paths
 
 
+def stored_summary(spark: SparkSession, base_path: str, checks: Iterable[Check] = DECLARED_CHECKS) -> DataFrame:
+    """The summary, counted from stored failing rows: no model is read again."""
+    base, checks, parts = base_path.rstrip("/"), list(checks), []
+    for model in by_model([c for c in checks if c.kind in ROW_KINDS]):
+        rows = spark.read.schema("failed_value string, check_id string").parquet(f"{base}/{model}")
+        parts.append(rows.groupBy("check_id", F.col("failed_value").alias("value")).agg(F.count(F.lit(1)).alias("n")))
+    if any(c.kind == "unique" for c in checks):
+        parts.append(spark.read.schema("value string, n long, check_id string").parquet(f"{base}/{UNIQUE}").select(
+            "check_id", "value", "n"))
+    return counted(functools.reduce(DataFrame.unionByName, parts), checks)
+
+
 class QualityError(RuntimeError):
     pass
 

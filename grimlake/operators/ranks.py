@@ -428,12 +428,15 @@ def lag_over(df: DataFrame, partition: Sequence[str] | str, order: Sequence[str]
     a cell are counted as one. The lag is a window inside a cell, and a cell's
     first row takes the last value of the cell before, from the table of
     cells. A group of any size is spread over its cells; ``limit`` (rows per
-    cell, about) only moves their bounds.
+    cell, about) only moves their bounds. ``df`` is read more than once: it should
+    be stored, and hold few columns.
     """
     limit = limit or max_rows_per_task(df.sparkSession)
     P, lead, tie, value = _cols(partition), list(order[:-2]), order[-2], order[-1]
-    biggest = (df.groupBy(*P, *lead).agg(F.count(F.lit(1)).alias("n"))
-               .agg(F.coalesce(F.max("n"), F.lit(0)).alias("n")).first()["n"])
+    biggest = df.count()  # of stored rows: from the files' footers
+    if biggest > limit:
+        biggest = (df.groupBy(*P, *lead).agg(F.count(F.lit(1)).alias("n"))
+                   .agg(F.coalesce(F.max("n"), F.lit(0)).alias("n")).first()["n"])
     dealt = apply_tie_bucket(df, tie, tie_splits(df, tie, max(1, -(-int(biggest) // limit))))
     cell = [*P, *lead, TIE_BUCKET]
     inner = [F.col(tie).asc_nulls_last(), F.col(value).asc_nulls_last()]

@@ -236,10 +236,15 @@ def with_texts(rows: DataFrame, texts: DataFrame, columns: list[str] = TEXTS, ma
     return rows.join(wanted, "_rk")
 
 
+def fct_narrow(base: DataFrame, windows: DataFrame) -> DataFrame:
+    """``fct_reviews`` without texts, with ``_rk``."""
+    return base.join(windows.select("_rk", *WINDOW_COLUMNS), "_rk", "inner").select(
+        "_rk", *[c for c in FCT_COLUMNS if c not in TEXTS])
+
+
 def fct_reviews_keyed(texts: DataFrame, base: DataFrame, windows: DataFrame) -> DataFrame:
     """``fct_reviews`` plus its surrogate row key ``_rk``."""
-    narrow = base.join(windows.select("_rk", *WINDOW_COLUMNS), "_rk", "inner")
-    return narrow.join(texts.select("_rk", *TEXTS), "_rk", "inner").select(*FCT_COLUMNS, "_rk")
+    return fct_narrow(base, windows).join(texts.select("_rk", *TEXTS), "_rk", "inner").select(*FCT_COLUMNS, "_rk")
 
 
 def with_audit(fct: DataFrame) -> DataFrame:

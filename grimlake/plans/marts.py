@@ -25,6 +25,7 @@ from grimlake.functions import exprs as X
 from grimlake.functions import rules as R
 from grimlake.operators import ranks
 from grimlake.operators.joins import left_join_split
+from grimlake.sources.stage import stored_table
 
 
 def _score() -> F.Column:
@@ -165,21 +166,28 @@ CAREER_COLUMNS = [
 ]
 
 
+CAREER_ALBUM = ["album_id", "band_id", "band_name", "band_career_phase", "album_number_in_discography",
+                "years_since_formation", "album_title", "album_year"]
+
+
 def career_analysis(dim_albums: DataFrame, fct: DataFrame) -> DataFrame:
     """One row per (album, review). ``lag`` by band in (year, album_id,
-    review_id, score) order (``ranks.lag_over``); the band's average and best
-    score are a grouped table joined back."""
-    albums = dim_albums.select(
-        "album_id", "band_id", "band_name", "band_career_phase",
-        "album_number_in_discography", "years_since_formation", "album_title", "album_year")
+    review_id, score) order (``ranks.lag_over``) on stored rows of ids, year and
+    score; the albums' texts are attached afterwards, by a hash of the album
+    row (albums that are repeated in full are so in the rows already). The band's
+    average and best score are a grouped table joined back."""
+    albums = dim_albums.select(*CAREER_ALBUM)
+    albums = albums.withColumn("_album", F.xxhash64(*[x for c in CAREER_ALBUM for x in (F.col(c), F.col(c).isNull())]))
     reviews = fct.where(F.col("score_album").isNotNull()).select(
         "album_id", "review_id", _score().alias("score_album"))
-    rows = albums.join(reviews, "album_id", "inner")
+    rows = stored_table(albums.select("band_id", "album_year", "album_id", "_album").join(reviews, "album_id", "inner"),
+                        "career_rows")
     best = ranks.group_stats(rows, "band_id", {
         "band_avg_score": F.avg("score_album"), "_band_max": F.max("score_album")})
     rows = ranks.lag_over(rows, "band_id", ["album_year", "album_id", "review_id", "score_album"],
                           "previous_album_score")
-    rows = ranks.attach(rows, best, "band_id")
+    rows = ranks.attach(rows.drop("album_year", "album_id"), stored_table(best, "career_bands"), "band_id")
+    rows = rows.drop("band_id").join(albums.distinct(), "_album")
     s, prev = F.col("score_album"), F.col("previous_album_score")
     n = F.col("album_number_in_discography")
     return rows.select(

@@ -417,6 +417,12 @@ def _check_relationships(c: Catalog) -> DataFrame:
     return _checks(c, "relationships")
 
 
+@register("failing_rows")
+def _failing_rows(c: Catalog) -> DataFrame:
+    """Every check's rejected values and their rows."""
+    return quality.failing_values(c.models())
+
+
 # ---- sources and sinks (S1-S10, S13) ------------------------------------------------
 @register("csv_roundtrip")
 def _csv_roundtrip(c: Catalog) -> DataFrame:

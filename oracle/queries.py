@@ -174,6 +174,27 @@ for _kind, _name in [("not_null", "check_not_null"), ("unique", "check_unique"),
                      ("relationships", "check_relationships")]:
     q(_name, _check_sql(_kind))
 
+
+
+def _failing_sql() -> str:
+    from grimlake.operators.quality import DECLARED_CHECKS
+    cte_of = {"stg_metal_bands": "stg_bands", "stg_metal_albums": "stg_albums",
+              "stg_metal_reviews": "stg_reviews", "int_metal_bands_parsed": "parsed"}
+    parts = []
+    for ch in DECLARED_CHECKS:
+        m, col = cte_of.get(ch.model, ch.model), ch.column
+        vals = ", ".join("'" + v.replace("'", "''") + "'" for v in ch.values)
+        bad = {"not_null": f"{col} IS NULL", "unique": f"{col} IS NOT NULL", "accepted_values": f"{col} NOT IN ({vals})",
+               "relationships": f"{col} IS NOT NULL AND {col} NOT IN (SELECT {ch.to_column} FROM "
+                                f"{cte_of.get(ch.to_model, ch.to_model)} WHERE {ch.to_column} IS NOT NULL)"}[ch.kind]
+        more = "HAVING count(*) > 1" if ch.kind == "unique" else ""
+        parts.append(f"SELECT '{ch.check_id}' AS check_id, CAST({col} AS VARCHAR) AS value, count(*) AS n FROM {m} "
+                     f"WHERE {bad} GROUP BY {col} {more}")
+    return "\nUNION ALL\n".join(parts)
+
+
+q("failing_rows", _failing_sql())
+
 # ---- sources -------------------------------------------------------------------------
 q("csv_roundtrip", "SELECT review_id, album_id, review_title, CAST(score_album AS DOUBLE) AS score_album, "
                    "content_review FROM stg_reviews")

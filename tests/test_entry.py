@@ -23,7 +23,7 @@ def test_registry_matches_oracle():
     qs, sqls = E.queries(), E.oracle_sql()
     assert set(sqls) <= set(qs)
     from grimlake.plans.registry import REGISTRY
-    assert set(REGISTRY) <= set(sqls) and len(REGISTRY) == 58
+    assert set(REGISTRY) <= set(sqls) and len(REGISTRY) >= 58
 
 
 def test_entry_runs(spark):

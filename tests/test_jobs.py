@@ -31,7 +31,7 @@ def test_load_build_check(spark):
     assert by_id["unique__dim_bands__band_id"] == 0
     for name in ["dim_bands", "dim_albums", "stg_metal_reviews", "subgenre_analysis"]:
         assert spark.read.parquet(f"{work}/out/models/{name}").count() > 0
-    assert os.path.isdir(f"{work}/out/test_failures/not_null__dim_bands__country")
+    assert os.path.isdir(f"{work}/out/test_failures/dim_bands/check_id=not_null__dim_bands__country")
     assert spark.table("temporal_analysis").count() > 0
     # Every model answers SQL by its name.
     analyst_sql = [

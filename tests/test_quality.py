@@ -48,3 +48,51 @@ def test_enforce_raises_on_error(spark):
     except quality.QualityError:
         return
     raise AssertionError("expected a QualityError")
+
+
+def failing_case(spark):
+    parent = spark.createDataFrame([(1,), (2,), (2,), (None,)], "id long")
+    rows = [(1, "ok", "x"), (3, "bad", None), (None, None, "y"), (3, "zzz", "z"), (4, "zzz", "z")]
+    child = spark.createDataFrame(rows, "pid long, label string, note string")
+    checks = [Check("parent", "id", "not_null"), Check("parent", "id", "unique"),
+              Check("child", "label", "accepted_values", values=("ok", "bad")),
+              Check("child", "pid", "relationships", to_model="parent", to_column="id"),
+              Check("child", "pid", "not_null"), Check("child", "note", "not_null")]
+    return {"parent": parent, "child": child}, checks
+
+
+def test_failing_values_and_stored_rows(spark, tmp_path):
+    models, checks = failing_case(spark)
+    got = list((r.check_id, r.value, r.n) for r in quality.failing_values(models, checks).collect())
+    assert sorted(got, key=str) == sorted([("not_null__parent__id", None, 1), ("unique__parent__id", "2", 2),
+                          ("accepted_values__child__label", "zzz", 2), ("relationships__child__pid__parent", "3", 2),
+                          ("relationships__child__pid__parent", "4", 1), ("not_null__child__pid", None, 1),
+                          ("not_null__child__note", None, 1)], key=str)
+    paths = quality.store_failures(models, str(tmp_path), checks)
+    assert set(paths) == {c.check_id for c in checks}
+    bad = spark.read.parquet(paths["relationships__child__pid__parent"])
+    assert sorted(((r.pid, r.label, r.note) for r in bad.collect()), key=str) == [(3, "bad", None), (3, "zzz", "z"), (4, "zzz", "z")]
+    key = lambda df: sorted(map(tuple, df.collect()))
+    assert key(quality.stored_summary(spark, str(tmp_path), checks)) == key(quality.summary(models, checks))
+    counts = {r.check_id: r.failures for r in quality.summary(models, checks).collect()}
+    assert counts["relationships__child__pid__parent"] == 3 and counts["accepted_values__child__label"] == 1
+    # A later clean run replaces what was stored.
+    clean = {"parent": models["parent"].where("id = 1"), "child": models["child"].limit(0)}
+    quality.store_failures(clean, str(tmp_path), checks)
+    assert {r.failures for r in quality.stored_summary(spark, str(tmp_path), checks).collect()} == {0}
+
+
+def test_a_model_is_scanned_once_for_all_its_row_checks(spark, tmp_path):
+    models, checks = failing_case(spark)
+    models["child"].write.parquet(f"{tmp_path}/child")
+    models["child"] = spark.read.parquet(f"{tmp_path}/child")
+    own = [c for c in checks if c.model == "child"]
+    plan = quality.failing_values(models, own)._jdf.queryExecution().executedPlan().toString()
+    scans = [x for x in plan.splitlines() if "FileScan" in x and f"{tmp_path}/child" in x]
+    assert len(scans) == 1 and "Expand" not in plan
+
+
+def test_no_check_query_expands(spark):
+    from grimlake.plans.registry import catalog
+    models = catalog(spark, "/root/testdata/sf0.001").models()
+    assert "Expand" not in quality.summary(models)._jdf.queryExecution().executedPlan().toString()

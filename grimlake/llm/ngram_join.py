@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from grimlake.llm.common import id_as_text, id_key, pick_rows, row_hash, stored, text_or_empty
+from grimlake.llm.common import drop_stored, id_as_text, id_key, pick_rows, row_hash, stored, text_or_empty
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
 LOWER = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
@@ -34,8 +34,8 @@ SHINGLE = 3
 #: Similarity as a fraction: 100 * common >= 90 * union.
 SIMILAR, OF = 90, 100
 #: Classes and shingles that one block of a cluster holds at most, about.
-BLOCK_DOCS = 4096
-BLOCK_SHINGLES = 4_000_000
+BLOCK_DOCS = 8192
+BLOCK_SHINGLES = 6_000_000
 #: A size class spans this power of 1 / similarity.
 SPAN = 2
 CHUNK_CHARS = 4_000_000
@@ -58,7 +58,8 @@ def mixed(x: np.ndarray, salt: int = 0) -> np.ndarray:
 
 
 class Words:
-    """Stable 64-bit hashes of words, kept between texts up to a bound."""
+    """Stable 64-bit hashes of words in lower case, kept between texts up to a
+    bound: words seen before are neither lowered nor hashed again."""
 
     KEPT = 800_000
 
@@ -71,7 +72,8 @@ class Words:
             if len(self.seen) > self.KEPT:
                 self.seen.clear()
                 new = list(set(words))
-            values = pd.util.hash_array(np.array(new, object), categorize=False)
+            lower = "\n".join(new).translate(LOWER).split("\n")  # no word holds a line end
+            values = pd.util.hash_array(np.array(lower, object), categorize=False)
             self.seen.update(zip(new, values.tolist()))
         return np.fromiter(map(self.seen.__getitem__, words), np.uint64, len(words))
 
@@ -86,12 +88,30 @@ def windows(h: np.ndarray, n: int) -> np.ndarray:
     return out
 
 
-def shingle_set(text: str, words: Words, shingle: int) -> np.ndarray:
-    """Sorted distinct shingle hashes; a shorter text is one shingle, an empty one none."""
-    h = words.hashes(WORD.findall(text.translate(LOWER)))
-    if not len(h):
-        return h
-    return np.unique(windows(h, min(shingle, len(h))) + np.uint64(min(shingle, len(h)) % shingle))
+def shingle_sets(texts: list[str], words: Words, shingle: int) -> list[np.ndarray]:
+    """Per text the sorted distinct shingle hashes; a shorter text is one shingle,
+    an empty one none. The words of all texts are handled as one array."""
+    lists = [WORD.findall(t) for t in texts]
+    h = words.hashes([w for x in lists for w in x])
+    size = np.fromiter(map(len, lists), np.int64, len(lists))
+    end = np.cumsum(size)
+    n_sets = np.where(size >= shingle, size - shingle + 1, np.minimum(size, 1))
+    out_end = np.cumsum(n_sets)
+    flat = np.zeros(int(n_sets.sum()), np.uint64)
+    long_ = size >= shingle
+    # Windows over the whole array, but those that begin near a text's end.
+    every = windows(h, shingle)
+    start = np.repeat(end - size - (out_end - n_sets), n_sets) + np.arange(len(flat))
+    at = np.repeat(long_, n_sets)
+    flat[at] = every[start[at]]
+    for i in np.flatnonzero((size > 0) & ~long_):
+        flat[out_end[i] - 1] = windows(h[end[i] - size[i]:end[i]], int(size[i]))[0] + np.uint64(size[i])
+    for a, b in zip((out_end - n_sets).tolist(), out_end.tolist()):
+        flat[a:b].sort()
+    first = np.r_[True, flat[1:] != flat[:-1]][:len(flat)]
+    first[(out_end - n_sets)[n_sets > 0]] = True
+    kept = np.r_[0, np.cumsum(first)]
+    return np.split(flat[first], kept[out_end[:-1]]) if len(texts) else []
 
 
 def max_difference(a: int, similar: int, of: int) -> int:
@@ -170,9 +190,12 @@ def signatures(sets: list[np.ndarray], similar: int, of: int) -> tuple[np.ndarra
     return np.concatenate(out_owner), np.concatenate(out_sig)
 
 
-def set_name(s: np.ndarray) -> int:
-    """A set's 64-bit name: equal sets have equal names."""
-    return int(mixed(mixed(s, 6).sum(dtype=np.uint64).reshape(1) + np.uint64(len(s)), 7).view(np.int64)[0])
+def set_names(sets: list[np.ndarray]) -> np.ndarray:
+    """Each set's 64-bit name: equal sets have equal names."""
+    size = np.array([len(s) for s in sets], np.int64)
+    sums = np.r_[np.uint64(0), np.cumsum(mixed(np.concatenate(sets), 6), dtype=np.uint64)] if len(sets) else np.zeros(1, np.uint64)
+    end = np.cumsum(size)
+    return mixed(sums[end] - sums[end - size] + size.astype(np.uint64), 7).view(np.int64)
 
 
 def local_components(who: np.ndarray, sig: np.ndarray, n: int) -> np.ndarray:
@@ -200,7 +223,7 @@ def parts_of(frames: Iterator[pd.DataFrame], shingle: int, chars: int = CHUNK_CH
     for frame in frames:
         size = frame["text"].str.len().cumsum() // chars
         for _, part in frame.groupby(size, sort=False):
-            yield part, [shingle_set(t, words, shingle) for t in part["text"]]
+            yield part, shingle_sets(part["text"].tolist(), words, shingle)
 
 
 def named(rows: DataFrame, shingle: int) -> DataFrame:
@@ -208,7 +231,7 @@ def named(rows: DataFrame, shingle: int) -> DataFrame:
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for part, sets in parts_of(frames, shingle):
-            yield part[["doc_id", "k", "h"]].assign(n=[len(s) for s in sets], node=[set_name(s) for s in sets])
+            yield part[["doc_id", "k", "h"]].assign(n=[len(s) for s in sets], node=set_names(sets))
 
     return rows.mapInPandas(run, "doc_id string, k long, h long, n long, node long")
 
@@ -222,7 +245,7 @@ def shared_signatures(rows: DataFrame, shingle: int, similar: int, of: int) -> D
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for _, sets in parts_of(frames, shingle, SIGNATURE_CHARS):
-            by_name = {set_name(s): s for s in sets if len(s)}
+            by_name = {v: s for v, s in zip(set_names(sets).tolist(), sets) if len(s)}
             if not by_name:
                 continue
             node = np.array(sorted(by_name), np.int64)
@@ -255,7 +278,7 @@ def components(links: DataFrame, name: str) -> DataFrame:
                   .distinct(), f"{name}-links")
     labels = both.groupBy("a").agg(F.min("b").alias("m")).select(
         F.col("a").alias("node"), F.least("a", "m").alias("component"))
-    labels = stored(labels, f"{name}-labels")
+    before = labels = stored(labels, f"{name}-labels")
     while True:
         near = (both.join(labels, F.col("b") == F.col("node")).groupBy("a").agg(F.min("component").alias("m"))
                 .select(F.col("a").alias("node"), "m"))
@@ -264,8 +287,10 @@ def components(links: DataFrame, name: str) -> DataFrame:
         jump = labels.select(F.col("node").alias("to"), F.col("component").alias("further"))
         step = stored(step.join(jump, "to").select(
             "node", F.least("to", "further").alias("component"), "changed"), f"{name}-labels")
-        labels = step.select("node", "component")
+        drop_stored(before)
+        before, labels = step, step.select("node", "component")
         if not step.filter("changed").limit(1).count():
+            drop_stored(both)
             return labels
 
 
@@ -379,7 +404,7 @@ def cluster_links(rows: DataFrame, classes: DataFrame, clusters: DataFrame, shin
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for part, sets in parts_of(frames, shingle):
-            mine = [set_name(s) for s in sets]
+            mine = set_names(sets)
             out = part.drop(columns="text").assign(shingles=[s.tobytes() for s in sets])
             yield out[out["node"] == mine]
 
@@ -429,6 +454,7 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
         first, F.min("k").alias("k"), F.max("n").alias("n"), F.count(F.lit(1)).alias("copies")), "op3-classes")
     near = stored(shared_signatures(base, shingle, similar, of), "op3-near")
     clusters = components(near, "op3-near")
+    drop_stored(near)
     found = stored(cluster_links(base, classes, clusters, shingle, similar, of, block_docs, block_shingles), "op3-links")
     linked = components(found, "op3-found")
     n_links = found.groupBy(F.col("a").alias("node")).agg(F.sum("links").alias("links"))

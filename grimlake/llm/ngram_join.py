@@ -27,6 +27,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from grimlake.llm.common import drop_stored, id_as_text, id_key, pick_rows, row_hash, stored, text_or_empty
+from grimlake.llm.piece_tokens import chunks
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
 LOWER = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
@@ -40,6 +41,7 @@ BLOCK_SHINGLES = 6_000_000
 SPAN = 2
 CHUNK_CHARS = 4_000_000
 SIGNATURE_CHARS = 16_000_000
+WORD_CHARS = 500_000
 #: Bits of signatures and class names that are exchanged to find clusters: two
 #: that agree in them only put more into one cluster.
 LABEL = (1 << 48) - 1
@@ -61,7 +63,7 @@ class Words:
     """Stable 64-bit hashes of words in lower case, kept between texts up to a
     bound: words seen before are neither lowered nor hashed again."""
 
-    KEPT = 800_000
+    KEPT = 400_000
 
     def __init__(self):
         self.seen: dict[str, int] = {}
@@ -223,7 +225,9 @@ def parts_of(frames: Iterator[pd.DataFrame], shingle: int, chars: int = CHUNK_CH
     for frame in frames:
         size = frame["text"].str.len().cumsum() // chars
         for _, part in frame.groupby(size, sort=False):
-            yield part, shingle_sets(part["text"].tolist(), words, shingle)
+            # Words of few texts at a time are held as strings.
+            texts = part["text"].tolist()
+            yield part, [s for a, b in chunks(texts, WORD_CHARS) for s in shingle_sets(texts[a:b], words, shingle)]
 
 
 def named(rows: DataFrame, shingle: int) -> DataFrame:

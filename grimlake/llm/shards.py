@@ -65,11 +65,14 @@ def mix(x: np.ndarray) -> np.ndarray:
 
 
 def rolling(h: np.ndarray, n: int) -> np.ndarray:
-    """Hash of every ``n`` consecutive entries of ``h``."""
+    """Hash of every ``n`` consecutive entries of ``h``: a polynomial, made by doubling."""
     if len(h) < n:
         return np.zeros(0, np.uint64)
-    out = h[:len(h) - n + 1].copy()
-    for k in range(1, n):
-        out *= PRIME
-        out += h[k:len(h) - n + 1 + k]
+    out, length, power = h, 1, int(PRIME)
+    for bit in bin(n)[3:]:
+        out = out[:len(out) - length] * np.uint64(power) + out[length:]
+        length, power = 2 * length, power * power % 2**64
+        if bit == "1":
+            out = out[:len(out) - 1] * PRIME + h[length:]
+            length, power = length + 1, power * int(PRIME) % 2**64
     return mix(out)

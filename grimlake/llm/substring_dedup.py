@@ -16,6 +16,8 @@ covers it also starts in a document with a smaller id.
 
 from __future__ import annotations
 
+from itertools import chain, compress
+
 import ahocorasick
 import numpy as np
 import pandas as pd
@@ -24,7 +26,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from grimlake.llm.common import id_as_text
-from grimlake.llm.shards import WORD, Vocabulary, rolling, sharded
+from grimlake.llm.shards import rolling, sharded
 
 WINDOW = 13
 ANCHOR = 5
@@ -34,40 +36,48 @@ LAST = 2**63 - 1
 
 
 class Shard:
-    """The windows of one shard's documents: hash, order key and place."""
+    """The windows of one shard's documents: hash, order key and place. The words
+    of all documents are one array; windows that reach into the next document
+    are left out."""
 
     def __init__(self, frame: pd.DataFrame, window: int, anchor: int):
         self.window = window
-        self.words = [WORD.findall(t) for t in frame["text"]]
-        vocabulary = Vocabulary()
-        self.numbers = [vocabulary.number(w) for w in self.words]
+        # The white space at which bytes are split is that of the words.
+        self.words = [t.encode().split() for t in frame["text"]]
         self.order = frame["o"].to_numpy(np.int64)
-        h = vocabulary.hashes()
-        hashes, anchors, docs, starts = [], [], [], []
-        for i, numbers in enumerate(self.numbers):
-            if len(numbers) < window:
-                continue
-            own = h[numbers]
-            hashes.append(rolling(own, window))
-            grams = rolling(own, anchor)
-            n = len(hashes[-1])
-            least = grams[:n].copy()
-            for k in range(1, window - anchor + 1):
-                np.minimum(least, grams[k:n + k], out=least)
-            anchors.append(least)
-            docs.append(np.full(n, i))
-            starts.append(np.arange(n))
-        join = lambda x, kind: np.concatenate(x) if x else np.zeros(0, kind)
-        self.hash, self.anchor = join(hashes, np.uint64), join(anchors, np.uint64)
-        self.doc, self.start = join(docs, np.int64), join(starts, np.int64)
+        every = np.empty(sum(map(len, self.words)), object)
+        every[:] = list(chain.from_iterable(self.words))
+        numbers, distinct = pd.factorize(every)
+        size = np.array([len(w) for w in self.words], np.int64)
+        end = np.cumsum(size)
+        self.numbers = [numbers[b - n:b] for n, b in zip(size, end)]
+        own = pd.util.hash_array(distinct, categorize=False)[numbers] if len(distinct) else np.zeros(0, np.uint64)
+        doc = np.repeat(np.arange(len(size)), size)
+        at = np.flatnonzero(doc[:max(0, len(doc) - window + 1)] == doc[window - 1:])
+        self.hash = rolling(own, window)[at]
+        self.anchor = least_of(rolling(own, anchor), window - anchor + 1)[at]
+        self.doc, self.start = doc[at], at - (end - size)[doc[at]]
+
+
+def least_of(x: np.ndarray, n: int) -> np.ndarray:
+    """Smallest of every ``n`` consecutive entries, by doubling."""
+    if len(x) < n:
+        return x[:0]
+    out, have = x, 1
+    while have < n:
+        step = min(have, n - have)
+        out, have = np.minimum(out[:len(out) - step], out[step:]), have + step
+    return out
 
 
 def smallest(keys: np.ndarray, values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Distinct keys, sorted, with the smallest value of each."""
-    order = np.lexsort((values, keys))
-    keys, values = keys[order], values[order]
-    first = np.r_[True, keys[1:] != keys[:-1]] if len(keys) else np.zeros(0, bool)
-    return keys[first], values[first]
+    if not len(keys):
+        return keys, values
+    order = np.argsort(keys)
+    keys = keys[order]
+    first = np.flatnonzero(np.r_[True, keys[1:] != keys[:-1]])
+    return keys[first], np.minimum.reduceat(values[order], first)
 
 
 def member(x: np.ndarray, sorted_keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -184,8 +194,7 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
         return pd.DataFrame({
             "doc_id": frame["doc_id"].to_numpy(), "n_words": [len(w) for w in shard.words],
             "n_removed": [int(m.sum()) for m in masks],
-            "kept": [" ".join(np.array(w, object)[~m]) if m.any() else " ".join(w)
-                     for w, m in zip(shard.words, masks)]})
+            "kept": [b" ".join(compress(w, ~m) if m.any() else w).decode() for w, m in zip(shard.words, masks)]})
 
     kind = id_as_text(docs, id_col)[1]
     return by_shard.cogroup(smaller.groupBy("shard")).applyInPandas(

@@ -11,21 +11,22 @@ from pyspark.sql import functions as F
 
 from grimlake.functions import exprs as X
 from grimlake.operators import ranks
+from grimlake.operators.distinct import bit, with_distinct
+from grimlake.plans import marts
 
 PERCENTILES = (0.25, 0.5, 0.75, 0.9)
 
 
 def median_by_year(temporal_base: DataFrame) -> DataFrame:
-    """Exact continuous median of review scores per release year."""
-    s = F.col("score_album")
-    return (temporal_base.where(s.isNotNull()).groupBy("album_year")
-            .agg(X.median(s).alias("median_score")))
+    """Exact continuous median of review scores per release year, of scores
+    counted by album."""
+    return (temporal_base.where(F.col("score_album").isNotNull()).groupBy("album_year")
+            .agg(marts.weighted_median().alias("median_score")))
 
 
 def dominant_subgenre_by_year(temporal_base: DataFrame) -> DataFrame:
     """Most frequent subgenre per year (rows counted with fan-out)."""
-    return ranks.dominant_value(temporal_base.where(F.col("death_metal_subgenre").isNotNull()),
-                                "album_year", "death_metal_subgenre", "dominant_subgenre")
+    return marts.dominant_by_rows(temporal_base, ["album_year"], "death_metal_subgenre", "dominant_subgenre")
 
 
 def dominant_era_by_country(geographic_base: DataFrame) -> DataFrame:
@@ -35,13 +36,11 @@ def dominant_era_by_country(geographic_base: DataFrame) -> DataFrame:
 
 
 def conditional_distinct(temporal_base: DataFrame) -> DataFrame:
-    """G6 + G8: distinct counts and an average restricted by a condition."""
+    """G6 + G8: distinct counts (bitmaps) and an average restricted by a condition."""
     debut = F.col("is_debut_album") == 1
-    return temporal_base.groupBy("album_year").agg(
-        F.count_distinct(F.when(F.col("review_id").isNotNull(), F.col("band_id")))
-         .alias("active_bands"),
-        F.count_distinct(F.when(debut, F.col("album_id"))).alias("debut_albums"),
-        F.avg(F.when(debut, F.col("score_album"))).alias("avg_debut_score"))
+    out = temporal_base.groupBy("album_year").agg(marts.weighted_mean(debut).alias("avg_debut_score"))
+    return with_distinct(out, temporal_base, ["album_year"], {
+        "active_bands": F.when(F.col("n_rev") > 0, bit("band_id")), "debut_albums": F.when(debut, bit("album_id"))})
 
 
 def safe_percent(band_metrics: DataFrame) -> DataFrame:

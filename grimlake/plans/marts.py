@@ -5,7 +5,8 @@ Each mart reproduces the catalogue's join fan-out exactly (D9): a band's
 the source does; the distinct counts are the unbiased ones.
 
 Scale notes:
-* All grouping is ``groupBy`` with partial aggregation; exact medians use
+* All grouping is ``groupBy`` with partial aggregation; distinct bands and albums
+  are bitmaps over dense numbers (``operators/distinct.py``); exact medians use
   ``percentile``, whose buffer is a value -> count map (bounded by the
   distinct scores, not the rows).
 * M6, M9 and M10 read the fact counted by (album, score), which holds all
@@ -24,6 +25,7 @@ from pyspark.sql import functions as F
 from grimlake.functions import exprs as X
 from grimlake.functions import rules as R
 from grimlake.operators import ranks
+from grimlake.operators.distinct import bit, labels, numbered, with_distinct
 from grimlake.operators.joins import left_join_split
 from grimlake.sources.stage import stored_table
 
@@ -36,10 +38,6 @@ def _count_if(cond) -> F.Column:
     return F.sum(X.flag(cond)).cast("bigint")
 
 
-def _reviews(fct: DataFrame) -> DataFrame:
-    return fct.select("album_id", "review_id", _score().alias("score_album"))
-
-
 # ---- per-album scores: what M6, M9 and M10 read of the fact ------------------------
 def score_counts(fct: DataFrame) -> DataFrame:
     """(album_id, score_album, n, n_rev): the fact counted by album and score,
@@ -60,7 +58,7 @@ def _n_if(cond) -> F.Column:
     return F.coalesce(F.sum(F.when(cond, F.col("n"))), F.lit(0)).cast("bigint")
 
 
-def _mean(cond=None) -> F.Column:
+def weighted_mean(cond=None) -> F.Column:
     s, n = F.col("score_album"), F.col("n")
     cond = F.lit(True) if cond is None else cond
     return F.sum(F.when(cond, s * n)) / F.sum(F.when(cond & s.isNotNull(), n))
@@ -74,11 +72,11 @@ def _deviation() -> F.Column:
     return F.when(total > 1, F.sqrt(F.greatest(left, F.lit(0.0)) / (total - 1)))
 
 
-def _median() -> F.Column:
+def weighted_median() -> F.Column:
     return F.percentile(F.col("score_album"), F.lit(0.5), F.col("n"))
 
 
-def _dominant(base: DataFrame, keys: list[str], value: str, out: str, nulls: bool = False) -> DataFrame:
+def dominant_by_rows(base: DataFrame, keys: list[str], value: str, out: str, nulls: bool = False) -> DataFrame:
     """Most frequent value by rows, the smallest of equals, null last; two
     plain aggregations."""
     rows = base if nulls else base.where(F.col(value).isNotNull())
@@ -105,7 +103,7 @@ def band_metrics(dim_bands: DataFrame, dim_albums: DataFrame, fct: DataFrame) ->
         F.max("album_year").alias("latest_album_year"),
         (F.max("album_year") - F.min("album_year")).alias("discography_span"),
         n_rev.alias("total_reviews"),
-        _mean().alias("avg_score"),
+        weighted_mean().alias("avg_score"),
         F.min(s).alias("min_score"),
         F.max(s).alias("max_score"),
         sd.alias("score_consistency"),
@@ -121,32 +119,29 @@ def geographic_base(dim_bands: DataFrame, dim_albums: DataFrame) -> DataFrame:
     """bands LEFT JOIN albums (one row per band without albums)."""
     bands = dim_bands.select("band_id", "country", "continent", "formed_year", "formation_era",
                              "death_metal_subgenre", "is_active_flag", "is_veteran_band")
-    return left_join_split(bands, dim_albums.select("band_id", "album_id", "release_decade"),
-                           ["band_id"])
+    albums = numbered(dim_albums.select("band_id", "album_id", "release_decade"), "album_id")
+    return left_join_split(numbered(bands, "band_id"), albums, ["band_id"])
 
 
 def geographic_analysis(dim_bands: DataFrame, dim_albums: DataFrame) -> DataFrame:
     """Counts over bands LEFT JOIN albums per (country, continent), joined
     with the dominant era and subgenre (``exprs.dominant``) of the same
-    groups. Distinct counts (planned with Expand) and the object aggregates
-    run as two aggregations: mixed in one they take the slow path."""
+    groups. Distinct bands and albums are bitmaps."""
     keys = ["country", "continent"]
     base = geographic_base(dim_bands, dim_albums)
     d = F.col("release_decade")
     out = base.groupBy(*keys).agg(
-        F.count_distinct("band_id").alias("total_bands"),
-        F.count_distinct("album_id").alias("total_albums"),
         F.min("formed_year").alias("first_band_formed"),
         F.max("formed_year").alias("latest_band_formed"),
         F.sum("is_active_flag").cast("bigint").alias("active_bands"),
         F.sum("is_veteran_band").cast("bigint").alias("veteran_bands"),
-        F.count_distinct("death_metal_subgenre").alias("subgenres_count"),
+        labels("death_metal_subgenre").alias("subgenres_count"),
         _count_if(d == "1990s").alias("albums_90s"),
         _count_if(d == "2000s").alias("albums_00s"),
         _count_if(d == "2010s").alias("albums_10s"),
-        X.safe_divide(F.count_distinct("album_id"), F.count_distinct("band_id"))
-         .alias("albums_per_band"),
     )
+    out = with_distinct(out, base, keys, {"total_bands": bit("band_id"), "total_albums": bit("album_id")})
+    out = out.withColumn("albums_per_band", X.safe_divide("total_albums", "total_bands"))
     picks = base.groupBy(*keys).agg(
         X.dominant("formation_era").alias("dominant_era"),
         X.dominant("death_metal_subgenre").alias("dominant_subgenre"))
@@ -207,9 +202,8 @@ def career_analysis(dim_albums: DataFrame, fct: DataFrame) -> DataFrame:
 # ---- M9 temporal_analysis ------------------------------------------------------
 def temporal_base(dim_bands: DataFrame, dim_albums: DataFrame, fct: DataFrame,
                   first_year: int = R.TEMPORAL_FROM, last_year: int = R.TEMPORAL_TO) -> DataFrame:
-    """albums JOIN bands LEFT JOIN reviews, one row per review."""
-    albums = temporal_albums(dim_bands, dim_albums, first_year, last_year)
-    return left_join_split(albums, _reviews(fct), ["album_id"])
+    """albums JOIN bands LEFT JOIN reviews, reviews counted by album and score."""
+    return with_scores(temporal_albums(dim_bands, dim_albums, first_year, last_year), fct)
 
 
 def temporal_albums(dim_bands: DataFrame, dim_albums: DataFrame, first_year: int, last_year: int) -> DataFrame:
@@ -217,32 +211,33 @@ def temporal_albums(dim_bands: DataFrame, dim_albums: DataFrame, first_year: int
     albums = (dim_albums.where(F.col("album_year").between(first_year, last_year))
               .select("album_year", "release_decade", "release_era", "album_id", "band_id",
                       "is_debut_album"))
-    return albums.join(dim_bands.select("band_id", "country", "death_metal_subgenre"), "band_id", "inner")
+    bands = numbered(dim_bands.select("band_id", "country", "death_metal_subgenre"), "band_id")
+    return numbered(albums, "album_id").join(bands, "band_id", "inner")
 
 
 def temporal_analysis(dim_bands: DataFrame, dim_albums: DataFrame, fct: DataFrame,
                       first_year: int = R.TEMPORAL_FROM, last_year: int = R.TEMPORAL_TO,
                       ordered: bool = True) -> DataFrame:
     keys = ["album_year", "release_decade", "release_era"]
-    base = with_scores(temporal_albums(dim_bands, dim_albums, first_year, last_year), fct)
+    base = temporal_base(dim_bands, dim_albums, fct, first_year, last_year)
     s = F.col("score_album")
     debut = F.col("is_debut_album") == 1
     out = base.groupBy(*keys).agg(
-        F.count_distinct("album_id").alias("albums_released"),
-        F.count_distinct(F.when(F.col("n_rev") > 0, F.col("band_id"))).alias("active_bands"),
-        F.count_distinct("country").alias("countries_represented"),
-        F.count_distinct(F.when(debut, F.col("album_id"))).alias("debut_albums"),
-        _mean(debut).alias("avg_debut_score"),
-        F.count_distinct("death_metal_subgenre").alias("subgenres_active"),
-        _mean().alias("avg_score"),
+        labels("country").alias("countries_represented"),
+        weighted_mean(debut).alias("avg_debut_score"),
+        labels("death_metal_subgenre").alias("subgenres_active"),
+        weighted_mean().alias("avg_score"),
         _deviation().alias("score_variance"),
         _n_if(s >= R.EXCELLENT_SCORE).alias("excellent_albums"),
         _n_if(s >= R.HIGH_SCORE).alias("high_quality_albums"),
         _n_if(s < R.POOR_SCORE_BELOW).alias("poor_albums"),
     )
+    out = with_distinct(out, base, keys, {
+        "albums_released": bit("album_id"), "active_bands": F.when(F.col("n_rev") > 0, bit("band_id")),
+        "debut_albums": F.when(debut, bit("album_id"))})
     # Decade and era are functions of the year.
-    out = (out.join(base.groupBy("album_year").agg(_median().alias("median_score")), "album_year", "left")
-           .join(_dominant(base, ["album_year"], "death_metal_subgenre", "dominant_subgenre"), "album_year", "left"))
+    out = (out.join(base.groupBy("album_year").agg(weighted_median().alias("median_score")), "album_year", "left")
+           .join(dominant_by_rows(base, ["album_year"], "death_metal_subgenre", "dominant_subgenre"), "album_year", "left"))
     out = ranks.global_row_number(out, [F.col("albums_released").desc_nulls_last(),
                                         F.col("album_year").asc()], "release_rank")
     out = ranks.global_row_number(out, [F.col("avg_score").desc_nulls_last(),
@@ -256,17 +251,15 @@ def subgenre_analysis(dim_bands: DataFrame, dim_albums: DataFrame, fct: DataFram
     bands = (dim_bands.where(F.col("death_metal_subgenre").isNotNull())
              .select("band_id", "death_metal_subgenre", "continent", "country", "formed_year",
                      "is_active_flag", "is_veteran_band"))
-    albums = dim_albums.select("band_id", "album_id", "release_decade")
-    released = bands.join(albums, "band_id", "inner")
+    albums = numbered(dim_albums.select("band_id", "album_id", "release_decade"), "album_id")
+    released = numbered(bands, "band_id").join(albums, "band_id", "inner")
     base = with_scores(released, fct)
     s = F.col("score_album")
     n_s = _n_if(s.isNotNull())
     out = base.groupBy(*keys).agg(
-        F.count_distinct("album_id").alias("total_albums"),
-        F.count_distinct("band_id").alias("total_bands"),
-        _mean().alias("avg_score"),
+        weighted_mean().alias("avg_score"),
         _deviation().alias("score_variance"),
-        _median().alias("median_score"),
+        weighted_median().alias("median_score"),
         _n_if(s >= R.EXCELLENT_SCORE).alias("excellent_count"),
         _n_if(s >= R.HIGH_SCORE).alias("high_quality_count"),
         _n_if(s < R.POOR_SCORE_BELOW).alias("poor_count"),
@@ -276,13 +269,14 @@ def subgenre_analysis(dim_bands: DataFrame, dim_albums: DataFrame, fct: DataFram
         F.max("formed_year").alias("latest_band"),
         F.sum(F.col("is_active_flag") * F.col("rows")).cast("bigint").alias("active_bands"),
         F.sum(F.col("is_veteran_band") * F.col("rows")).cast("bigint").alias("veteran_bands"),
-        F.count_distinct("country").alias("countries_count"),
+        labels("country").alias("countries_count"),
     )
+    out = with_distinct(out, released, keys, {"total_albums": bit("album_id"), "total_bands": bit("band_id")})
     # Review ids can repeat, so their distinct count needs the ids themselves.
     reviews = (released.select("album_id", *keys).join(fct.select("album_id", "review_id"), "album_id", "inner")
                .groupBy(*keys).agg(F.count_distinct("review_id").alias("_reviews")))
-    for table in (reviews, _dominant(base, keys, "release_decade", "dominant_decade", nulls=True),
-                  _dominant(base, keys, "country", "dominant_country", nulls=True)):
+    for table in (reviews, dominant_by_rows(base, keys, "release_decade", "dominant_decade", nulls=True),
+                  dominant_by_rows(base, keys, "country", "dominant_country", nulls=True)):
         out = out.join(table, keys, "left")
     out = out.withColumn("total_reviews", F.coalesce("_reviews", F.lit(0))).drop("_reviews")
     tie = [F.col("death_metal_subgenre").asc_nulls_last(), F.col("continent").asc_nulls_last()]

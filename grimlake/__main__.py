@@ -26,10 +26,12 @@ def main(argv: list[str] | None = None) -> int:
     run.add_argument("--raw", required=True, help="folder with bands/, albums/, reviews/ CSV")
     run.add_argument("--work", required=True, help="output folder (raw copy, models, failures)")
     run.add_argument("--target", default="dev", choices=["dev", "prod"])
+    run.add_argument("--versioned", action="store_true", help="replace the build in --work as a whole")
     args = parser.parse_args(argv)
     spark = build_session()
     try:
-        summary = jobs.run(spark, args.raw, args.work, target=args.target)
+        step = jobs.replace if args.versioned else jobs.run
+        summary = step(spark, args.raw, args.work, target=args.target)
     except QualityError as exc:
         print(f"failed checks: {exc}", file=sys.stderr)
         return 1

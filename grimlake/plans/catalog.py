@@ -20,6 +20,13 @@ from grimlake.sources.adapter import raw_from_driver
 from grimlake.sources.stage import stored_table
 
 
+#: Attribute -> folder of what a build with ``out_base`` writes.
+STORED = {"stg_bands": "stg_metal_bands", "stg_albums": "stg_metal_albums", "stg_reviews": "stg_metal_reviews",
+          "parsed": "int_metal_bands_parsed", "dim_bands": "dim_bands", "dim_albums": "dim_albums",
+          "review_texts": "review_texts", "fct_base": "fct_base", "fct_windows": "fct_windows",
+          "subgenre_analysis": "subgenre_analysis"}
+
+
 class Catalog:
     """``out_base`` names a folder where the table models are written, each once,
     and read back by every model after them; without it the dimensions and the
@@ -40,6 +47,16 @@ class Catalog:
     def from_driver_tables(cls, spark: SparkSession, sf_dir: str) -> "Catalog":
         return cls(spark, raw_from_driver(spark, sf_dir))
 
+    @classmethod
+    def opened(cls, spark: SparkSession, out_base: str, current_year: int = R.CURRENT_YEAR) -> "Catalog":
+        """The models of a finished build in ``out_base``: stored ones are read, the
+        others are plans over them. Nothing is written."""
+        cat = cls(spark, {}, current_year, out_base)
+        for attr, name in STORED.items():
+            df = spark.read.parquet(f"{cat.out_base}/{name}")
+            cat.__dict__[attr] = df.drop(*dims.AUDIT) if attr.startswith("dim_") else df
+        return cat
+
     @cached_property
     def stg_bands(self) -> DataFrame:
         return self._table("stg_metal_bands", staging.stg_bands(self.raw["bands"]))

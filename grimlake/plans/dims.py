@@ -43,6 +43,9 @@ DIM_ALBUMS_COLUMNS = [
 ]
 
 
+AUDIT = ["created_at", "updated_at", "is_current_record"]
+
+
 def with_audit(df: DataFrame, current_record: bool = True) -> DataFrame:
     """Audit stamps added by the sink step."""
     now = F.current_timestamp()

@@ -7,6 +7,7 @@ doubles and doubles are rounded to 6 places (the oracle does the same).
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -16,6 +17,10 @@ from pyspark.sql import types as T
 from grimlake.operators import quality
 from grimlake.plans import aggregates, analyst, marts, periods, staging
 from grimlake.plans.catalog import Catalog
+from grimlake.sources import raw as raw_io
+from grimlake.sources import versions
+from grimlake.sources.schemas import RAW_SCHEMAS
+from grimlake.sources.stage import scratch_dir, stored_table
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
 REGISTRY: dict[str, QueryFn] = {}
@@ -366,6 +371,14 @@ def _approx_top_value(c: Catalog) -> DataFrame:
     return aggregates.approx_top_value(c.fct_base)
 
 
+@register("approx_top_merged")
+def _approx_top_merged(c: Catalog) -> DataFrame:
+    """Sketches stored per load, here two, and combined."""
+    loads = c.fct_base.withColumn("_load", F.pmod("_rk", F.lit(2)))
+    states = [stored_table(aggregates.top_value_state(loads.where(F.col("_load") == i)), "top_state") for i in (0, 1)]
+    return aggregates.top_value_of_states(states[0].unionByName(states[1]))
+
+
 # ---- analyst queries (M11) --------------------------------------------------------
 @register("top_bands")
 def _top_bands(c: Catalog) -> DataFrame:
@@ -423,6 +436,16 @@ def _failing_rows(c: Catalog) -> DataFrame:
     return quality.failing_values(c.models())
 
 
+@register("check_severity")
+def _check_severity(c: Catalog) -> DataFrame:
+    """Failing rows written by check, counted from there, with the
+    severity of the development target."""
+    base = f"{scratch_dir(c.spark)}/failures_{uuid.uuid4().hex}"
+    checks = quality.declared_checks(quality.severity_for("dev"))
+    quality.store_failures(c.models(), base, checks)
+    return quality.stored_summary(c.spark, base, checks)
+
+
 # ---- sources and sinks (S1-S10, S13) ------------------------------------------------
 @register("csv_roundtrip")
 def _csv_roundtrip(c: Catalog) -> DataFrame:
@@ -441,6 +464,43 @@ def _csv_roundtrip(c: Catalog) -> DataFrame:
     return staging.stg_reviews(scanned)
 
 
+def _split_roundtrip(c: Catalog, table: str) -> DataFrame:
+    base = f"{scratch_dir(c.spark)}/csv-split-{uuid.uuid4().hex}"
+    raw_io.write_csv(c.raw[table], f"{base}/{table}")
+    return raw_io.read_csv_table(c.spark, base, table, RAW_SCHEMAS[table], null_value=raw_io.NULL_MARKER, split=True)
+
+
+@register("csv_split_bands")
+def _csv_split_bands(c: Catalog) -> DataFrame:
+    """The bands through CSV, read by byte range."""
+    return staging.stg_bands(_split_roundtrip(c, "bands"))
+
+
+@register("csv_split_albums")
+def _csv_split_albums(c: Catalog) -> DataFrame:
+    """The albums through CSV, read by byte range."""
+    return staging.stg_albums(_split_roundtrip(c, "albums"))
+
+
+@register("csv_split_reviews")
+def _csv_split_reviews(c: Catalog) -> DataFrame:
+    """S3: the reviews, whose texts span lines, through CSV, read by byte range."""
+    return staging.stg_reviews(_split_roundtrip(c, "reviews"))
+
+
+@register("published_build")
+def _published_build(c: Catalog) -> DataFrame:
+    """A whole build as a version, published, and its
+    country mart as any session opens it."""
+    from grimlake.plans import jobs
+    base = f"{scratch_dir(c.spark)}/published-{uuid.uuid4().hex}"
+    folder = versions.begin(c.spark, base)
+    landed = {t: stored_table(df, t, f"{folder}/raw/{t}") for t, df in c.raw.items()}
+    jobs.build(c.spark, landed, f"{folder}/models")
+    versions.publish(c.spark, folder)
+    return Catalog.opened(c.spark, f"{versions.current(c.spark, base)}/models").geographic_analysis
+
+
 @register("preview")
 def _preview(c: Catalog) -> DataFrame:
     """First rows of a loaded table (the limit is the feature)."""

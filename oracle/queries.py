@@ -173,6 +173,8 @@ for _kind, _name in [("not_null", "check_not_null"), ("unique", "check_unique"),
                      ("accepted_values", "check_accepted_values"),
                      ("relationships", "check_relationships")]:
     q(_name, _check_sql(_kind))
+q("check_severity", "SELECT * REPLACE ('warn' AS severity) FROM (" + "\nUNION ALL\n".join(
+    _check_sql(k) for k in ("not_null", "unique", "accepted_values", "relationships")) + ")")
 
 
 
@@ -198,8 +200,12 @@ q("failing_rows", _failing_sql())
 # ---- sources -------------------------------------------------------------------------
 q("csv_roundtrip", "SELECT review_id, album_id, review_title, CAST(score_album AS DOUBLE) AS score_album, "
                    "content_review FROM stg_reviews")
+for _t in ("bands", "albums", "reviews"):
+    q(f"csv_split_{_t}", FINAL[f"stg_{_t}"])
+q("published_build", FINAL["geographic_analysis"])
 q("preview", "SELECT * FROM stg_bands ORDER BY band_id LIMIT 5")
 # The sketch holds every label of these tables, so its counts are exact.
 q("approx_top_value", """SELECT release_decade, first(label ORDER BY n DESC, label) AS top_subgenre, max(n) AS top_count
 FROM (SELECT release_decade, death_metal_subgenre AS label, count(*) AS n FROM reviews_base
       WHERE death_metal_subgenre IS NOT NULL GROUP BY ALL) GROUP BY release_decade""")
+q("approx_top_merged", FINAL["approx_top_value"])

@@ -52,10 +52,11 @@ def _pieces(spark: SparkSession, paths: str) -> DataFrame:
     quoted = F.col("before") + F.coalesce(F.sum("quotes").over(own.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
     begins = (quoted % 2 == 0).cast("int")
     rows = (lines.join(blocks, ["file", "block"]).withColumn("begins", begins)
-            .withColumn("rec", F.sum("begins").over(own.rowsBetween(Window.unboundedPreceding, 0))))
+            .withColumn("rec", F.sum("begins").over(own.rowsBetween(Window.unboundedPreceding, 0)))
+            .withColumn("recs", F.sum("begins").over(Window.partitionBy("file", "block"))))
     texts = F.transform(F.array_sort(F.collect_list(F.struct("line", "value"))), lambda x: x["value"])
-    records = rows.groupBy("file", "block", "rec").agg(F.array_join(texts, "\n").alias("text"))
-    return records.withColumn("last", F.col("rec") == F.max("rec").over(Window.partitionBy("file", "block")))
+    records = rows.groupBy("file", "block", "rec", "recs").agg(F.array_join(texts, "\n").alias("text"))
+    return records.select("file", "block", "rec", (F.col("rec") == F.col("recs")).alias("last"), "text")
 
 
 def records(spark: SparkSession, paths: str, header: bool = True) -> DataFrame:

@@ -87,7 +87,7 @@ def approx_top_value(fct: DataFrame, k: int = 1) -> DataFrame:
 def top_value_state(fct: DataFrame, tracked: int = 1000) -> DataFrame:
     """(release_decade, state) of one load: a sketch of at most ``tracked``
     subgenres. Counts of a decade are exact while it has fewer kinds than three
-    quarters of ``tracked``, else below the truth by at most 3.5 / tracked of its rows."""
+    quarters of ``tracked``, else off by at most 3.5 / tracked of its rows."""
     return (fct.where(F.col("death_metal_subgenre").isNotNull()).groupBy("release_decade")
             .agg(F.expr(f"approx_top_k_accumulate(death_metal_subgenre, {tracked})").alias("state")))
 

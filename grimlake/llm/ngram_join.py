@@ -2,11 +2,13 @@
 
 1. Documents with equal shingle sets become one class; its smallest id stands
    for it.
-2. Two sets at the required similarity differ in at most d shingles. Shingles
-   are dealt by hash into d + 1 parts or more, so such sets agree on a whole
-   part: the hash of a part is a signature they share. Classes that share a
-   signature are linked to one of them, and the connected components of those
-   links are clusters that no link leaves.
+2. A set of n shingles shares at least t = ceil(n * similarity) of them with
+   any set it is similar to. So, in one order of all shingles, two similar sets
+   have a shingle in common among the first n - t + 1 of each. The order is by
+   number of occurrences, the rarest first: a passage that many documents share
+   comes last, and most sets have so many shingles of their own that they are
+   in no pair. Classes that share such a shingle are linked to one of them, and
+   the connected components of those links are clusters that no link leaves.
 3. Within a cluster, each class searches the others by T-occurrence: the
    shortest inverted lists are merged, the long ones only probed by binary
    search for documents that can still reach the required overlap (DivideSkip).
@@ -16,6 +18,7 @@
 
 from __future__ import annotations
 
+import hashlib
 import re
 from collections.abc import Iterator
 from typing import Any
@@ -24,7 +27,6 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
 
 from grimlake.llm.common import drop_stored, id_as_text, id_key, pick_rows, row_hash, stored, text_or_empty
 from grimlake.llm.piece_tokens import chunks
@@ -37,13 +39,16 @@ SIMILAR, OF = 90, 100
 #: Classes and shingles that one block of a cluster holds at most, about.
 BLOCK_DOCS = 8192
 BLOCK_SHINGLES = 6_000_000
-#: A size class spans this power of 1 / similarity.
-SPAN = 2
 CHUNK_CHARS = 4_000_000
-SIGNATURE_CHARS = 16_000_000
+#: Characters of texts whose shingles are counted as one chunk, and shingles
+#: that are counted in one call, about.
+COUNT_CHARS = 16_000_000
+COUNT_SHINGLES = 2_000_000
+#: Bits of a shingle by which it is counted: two that agree in them count as one.
+KEY_BITS = 48
 WORD_CHARS = 500_000
-#: Bits of signatures and class names that are exchanged to find clusters: two
-#: that agree in them only put more into one cluster.
+#: Bits of class names that are exchanged to find clusters: two that agree in
+#: them only put more into one cluster.
 LABEL = (1 << 48) - 1
 #: Work of one binary probe, in list entries read.
 PROBE_COST = 16
@@ -116,82 +121,6 @@ def shingle_sets(texts: list[str], words: Words, shingle: int) -> list[np.ndarra
     return np.split(flat[first], kept[out_end[:-1]]) if len(texts) else []
 
 
-def max_difference(a: int, similar: int, of: int) -> int:
-    """Largest symmetric difference between a set of ``a`` shingles and a
-    larger similar one: sizes a and at most a * of / similar."""
-    b = a * of // similar
-    return (a + b) * (of - similar) // (of + similar)
-
-
-def number_of_parts(n: int, similar: int, of: int) -> int:
-    """Parts for pairs whose smaller set has up to ``n`` shingles: over the
-    largest difference, and so many more that all but about one set in 30,000
-    has over that many parts with a shingle in them (four deviations)."""
-    differ = max_difference(n, similar, of)
-    k = differ + 1
-    while n:
-        none = np.exp(-n / k)  # share of parts without a shingle, and its spread
-        spread = np.sqrt(k * none * max(0.0, 1 - (1 + n / k) * none))
-        if k * (1 - none) - 4 * spread > differ or k > 2 * differ + 8:
-            break
-        k += max(1, differ // 100)
-    return k
-
-
-def size_class(n: np.ndarray, similar: int, of: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(class of each size, parts of each class, smallest size of each class):
-    classes of sizes growing by (of / similar) ** SPAN, with the number of
-    parts for pairs whose smaller set is in the class. A similar smaller set
-    is in the same class or the one before."""
-    low = [1]
-    while low[-1] <= n.max(initial=0):
-        low.append(max(low[-1] + 1, int(low[-1] * (of / similar) ** SPAN)))
-    parts = [number_of_parts(b - 1, similar, of) for b in low[1:]] + [1]
-    return np.searchsorted(np.array(low), n, side="right") - 1, np.array(parts), np.array(low)
-
-
-def signatures(sets: list[np.ndarray], similar: int, of: int) -> tuple[np.ndarray, np.ndarray]:
-    """(set number, signature) of every set: the hashes of its parts, for its
-    own size class and, where a similar set can be in a smaller class, for
-    that one. Empty parts count only where too few others are left to be sure
-    of a common one."""
-    sizes = np.array([len(s) for s in sets])
-    c, parts, low = size_class(sizes, similar, of)
-    flat = np.concatenate(sets) if sets else np.zeros(0, np.uint64)
-    deal, value = mixed(flat, 1), mixed(flat, 2)
-    owner = np.repeat(np.arange(len(sets)), sizes)
-    out_owner, out_sig = [], []
-    smallest = -(-sizes * similar // of)  # of a similar set
-    differ = np.array([max_difference(int(n), similar, of) for n in sizes], np.int64)
-    limits = np.array([max_difference(int(b) - 1, similar, of) for b in low])
-    linkable = (sizes > 0) & ((differ > 0) | (smallest < sizes))
-    for shift in (0, 1):
-        use = linkable & (c >= shift) & ((shift == 0) | (smallest < low[c]))
-        if not use.any():
-            continue
-        cls = c - shift
-        k = parts[cls]
-        # Most that a partner in that class can differ: it is the smaller set.
-        most = differ if not shift else limits[c]
-        pick = use[owner]
-        base = np.concatenate([[0], np.cumsum(np.where(use, k, 0))[:-1]])
-        slot = base[owner[pick]] + (deal[pick] % k[owner[pick]].astype(np.uint64)).astype(np.int64)
-        total = int(np.where(use, k, 0).sum())
-        got = np.zeros(total, np.uint64)
-        np.add.at(got, slot, value[pick])
-        filled = np.bincount(slot, minlength=total) > 0
-        who = np.repeat(np.arange(len(sets)), np.where(use, k, 0))
-        part = np.arange(total) - base[who]
-        empty = np.bincount(who[~filled], minlength=len(sets))
-        keep = filled | (k - empty <= most)[who]
-        sig = mixed(got + mixed(part.astype(np.uint64), 3) + mixed(cls[who].astype(np.uint64), 4), 5)
-        out_owner.append(who[keep])
-        out_sig.append(sig[keep])
-    if not out_owner:
-        return np.zeros(0, np.int64), np.zeros(0, np.uint64)
-    return np.concatenate(out_owner), np.concatenate(out_sig)
-
-
 def set_names(sets: list[np.ndarray]) -> np.ndarray:
     """Each set's 64-bit name: equal sets have equal names."""
     size = np.array([len(s) for s in sets], np.int64)
@@ -240,37 +169,118 @@ def named(rows: DataFrame, shingle: int) -> DataFrame:
     return rows.mapInPandas(run, "doc_id string, k long, h long, n long, node long")
 
 
-def shared_signatures(rows: DataFrame, shingle: int, similar: int, of: int) -> DataFrame:
-    """Distinct links (a, b) of classes that share a signature, each to the
-    smallest class that has it. The classes of one part of a task are
-    connected there first: each leaves one link, and a signature one row, of
-    the class that stands for its classes. So however common a signature or
-    large a group is, it costs a row per part at most, and a link per class."""
-
-    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for _, sets in parts_of(frames, shingle, SIGNATURE_CHARS):
-            by_name = {v: s for v, s in zip(set_names(sets).tolist(), sets) if len(s)}
-            if not by_name:
-                continue
-            node = np.array(sorted(by_name), np.int64)
-            who, sig = signatures([by_name[v] for v in node.tolist()], similar, of)
-            if not len(sig):
-                continue
-            order = np.argsort(sig, kind="stable")
-            who, sig = who[order], sig[order]
-            local = local_components(who, sig, len(node))
-            first = np.flatnonzero(np.r_[True, sig[1:] != sig[:-1]])
-            label = node & LABEL
-            yield pd.DataFrame({"sig": (sig[first] & np.uint64(LABEL)).view(np.int64), "linked": False,
-                                "a": label[local[who[first]]]})
-            below = np.flatnonzero(local != np.arange(len(node)))
-            yield pd.DataFrame({"sig": label[local[below]], "linked": True, "a": label[below]})
-
-    # Rows of a link name the class they are linked to in place of a signature.
-    signed = rows.select("text").mapInPandas(run, "sig long, linked boolean, a long")
-    hub = F.min("a").over(Window.partitionBy("sig", "linked"))
-    return (signed.withColumn("b", F.when(F.col("linked"), F.col("sig")).otherwise(hub))
-            .filter("a != b").select("a", "b").distinct())
+def planes(a: np.ndarray) -> bytes:
+    """An array as planes of its values' first, second, ... bytes: those that
+    are zero throughout cost nothing once the shuffle compresses them."""
+    return a.view(np.uint8).reshape(len(a), a.itemsize).T.tobytes()
+
+
+def from_planes(data: bytes, kind: type) -> np.ndarray:
+    return np.frombuffer(data, np.uint8).reshape(np.dtype(kind).itemsize, -1).T.copy().reshape(-1).view(kind)
+
+
+def chunk_parts(sets: list[np.ndarray], parts: int) -> pd.DataFrame:
+    """(part, chunk, slices, names, sizes, keys, docs) of the distinct sets of a
+    chunk: its shingles' keys with the number of the set that has them, dealt by
+    key. The first row also has the names and sizes of the sets, and how many
+    rows there are. The chunk is named by its sets, so a task that runs again,
+    or another one with equal texts, names it alike."""
+    names, first = np.unique(set_names(sets), return_index=True)
+    sets = [sets[i] for i in first]
+    sizes = np.array([len(x) for x in sets], np.int64)
+    names, sets, sizes = names[sizes > 0], [x for x in sets if len(x)], sizes[sizes > 0]
+    if not len(names):
+        return pd.DataFrame()
+    keys = np.concatenate(sets) >> np.uint64(64 - KEY_BITS)
+    docs = np.repeat(np.arange(len(sets), dtype=np.uint32), sizes)
+    order = np.argsort(keys, kind="stable")
+    keys, docs = keys[order], docs[order]
+    part = ((keys >> np.uint64(KEY_BITS - 32)) * np.uint64(parts) >> np.uint64(32)).astype(np.int64)
+    start = np.flatnonzero(np.r_[True, part[1:] != part[:-1]])
+    end = np.r_[start[1:], len(part)]
+    return pd.DataFrame({
+        "part": part[start], "chunk": int.from_bytes(hashlib.blake2b(names.tobytes(), digest_size=8).digest(), "little", signed=True),
+        "slices": [len(start)] + [0] * (len(start) - 1), "names": [names.tobytes()] + [b""] * (len(start) - 1),
+        "sizes": [planes(sizes)] + [b""] * (len(start) - 1),
+        "keys": [planes(np.diff(keys[a:b], prepend=np.uint64(0))) for a, b in zip(start, end)],
+        "docs": [planes(docs[a:b]) for a, b in zip(start, end)]})
+
+
+def often(frame: pd.DataFrame) -> pd.DataFrame:
+    """The rows of a part with, of their shingles, those that occur more than
+    once, and how often they do."""
+    frame = frame.drop_duplicates("chunk")
+    keys = [np.cumsum(from_planes(x, np.uint64), dtype=np.uint64) for x in frame["keys"]]
+    _, at, n = np.unique(np.concatenate(keys), return_inverse=True, return_counts=True)
+    out, begin = {"keys": [], "docs": [], "n": []}, 0
+    for k, d in zip(keys, frame["docs"]):
+        mine = n[at[begin:begin + len(k)]]
+        begin += len(k)
+        more = mine > 1
+        for name, x in (("keys", k[more]), ("docs", from_planes(d, np.uint32)[more]), ("n", mine[more].astype(np.int64))):
+            out[name].append(planes(x))
+    return frame[["chunk", "slices", "names", "sizes"]].assign(**out)
+
+
+def rare_shared(frame: pd.DataFrame, similar: int, of: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(names, set number, key) of a chunk: the keys that occur more than once
+    among each set's rarest n - t + 1. Shingles that occur once come before them."""
+    head = frame[frame["slices"] > 0]
+    if len(head) != 1 or len(frame) != head["slices"].iloc[0]:
+        raise RuntimeError("a text was read otherwise by a task that ran again")
+    names = np.frombuffer(head["names"].iloc[0], np.int64)
+    sizes = from_planes(head["sizes"].iloc[0], np.int64)
+    keys, docs, n = (np.concatenate([from_planes(x, kind) for x in frame[c]])
+                     for c, kind in (("keys", np.uint64), ("docs", np.uint32), ("n", np.int64)))
+    docs = docs.astype(np.int64)
+    order = np.lexsort((keys, n, docs))
+    keys, docs = keys[order], docs[order]
+    held = np.bincount(docs, minlength=len(names))
+    place = np.arange(len(docs)) - (np.cumsum(held) - held)[docs] + (sizes - held)[docs]
+    take = place < (sizes + (-sizes * similar // of) + 1)[docs]
+    # shingles of a set that agree in their key are one
+    take[1:] |= take[:-1] & (docs[1:] == docs[:-1]) & (keys[1:] == keys[:-1])
+    return names, docs[take], keys[take]
+
+
+def near_classes(rows: DataFrame, shingle: int, similar: int, of: int, parts: int) -> DataFrame:
+    """Distinct links (a, b) of classes that share one of their rarest shingles,
+    each to the smallest class that has it. Chunks of texts send their shingles,
+    packed, to be counted, and get back those that are not theirs alone. Classes
+    of one chunk are connected there: each leaves one link, and a shingle one
+    row, of the class that stands for its classes. So however common a shingle
+    or large a group is, it costs a row per chunk at most, and a link per class."""
+
+    def send(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for _, sets in parts_of(frames, shingle, COUNT_CHARS):
+            if len(out := chunk_parts(sets, parts)):
+                yield out
+
+    def link(frame: pd.DataFrame) -> pd.DataFrame:
+        names, who, sig = rare_shared(frame, similar, of)
+        order = np.argsort(sig, kind="stable")
+        who, sig = who[order], sig[order]
+        local = local_components(who, sig, len(names))
+        first = np.flatnonzero(np.r_[True, sig[1:] != sig[:-1]][:len(sig)])
+        label = names & LABEL
+        below = np.flatnonzero(local != np.arange(len(names)))
+        return pd.DataFrame({
+            "sig": np.r_[sig[first].astype(np.int64), label[local[below]]],
+            "linked": np.r_[np.zeros(len(first), bool), np.ones(len(below), bool)],
+            "a": np.r_[label[local[who[first]]], label[below]]})
+
+    binary = "names binary, sizes binary, keys binary, docs binary"
+    sent = rows.select("text").mapInPandas(send, f"part long, chunk long, slices long, {binary}")
+    counted = sent.groupBy("part").applyInPandas(often, f"chunk long, slices long, {binary}, n binary")
+    # Rows of a link name the class they are linked to in place of a shingle.
+    signed = stored(counted.groupBy("chunk").applyInPandas(link, "sig long, linked boolean, a long"), "op3-rare")
+    of_sig = signed.filter("NOT linked")
+    hubs = of_sig.groupBy("sig").agg(F.min("a").alias("b"), F.max("a").alias("most")).filter("b < most").select("sig", "b")
+    found = of_sig.join(hubs, "sig").select("a", "b").unionByName(
+        signed.filter("linked").select("a", F.col("sig").alias("b")))
+    out = stored(found.filter("a != b").distinct(), "op3-near")
+    drop_stored(signed)
+    return out
 
 
 def components(links: DataFrame, name: str) -> DataFrame:
@@ -456,7 +466,8 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     first = F.min(F.struct(F.col("doc_id").isNull().alias("no_id"), F.col("doc_id"), F.col("h"))).alias("first")
     classes = stored(rows.filter("n > 0").groupBy("node").agg(
         first, F.min("k").alias("k"), F.max("n").alias("n"), F.count(F.lit(1)).alias("copies")), "op3-classes")
-    near = stored(shared_signatures(base, shingle, similar, of), "op3-near")
+    shingles = rows.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("n")).first()["n"]
+    near = near_classes(base, shingle, similar, of, max(1, -(-int(shingles) // COUNT_SHINGLES)))
     clusters = components(near, "op3-near")
     drop_stored(near)
     found = stored(cluster_links(base, classes, clusters, shingle, similar, of, block_docs, block_shingles), "op3-links")

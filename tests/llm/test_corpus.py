@@ -79,25 +79,36 @@ def test_join(spark, shingle, similar, block):
     assert stay.columns == docs.columns and stay.count() == len(groups) + len(lone)
 
 
-def test_signatures_lose_no_pair():
+@pytest.mark.parametrize("parts,bits", [(1, 48), (7, 48), (3, 34)])
+def test_rare_shared_shingles_lose_no_pair(monkeypatch, parts, bits):
+    monkeypatch.setattr(ngram_join, "KEY_BITS", bits)
     r = np.random.default_rng(5)
+    passage = r.integers(0, 2**64, 150, dtype=np.uint64)  # in many sets
     for similar in (90, 80):
         sets = []
         for trial in range(40):
             n = int(r.integers(1, [12, 40, 200][trial % 3]))
-            base = r.integers(0, 2**63, n).astype(np.uint64)
+            base = np.r_[r.integers(0, 2**64, n, dtype=np.uint64), passage[:n % 60]]
             for _ in range(4):
                 k = int(r.integers(0, n // 5 + 2))
-                a = np.r_[np.delete(base, r.permutation(n)[:k]), r.integers(0, 2**63, k).astype(np.uint64)]
+                a = np.r_[np.delete(base, r.permutation(n)[:k]), r.integers(0, 2**64, k, dtype=np.uint64)]
                 sets.append(np.unique(a))
         plain = [set(s.tolist()) for s in sets]
         true = {(i, j) for i in range(len(sets)) for j in range(i)
                 if 100 * len(plain[i] & plain[j]) >= similar * len(plain[i] | plain[j])}
-        who, sig = ngram_join.signatures(sets, similar, 100)
-        have = defaultdict(set)
-        for w, s in zip(who.tolist(), sig.tolist()):
-            have[w].add(s)
-        assert all(have[i] & have[j] for i, j in true if plain[i] != plain[j])
+        # chunks of 30 sets, one of them twice
+        sent = pd.concat([ngram_join.chunk_parts(sets[a:a + 30], parts) for a in [*range(0, len(sets), 30), 0]])
+        counted = pd.concat([ngram_join.often(x) for _, x in sent.groupby("part")])
+        have, name_of = defaultdict(set), ngram_join.set_names(sets).tolist()
+        for _, x in counted.groupby("chunk"):
+            names, who, keys = ngram_join.rare_shared(x, similar, 100)
+            for w, k in zip(names[who].tolist(), keys.tolist()):
+                have[w].add(k)
+        assert all(have[name_of[i]] & have[name_of[j]] for i, j in true if plain[i] != plain[j])
+        # what a passage shares with others alone is no reason to compare
+        assert sum(map(len, have.values())) < 0.5 * sum(map(len, sets))
+        with pytest.raises(RuntimeError):
+            ngram_join.rare_shared(counted[counted["chunk"] == counted["chunk"].iloc[0]].iloc[1:], similar, 100)
         found = {(i, j) for i, js in ngram_join.search(sets, sets, True, similar, 100) for j in js.tolist() if j < i}
         assert found == true
 

@@ -9,7 +9,7 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from grimlake.operators import ranks
-from grimlake.plans import facts
+from grimlake.plans import dims, facts
 from grimlake.plans.registry import catalog
 
 SF = "/root/testdata/sf0.001"
@@ -100,3 +100,46 @@ def test_a_score_without_review_ids(spark):
         assert key(got) == key(want)
     finally:
         spark.conf.unset(ranks.MAX_ROWS_CONF)
+
+
+def test_narrow_shuffles_of_the_fact(spark):
+    """Fact rows meet their albums without classes; windows need one exchange by band
+    after the cells, and none by album or cell; albums are dealt by year and band."""
+    c = catalog(spark, SF)
+    assert not {"score_category", "review_content_category"} & set(c.review_texts.columns)
+    assert dict(c.review_texts.dtypes)["_digest"] == "bigint"
+    conf = {"spark.sql.adaptive.enabled": "false", "spark.sql.autoBroadcastJoinThreshold": "10485760"}
+    before = {k: spark.conf.get(k) for k in conf}
+    try:
+        for k, v in conf.items():
+            spark.conf.set(k, v)
+        plan = facts.window_columns(facts.narrow_rows(c.fct_base))._jdf.queryExecution().executedPlan().toString()
+        numbered = dims.album_numbers(dims.albums_to_number(c.stg_albums, c.dim_bands))
+        albums = numbered._jdf.queryExecution().executedPlan().toString()
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+    assert plan.count("Exchange hashpartitioning(band_id") == 1
+    assert "hashpartitioning(album_id" not in plan and "hashpartitioning(_cell" not in plan
+    assert "band_name" not in numbered.columns
+    assert albums.count("Exchange hashpartitioning(album_year") >= 1
+
+
+def test_repeated_ids_of_albums_and_bands(spark):
+    """An album id of two bands is counted over both; bands that come twice, or under
+    one id, multiply their albums once."""
+    rows = [(i, i, 1 + i % 2, 7 + i % 3 % 2, "a", "1990s", "x", "t", "c", "80") for i in range(30)]
+    base = spark.createDataFrame(rows, "_rk long, review_id long, album_id long, band_id long, country string, "
+                                 "release_decade string, death_metal_subgenre string, review_title string, "
+                                 "content_review string, score string").withColumn("score_album", F.col("score").cast("decimal(18,3)"))
+    got = facts.window_columns(facts.narrow_rows(base), keep=("album_id",))
+    assert {(r.album_id, r.album_total_reviews) for r in got.collect()} == {(1, 15), (2, 15)}
+    c = catalog(spark, SF)
+    bands = c.dim_bands.limit(50).localCheckpoint()
+    other = bands.withColumns({"country": F.lit("Elsewhere"), "genre": F.lit(None).cast("string")})
+    every = bands.unionByName(bands).unionByName(other)
+    albums = c.stg_albums.where("album_year IS NOT NULL")
+    got = dims.dim_albums(c.stg_albums, every)
+    want = albums.join(every.select("band_id", "country", "genre"), "band_id")
+    key = lambda df: sorted(map(str, df.select("album_id", "band_id", "country", "genre").collect()))
+    assert key(got) == key(want) and got.count() > 0

@@ -3,8 +3,10 @@
 Several ``count(DISTINCT ...)`` in one aggregate make Spark repeat every row per
 distinct column (``Expand``) and shuffle every value. Here a value is a bit:
 ``numbered`` gives the values of an id column dense places, and a group keeps
-one bitmap of 32,768 bits per bucket in which it has a value. Bitmaps are built
-before the shuffle, OR together, and their bits are counted at the end.
+one bitmap of 32,768 bits per bucket in which it has a value. Bitmaps OR
+together, and their bits are counted at the end. The places are shuffled, each
+once, not the bitmaps: one is 4 KB from its first bit on, and built before the
+shuffle every task would send one a group and bucket it meets.
 
 Fit for ids with many rows a value and groups that are few against the values
 (years, countries, genres). A group with few values costs 4 KB a bucket it
@@ -49,11 +51,14 @@ def numbered(df: DataFrame, column: str, per_cell: int = PER_CELL) -> DataFrame:
 
 def bitmaps(rows: DataFrame, keys: Sequence[str], counted: dict[str, Column]) -> DataFrame:
     """(keys, counted, bucket, bits): the state of the distinct counts
-    ``counted`` (name -> bit struct, null where the row doesn't count)."""
+    ``counted`` (name -> bit struct, null where the row doesn't count). Repeated
+    marks are dropped, then a group's marks of a bucket meet in one task, where its
+    bitmap is built once."""
     marks = F.array(*[F.struct(F.lit(name).alias("counted"), b["bucket"].alias("bucket"),
                                b["position"].alias("position")) for name, b in counted.items()])
-    return (rows.select(*keys, F.inline(marks)).where(F.col("position").isNotNull())
-            .groupBy(*keys, "counted", "bucket").agg(F.bitmap_construct_agg("position").alias("bits")))
+    state = [*keys, "counted", "bucket"]
+    return (rows.select(*keys, F.inline(marks)).where(F.col("position").isNotNull()).distinct()
+            .repartition(*state).groupBy(*state).agg(F.bitmap_construct_agg("position").alias("bits")))
 
 
 def merged(states: DataFrame, keys: Sequence[str]) -> DataFrame:

@@ -49,3 +49,23 @@ def test_marts_do_not_expand(spark):
     base = marts.temporal_base(c.dim_bands, c.dim_albums, c.fct_base)
     for df in (c.temporal_analysis, c.geographic_analysis, c.subgenre_analysis, aggregates.conditional_distinct(base)):
         assert "Expand" not in df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_bitmaps_are_built_after_the_shuffle(spark):
+    """A bitmap is as large with one bit as with all: no exchange has one, and the
+    marks of a group and bucket are dealt to one task."""
+    rows = distinct.numbered(spark.range(3000).select((F.col("id") % 4).alias("g"), (F.col("id") % 900).alias("v")), "v", 100)
+    states = distinct.bitmaps(rows, ["g"], {"n": distinct.bit("v")})
+    conf = {"spark.sql.adaptive.enabled": "false"}
+    before = {k: spark.conf.get(k) for k in conf}
+    try:
+        for k, v in conf.items():
+            spark.conf.set(k, v)
+        plan = states.select("*")._jdf.queryExecution().executedPlan().toString()
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+    above = plan[:plan.index("Exchange")]
+    assert above.count("bitmap_construct_agg(position") == 2 and "partial_bitmap_construct_agg" in above
+    assert "bitmap_construct_agg" not in plan[plan.index("Exchange"):]
+    assert states.groupBy("g", "bucket").count().where("count > 1").isEmpty()

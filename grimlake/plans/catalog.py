@@ -14,6 +14,7 @@ from functools import cached_property
 from pyspark.sql import DataFrame, SparkSession
 
 from grimlake.functions import rules as R
+from grimlake.operators.quality import Parts
 from grimlake.plans import dims, facts, marts, periods, staging
 from grimlake.session import checkpoint_dir
 from grimlake.sources.adapter import raw_from_driver
@@ -115,13 +116,13 @@ class Catalog:
     def fct_reviews(self) -> DataFrame:
         return self.fct_reviews_keyed.select(*facts.FCT_COLUMNS)
 
-    def models(self) -> dict[str, DataFrame]:
-        """Model name -> DataFrame, for the data-quality checks; the fact without
-        its texts, which no check reads (``_rk`` finds them)."""
+    def models(self) -> dict[str, DataFrame | Parts]:
+        """Model name -> DataFrame, for the data-quality checks; the fact as its parts,
+        without its texts, which no check reads (``_rk`` finds them)."""
         return {"stg_metal_bands": self.stg_bands, "stg_metal_albums": self.stg_albums,
                 "stg_metal_reviews": self.stg_reviews, "int_metal_bands_parsed": self.parsed,
                 "dim_bands": self.dim_bands, "dim_albums": self.dim_albums,
-                "fct_reviews": facts.fct_narrow(self.fct_base, self.fct_windows)}
+                "fct_reviews": facts.fct_parts(self.fct_base, self.fct_windows)}
 
     # ---- marts: lazy views over the stored dims and the stored fact rows.
     # They use only fact columns that exist before the window step (ids and

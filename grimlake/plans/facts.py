@@ -32,6 +32,7 @@ from pyspark.sql import functions as F
 from grimlake.functions import exprs as X
 from grimlake.functions import rules as R
 from grimlake.operators import ranks
+from grimlake.operators.quality import Parts
 from grimlake.sources.stage import stored_table
 
 FCT_COLUMNS = [
@@ -259,10 +260,15 @@ def with_texts(rows: DataFrame, texts: DataFrame, columns: list[str] = TEXTS, ma
     return rows.join(wanted, "_rk")
 
 
+def fct_parts(base: DataFrame, windows: DataFrame) -> Parts:
+    """``fct_narrow`` as the two stored tables that it is joined from."""
+    return Parts("_rk", (base, windows.select("_rk", *WINDOW_COLUMNS)),
+                 ("_rk", *[c for c in FCT_COLUMNS if c not in TEXTS]))
+
+
 def fct_narrow(base: DataFrame, windows: DataFrame) -> DataFrame:
     """``fct_reviews`` without texts, with ``_rk``."""
-    return base.join(windows.select("_rk", *WINDOW_COLUMNS), "_rk", "inner").select(
-        "_rk", *[c for c in FCT_COLUMNS if c not in TEXTS])
+    return fct_parts(base, windows).whole()
 
 
 def fct_reviews_keyed(texts: DataFrame, base: DataFrame, windows: DataFrame) -> DataFrame:

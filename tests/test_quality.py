@@ -96,3 +96,40 @@ def test_no_check_query_expands(spark):
     from grimlake.plans.registry import catalog
     models = catalog(spark, "/root/testdata/sf0.001").models()
     assert "Expand" not in quality.summary(models)._jdf.queryExecution().executedPlan().toString()
+
+
+def test_rows_are_not_shuffled_to_their_parents(spark, tmp_path):
+    """Keys without a parent are found among the distinct keys, and brought to the rows."""
+    models, checks = failing_case(spark)
+    models["child"].write.parquet(f"{tmp_path}/child")
+    models["child"] = spark.read.parquet(f"{tmp_path}/child")
+    own = [c for c in checks if c.model == "child"]
+    conf = {"spark.sql.adaptive.enabled": "false", "spark.sql.autoBroadcastJoinThreshold": "-1"}
+    before = {k: spark.conf.get(k) for k in conf}
+    try:
+        for k, v in conf.items():
+            spark.conf.set(k, v)
+        rows = quality.marked(models["child"], own, models)
+        assert "hashpartitioning" not in rows._jdf.queryExecution().executedPlan().toString()
+        assert sorted(len(r[quality.FAILED]) for r in rows.collect()) == [1, 2, 2, 2]
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+
+
+def test_a_model_in_parts_is_checked_by_part(spark):
+    """The same failing rows as those of the joined model, repeated keys included;
+    only the failing rows of a part are joined."""
+    left = spark.createDataFrame([(1, 10, "a"), (2, None, "b"), (3, 30, "c"), (3, 31, "c"), (4, 10, None)], "k long, pid long, s string")
+    right = spark.createDataFrame([(1, 0.5), (2, 1.5), (3, None), (3, 2.5), (4, 1.0)], "k long, d double")
+    parent = spark.createDataFrame([(10,), (31,)], "id long")
+    parts = quality.Parts("k", (left, right), ("k", "d", "pid", "s"))
+    checks = [Check("m", "pid", "not_null"), Check("m", "d", "not_null"), Check("m", "s", "accepted_values", values=("a", "b")),
+              Check("m", "pid", "relationships", to_model="p", to_column="id"), Check("m", "s", "unique")]
+    both = [{"m": m, "p": parent} for m in (parts, left.join(right, "k").select("k", "d", "pid", "s"))]
+    rows = lambda df: sorted(map(str, df.collect()))
+    got, want = [rows(quality.failing_values(m, checks)) for m in both]
+    assert got == want and len(got) == 5
+    got, want = [sorted((r.k, str(r.d), str(r.pid), str(r.s), sorted(map(str, r[quality.FAILED])))
+                        for r in quality.marked(m["m"], checks[:4], m).collect()) for m in both]
+    assert got == want and len(got) == 5

@@ -405,6 +405,14 @@ def ordered_cells(df: DataFrame, order: Sequence[Column], limit: int | None = No
                      F.col("_at").bitwiseAND(F.lit((1 << 33) - 1)).alias(PLACE))
 
 
+def labels_coded(df: DataFrame, columns: Sequence[str], code: str) -> DataFrame | None:
+    """Stored (columns, code): a number for every row of values that ``columns`` have, to
+    ``attach`` by them or by the code; None where they are too many to broadcast.
+    ``df`` should be stored."""
+    table = stored_table(df.select(*columns).distinct().withColumn(code, F.monotonically_increasing_id()), "labels")
+    return table if table.count() <= broadcast_rows_limit(df.sparkSession) else None
+
+
 def cell_histogram(cells: DataFrame, partitions: Sequence[Sequence[str]], value: str) -> DataFrame:
     """Stored (partition columns, value, cell, _n, _s, _gid): rows and exact sums of
     ``value`` per group, value and cell, for several partitionings in one

@@ -52,11 +52,10 @@ FCT_COLUMNS = [
     "score_deviation_from_average", "band_total_reviews", "album_total_reviews",
 ]
 
+#: What an album brings to its reviews; ``album_classes`` makes the rest from it.
 ALBUM_COLUMNS_FOR_FACT = [
-    "album_id", "band_id", "album_title", "album_year", "release_decade", "release_era",
-    "band_career_phase", "years_since_formation", "is_debut_album", "is_golden_age_release",
-    "album_number_in_discography", "band_name", "country", "continent", "genre",
-    "death_metal_subgenre", "band_status", "formation_era", "band_maturity",
+    "album_id", "band_id", "album_title", "album_year", "years_since_formation",
+    "album_number_in_discography", "band_name", "country", "genre", "band_maturity",
 ]
 
 WINDOW_COLUMNS = [
@@ -109,6 +108,23 @@ def review_classes(df: DataFrame) -> DataFrame:
     return measured_classes(text_measures(df))
 
 
+def album_classes(df: DataFrame) -> DataFrame:
+    """Classes of an album (C2, C4, C8-C12) as in ``dims``, made where its reviews are
+    joined, so that no shuffle carries them."""
+    y = F.col("album_year")
+    formed = y - F.col("years_since_formation")
+    return df.withColumns({
+        "continent": X.continent(F.col("country")),
+        "death_metal_subgenre": X.subgenre(F.col("genre")),
+        "release_decade": X.decade(y),
+        "release_era": X.era(y),
+        "formation_era": X.era(formed),
+        "band_career_phase": X.career_phase(y, formed),
+        "is_debut_album": X.flag(y == formed),
+        "is_golden_age_release": X.flag(y.between(*R.GOLDEN_AGE)),
+    })
+
+
 TEXTS = ["review_title", "content_review"]
 
 
@@ -164,8 +180,9 @@ def window_columns(narrow: DataFrame, keep: tuple = ()) -> DataFrame:
     * Per album: counted in the bands' exchange; album ids of several bands (all, in
       the other form) by a grouped count joined back.
 
-    Tables that are joined back are stored, so Spark knows their bytes and
-    broadcasts them or not.
+    Tables that are joined back are stored and their rows known, so that the small
+    ones are broadcast, whatever Spark makes of their bytes: a join that is not
+    shuffles all rows once more.
     """
     limit = ranks.max_rows_per_task(narrow.sparkSession)
     sd = F.col("score_d")
@@ -173,21 +190,31 @@ def window_columns(narrow: DataFrame, keep: tuple = ()) -> DataFrame:
     groups = [P for P in LOW_CARDINALITY if P]
     cells = ranks.ordered_cells(narrow, order, limit, groups=[c for P in groups for c in P])
     histogram = ranks.cell_histogram(cells, groups, "score_d")
+    in_cells = histogram.count()  # no cell table has more rows
     out = cells
     sums = {"_sum_band": F.sum(sd.cast(ranks.EXACT)), "band_total_reviews": F.count(F.lit(1))}
     biggest = narrow.groupBy("band_id").agg(F.count(F.lit(1)).alias("n")).agg(F.max("n")).first()[0] or 0
     count = {"album_total_reviews": F.count(F.lit(1))}
     if biggest <= limit:
         band = Window.partitionBy("band_id")
-        out = out.withColumns({"band_score_rank": F.row_number().over(band.orderBy(ranks.CELL, ranks.PLACE)),
+        # The exchange carries cell and place as one number, and the labels as another.
+        labels = [c for P in groups for c in P]
+        codes = ranks.labels_coded(cells, labels, "_labels")
+        if codes is not None:
+            out = ranks.attach(out, codes, labels, rows=0).drop(*labels)
+        out = out.withColumn("_at", F.shiftleft(ranks.CELL, 33).bitwiseOR(F.col(ranks.PLACE))).drop(ranks.CELL, ranks.PLACE)
+        out = out.withColumns({"band_score_rank": F.row_number().over(band.orderBy("_at")),
                                **{name: agg.over(band) for name, agg in sums.items()}})
         # An album's reviews are where its band's are, but for album ids of several bands.
-        own = F.struct(F.col("band_id").isNull(), F.col("band_id"))
-        albums = ranks.group_stats(narrow, "album_id", {"_n": F.count(F.lit(1)), "_least": F.min(own), "_most": F.max(own)})
-        shared = stored_table(albums.where("_least <> _most").select("album_id", "_n"), "shared_albums")
+        albums = ranks.group_stats(narrow, "album_id", {
+            "_n": F.count(F.lit(1)), "_known": F.count("band_id"), "_least": F.min("band_id"), "_most": F.max("band_id")})
+        several = "_least <> _most OR _known BETWEEN 1 AND _n - 1"
+        shared = stored_table(albums.where(several).select("album_id", "_n"), "shared_albums")
         out = out.withColumn("_own", F.count(F.lit(1)).over(Window.partitionBy("band_id", "album_id")))
-        out = ranks.attach(out, shared, "album_id")
+        out = ranks.attach(out, shared, "album_id", rows=shared.count())
         out = out.withColumn("album_total_reviews", F.coalesce("_n", "_own")).drop("_n", "_own")
+        out = out.withColumns({ranks.CELL: F.shiftright("_at", 33), ranks.PLACE: F.col("_at").bitwiseAND(F.lit((1 << 33) - 1))})
+        out = out if codes is None else ranks.attach(out, codes, "_labels", rows=0)
     else:
         out = ranks.cell_ranks(cells, out, "band_id", "band_score_rank")
         out = ranks.attach(out, stored_table(ranks.group_stats(cells, "band_id", sums), "band_sums"), "band_id")
@@ -199,7 +226,7 @@ def window_columns(narrow: DataFrame, keep: tuple = ()) -> DataFrame:
         name, tag = LOW_RANKS[P], LOW_TAGS[P]
         table = ranks.cell_table(histogram, groups, P, "score_d").withColumnsRenamed(
             {"_group_n": f"_n_{tag}", "_group_sum": f"_sum_{tag}"})
-        out = ranks.attach(out, table, [*P, "score_d", ranks.CELL])
+        out = ranks.attach(out, table, [*P, "score_d", ranks.CELL], rows=in_cells)
         out = out.withColumn(name, (F.col(name) + F.col("_before")).cast("bigint"))
         if P in LOW_PERCENTS:
             out = out.withColumn(LOW_PERCENTS[P], ranks.percent_from(F.col("_before_asc"), F.col(f"_n_{tag}")))
@@ -234,7 +261,7 @@ def fct_base(texts: DataFrame, dim_albums_df: DataFrame, path: str | None = None
     columns, written once with ``_rk``. Marts read this, so they never re-run the
     seventeen windows."""
     rows = texts.drop(*TEXTS).join(dim_albums_df.select(*ALBUM_COLUMNS_FOR_FACT), "album_id", "inner")
-    return stored_table(measured_classes(rows), "fct_base", path)
+    return stored_table(album_classes(measured_classes(rows)), "fct_base", path)
 
 
 def stored_windows(base: DataFrame, path: str | None = None) -> DataFrame:

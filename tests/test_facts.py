@@ -143,3 +143,45 @@ def test_repeated_ids_of_albums_and_bands(spark):
     want = albums.join(every.select("band_id", "country", "genre"), "band_id")
     key = lambda df: sorted(map(str, df.select("album_id", "band_id", "country", "genre").collect()))
     assert key(got) == key(want) and got.count() > 0
+
+
+def test_cell_tables_are_broadcast_whatever_their_bytes(spark):
+    """With no table small enough for Spark's own broadcasts, the rows of the windows are
+    dealt once, by band; the labels, null ones too, cross that exchange as one number."""
+    rows = [(i, i, 1 + i % 40, 7 + i % 40 % 8, None if i % 5 == 0 else f"c{i % 3}", f"{1980 + 10 * (i % 4)}s",
+             None if i % 7 == 0 else f"s{i % 4}", "x", "t", str(50 + i % 40)) for i in range(900)]
+    base = spark.createDataFrame(rows, "_rk long, review_id long, album_id long, band_id long, country string, "
+                                 "release_decade string, death_metal_subgenre string, review_title string, "
+                                 "content_review string, score string").withColumn("score_album", F.col("score").cast("decimal(18,3)"))
+    narrow = facts.narrow_rows(base)
+    conf = {"spark.sql.adaptive.enabled": "false", "spark.sql.autoBroadcastJoinThreshold": "-1"}
+    before = {k: spark.conf.get(k) for k in conf}
+    try:
+        for k, v in conf.items():
+            spark.conf.set(k, v)
+        got = facts.window_columns(narrow)
+        plan = got._jdf.queryExecution().executedPlan().toString()
+        dealt = [x for x in plan.splitlines() if "Exchange hashpartitioning(band_id" in x]
+        assert len(dealt) == 1 and "SortMergeJoin" not in plan
+        below = plan[plan.index(dealt[0]):].splitlines()[1]
+        assert "_labels#" in below and " country#" not in below
+        rows = lambda df: sorted(map(str, df.select(*names).collect()))
+        names = ["_rk", "overall_score_rank", "band_score_rank", "country_score_rank", "decade_score_rank",
+                 "subgenre_score_rank", "band_total_reviews", "album_total_reviews"]
+        assert rows(got) == rows(expected(narrow))
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+
+
+def test_album_classes_follow_from_what_albums_bring(spark):
+    """The classes that no shuffle carries are those of the albums' table."""
+    c = catalog(spark, SF)
+    made = ["continent", "death_metal_subgenre", "release_decade", "release_era", "formation_era", "band_career_phase",
+            "is_debut_album", "is_golden_age_release"]
+    assert not set(made) & set(facts.ALBUM_COLUMNS_FOR_FACT)
+    key = ["album_id", "band_id"]
+    got = facts.album_classes(c.dim_albums.select(*facts.ALBUM_COLUMNS_FOR_FACT)).select(*key, *made)
+    want = c.dim_albums.select(*key, *made)
+    assert got.dtypes == want.dtypes
+    assert got.exceptAll(want).isEmpty() and want.exceptAll(got).isEmpty()

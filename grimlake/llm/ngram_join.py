@@ -191,33 +191,65 @@ def chunk_parts(sets: list[np.ndarray], parts: int) -> pd.DataFrame:
     names, sets, sizes = names[sizes > 0], [x for x in sets if len(x)], sizes[sizes > 0]
     if not len(names):
         return pd.DataFrame()
-    keys = np.concatenate(sets) >> np.uint64(64 - KEY_BITS)
-    docs = np.repeat(np.arange(len(sets), dtype=np.uint32), sizes)
-    order = np.argsort(keys, kind="stable")
-    keys, docs = keys[order], docs[order]
-    part = ((keys >> np.uint64(KEY_BITS - 32)) * np.uint64(parts) >> np.uint64(32)).astype(np.int64)
-    start = np.flatnonzero(np.r_[True, part[1:] != part[:-1]])
-    end = np.r_[start[1:], len(part)]
+    keys, docs = by_key(sets, sizes)
+    # A part is a range of keys: those whose leading 32 bits, as a fraction, fall into it.
+    lowest = np.array([-(-(p << 32) // parts) for p in range(1, parts)], np.uint64) << np.uint64(KEY_BITS - 32)
+    bounds = np.r_[0, np.searchsorted(keys, lowest), len(keys)]
+    part = np.flatnonzero(bounds[1:] > bounds[:-1])
+    cuts = [slice(a, b) for a, b in zip(bounds[part], bounds[part + 1])]
     return pd.DataFrame({
-        "part": part[start], "chunk": int.from_bytes(hashlib.blake2b(names.tobytes(), digest_size=8).digest(), "little", signed=True),
-        "slices": [len(start)] + [0] * (len(start) - 1), "names": [names.tobytes()] + [b""] * (len(start) - 1),
-        "sizes": [planes(sizes)] + [b""] * (len(start) - 1),
-        "keys": [planes(np.diff(keys[a:b], prepend=np.uint64(0))) for a, b in zip(start, end)],
-        "docs": [planes(docs[a:b]) for a, b in zip(start, end)]})
+        "part": part, "chunk": int.from_bytes(hashlib.blake2b(names.tobytes(), digest_size=8).digest(), "little", signed=True),
+        "slices": [len(part)] + [0] * (len(part) - 1), "names": [names.tobytes()] + [b""] * (len(part) - 1),
+        "sizes": [planes(sizes)] + [b""] * (len(part) - 1),
+        "keys": [planes(np.diff(keys[c], prepend=np.uint64(0))) for c in cuts],
+        "docs": [planes(docs[c]) for c in cuts]})
+
+
+def by_key(sets: list[np.ndarray], sizes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(key, number of the set that has it) of all shingles, in this order. Sorted
+    in place as one number where both fit into 64 bits."""
+    keys = np.concatenate(sets)
+    keys >>= np.uint64(64 - KEY_BITS)
+    docs = np.repeat(np.arange(len(sets), dtype=np.uint32), sizes)
+    if len(sets) > 1 << 64 - KEY_BITS:
+        order = np.argsort(keys, kind="stable")
+        return keys[order], docs[order]
+    keys <<= np.uint64(64 - KEY_BITS)
+    keys |= docs
+    keys.sort()
+    np.bitwise_and(keys, np.uint64((1 << 64 - KEY_BITS) - 1), out=docs, casting="unsafe")
+    keys >>= np.uint64(64 - KEY_BITS)
+    return keys, docs
 
 
 def often(frame: pd.DataFrame) -> pd.DataFrame:
     """The rows of a part with, of their shingles, those that occur more than
-    once, and how often they do."""
+    once, and how often they do. One array of the part's keys is held, the rows'
+    own are unpacked one row at a time."""
     frame = frame.drop_duplicates("chunk")
-    keys = [np.cumsum(from_planes(x, np.uint64), dtype=np.uint64) for x in frame["keys"]]
-    _, at, n = np.unique(np.concatenate(keys), return_inverse=True, return_counts=True)
-    out, begin = {"keys": [], "docs": [], "n": []}, 0
-    for k, d in zip(keys, frame["docs"]):
-        mine = n[at[begin:begin + len(k)]]
-        begin += len(k)
-        more = mine > 1
-        for name, x in (("keys", k[more]), ("docs", from_planes(d, np.uint32)[more]), ("n", mine[more].astype(np.int64))):
+
+    def keys_of(data: bytes) -> np.ndarray:
+        return np.cumsum(from_planes(data, np.uint64), dtype=np.uint64)
+
+    every = np.empty(sum(map(len, frame["keys"])) // 8, np.uint64)
+    end = 0
+    for data in frame["keys"]:
+        mine = keys_of(data)
+        every[end:end + len(mine)] = mine
+        end += len(mine)
+    every.sort()
+    again = every[1:][every[1:] == every[:-1]]
+    del every
+    first = np.flatnonzero(np.r_[True, again[1:] != again[:-1]][:len(again)])
+    shared, times = again[first], np.diff(np.r_[first, len(again)]) + 1
+    del again, first
+    out: dict[str, list[bytes]] = {"keys": [], "docs": [], "n": []}
+    for data, d in zip(frame["keys"], frame["docs"]):
+        k = keys_of(data)
+        at = np.searchsorted(shared, k)
+        more = at < len(shared)
+        more[more] = shared[at[more]] == k[more]
+        for name, x in (("keys", k[more]), ("docs", from_planes(d, np.uint32)[more]), ("n", times[at[more]])):
             out[name].append(planes(x))
     return frame[["chunk", "slices", "names", "sizes"]].assign(**out)
 

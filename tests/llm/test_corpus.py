@@ -2,6 +2,7 @@
 
 import math
 import random
+import tracemalloc
 import zlib
 from collections import Counter, defaultdict
 
@@ -267,6 +268,40 @@ def test_scores_of_the_tables_are_those_of_the_tree(spark, monkeypatch):
         assert i == j and a == pytest.approx(b, rel=1e-3)
 
 
+def peak_of(run):
+    """Its result, and the most bytes it held at once."""
+    tracemalloc.start()
+    out = run()
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    return out, peak
+
+
+def test_shingles_are_counted_in_little_memory():
+    """Packed, and counted, in a few times the bytes of the shingles; every
+    shingle that occurs more than once comes back with its sets and its count."""
+    r = np.random.default_rng(5)
+    chunks = [[np.unique(r.integers(0, 2**64, 1000, dtype=np.uint64)) for _ in range(200)] for _ in range(3)]
+    for c in chunks[1:]:
+        c[0] = np.unique(np.r_[c[0], chunks[0][0][:40]])
+    bytes_of = [8 * sum(map(len, c)) for c in chunks]
+    sent = []
+    for c, size in zip(chunks, bytes_of):
+        out, peak = peak_of(lambda: ngram_join.chunk_parts(c, 3))
+        assert peak < 5 * size
+        sent.append(out)
+    want = Counter(int(x) >> 64 - ngram_join.KEY_BITS for c in chunks for s in c for x in s)
+    found = Counter()
+    for _, frame in pd.concat(sent).groupby("part"):
+        out, peak = peak_of(lambda: ngram_join.often(frame))
+        assert peak < 4 * sum(bytes_of) / 3
+        for keys, n in zip(out["keys"], out["n"]):
+            for k, times in zip(ngram_join.from_planes(keys, np.uint64).tolist(), ngram_join.from_planes(n, np.int64).tolist()):
+                assert times == want[k]
+                found[k] += 1
+    assert found == Counter({k: n for k, n in want.items() if n > 1}) and len(found) == 40
+
+
 def test_pipeline_stages(spark, tmp_path):
     r = random.Random(9)
     rows = odd.texts() + near_copies(5, 8, 90)

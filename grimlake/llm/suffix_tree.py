@@ -11,6 +11,7 @@ a text is scored by the longest retained context at each position.
 from __future__ import annotations
 
 import zlib
+from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
@@ -19,7 +20,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from grimlake.llm.common import id_as_text, stored
-from grimlake.llm.shards import LAST_WORD, WORD, Vocabulary, mix, shard_count, sharded
+from grimlake.llm.shards import PRIME, mix, shard_count, sharded
 
 DEPTH = 5
 #: Occurrences that a context must have, at every size of the corpus: the tree
@@ -40,10 +41,11 @@ BATCH_SYMBOLS = 2_000_000
 #: Shards whose distinct grams, in number, make a part of the grams.
 SHARDS_PER_PART = 4
 #: Symbols: bytes, the end mark, and a start mark that is only ever context.
-END, START, SYMBOLS = 256, 257, 258
+SPACE, END, START, SYMBOLS = 32, 256, 257, 258
 BITS = 9
-LOWER_TEXT = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
 LOWER = bytes.maketrans(b"ABCDEFGHIJKLMNOPQRSTUVWXYZ", b"abcdefghijklmnopqrstuvwxyz")
+#: What a symbol adds to the hash of its word: nothing, if a start mark.
+SYMBOL_HASH = np.r_[mix(np.arange(1, START + 1, dtype=np.uint64) * PRIME), np.uint64(0)]
 
 
 def symbols(texts: list[str], depth: int) -> tuple[np.ndarray, np.ndarray]:
@@ -85,25 +87,77 @@ def part_of(keys: np.ndarray, parts: int) -> np.ndarray:
     return (mix(keys.view(np.uint64)) % np.uint64(parts)).astype(np.int64)
 
 
-class ShardGrams:
-    """The distinct grams of a shard's texts, by part, then gram, and where they
-    stand. Texts are read in batches that bound the memory."""
-
-    def __init__(self, texts: list[str], depth: int, parts: int):
-        self.n_texts, self.batches = len(texts), []
-        size = np.cumsum([len(t) for t in texts]) // BATCH_SYMBOLS
-        for k in np.unique(size):
-            mine = np.flatnonzero(size == k)
-            sym, starts = symbols([texts[i] for i in mine], depth)
-            ends = np.r_[starts[1:] - depth, len(sym)]
-            keys, at = np.unique(grams(sym, depth), return_inverse=True)
-            self.batches.append((keys, at.astype(np.int32), mine, ends - starts))
-        keys = np.unique(np.concatenate([b[0] for b in self.batches]))
+def numbered_grams(sym: np.ndarray, depth: int) -> tuple[np.ndarray, np.ndarray]:
+    """The distinct :func:`grams`, ascending, and the place among them of each.
+
+    A gram and its position are sorted as one number, over the symbols that
+    occur; only where that takes more than 64 bits, the grams are sorted apart.
+    """
+    n = max(0, len(sym) - depth)
+    there = np.bincount(sym, minlength=SYMBOLS) > 0
+    kinds, bits = int(there.sum()), n.bit_length()
+    if not n or kinds ** (depth + 1) << bits > 1 << 64:
+        keys, at = np.unique(grams(sym, depth), return_inverse=True)
+        return keys, at.astype(np.int32)
+    code = (np.cumsum(there) - 1).astype(np.uint64)[sym]
+    rank = code[:n].copy()
+    for k in range(1, depth + 1):
+        rank *= np.uint64(kinds)
+        rank += code[k:n + k]
+    own = np.flatnonzero(sym[depth:] != START)
+    rank = rank[own]
+    rank <<= np.uint64(bits)
+    rank |= np.arange(len(own), dtype=np.uint64)
+    rank.sort()
+    nth = (rank & np.uint64((1 << bits) - 1)).astype(np.int64)
+    rank >>= np.uint64(bits)
+    first = np.r_[True, rank[1:] != rank[:-1]]
+    at = np.empty(len(own), np.int32)
+    at[nth] = np.cumsum(first, dtype=np.int32) - np.int32(1)
+    start = own[nth[first]]
+    keys = np.zeros(len(start), np.int64)
+    for k in range(depth + 1):
+        keys = keys << BITS | sym[start + k]
+    return keys, at
+
+
+def word_hashes(sym: np.ndarray, depth: int) -> tuple[np.ndarray, np.ndarray]:
+    """Stable 64-bit hash of each token (words, and a text's end), and how many
+    tokens each text has. All words are hashed at once, by differences of one
+    running sum over their symbols' hashes, each times a power of its place."""
+    n = len(sym)
+    end = np.flatnonzero((sym == SPACE) | (sym == END))
+    last = sym[end] == END
+    begin = np.r_[0, end[:-1] + 1][:len(end)] + depth * np.r_[True, last[:-1]][:len(end)]
+    power = np.cumprod(np.full(n, PRIME))
+    total = np.r_[np.uint64(0), np.cumsum(SYMBOL_HASH[sym] * power)]
+    # The inverse of the power at each beginning, from one to the next.
+    step = np.diff(begin, prepend=-1)
+    back = np.cumprod(np.full(int(step.max(initial=0)), np.uint64(pow(int(PRIME), -1, 1 << 64))))
+    back = np.cumprod(back[step - 1])
+    # A text's end is a token of itself, one symbol long; a word goes up to its space.
+    h = mix((total[end + last] - total[begin]) * back + (end - begin).astype(np.uint64))
+    return h.view(np.int64), np.diff(np.r_[-1, np.flatnonzero(last)])
+
+
+class Keys:
+    """The distinct keys of a shard's texts, by part, then key, and where they stand."""
+
+    def __init__(self, n_texts: int, parts: int, batches: list[tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]]):
+        """``batches``: distinct keys, ascending; the place among them at each
+        position; the numbers of the texts; and how many positions each has."""
+        self.n_texts, self.batches = n_texts, batches
+        keys = np.sort(np.concatenate([b[0] for b in self.batches]))
+        keys = keys[np.r_[True, keys[1:] != keys[:-1]][:len(keys)]]
         part = part_of(keys, parts)
-        self.order = np.argsort(part, kind="stable")
+        self.order = np.argsort(part.astype(np.min_scalar_type(parts)), kind="stable")
         self.sorted, self.keys = keys, keys[self.order]
         self.bounds = np.searchsorted(part[self.order], np.arange(parts + 1))
 
+    def cuts(self) -> list[slice]:
+        """The keys of each part."""
+        return [slice(a, b) for a, b in zip(self.bounds[:-1], self.bounds[1:])]
+
     def counts(self, counted: np.ndarray) -> np.ndarray:
         """Occurrences of ``keys`` in the texts that are ``counted``."""
         out = np.zeros(len(self.sorted), np.int64)
@@ -112,45 +166,91 @@ class ShardGrams:
             out[np.searchsorted(self.sorted, keys)] += n.astype(np.int64)
         return out[self.order]
 
+    def placed(self, values: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+        """(texts, sizes, the values at their positions) of ``values``, one for each of ``keys``."""
+        table = np.zeros(len(values), values.dtype)
+        table[self.order] = values
+        for keys, at, mine, sizes in self.batches:
+            yield mine, sizes, table[np.searchsorted(self.sorted, keys)][at]
+
     def sums(self, values: np.ndarray) -> np.ndarray:
         """Per text the sum of ``values``, one for each of ``keys``, over its positions."""
-        table = np.zeros(len(values))
-        table[self.order] = values
         out = np.zeros(self.n_texts)
-        for keys, at, mine, sizes in self.batches:
-            own = table[np.searchsorted(self.sorted, keys)][at]
+        for mine, sizes, own in self.placed(values):
             out[mine] = np.bincount(np.repeat(np.arange(len(mine)), sizes), weights=own, minlength=len(mine))
         return out
 
 
-def shard_grams(by_shard: GroupedData, depth: int, parts: int) -> DataFrame:
-    """(shard, part, grams, n): the distinct grams of each shard, packed, and
-    their counts in the rows that are not held out; 0 for those only in others."""
+def shard_keys(texts: list[str], depth: int, parts: int) -> tuple[Keys, Keys]:
+    """The grams and the words of a shard's texts, which are read in batches
+    that bound the memory."""
+    by_gram, by_word = [], []
+    size = np.cumsum([len(t) for t in texts]) // BATCH_SYMBOLS
+    for k in np.unique(size):
+        mine = np.flatnonzero(size == k)
+        sym, starts = symbols([texts[i] for i in mine], depth)
+        ends = np.r_[starts[1:] - depth, len(sym)]
+        by_gram.append((*numbered_grams(sym, depth), mine, ends - starts))
+        hashes, n_tokens = word_hashes(sym, depth)
+        words, at = np.unique(hashes, return_inverse=True)
+        by_word.append((words, at.astype(np.int32), mine, n_tokens))
+    return Keys(len(texts), parts, by_gram), Keys(len(texts), parts, by_word)
+
+
+def shard_pairs(by_shard: GroupedData, depth: int, parts: int) -> DataFrame:
+    """(shard, part, grams, n, words, word_n): the distinct grams and words of
+    each shard, packed, and their counts in the rows that are not held out; 0
+    for those only in others."""
 
     def run(frame: pd.DataFrame) -> pd.DataFrame:
-        own = ShardGrams(frame["text"].tolist(), depth, parts)
-        n = own.counts(~frame["held_out"].to_numpy(bool))
-        cuts = [(p, slice(a, b)) for p, (a, b) in enumerate(zip(own.bounds[:-1], own.bounds[1:])) if a < b]
-        return pd.DataFrame({
-            "shard": np.int32(frame["shard"].iloc[0]), "part": np.array([p for p, _ in cuts], np.int32),
-            "grams": [packed(np.diff(own.keys[c], prepend=0)) for _, c in cuts], "n": [packed(n[c]) for _, c in cuts]})
+        out: dict[str, list[bytes]] = {}
+        for own, keys, counts in zip(shard_keys(frame["text"].tolist(), depth, parts), ("grams", "words"), ("n", "word_n")):
+            n = own.counts(~frame["held_out"].to_numpy(bool))
+            out[keys] = [packed(np.diff(own.keys[c], prepend=0)) for c in own.cuts()]
+            out[counts] = [packed(n[c]) for c in own.cuts()]
+        return pd.DataFrame({"shard": np.int32(frame["shard"].iloc[0]), "part": np.arange(parts, dtype=np.int32), **out})
+
+    return by_shard.applyInPandas(run, "shard int, part int, grams binary, n binary, words binary, word_n binary")
+
+
+def summed(keys: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The distinct keys, ascending, and the sum of ``n`` over each."""
+    order = np.argsort(keys, kind="stable")
+    keys, n = keys[order], n[order]
+    first = np.flatnonzero(np.r_[True, keys[1:] != keys[:-1]][:len(keys)])
+    return keys[first], np.add.reduceat(n, first) if len(first) else n
+
+
+def read_keys(data: bytes) -> np.ndarray:
+    return np.cumsum(unpacked(data, np.int64))
 
-    return by_shard.applyInPandas(run, "shard int, part int, grams binary, n binary")
+
+def word_totals(pairs: DataFrame) -> DataFrame:
+    """(part, shard, totals, tokens, kinds): counts over all shards of each
+    shard's distinct words, in their order, packed; the first row of a part has
+    the sum of its words' counts and how many words have one, others have 0."""
+
+    def run(frame: pd.DataFrame) -> pd.DataFrame:
+        own = [read_keys(w) for w in frame["words"]]
+        words, n = summed(np.concatenate(own), np.concatenate([unpacked(x, np.int64) for x in frame["word_n"]]))
+        rest = [0] * (len(frame) - 1)
+        return frame[["part", "shard"]].assign(
+            totals=[packed(n[np.searchsorted(words, w)]) for w in own],
+            tokens=[int(n.sum()), *rest], kinds=[int((n > 0).sum()), *rest])
+
+    return pairs.select("part", "shard", "words", "word_n").groupBy("part").applyInPandas(
+        run, "part int, shard int, totals binary, tokens long, kinds long")
 
 
 def gram_counts(pairs: DataFrame) -> DataFrame:
     """(part, gram, n) over all shards."""
 
     def run(frame: pd.DataFrame) -> pd.DataFrame:
-        keys = np.concatenate([np.cumsum(unpacked(g, np.int64)) for g in frame["grams"]])
-        n = np.concatenate([unpacked(x, np.int64) for x in frame["n"]])
-        order = np.argsort(keys, kind="stable")
-        keys, n = keys[order], n[order]
-        first = np.flatnonzero(np.r_[True, keys[1:] != keys[:-1]])
-        return pd.DataFrame({"part": np.int32(frame["part"].iloc[0]), "gram": keys[first],
-                             "n": np.add.reduceat(n, first)})
+        keys, n = summed(np.concatenate([read_keys(g) for g in frame["grams"]]),
+                         np.concatenate([unpacked(x, np.int64) for x in frame["n"]]))
+        return pd.DataFrame({"part": np.int32(frame["part"].iloc[0]), "gram": keys, "n": n})
 
-    return pairs.groupBy("part").applyInPandas(run, "part int, gram long, n long")
+    return pairs.select("part", "grams", "n").groupBy("part").applyInPandas(run, "part int, gram long, n long")
 
 
 def low(column: str, symbols_: int) -> Column:
@@ -222,7 +322,7 @@ def shard_scores(pairs: DataFrame, scores: DataFrame) -> DataFrame:
         table = table.sort_values("gram")
         keys, logp = table["gram"].to_numpy(np.int64), table["logp"].to_numpy(np.float32)
         return pd.DataFrame({"shard": frame["shard"].to_numpy(), "part": frame["part"].to_numpy(), "logp": [
-            packed(logp[np.searchsorted(keys, np.cumsum(unpacked(g, np.int64)))]) for g in frame["grams"]]})
+            packed(logp[np.searchsorted(keys, read_keys(g))]) for g in frame["grams"]]})
 
     return pairs.select("part", "shard", "grams").groupBy("part").cogroup(scores.groupBy("part")).applyInPandas(
         run, "shard int, part int, logp binary")
@@ -345,65 +445,45 @@ def score(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", depth
     root. An empty table gives an empty result. Whole texts are counted and
     scored. The tree is never in one place: grams are counted and scored by
     joins, and a shard gets the scores of the grams that it has. Word counts
-    are exact, over 64-bit word hashes, and shared between shards, one row per
-    shard and word.
+    are exact, over 64-bit word hashes, and shared between shards, packed by
+    shard and part like the grams. A shard's texts go to Python twice: to be
+    counted and to be scored.
     """
     held = F.pmod(F.crc32(F.coalesce(F.col("doc_id").cast("string"), F.lit("")).cast("binary")), F.lit(7)) == 2
     shards = shard_count(docs, text_col, shard_chars)
     rows = sharded(docs, id_col, text_col, shard_chars, shards, held_out=held)
     by_shard = rows.groupBy("shard")
     parts = max(1, shards // SHARDS_PER_PART)
-    pairs = stored(shard_grams(by_shard, depth, parts), "op6-pairs")
+    pairs = stored(shard_pairs(by_shard, depth, parts), "op6-pairs")
+    totals = stored(word_totals(pairs), "op6-words")
     learnt = stored(gram_counts(pairs), "op6-grams")
     scores = shard_scores(pairs, gram_scores(learnt, depth, least_count))
-
-    def words_of(frame: pd.DataFrame) -> tuple[list[np.ndarray], np.ndarray]:
-        vocabulary = Vocabulary()
-        lists = [vocabulary.number(WORD.findall(t) + [LAST_WORD])
-                 for t in frame["text"].map(lambda t: t.translate(LOWER_TEXT))]
-        return lists, vocabulary.hashes().view(np.int64)
-
-    def count(frame: pd.DataFrame) -> pd.DataFrame:
-        lists, hashes = words_of(frame)
-        own = np.zeros(len(hashes), np.int64)
-        for ids, out in zip(lists, frame["held_out"]):
-            if not out:
-                np.add.at(own, ids, 1)
-        return pd.DataFrame({"word": hashes, "shard": np.int32(frame["shard"].iloc[0]), "n": own})
-
-    counted = by_shard.applyInPandas(count, "word long, shard int, n long")
-    same = Window.partitionBy("word")
-    totals = counted.withColumns({"all": F.sum("n").over(same), "first": F.min("shard").over(same)})
-    once = totals.filter("shard = first AND all > 0").agg(
-        F.coalesce(F.sum("all"), F.lit(0)).alias("tokens"), F.count(F.lit(1)).alias("kinds"))
-    other = totals.filter("all <> n").select("shard", "word", "all")
-    # Without nulls: pandas would read the hashes as floats.
-    side_rows = other.withColumns({"part": F.lit(-1), "logp": F.lit(b"")}).unionByName(
-        scores.withColumns({"word": F.lit(0).cast("long"), "all": F.lit(0).cast("long")}))
+    once = totals.agg(F.coalesce(F.sum("tokens"), F.lit(0)).alias("tokens"),
+                      F.coalesce(F.sum("kinds"), F.lit(0)).alias("kinds")).first()
+    side_rows = scores.select("shard", "part", F.lit(True).alias("of_grams"), F.col("logp").alias("data")).unionByName(
+        totals.select("shard", "part", F.lit(False).alias("of_grams"), F.col("totals").alias("data")))
 
     def judge(frame: pd.DataFrame, side: pd.DataFrame) -> pd.DataFrame:
-        by_part = side[side["part"] >= 0].sort_values("part")
-        logp = np.concatenate([unpacked(x, np.float32) for x in by_part["logp"]])
-        score = ShardGrams(frame["text"].tolist(), depth, parts).sums(logp)
-        side = side[side["part"] < 0]
-        lists, hashes = words_of(frame)
-        n = np.zeros(len(hashes), np.int64)
-        for ids, out in zip(lists, frame["held_out"]):
-            if not out:
-                np.add.at(n, ids, 1)
-        order = np.argsort(hashes)
-        at = order[np.searchsorted(hashes[order], side["word"].to_numpy(np.int64))] if len(side) else []
-        n[at] = side["all"].to_numpy(np.int64)
-        logs = np.log10(n + 1.0)
+        side = side.sort_values("part")
+        of_grams = side["of_grams"].to_numpy(bool)
+        logp = np.concatenate([unpacked(x, np.float32) for x in side["data"][of_grams]])
+        n = np.concatenate([unpacked(x, np.int64) for x in side["data"][~of_grams]])
+        by_gram, by_word = shard_keys(frame["text"].tolist(), depth, parts)
+        n_tokens, n_known = (np.zeros(len(frame), np.int64) for _ in range(2))
+        logs = np.zeros(len(frame))
+        for mine, sizes, own in by_word.placed(n):
+            ends = np.cumsum(sizes)
+            known, log = np.r_[0, np.cumsum(own > 0)], np.log10(own + 1.0)
+            n_tokens[mine], n_known[mine] = sizes, known[ends] - known[ends - sizes]
+            logs[mine] = [log[b - k:b].sum() for b, k in zip(ends.tolist(), sizes.tolist())]
         return pd.DataFrame({
             "doc_id": frame["doc_id"].to_numpy(), "held_out": frame["held_out"].to_numpy(bool),
-            "n_tokens": [len(i) for i in lists], "n_known": [int((n[i] > 0).sum()) for i in lists],
-            "logs": [float(logs[i].sum()) for i in lists], "score": score})
+            "n_tokens": n_tokens, "n_known": n_known, "logs": logs, "score": by_gram.sums(logp.astype(float))})
 
     kind = id_as_text(docs, id_col)[1]
     judged = by_shard.cogroup(side_rows.groupBy("shard")).applyInPandas(
         judge, "doc_id string, held_out boolean, n_tokens long, n_known long, logs double, score double")
-    tokens, kinds = once.select("tokens").scalar(), once.select("kinds").scalar()
+    tokens, kinds = F.lit(once["tokens"]).cast("long"), F.lit(once["kinds"]).cast("long")
     return judged.select(
         F.col("doc_id").cast(kind).alias("doc_id"), "held_out", "n_tokens", "n_known", tokens.alias("train_tokens"),
         (F.col("logs") - F.col("n_tokens") * F.log10((tokens + kinds + 1).cast("double"))).alias("base_score"), "score")

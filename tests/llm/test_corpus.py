@@ -252,6 +252,31 @@ def test_rare_contexts_are_kept_in_large_corpora(spark):
     assert score[rare] > -1.5
 
 
+def test_texts_are_read_twice_and_words_go_packed(spark):
+    """Once to be counted, before, and once to be scored; no row for each word."""
+    plan = suffix_tree.score(odd.frame(spark, odd.texts()))._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("FlatMapCoGroupsInPandas") == 2 and "FlatMapGroupsInPandas" not in plan and "Window" not in plan
+
+
+@pytest.mark.parametrize("texts", [[""], ["", "A a\t\nA", "  ", "é É ü\x85x", "\x00 \x00", "x" * 99, "ab ba aab"],
+                                   ["".join(map(chr, range(32, 0x2fff))) * 20]])
+def test_grams_and_words_are_numbered_alike(texts):
+    """As one number where that fits into 64 bits, and apart; a word has one hash wherever it stands."""
+    for some in (texts, texts[::-1]):
+        sym, _ = suffix_tree.symbols(some, 5)
+        keys, at = np.unique(suffix_tree.grams(sym, 5), return_inverse=True)
+        got = suffix_tree.numbered_grams(sym, 5)
+        assert (got[0] == keys).all() and (got[1] == at).all()
+        words = [odd.WORD.findall(t.translate(odd.LOWER)) + [" "] for t in some]
+        hashes, n = suffix_tree.word_hashes(sym, 5)
+        assert n.tolist() == [len(w) for w in words]
+        seen = dict(zip([x for w in words for x in w], hashes.tolist(), strict=True))
+        assert [seen[x] for w in words for x in w] == hashes.tolist() and len(set(seen.values())) == len(seen)
+        if some is texts:
+            before = seen
+    assert seen == before
+
+
 def test_scores_of_the_tables_are_those_of_the_tree(spark, monkeypatch):
     """Equal to the tree in one process, which scoring must not build."""
     rows = odd.texts()
